@@ -118,6 +118,11 @@ def shared_counts(left, right) -> Iterator[tuple[int, int, np.ndarray]]:
         yield s, e, counts.reshape(e - s, n_right)
 
 
+def fresh(df: DataFrame) -> DataFrame:
+    """The same columns under new ids, so that both sides of a co-group may share a source."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def pair_tiles(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_chunks: int,
                right_chunks: int, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Run ``fn`` on every (left chunk, right chunk); each side is copied once per chunk of the other."""
@@ -125,7 +130,7 @@ def pair_tiles(left: DataFrame, right: DataFrame, left_id: str, right_id: str, l
          .withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(right_chunks - 1)))))
     b = (right.withColumn("_r", chunk_of(right_id, right_chunks))
          .withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(left_chunks - 1)))))
-    return a.groupBy("_l", "_r").cogroup(b.groupBy("_l", "_r")).applyInArrow(fn, schema)
+    return fresh(a).groupBy("_l", "_r").cogroup(fresh(b).groupBy("_l", "_r")).applyInArrow(fn, schema)
 
 
 def self_tiles(df: DataFrame, id_col: str, chunks: int,
@@ -141,7 +146,7 @@ def self_tiles(df: DataFrame, id_col: str, chunks: int,
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         return fn(key[0].as_py() == key[1].as_py(), left, right)
 
-    return a.groupBy("_l", "_r").cogroup(b.groupBy("_l", "_r")).applyInArrow(run, schema)
+    return fresh(a).groupBy("_l", "_r").cogroup(fresh(b).groupBy("_l", "_r")).applyInArrow(run, schema)
 
 
 def cell_tiles(left: DataFrame, right: DataFrame, cell: Sequence[str], left_id: str, right_id: str,
@@ -157,4 +162,4 @@ def cell_tiles(left: DataFrame, right: DataFrame, cell: Sequence[str], left_id:
     b = (right.join(sizes, cell).withColumn("_r", chunk_of(right_id, F.col("_nr")))
          .withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_nl") - 1))).drop("_nl", "_nr"))
     keys = [*cell, "_l", "_r"]
-    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(fn, schema)
+    return fresh(a).groupBy(*keys).cogroup(fresh(b).groupBy(*keys)).applyInArrow(fn, schema)
