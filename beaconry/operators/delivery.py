@@ -96,12 +96,12 @@ def _with_runs(rows: DataFrame, key: str, width: int) -> DataFrame:
     order = W.partitionBy(key).orderBy("_cell")
     starts = cells.withColumn("_prev", F.lag("_hi").over(order)).withColumn(
         "_new", F.when(F.col("_prev").isNull() | (F.col("_lo") - F.col("_prev") >= width), F.col("_lo")))
-    named = starts.select(F.col(key).alias("_key"), "_cell", F.max("_new").over(order).alias("_start"))
+    named = starts.select(F.col(key).alias("_key"), F.col("_cell").alias("_in"),
+                          F.max("_new").over(order).alias("_start"))
     return (rows.withColumn("_cell", cell)
-            .join(named, (F.col(key).eqNullSafe(F.col("_key"))) & (F.col("_cell") == named["_cell"]))
-            .drop(named["_cell"])
+            .join(named, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cell") == F.col("_in")))
             .withColumn("_run", F.concat_ws("~", F.col(key).cast("string"), F.col("_start").cast("string")))
-            .drop("_cell", "_key", "_start"))
+            .drop("_cell", "_in", "_key", "_start"))
 
 
 def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "text", start: str = "session_start",

@@ -44,14 +44,15 @@ def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Seque
     v = F.col(col).cast("double")
     rows = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
     slack = 4.0 / accuracy
+    few = F.col("_n") < 2 * accuracy  # there the bracket may be narrower than a rank
     edges = F.array(*[F.lit(min(max(p + s, 0.0), 1.0)) for p in probs for s in (-slack, slack)])
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", edges, accuracy).alias("_e"), F.count("*").alias("_n"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     wanted = F.array(*[F.struct(
         F.lit(float(p)).alias("prob"),
-        (F.col("_min") if p - slack <= 0 else F.col("_e")[2 * i]).alias("lo"),
-        (F.col("_max") if p + slack >= 1 else F.col("_e")[2 * i + 1]).alias("hi"))
+        F.when(few | F.lit(p <= slack), F.col("_min")).otherwise(F.col("_e")[2 * i]).alias("lo"),
+        F.when(few | F.lit(p >= 1 - slack), F.col("_max")).otherwise(F.col("_e")[2 * i + 1]).alias("hi"))
         for i, p in enumerate(probs)])
     brackets = sketch.select(*keys, "_n", wanted.alias("_w"))
     # Without grouping the sketch is exactly one row, which may be broadcast.
