@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions import columns as C
 from beaconry.functions import vectors as V
-from beaconry.operators import tiles
+from beaconry.operators import serving, tiles
 
 # A campaign side within both bounds is shipped to every task; a larger one is tiled.
 LOCAL_ROWS = 20_000
 LOCAL_BYTES = 64 << 20
 USERS_PER_CHUNK = 16_384
 CAMPAIGNS_PER_CHUNK = 16_384
+MAX_SERVED = 20
 
 
-def with_vector(df: DataFrame, key: str) -> DataFrame:
-    """(key, embedding) of the rows that have a vector."""
-    return df.filter(F.size("embedding") > 0).select(key, F.col("embedding").cast("array<double>").alias("embedding"))
+def with_vector(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The given columns and the vector of the rows that have one."""
+    return df.filter(F.size("embedding") > 0).select(*cols, F.col("embedding").cast("array<double>").alias("embedding"))
 
 
 def _policy(users: DataFrame, dim_policy: str, dim: int | None) -> DataFrame:
@@ -37,77 +39,117 @@ def _policy(users: DataFrame, dim_policy: str, dim: int | None) -> DataFrame:
     raise ValueError(dim_policy)
 
 
-def _scores(block: np.ndarray, norms: np.ndarray, other: np.ndarray, other_norms: np.ndarray) -> np.ndarray:
-    """Rounded cosine: dot over the common length, full norms, 0 where a norm is 0."""
-    scale = norms[:, None] * other_norms[None, :]
-    dots = block @ other.T
-    return np.round(np.divide(dots, scale, out=np.zeros_like(dots), where=scale != 0), 4)
+def first_block(embedding, dim: int) -> Column:
+    """First ``dim`` entries and one more that keeps the length (norm) of the whole vector.
+
+    A score needs no more than that, so this is what is shuffled.
+    """
+    whole, head = C.as_col(embedding), F.slice(embedding, 1, dim)
+    rest = F.sqrt(F.aggregate(F.slice(whole, dim + 1, F.greatest(F.size(whole) - dim, F.lit(0))), F.lit(0.0),
+                              lambda s, x: s + x * x))
+    return F.when(F.size(whole) <= dim, whole).otherwise(F.concat(head, F.array(rest)))
 
 
-class _Ranked:
-    """Campaign ids, vectors and norms in id order, ready for a task."""
+class _Block:
+    """Campaigns in id order with their vectors and norms, ready for a task."""
 
     def __init__(self, table: pa.Table):
-        table = table.sort_by("campaign_id")
-        self.ids = table.column("campaign_id").combine_chunks()
-        self.matrix, self.norms = tiles.vectors_of(table.column("embedding"))
+        self.table = table.sort_by("campaign_id")
+        self.ids = self.table.column("campaign_id").combine_chunks()
+        self.matrix, self.norms = tiles.vectors_of(self.table.column("embedding"))
 
-    def best(self, user_ids: pa.Array, vectors, k: int) -> Iterator[pa.Table]:
-        block, norms = tiles.vectors_of(vectors, self.matrix.shape[1])
+    def scores(self, vectors) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Cosines rounded to 4 places for row batches: dot over the common length, 0 for a zero norm."""
+        left, norms = tiles.vectors_of(vectors, self.matrix.shape[1])
         for s, e in tiles.row_batches(len(norms), len(self.norms)):
-            score = _scores(block[s:e], norms[s:e], self.matrix, self.norms)
+            scale = norms[s:e, None] * self.norms[None, :]
+            dots = left[s:e] @ self.matrix.T
+            yield s, e, np.round(np.divide(dots, scale, out=np.zeros_like(dots), where=scale != 0), 4) + 0.0
+
+    def picked(self, keys, rows: np.ndarray, cols: np.ndarray, score: np.ndarray, key: str) -> pa.Table:
+        return pa.table({key: _flat(keys).take(pa.array(rows)), "campaign_id": self.ids.take(pa.array(cols)),
+                         "similarity_score": pa.array(score)})
+
+
+def _flat(col) -> pa.Array:
+    if not isinstance(col, pa.ChunkedArray):
+        return col
+    return pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], type=col.type)
+
+
+def _best(key: str, k: int):
+    def run(block: _Block, batch) -> Iterator[pa.Table]:
+        for s, _, score in block.scores(batch.column("embedding")):
             rows, cols, _ = tiles.best_columns(score.copy(), k)
-            yield pa.table({"user_id": user_ids.take(pa.array(rows + s)),
-                            "campaign_id": self.ids.take(pa.array(cols)),
-                            "similarity_score": pa.array(score[rows, cols] + 0.0)})
+            yield block.picked(batch.column(key), rows + s, cols, score[rows, cols], key)
+
+    return run
+
+
+def _summed(block: _Block, batch) -> Iterator[pa.Table]:
+    for s, e, score in block.scores(batch.column("embedding")):
+        yield pa.table({"user_id": _flat(batch.column("user_id")).slice(s, e - s),
+                        "campaigns": pa.array(np.full(e - s, score.shape[1], dtype=np.int64)),
+                        "total": pa.array(score.sum(axis=1)), "low": pa.array(score.min(axis=1)),
+                        "high": pa.array(score.max(axis=1))})
 
-    def summary(self, user_ids: pa.Array, vectors) -> Iterator[pa.Table]:
-        block, norms = tiles.vectors_of(vectors, self.matrix.shape[1])
-        for s, e in tiles.row_batches(len(norms), len(self.norms)):
-            score = _scores(block[s:e], norms[s:e], self.matrix, self.norms)
-            yield pa.table({"user_id": user_ids.slice(s, e - s),
-                            "campaigns": pa.array(np.full(e - s, score.shape[1], dtype=np.int64)),
-                            "total": pa.array(score.sum(axis=1)), "low": pa.array(score.min(axis=1)),
-                            "high": pa.array(score.max(axis=1))})
 
+def _served(block: _Block, batch) -> Iterator[pa.Table]:
+    """Best campaigns of each request among those it allows."""
+    def numbers(table, name: str) -> np.ndarray:
+        return _flat(table.column(name)).to_numpy(zero_copy_only=False)
 
-def _ids(col) -> pa.Array:
-    return col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    start, end = numbers(block.table, "start"), numbers(block.table, "end")
+    opens, closes, most = numbers(batch, "opens"), numbers(batch, "closes"), numbers(batch, "most")
+    off, banned = tiles.list_parts(batch.column("banned"))
+    at = pc.index_in(pa.array(banned[off[0]:off[-1]], pa.string()), value_set=block.ids)
+    ban_col = at.fill_null(-1).to_numpy(zero_copy_only=False)
+    ban_row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    for s, e, score in block.scores(batch.column("embedding")):
+        open_score = score.copy()
+        open_score[(start[None, :] > closes[s:e, None]) | (opens[s:e, None] > end[None, :])] = -np.inf
+        mine = (ban_row >= s) & (ban_row < e) & (ban_col >= 0)
+        open_score[ban_row[mine] - s, ban_col[mine]] = -np.inf
+        rows, cols, place = tiles.best_columns(open_score, MAX_SERVED)
+        few = place <= most[rows + s]
+        rows, cols = rows[few], cols[few]
+        yield block.picked(batch.column("request_id"), rows + s, cols, score[rows, cols], "request_id")
 
 
-def _each_user(users: DataFrame, campaigns: DataFrame, how, schema: str) -> DataFrame:
-    """Apply ``how(ranked, ids, vectors)`` to users against all campaigns, in bounded pieces.
+def _against(left: DataFrame, campaigns: DataFrame, key: str, how, schema: str) -> DataFrame:
+    """Apply ``how(block, batch)`` to the left rows against all campaigns, in bounded pieces.
 
     The campaign side is fetched only up to the local bound plus one row. Within the
-    bound every task scores its users against all campaigns and no vector is shuffled;
+    bound every task scores its rows against all campaigns and no vector is shuffled;
     beyond it both sides meet in tiles.
     """
-    c = with_vector(campaigns, "campaign_id")
-    u = with_vector(users, "user_id")
-    some = c.limit(LOCAL_ROWS + 1).toArrow()
+    some = campaigns.limit(LOCAL_ROWS + 1).toArrow()
     if some.num_rows <= LOCAL_ROWS and some.nbytes <= LOCAL_BYTES:
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ranked = _Ranked(some) if some.num_rows else None
+            block = _Block(some) if some.num_rows else None
             for b in batches:
-                if ranked is not None and b.num_rows:
-                    for t in how(ranked, b.column("user_id"), b.column("embedding")):
+                if block is not None and b.num_rows:
+                    for t in how(block, b):
                         yield from t.to_batches()
 
-        return u.mapInArrow(scan, schema)
+        return left.mapInArrow(scan, schema)
 
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
+    empty = left.sparkSession.createDataFrame([], schema).toArrow()
+
+    def tile(users: pa.Table, block: pa.Table) -> pa.Table:
+        if not users.num_rows or not block.num_rows:
             return empty
-        return pa.concat_tables(list(how(_Ranked(right), _ids(left.column("user_id")), left.column("embedding"))))
+        return pa.concat_tables(list(how(_Block(block), users)))
 
-    empty = u.sparkSession.createDataFrame([], schema).toArrow()
-    return tiles.pair_tiles(u, c, "user_id", "campaign_id", tiles.chunk_count(u.count(), USERS_PER_CHUNK),
-                            tiles.chunk_count(c.count(), CAMPAIGNS_PER_CHUNK), tile, schema)
+    size = campaigns.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    slim = left.withColumn("embedding", first_block("embedding", size["dim"]))
+    return tiles.pair_tiles(slim, campaigns, key, "campaign_id", tiles.chunk_count(left.count(), USERS_PER_CHUNK),
+                            tiles.chunk_count(size["n"], CAMPAIGNS_PER_CHUNK), tile, schema)
 
 
-def _final_rank(scored: DataFrame, k: int) -> DataFrame:
-    w = W.partitionBy("user_id").orderBy(F.col("similarity_score").desc(), "campaign_id")
-    return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k))
+def _final_rank(scored: DataFrame, k: int, key: str = "user_id") -> DataFrame:
+    w = W.partitionBy(key).orderBy(F.col("similarity_score").desc(), "campaign_id")
+    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
 
 
 def campaign_topk(users: DataFrame, campaigns: DataFrame, k: int = 10, dim_policy: str = "truncate",
@@ -116,33 +158,67 @@ def campaign_topk(users: DataFrame, campaigns: DataFrame, k: int = 10, dim_polic
 
     Columns: user_id, campaign_id, similarity_score, rank. Rows without a vector are skipped.
     """
-    user_type = users.schema["user_id"].dataType.simpleString()
-    schema = f"user_id {user_type}, campaign_id string, similarity_score double"
-    return _final_rank(_each_user(_policy(users, dim_policy, dim), campaigns,
-                                  lambda r, ids, v: r.best(ids, v, k), schema), k)
+    schema = f"user_id {users.schema['user_id'].dataType.simpleString()}, campaign_id string, similarity_score double"
+    u = with_vector(_policy(users, dim_policy, dim), ["user_id"])
+    return _final_rank(_against(u, with_vector(campaigns, ["campaign_id"]), "user_id", _best("user_id", k), schema), k)
 
 
 def score_summary(users: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Every user against every campaign, folded to one row per user: count, mean, low, high."""
-    user_type = users.schema["user_id"].dataType.simpleString()
-    schema = f"user_id {user_type}, campaigns bigint, total double, low double, high double"
-    parts = _each_user(users, campaigns, lambda r, ids, v: r.summary(ids, v), schema)
+    schema = (f"user_id {users.schema['user_id'].dataType.simpleString()}, campaigns bigint, total double, "
+              "low double, high double")
+    parts = _against(with_vector(users, ["user_id"]), with_vector(campaigns, ["campaign_id"]), "user_id", _summed, schema)
     return parts.groupBy("user_id").agg(
         F.sum("campaigns").alias("campaigns"), (F.sum("total") / F.sum("campaigns")).alias("mean_score"),
         F.min("low").alias("low_score"), F.max("high").alias("high_score"))
 
 
+def serve_requests(requests: DataFrame, users: DataFrame, campaigns: DataFrame, campaign_vectors: DataFrame,
+                   ctr: DataFrame | None = None) -> DataFrame:
+    """Ranked campaigns per request: exclusions and time window applied, cut to the wanted number.
+
+    ``requests``: request_id, user_id, num_recommendations, exclude_campaign_ids,
+    window_start, window_end (an open end always overlaps). The filters act on the scores
+    inside the tasks, so no request can run short of campaigns and at most
+    ``MAX_SERVED`` rows per request leave a task.
+    """
+    day = F.date_diff
+    epoch = F.lit("1970-01-01").cast("date")
+    asked = requests.select(
+        "request_id", "user_id", serving.wanted(F.col("num_recommendations")).cast("bigint").alias("most"),
+        F.filter(F.coalesce("exclude_campaign_ids", F.array().cast("array<string>")), lambda c: c.isNotNull()).alias("banned"),
+        F.coalesce(day("window_start", epoch), F.lit(-(1 << 30))).cast("bigint").alias("opens"),
+        F.coalesce(day("window_end", epoch), F.lit(1 << 30)).cast("bigint").alias("closes"))
+    left = with_vector(asked.join(users.select("user_id", "embedding"), "user_id"),
+                       ["request_id", "most", "banned", "opens", "closes"])
+    dated = campaign_vectors.join(campaigns.select(
+        "campaign_id", day("start_date", epoch).cast("bigint").alias("start"),
+        day("end_date", epoch).cast("bigint").alias("end")), "campaign_id")
+    schema = (f"request_id {requests.schema['request_id'].dataType.simpleString()}, campaign_id string, "
+              "similarity_score double")
+    found = _final_rank(_against(left, with_vector(dated, ["campaign_id", "start", "end"]), "request_id", _served, schema),
+                        MAX_SERVED, "request_id")
+    info = campaigns.select("campaign_id", F.col("name").alias("campaign_name"),
+                            serving.priority_text(F.col("priority")).alias("priority"), "start_date", "end_date")
+    out = (found.join(asked.select("request_id", "user_id", "most"), "request_id").filter(F.col("rank") <= F.col("most"))
+           .drop("most").join(info, "campaign_id"))
+    if ctr is None:
+        return out.withColumn("estimated_ctr", F.lit(None).cast("double"))
+    return out.join(ctr.select("campaign_id", F.col("ctr").alias("estimated_ctr")), "campaign_id", "left")
+
+
 def campaign_topk_ann(users: DataFrame, campaigns: DataFrame, dim: int, k: int = 10, bucket_length: float = 1.0,
                       tables: int = 8, seed: int = 7) -> DataFrame:
     """Approximate ``campaign_topk``: only campaigns sharing a random-projection bucket are scored.
 
     Every bucket is scored in tiles of bounded size, so a crowded bucket costs more tiles
-    and never a larger task; scores are exact cosines. ``probed`` counts the campaigns
-    that were scored for the user over all tables, to be read beside the recall.
+    and never a larger task; scores are exact cosines. ``largest_cell`` is the highest
+    number of campaigns scored at once for the row, to be read beside the recall.
     """
     user_type = users.schema["user_id"].dataType.simpleString()
-    u = with_vector(users, "user_id").filter(V.is_nonzero(F.slice("embedding", 1, dim)))
-    c = with_vector(campaigns, "campaign_id").filter(V.is_nonzero("embedding"))
+    u = with_vector(users, ["user_id"]).withColumn("embedding", first_block("embedding", dim)).filter(
+        V.is_nonzero(F.slice("embedding", 1, dim)))
+    c = with_vector(campaigns, ["campaign_id"]).filter(V.is_nonzero("embedding"))
     u = u.withColumn("_v", array_to_vector(V.unit(F.slice("embedding", 1, dim))))
     c = c.withColumn("_v", array_to_vector(V.unit("embedding")))
     lsh = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
@@ -156,12 +232,12 @@ def campaign_topk_ann(users: DataFrame, campaigns: DataFrame, dim: int, k: int =
 
     schema = f"user_id {user_type}, campaign_id string, similarity_score double, scored bigint"
     empty = u.sparkSession.createDataFrame([], schema).toArrow()
+    best = _best("user_id", k)
 
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return empty
-        ranked = _Ranked(right)
-        t = pa.concat_tables(list(ranked.best(_ids(left.column("user_id")), left.column("embedding"), k)))
+        t = pa.concat_tables(list(best(_Block(right), left)))
         return t.append_column("scored", pa.array(np.full(t.num_rows, right.num_rows, dtype=np.int64)))
 
     found = tiles.cell_tiles(cells(u, "user_id"), cells(c, "campaign_id"), ["table", "bucket"], "user_id",

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 
 from beaconry.functions import columns as C
 from beaconry.operators.neighbours import neighbours
+from beaconry.session import cut
 
 
-def dense_index(df: DataFrame, col: str, width: int = 1 << 16, prefix: int = 3) -> DataFrame:
+def dense_index(df: DataFrame, col: str, width: int = 1 << 16, prefix: int = 6) -> DataFrame:
     """Distinct values of ``col`` numbered from 1 in order, without one global sort.
 
     Values fall into ordered buckets (number ranges, or leading characters of a text);
@@ -71,8 +72,9 @@ def cf_topn(inter: DataFrame, items: DataFrame, k: int = 5, n: int = 100, users:
     Columns: user_id, item_id, score, rank. ``users`` adds users without any interaction.
     """
     w = W.partitionBy("user_id").orderBy(F.col("score").desc(), "item_id")
-    scored = (cf_scores(inter, k, near).withColumn("rank", F.row_number().over(w).cast("bigint"))
-              .filter(F.col("rank") <= n))
+    # Read three times below: computed once.
+    scored = cut(cf_scores(inter, k, near).withColumn("rank", F.row_number().over(w).cast("bigint"))
+                 .filter(F.col("rank") <= n))
     seen = inter.groupBy("user_id").agg(F.count("*").alias("n_seen"))
     if users is not None:
         seen = users.select("user_id").distinct().join(seen, "user_id", "left").select(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -22,24 +21,27 @@ def attribute_clicks(deliveries: DataFrame, clicks: DataFrame, horizon_seconds:
 
     ``deliveries`` need user_id and sent_at, ``clicks`` user_id, click_id and click_ts.
     A user's time line is cut into horizon-long buckets; a delivery looks into its own
-    bucket and the next, so each click is put into two. Inside a bucket a running
-    minimum finds the next click: no pairs are formed, and a busy user is spread over
-    as many tasks as there are buckets.
+    bucket and the next, so each click is put into two. Inside a bucket one pass from
+    the latest row back carries the click last met: no pairs are formed, and a busy user
+    is spread over as many tasks as there are buckets.
     """
     h = horizon_seconds * 1_000_000
-    sent = deliveries.withColumn("_at", micros("sent_at"))
-    left = sent.select(F.col("user_id").alias("_u"), "_at", F.floor(F.col("_at") / h).alias("_b"),
-                       F.struct(*deliveries.columns).alias("_d"), F.lit(None).cast(
-                           clicks.schema["click_id"].dataType).alias("_id"))
+    no_click = F.lit(None).cast(clicks.schema["click_id"].dataType)
+    left = deliveries.select(F.col("user_id").alias("_u"), micros("sent_at").alias("_at"),
+                             F.struct(*deliveries.columns).alias("_d"), no_click.alias("_id"))
+    left = left.withColumn("_b", F.floor(F.col("_at") / h))
     click = clicks.filter(F.col("click_ts").isNotNull()).withColumn("_at", micros("click_ts"))
     bucket = F.floor(F.col("_at") / h)
-    right = click.select(F.col("user_id").alias("_u"), "_at", F.explode(F.array(bucket, bucket - 1)).alias("_b"),
-                         F.lit(None).cast(left.schema["_d"].dataType).alias("_d"), F.col("click_id").alias("_id"))
-    ahead = W.partitionBy("_u", "_b").orderBy("_at").rangeBetween(0, h)
-    first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_at", "_id"))).over(ahead)
-    return (left.unionByName(right).withColumn("_f", first).filter(F.col("_d").isNotNull())
-            .select("_d.*", F.col("_f._id").alias("click_id"),
-                    F.timestamp_micros(F.col("_f._at")).alias("click_ts")))
+    right = click.select(F.col("user_id").alias("_u"), "_at", F.lit(None).cast(left.schema["_d"].dataType).alias("_d"),
+                         F.col("click_id").alias("_id"), F.explode(F.array(bucket, bucket - 1)).alias("_b"))
+    # Clicks come before deliveries of the same time, the lowest id last.
+    back = (W.partitionBy("_u", "_b").orderBy(F.col("_at").desc(), F.col("_d").isNotNull(), F.col("_id").desc())
+            .rowsBetween(W.unboundedPreceding, W.currentRow))
+    met = F.last(F.when(F.col("_d").isNull(), F.struct("_at", "_id")), ignorenulls=True).over(back)
+    near = F.col("_f._at") - F.col("_at") <= h
+    return (left.unionByName(right).withColumn("_f", met).filter(F.col("_d").isNotNull())
+            .select("_d.*", F.when(near, F.col("_f._id")).alias("click_id"),
+                    F.when(near, F.timestamp_micros(F.col("_f._at"))).alias("click_ts")))
 
 
 def delivery_log(attributed: DataFrame) -> DataFrame:
@@ -50,11 +52,6 @@ def delivery_log(attributed: DataFrame) -> DataFrame:
         ~F.col("failed"), F.col("sent_at"))).withColumn("click_time", F.when(~F.col("failed"), F.col("click_ts")))
 
 
-def _sorted_runs(df: DataFrame, key: str, extra: list[str]) -> DataFrame:
-    """Rows of a key together in one partition and in time order, read as a stream by a task."""
-    return df.repartition(key).sortWithinPartitions(key, "_at", *extra)
-
-
 def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int = DAY) -> DataFrame:
     """Keep a row unless a kept row of the same key lies less than the window before it.
 
@@ -106,11 +103,12 @@ def _with_runs(rows: DataFrame, key: str, width: int) -> DataFrame:
 
 def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "text", start: str = "session_start",
              min_gap_seconds: int = 40) -> DataFrame:
-    """Alerts that are shown: text not yet shown to the user, and the gap since the last alert kept.
+    """Alerts that are shown: text not yet shown in the session, and the gap since the last alert kept.
 
-    The first alert is measured from the session start. What is shown depends on all that
-    was shown before, so a user's rows are read in time order as a stream; the state is
-    the last alert time and the texts shown, never the rows.
+    A session is a user and a session start; the first alert is measured from that start.
+    What is shown depends on all that was shown before, so the rows of a session are read
+    in time order as a stream; the state is the last alert time and the texts shown,
+    never the rows. A busy user is spread over the tasks by session.
     """
     gap = min_gap_seconds * 1_000_000
     rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).withColumn("_at", micros(ts)).withColumn(
@@ -118,21 +116,22 @@ def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "
     cols = df.columns
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        who, last, shown = object(), None, set()
+        session, last, shown = None, 0, set()
         for b in batches:
             keep = []
-            users, times = b.column(user).to_pylist(), np.asarray(b.column("_at"))
-            begins, texts = np.asarray(b.column("_begin")), b.column(text).to_pylist()
-            for i, u in enumerate(users):
-                if u != who:
-                    who, last, shown = u, begins[i], set()
+            users, texts = b.column(user).to_pylist(), b.column(text).to_pylist()
+            times, begins = b.column("_at").to_pylist(), b.column("_begin").to_pylist()
+            for i, who in enumerate(zip(users, begins)):
+                if who != session:
+                    session, last, shown = who, begins[i], set()
                 if times[i] - last >= gap and texts[i] not in shown:
                     keep.append(i)
                     shown.add(texts[i])
                     last = times[i]
             yield b.take(pa.array(keep, pa.int64())).select(cols)
 
-    # Same user, time and text: one row is enough to decide.
-    once = W.partitionBy(user, "_at", text).orderBy(*cols)
+    # Same session, time and text: one row is enough to decide.
+    once = W.partitionBy(user, "_begin", "_at", text).orderBy(*cols)
     rows = rows.withColumn("_rn", F.row_number().over(once)).filter("_rn = 1").drop("_rn")
-    return _sorted_runs(rows, user, [text]).mapInArrow(fold, df.schema)
+    placed = rows.repartition(user, "_begin").sortWithinPartitions(user, "_begin", "_at", text)
+    return placed.mapInArrow(fold, df.schema)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DEFAULT_N, MAX_N = 10, 20
@@ -55,24 +54,3 @@ def with_status(requests: DataFrame, results: DataFrame, user_vectors: DataFrame
     none = F.col("error_code").isNull() & F.col(extra[0]).isNull()
     return joined.withColumn("error_code", F.when(none, "CAMPAIGN_EMBEDDINGS_UNAVAILABLE").otherwise(
         F.col("error_code"))).withColumn("status", F.when(F.col("error_code").isNull(), "success").otherwise("error"))
-
-
-def serve_requests(requests: DataFrame, ranked: DataFrame, campaigns: DataFrame,
-                   ctr: DataFrame | None = None) -> DataFrame:
-    """Ranked campaigns per request after exclusions and time window, cut to the wanted number.
-
-    ``requests``: request_id, user_id, num_recommendations, exclude_campaign_ids,
-    window_start, window_end. ``ranked`` must reach deep enough for the exclusions.
-    """
-    info = campaigns.select("campaign_id", F.col("name").alias("campaign_name"), "priority", "start_date", "end_date")
-    hits = requests.join(ranked.drop("rank"), "user_id").join(info, "campaign_id")
-    kept = overlapping(exclude_campaigns(hits, requests))
-    if ctr is not None:
-        kept = kept.join(ctr.select("campaign_id", F.col("ctr").alias("estimated_ctr")), "campaign_id", "left")
-    else:
-        kept = kept.withColumn("estimated_ctr", F.lit(None).cast("double"))
-    w = W.partitionBy("request_id").orderBy(F.col("similarity_score").desc(), "campaign_id")
-    return (kept.withColumn("rank", F.row_number().over(w).cast("bigint"))
-            .filter(F.col("rank") <= MAX_N).filter(F.col("rank") <= wanted(F.col("num_recommendations")))
-            .select("request_id", "user_id", "rank", "campaign_id", "similarity_score", "campaign_name",
-                    priority_text(F.col("priority")).alias("priority"), "estimated_ctr", "start_date", "end_date"))

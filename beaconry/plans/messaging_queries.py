@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from beaconry.functions import vectors as V
 from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
-from beaconry.operators import delivery, embed, metrics, neighbours, schedule, serving
+from beaconry.operators import delivery, embed, metrics, neighbours, schedule
 from beaconry.plans.bindings import CART_KINDS, CLICK_AS_OF, DIM, LAST_K, PURCHASE_AS_OF, Tables, clicks_of
 from beaconry.plans.feature_queries import LAST_PER_ID, USER_VECTOR, WEIGHTED, attributed, records, rounded, vector_facts
 from beaconry.plans.registry import query
@@ -170,10 +170,8 @@ def rec_validate_clean(t):
     WHERE (window_end IS NULL OR start_date <= window_end) AND (window_start IS NULL OR window_start <= end_date)
     AND NOT list_contains(exclude_campaign_ids, s.campaign_id)) WHERE rank <= wanted""")
 def rec_filters(t):
-    """All campaigns are ranked, so exclusions and windows never leave a request short."""
-    ranked = K.campaign_topk(t.user_vectors, t.campaign_vectors, k=10_000)
     rates = rounded(metrics.ctr(attributed(t)), ctr=6)
-    return serving.serve_requests(t.requests, ranked, t.campaigns, rates).drop("start_date", "end_date")
+    return K.serve_requests(t.requests, t.user_vectors, t.campaigns, t.campaign_vectors, rates).drop("start_date", "end_date")
 
 
 @query("rec_feedback", """SELECT user_id, item_id FROM interactions_v UNION SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT)
@@ -342,31 +340,32 @@ def st_sessions(t):
 
 
 def alerts(df):
-    """Events as alert texts: what a user did, numbered coarsely so that texts repeat."""
-    return df.select("event_id", "user_id", "ts", F.concat_ws("-", "event_type", F.get_json_object("props", "$.k")).alias("text"))
-
-
-@query("st_throttle", """WITH RECURSIVE a AS (SELECT event_id, user_id, ts, concat_ws('-', event_type, json_extract_string(props, '$.k')) AS text FROM events),
-    n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, text) AS i FROM a),
-    f AS (SELECT event_id, user_id, i, ts >= TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 6 HOUR AS shown,
-    CASE WHEN ts >= TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 6 HOUR THEN ts ELSE TIMESTAMP '2024-01-01 00:00:00' END AS last,
-    CASE WHEN ts >= TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 6 HOUR THEN [text] ELSE []::VARCHAR[] END AS seen FROM n WHERE i = 1
-    UNION ALL SELECT n.event_id, n.user_id, n.i, n.ts >= f.last + INTERVAL 6 HOUR AND NOT list_contains(f.seen, n.text),
-    CASE WHEN n.ts >= f.last + INTERVAL 6 HOUR AND NOT list_contains(f.seen, n.text) THEN n.ts ELSE f.last END,
-    CASE WHEN n.ts >= f.last + INTERVAL 6 HOUR AND NOT list_contains(f.seen, n.text) THEN list_append(f.seen, n.text) ELSE f.seen END
-    FROM f JOIN n ON n.user_id = f.user_id AND n.i = f.i + 1) SELECT event_id, user_id FROM f WHERE shown""")
+    """Events as alert texts; a user's day is one session."""
+    return df.select("event_id", "user_id", "ts", F.col("event_type").alias("text"),
+                     F.date_trunc("day", F.col("ts").cast("timestamp")).alias("session_start"))
+
+
+# A gap of two hours, since the events of a user are hours apart.
+ALERT_GAP = 2 * 3600
+THROTTLED = """WITH RECURSIVE n AS (SELECT event_id, user_id, ts, event_type AS text, date_trunc('day', ts) AS day,
+    row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_type) AS i FROM events),
+    f AS (SELECT event_id, user_id, day, i, ts >= day + INTERVAL 2 HOUR AS shown, CASE WHEN ts >= day + INTERVAL 2 HOUR THEN ts ELSE day END AS last,
+    CASE WHEN ts >= day + INTERVAL 2 HOUR THEN [text] ELSE []::VARCHAR[] END AS seen FROM n WHERE i = 1
+    UNION ALL SELECT n.event_id, n.user_id, n.day, n.i, n.ts >= f.last + INTERVAL 2 HOUR AND NOT list_contains(f.seen, n.text),
+    CASE WHEN n.ts >= f.last + INTERVAL 2 HOUR AND NOT list_contains(f.seen, n.text) THEN n.ts ELSE f.last END,
+    CASE WHEN n.ts >= f.last + INTERVAL 2 HOUR AND NOT list_contains(f.seen, n.text) THEN list_append(f.seen, n.text) ELSE f.seen END
+    FROM f JOIN n ON n.user_id = f.user_id AND n.day = f.day AND n.i = f.i + 1) SELECT event_id, user_id FROM f WHERE shown"""
+
+
+@query("st_throttle", THROTTLED)
 def st_throttle(t):
-    """A gap of six hours, since the events of a user are hours apart."""
-    df = alerts(t.raw("events")).withColumn("session_start", F.lit("2024-01-01 00:00:00").cast("timestamp"))
-    return delivery.throttle(df, min_gap_seconds=6 * 3600).select("event_id", "user_id")
+    return delivery.throttle(alerts(t.raw("events")), min_gap_seconds=ALERT_GAP).select("event_id", "user_id")
 
 
-@query("st_throttle_stream")
+@query("st_throttle_stream", THROTTLED)
 def st_throttle_stream(t):
     """Same alerts from the stateful stream."""
-    midnight = 1_704_067_200_000_000
-    out = S.throttle_stream(alerts(stream_of(t)), "event_id bigint, user_id bigint, ts timestamp, text string",
-                            start_micros=lambda key: midnight, min_gap_seconds=6 * 3600)
+    out = S.throttle_stream(alerts(stream_of(t)), min_gap_seconds=ALERT_GAP)
     return S.run_to_table(out, scratch_path(t.spark, "alerts"), scratch_path(t.spark, "ckpt")).select("event_id", "user_id")
 
 

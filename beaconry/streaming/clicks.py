@@ -125,36 +125,43 @@ def first_clicks(pairs: DataFrame, key: str = "notification_id") -> DataFrame:
 ALERT_STATE = "last bigint, shown array<string>"
 
 
-def throttle_stream(df: DataFrame, schema: str, start_micros: Callable[[tuple], int] | None = None,
-                    min_gap_seconds: int = 40) -> DataFrame:
-    """Streaming form of ``delivery.throttle``: the state per user is the last alert and the texts shown.
+def throttle_stream(df: DataFrame, min_gap_seconds: int = 40, delay: str = "1 hour",
+                    session_seconds: int = 86400) -> DataFrame:
+    """Streaming form of ``delivery.throttle``; ``df`` has user_id, ts, text and session_start.
 
-    ``df`` has user_id, ts and text. The first alert counts from ``start_micros(key)``, or
-    from the user's first event.
+    The state of a session is the last alert and the texts shown. It is dropped once the
+    watermark has passed the longest possible session.
     """
     gap = min_gap_seconds * 1_000_000
+    rows = event_time(event_time(df), "session_start")
+    rows = rows.filter(F.col("text").isNotNull() & (F.col("text") != "")).withWatermark("ts", delay)
+    schema = rows.schema
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, shown = state.get if state.exists else (None, [])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        begin = int(pd.Timestamp(key[1]).value // 1000)
+        last, shown = state.get if state.exists else (begin, [])
         shown = list(shown)
         known = set(shown)
-        rows = pd.concat(list(batches)).sort_values(["ts", "text"], kind="stable")
-        if last is None:
-            last = start_micros(key) if start_micros else int(rows["ts"].iloc[0].value // 1000)
+        todo = pd.concat(list(batches)).sort_values(["ts", "text"], kind="stable")
         keep = []
-        for at, text in zip(rows["ts"], rows["text"]):
+        for at, text in zip(todo["ts"], todo["text"]):
             micros = int(at.value // 1000)
-            ok = bool(text) and micros - last >= gap and text not in known
+            ok = micros - last >= gap and text not in known
             keep.append(ok)
             if ok:
                 last = micros
                 known.add(text)
                 shown.append(text)
         state.update((last, shown))
-        yield rows[keep]
+        end = begin // 1000 + session_seconds * 1000
+        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+        yield todo[keep]
 
-    return event_time(df).groupBy("user_id").applyInPandasWithState(
-        step, schema, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy("user_id", "session_start").applyInPandasWithState(
+        step, schema, ALERT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def deliver_due(schedule_stream: DataFrame, deliver: Callable[[DataFrame, int], None], checkpoint: str,
