@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,14 +30,21 @@ def cosine(a, b) -> Column:
     return F.when(norms == 0, F.lit(0.0)).otherwise(dot(a, b) / norms)
 
 
+def bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once per row, even if ``fn`` names it inside a lambda."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def block_mean(a, dim: int) -> Column:
     """Average of the ``dim``-long blocks of a concatenated vector."""
-    a = as_col(a)
-    blocks = F.greatest((F.size(a) / F.lit(dim)).cast("int"), F.lit(1))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.aggregate(F.sequence(F.lit(0), blocks - 1), F.lit(0.0),
-                              lambda s, b: s + F.coalesce(F.get(a, b * dim + i), F.lit(0.0))) / blocks)
+    def averaged(v: Column) -> Column:
+        blocks = F.greatest((F.size(v) / F.lit(dim)).cast("int"), F.lit(1))
+        parts = F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: F.slice(v, b * dim + 1, F.lit(dim)))
+        total = F.aggregate(parts, F.array_repeat(F.lit(0.0), dim),
+                            lambda s, p: F.zip_with(s, p, lambda x, y: x + F.coalesce(y, F.lit(0.0))))
+        return F.transform(total, lambda x: x / blocks)
+
+    return bound(as_col(a), averaged)
 
 
 def is_nonzero(a) -> Column:
@@ -56,9 +65,8 @@ def hashed_words(text, dim: int) -> Column:
     marks = F.transform(F.sequence(F.lit(0), F.lit(dim)), lambda d: d.cast("bigint") * 2)
     line = F.sort_array(F.concat(F.coalesce(buckets, F.array().cast("array<bigint>")), marks))
     at = F.filter(F.transform(line, lambda x, i: F.when(x % 2 == 0, i)), lambda i: i.isNotNull())
-    gap = F.zip_with(F.slice(at, 1, dim), F.slice(at, 2, dim),
-                     lambda lo, hi: (hi - lo - 1).cast("double"))
-    return unit(gap)
+    return unit(bound(at, lambda p: F.zip_with(F.slice(p, 1, dim), F.slice(p, 2, dim),
+                                               lambda lo, hi: (hi - lo - 1).cast("double"))))
 
 
 def unit(a) -> Column:
@@ -66,6 +74,4 @@ def unit(a) -> Column:
     def scaled(pair: Column) -> Column:
         return F.transform(pair["v"], lambda x: F.when(pair["n"] == 0, F.lit(0.0)).otherwise(x / pair["n"]))
 
-    # The one-entry array binds the vector and its length once per row.
-    pair = F.transform(F.array(as_col(a)), lambda v: F.struct(v.alias("v"), magnitude(v).alias("n")))
-    return F.transform(pair, scaled)[0]
+    return bound(bound(as_col(a), lambda v: F.struct(v.alias("v"), magnitude(v).alias("n"))), scaled)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from beaconry.functions import columns as C
 from beaconry.functions import vectors as V
 from beaconry.operators import serving, tiles
+from beaconry.session import cut
 
 # A campaign side within both bounds is shipped to every task; a larger one is tiled.
 LOCAL_ROWS = 20_000
@@ -226,8 +227,9 @@ def campaign_topk_ann(users: DataFrame, campaigns: DataFrame, dim: int, k: int =
     model = lsh.fit(c)
 
     def cells(df: DataFrame, key: str) -> DataFrame:
-        hashed = model.transform(df).select(key, "embedding", F.posexplode("_h").alias("table", "_b"))
-        return hashed.select(key, "embedding", "table",
+        # Hashed once; the cells are counted first and filled afterwards.
+        hashed = cut(model.transform(df).select(key, "embedding", "_h"))
+        return hashed.select(key, "embedding", F.posexplode("_h").alias("table", "_b")).select(key, "embedding", "table",
                              F.get(vector_to_array("_b"), 0).cast("bigint").alias("bucket"))
 
     schema = f"user_id {user_type}, campaign_id string, similarity_score double, scored bigint"
