@@ -26,13 +26,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def read_csv_quarantine(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the schema, and the raw text of those that do not."""
+    """Rows that fit the schema, and the raw text of those that do not.
+
+    Pruning is off, so a row is judged by all its columns whatever is selected later.
+    Spark refuses a scan that asks for the raw text only; write both results, or select a
+    data column, before counting them.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
-          .option("columnNameOfCorruptRecord", CORRUPT).schema(wide).csv(path))
+          .option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).schema(wide).csv(path))
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Naming a data column keeps the parser from pruning to the raw text alone.
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw"), schema.fieldNames()[0])
+    bad = df.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "raw")
     return good, bad
 
 
