@@ -44,8 +44,10 @@ def embed_text(df: DataFrame, cols: Sequence[str], dim: int,
     return df.withColumn("embedding", encode(text))
 
 
-def zero_vector(dim: int) -> Column:
-    return F.array_repeat(F.lit(0.0), dim)
+def or_zeros(vectors: DataFrame, dim: int) -> Column:
+    """The joined vector, or zeros, in the stored element type: floats travel at half the size."""
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    return F.coalesce(F.col("embedding"), F.array_repeat(F.lit(0.0), dim).cast(kind))
 
 
 def purchase_embeddings(purchases: DataFrame, product_vectors: DataFrame, dim: int) -> DataFrame:
@@ -58,7 +60,7 @@ def purchase_embeddings(purchases: DataFrame, product_vectors: DataFrame, dim: i
     rest = [F.col(c).desc() for c in ("purchase_date", "product_id", "total_amount", "user_id")]
     one = keep_latest(purchases.select(*cols), ["purchase_id"], rest)
     joined = one.join(product_vectors.select("product_id", "embedding"), "product_id", "left")
-    return joined.select(*cols, F.coalesce("embedding", zero_vector(dim)).alias("embedding"))
+    return joined.select(*cols, or_zeros(product_vectors, dim).cast("array<double>").alias("embedding"))
 
 
 def user_embeddings(users: DataFrame, purchases: DataFrame, product_vectors: DataFrame, k: int, dim: int,
@@ -69,7 +71,7 @@ def user_embeddings(users: DataFrame, purchases: DataFrame, product_vectors: Dat
     """
     recent = last_k(purchases, k, order).select("user_id", "product_id", "rn")
     blocks = (recent.join(product_vectors.select("product_id", "embedding"), "product_id", "left")
-              .select("user_id", "rn", F.coalesce("embedding", zero_vector(dim)).alias("e")))
+              .select("user_id", "rn", or_zeros(product_vectors, dim).alias("e")))
     lists = F.sort_array(F.collect_list(F.struct("rn", "e")))
     joined = blocks.groupBy("user_id").agg(F.flatten(F.transform(lists, lambda x: x["e"])).alias("embedding"))
     out = users.select("user_id").join(joined, "user_id", "left" if include_inactive else "inner")

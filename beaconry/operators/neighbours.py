@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from beaconry.operators import tiles
 from beaconry.session import cut
 
-PROFILES_PER_CHUNK = 8192
+PROFILES_PER_CHUNK = 32_768
 
 
 def interactions(events: DataFrame, kinds: list[str], item: str = "product_id") -> DataFrame:
@@ -85,7 +85,7 @@ def neighbours(inter: DataFrame, k: int = 5, per_chunk: int = PROFILES_PER_CHUNK
     """
     user_type = inter.schema["user_id"].dataType.simpleString()
     members, prof = profiles(inter)
-    chunks = tiles.chunk_count(prof.count(), per_chunk)
+    chunks = tiles.chunk_count(prof.count(), per_chunk, tiles.cores_of(prof))
     arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[user_type]
     schema = f"profile string, n bigint, other string, shared bigint, other_n bigint, other_lowest {user_type}"
     pairs = tiles.self_tiles(prof, "profile", chunks, _best_profiles(k + 1, arrow_type), schema)
@@ -147,7 +147,7 @@ def overlap_summary(inter: DataFrame, per_chunk: int = PROFILES_PER_CHUNK) -> Da
     highest similarity among users sharing an item (NULL if none does).
     """
     members, prof = profiles(inter)
-    chunks = tiles.chunk_count(prof.count(), per_chunk)
+    chunks = tiles.chunk_count(prof.count(), per_chunk, tiles.cores_of(prof))
     schema = "profile string, users bigint, shared bigint, sim double, low double, high double"
     sums = (tiles.self_tiles(prof, "profile", chunks, _row_sums, schema).groupBy("profile")
             .agg(F.sum("users").alias("users"), F.sum("shared").alias("shared"), F.sum("sim").alias("sim"),

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from beaconry.session import cut
+
+SMALL_SIDE = 50_000  # groups whose brackets may be broadcast
+
 
 def key_profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Distinct keys and rows; the second level adds up one row per key."""
@@ -30,19 +34,17 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
                       accuracy: int = 10000) -> DataFrame:
-    """Exact interpolated percentiles without holding all values in one task.
+    """Exact interpolated percentiles without holding or sorting all values.
 
-    A quantile sketch brackets each wanted rank within its error bound; one more pass
-    counts what lies below the bracket and ranks the few distinct values inside it.
+    A quantile sketch (one small row per group) brackets each wanted rank within its
+    error bound. A second pass over the rows folds all that lies below a bracket into one
+    count inside the map tasks, and only the few distinct values inside it are ranked.
     Returns ``by`` columns, ``prob`` and ``value``.
     """
     by = list(by)
-    if not by:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    else:
-        keys = by
-    v = F.col(col).cast("double")
-    rows = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
+    keys = by or ["_all"]
+    df = df if by else df.withColumn("_all", F.lit(0))
+    rows = df.select(*keys, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     slack = 4.0 / accuracy
     few = F.col("_n") < 2 * accuracy  # there the bracket may be narrower than a rank
     edges = F.array(*[F.lit(min(max(p + s, 0.0), 1.0)) for p in probs for s in (-slack, slack)])
@@ -54,20 +56,15 @@ def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Seque
         F.when(few | F.lit(p <= slack), F.col("_min")).otherwise(F.col("_e")[2 * i]).alias("lo"),
         F.when(few | F.lit(p >= 1 - slack), F.col("_max")).otherwise(F.col("_e")[2 * i + 1]).alias("hi"))
         for i, p in enumerate(probs)])
-    brackets = sketch.select(*keys, "_n", wanted.alias("_w"))
-    # Without grouping the sketch is exactly one row, which may be broadcast.
-    side = brackets if by else F.broadcast(brackets)
-    joined = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_c")).join(side, keys)
-    cells = joined.select(*keys, "_v", "_c", "_n", F.posexplode("_w").alias("_i", "_b"))
-    placed = cells.withColumn("_below", F.col("_v") < F.col("_b.lo")).filter(F.col("_v") <= F.col("_b.hi"))
-    group = [*keys, "_i", "_n", F.col("_b.prob").alias("prob")]
-    below = placed.filter("_below").groupBy(*group).agg(F.sum("_c").alias("_under"))
-    inside = placed.filter(~F.col("_below")).select(*group, "_v", "_c")
-    w = W.partitionBy(*keys, "_i").orderBy("_v")
-    ranked = (inside.join(below, [*keys, "_i", "_n", "prob"], "left")
-              .withColumn("_last", F.coalesce(F.col("_under"), F.lit(0)) + F.sum("_c").over(
-                  w.rowsBetween(W.unboundedPreceding, W.currentRow)))
-              .withColumn("_first", F.col("_last") - F.col("_c")))
+    brackets = cut(sketch.select(*keys, "_n", wanted.alias("_w")))
+    # One row per group; with few groups the rows need no shuffle to meet them.
+    side = F.broadcast(brackets) if not by or brackets.count() <= SMALL_SIDE else brackets
+    cells = rows.join(side, keys).select(*keys, "_v", "_n", F.inline("_w")).filter(F.col("_v") <= F.col("hi"))
+    inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
+    counted = cells.groupBy(*keys, "prob", "_n", inside.alias("_v")).agg(F.count("*").alias("_c"))
+    upto = W.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
+        W.unboundedPreceding, W.currentRow)
+    ranked = counted.withColumn("_last", F.sum("_c").over(upto)).withColumn("_first", F.col("_last") - F.col("_c"))
     at = (F.col("_n") - 1) * F.col("prob")
     lower, upper = F.floor(at), F.ceil(at)
     out = ranked.groupBy(*keys, "prob", "_n").agg(

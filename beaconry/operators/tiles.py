@@ -18,10 +18,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CELLS = 1 << 22  # score matrix entries held at once inside a task
+SMALL_CHUNK = 2048
+MAX_TASKS = 50_000
 
 
-def chunk_count(rows: int, per_chunk: int) -> int:
-    return max(1, math.ceil(rows / per_chunk))
+def chunk_count(rows: int, per_chunk: int, cores: int = 1) -> int:
+    """Chunks of at most ``per_chunk`` rows; smaller ones, down to ``SMALL_CHUNK``, while cores would idle."""
+    enough = min(math.ceil(rows / SMALL_CHUNK), math.ceil(math.sqrt(2 * cores)))
+    return max(1, math.ceil(rows / per_chunk), enough)
+
+
+def cores_of(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
 
 def chunk_of(id_col: str, chunks) -> Column:
@@ -123,6 +131,16 @@ def fresh(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
+def co_run(a: DataFrame, b: DataFrame, keys: Sequence[str], tiles: int | None, fn, schema: str) -> DataFrame:
+    """Co-group both sides by tile. With a known number of tiles each gets its own task,
+    whatever the session's shuffle partitions are."""
+    keys = list(keys)
+    a, b = fresh(a), fresh(b)
+    if tiles is not None:
+        a, b = (df.repartition(min(tiles, MAX_TASKS), *keys) for df in (a, b))
+    return a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInArrow(fn, schema)
+
+
 def pair_tiles(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_chunks: int,
                right_chunks: int, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """Run ``fn`` on every (left chunk, right chunk); each side is copied once per chunk of the other."""
@@ -130,7 +148,7 @@ def pair_tiles(left: DataFrame, right: DataFrame, left_id: str, right_id: str, l
          .withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(right_chunks - 1)))))
     b = (right.withColumn("_r", chunk_of(right_id, right_chunks))
          .withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(left_chunks - 1)))))
-    return fresh(a).groupBy("_l", "_r").cogroup(fresh(b).groupBy("_l", "_r")).applyInArrow(fn, schema)
+    return co_run(a, b, ["_l", "_r"], left_chunks * right_chunks, fn, schema)
 
 
 def self_tiles(df: DataFrame, id_col: str, chunks: int,
@@ -146,7 +164,7 @@ def self_tiles(df: DataFrame, id_col: str, chunks: int,
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         return fn(key[0].as_py() == key[1].as_py(), left, right)
 
-    return fresh(a).groupBy("_l", "_r").cogroup(fresh(b).groupBy("_l", "_r")).applyInArrow(run, schema)
+    return co_run(a, b, ["_l", "_r"], chunks * (chunks + 1) // 2, run, schema)
 
 
 def cell_tiles(left: DataFrame, right: DataFrame, cell: Sequence[str], left_id: str, right_id: str,
@@ -161,5 +179,4 @@ def cell_tiles(left: DataFrame, right: DataFrame, cell: Sequence[str], left_id:
          .withColumn("_r", F.explode(F.sequence(F.lit(0), F.col("_nr") - 1))).drop("_nl", "_nr"))
     b = (right.join(sizes, cell).withColumn("_r", chunk_of(right_id, F.col("_nr")))
          .withColumn("_l", F.explode(F.sequence(F.lit(0), F.col("_nl") - 1))).drop("_nl", "_nr"))
-    keys = [*cell, "_l", "_r"]
-    return fresh(a).groupBy(*keys).cogroup(fresh(b).groupBy(*keys)).applyInArrow(fn, schema)
+    return co_run(a, b, [*cell, "_l", "_r"], None, fn, schema)

@@ -59,13 +59,13 @@ class Tables:
 
     @cached_property
     def product_vectors(self) -> DataFrame:
-        e = self.raw("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+        e = self.raw("embeddings").select("vec_id", "embedding")
         return self.raw("part").select("p_partkey").join(e, F.col("vec_id") == F.col("p_partkey") % 500).select(
             F.col("p_partkey").alias("product_id"), "embedding")
 
     @cached_property
     def campaign_vectors(self) -> DataFrame:
-        e = self.raw("embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+        e = self.raw("embeddings").select("vec_id", "embedding")
         return self.campaigns.select("campaign_id", "vec_id").join(e, "vec_id").select("campaign_id", "embedding")
 
     @cached_property

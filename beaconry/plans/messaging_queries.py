@@ -70,7 +70,7 @@ def emb_delta_users(t):
     new = t.purchases.filter("purchase_date >= DATE '2001-01-01'")
     changed = t.products.filter("article_type = 'Brand#1'").select("product_id")
     zeroed = t.product_vectors.join(changed.withColumn("_c", F.lit(True)), "product_id", "left").select(
-        "product_id", F.when(F.col("_c"), F.transform("embedding", lambda x: x * 0)).otherwise(F.col("embedding")).alias("embedding"))
+        "product_id", F.when(F.col("_c"), F.transform("embedding", lambda x: (x * 0).cast("float"))).otherwise(F.col("embedding")).alias("embedding"))
     stored = embed.user_embeddings(t.users, old, zeroed, LAST_K, DIM)
     out = embed.refresh_user_embeddings(stored, t.users, t.purchases, new, t.product_vectors, changed, LAST_K, DIM)
     return vector_facts(out, "user_id")
@@ -116,7 +116,7 @@ def rec_campaign_topk_mean(t):
 def rec_skip_no_vector(t):
     """Paused campaigns lose their vector: empty, or none at all."""
     v = t.campaign_vectors.join(t.campaigns.select("campaign_id", "status", "priority"), "campaign_id")
-    gone = F.when(F.col("priority") > 3, F.array().cast("array<double>"))
+    gone = F.when(F.col("priority") > 3, F.array().cast("array<float>"))
     v = v.withColumn("embedding", F.when(F.col("status") == "active", F.col("embedding")).otherwise(gone))
     return K.campaign_topk(t.user_vectors, v, 10).select(*RANKED_COLS)
 
