@@ -45,33 +45,34 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _best_profiles(keep: int, user_type: pa.DataType):
-    """Kernel: the ``keep`` most similar profiles of each profile in a tile."""
+def _best_profiles(keep: int, id_type: pa.DataType):
+    """Kernel: the ``keep`` most similar profiles of each profile in a tile.
+
+    A profile goes by its lowest member; rows come in that order, so ties do too.
+    """
     def rows(mine: pa.Table, other: pa.Table, who: np.ndarray, whom: np.ndarray, shared: np.ndarray) -> pa.Table:
-        return pa.table({
-            "profile": mine.column("profile").take(pa.array(who)),
-            "n": mine.column("n").take(pa.array(who)),
-            "other": other.column("profile").take(pa.array(whom)),
-            "shared": pa.array(shared.astype(np.int64)),
-            "other_n": other.column("n").take(pa.array(whom)),
-            "other_lowest": other.column("lowest").take(pa.array(whom)),
-        })
-
-    empty = pa.table({"profile": pa.array([], pa.string()), "n": pa.array([], pa.int64()),
-                      "other": pa.array([], pa.string()), "shared": pa.array([], pa.int64()),
-                      "other_n": pa.array([], pa.int64()), "other_lowest": pa.array([], user_type)})
+        who, whom = pa.array(who), pa.array(whom)
+        return pa.table({"lowest": mine.column("lowest").take(who), "n": mine.column("n").take(who),
+                         "other": other.column("lowest").take(whom), "other_n": other.column("n").take(whom),
+                         "shared": pa.array(shared.astype(np.int64))})
+
+    empty = pa.table({"lowest": pa.array([], id_type), "n": pa.array([], pa.int64()), "other": pa.array([], id_type),
+                      "other_n": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
 
     def run(diagonal: bool, left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = _lists(left), _lists(right)
         n_l, n_r = _column(left, "n").astype(float), _column(right, "n").astype(float)
-        out = [empty]
+        out, back = [empty], tiles.RunningBest(len(n_r), keep)
         for s, e, counts in tiles.shared_counts(left.column("items"), right.column("items")):
             square = (counts * counts).astype(float)
-            who, whom, _ = tiles.best_columns(square / n_r[None, :], keep, 0.0)
-            out.append(rows(left, right, who + s, whom, counts[who, whom]))
             if not diagonal:
-                whom, who, _ = tiles.best_columns((square / n_l[s:e, None]).T, keep, 0.0)
-                out.append(rows(right, left, whom, who + s, counts[who, whom]))
+                back.add(square / n_l[s:e, None], counts, s)
+            square /= n_r[None, :]
+            who, whom, _ = tiles.best_columns(square, keep, 0.0)
+            out.append(rows(left, right, who + s, whom, counts[who, whom]))
+        if not diagonal:
+            whom, who, shared = back.result()
+            out.append(rows(right, left, whom, who, shared))
         return pa.concat_tables([t.cast(empty.schema) for t in out])
 
     return run
@@ -83,61 +84,74 @@ def neighbours(inter: DataFrame, k: int = 5, per_chunk: int = PROFILES_PER_CHUNK
     Columns: user_id, neighbour, shared, similarity, rank. Exact: a user's k neighbours
     lie in the k + 1 best profiles (its own included), each giving its k + 1 lowest members.
     """
-    user_type = inter.schema["user_id"].dataType.simpleString()
+    id_type = inter.schema["user_id"].dataType.simpleString()
     members, prof = profiles(inter)
     chunks = tiles.chunk_count(prof.count(), per_chunk, tiles.cores_of(prof))
-    arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[user_type]
-    schema = f"profile string, n bigint, other string, shared bigint, other_n bigint, other_lowest {user_type}"
-    pairs = tiles.self_tiles(prof, "profile", chunks, _best_profiles(k + 1, arrow_type), schema)
+    arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    schema = f"lowest {id_type}, n bigint, other {id_type}, other_n bigint, shared bigint"
+    pairs = tiles.self_tiles(prof.select("profile", "items", "n", "lowest"), "profile", chunks,
+                             _best_profiles(k + 1, arrow_type), schema)
 
     closeness = (F.col("shared") * F.col("shared")).cast("double") / F.col("other_n")
-    w = W.partitionBy("profile").orderBy(closeness.desc(), "other_lowest")
+    w = W.partitionBy("lowest").orderBy(closeness.desc(), "other")
     best = pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k + 1)
 
+    names = tiles.fresh(prof.select("profile", "lowest"))
     low = W.partitionBy("profile").orderBy("user_id")
     few = (members.withColumn("_rn", F.row_number().over(low)).filter(F.col("_rn") <= k + 1)
-           .groupBy("profile").agg(F.collect_list("user_id").alias("few"))
-           .withColumnRenamed("profile", "other"))
+           .groupBy("profile").agg(F.collect_list("user_id").alias("few")).join(names, "profile")
+           .select(F.col("lowest").alias("other"), "few"))
     cand = best.join(few, "other").select(
-        "profile", "shared", (-closeness).alias("far"),
+        "lowest", "shared", (-closeness).alias("far"),
         (F.col("shared") / F.sqrt((F.col("n") * F.col("other_n")).cast("double"))).alias("similarity"),
         F.explode("few").alias("neighbour"))
     # At most (k + 1)^2 candidates per profile.
-    lists = cand.groupBy("profile").agg(F.sort_array(F.collect_list(
+    lists = cand.groupBy("lowest").agg(F.sort_array(F.collect_list(
         F.struct("far", "neighbour", "shared", "similarity"))).alias("cand"))
-    own = members.join(lists, "profile").select(
+    by_profile = lists.join(tiles.fresh(names), "lowest").select("profile", "cand")
+    own = members.join(by_profile, "profile").select(
         "user_id", F.posexplode(F.slice(F.filter("cand", lambda c: c["neighbour"] != F.col("user_id")), 1, k)))
     return own.select("user_id", F.col("col.neighbour").alias("neighbour"), F.col("col.shared").alias("shared"),
                       F.col("col.similarity").alias("similarity"), (F.col("pos") + 1).cast("bigint").alias("rank"))
 
 
-def _row_sums(diagonal: bool, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Kernel: for each profile, sums over the users of the other chunk."""
-    left, right = _lists(left), _lists(right)
-    names = ["profile", "users", "shared", "sim", "low", "high"]
-    out = {c: [] for c in names}
-
-    def add(mine: pa.Table, s: int, counts: np.ndarray, n_mine, n_other, weight, skip) -> None:
-        sim = counts / np.sqrt(n_mine[:, None] * n_other[None, :])
-        out["profile"] += mine.column("profile").slice(s, counts.shape[0]).to_pylist()
-        out["users"] += ((counts > 0) @ weight).tolist()
-        out["shared"] += (counts @ weight).tolist()
-        out["sim"] += (sim @ weight.astype(float)).tolist()
+class _RowSums:
+    """Sums over the other chunk's users for the profiles of one chunk, filled batch by batch."""
+
+    def __init__(self, rows: int):
+        self.users, self.shared = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        self.sim, self.low, self.high = np.zeros(rows), np.full(rows, np.inf), np.zeros(rows)
+
+    def add(self, at: slice, counts: np.ndarray, sim: np.ndarray, weight: np.ndarray, skip: bool) -> None:
+        """``weight`` is the number of users per column; ``skip`` leaves a profile itself out of low and high."""
         seen = counts > 0
+        self.users[at] += seen @ weight
+        self.shared[at] += counts @ weight
+        self.sim[at] += sim @ weight.astype(float)
         if skip:
             rows = np.arange(counts.shape[0])
-            seen[rows, rows + s] = False
-        out["low"] += np.where(seen, sim, np.inf).min(axis=1, initial=np.inf).tolist()
-        out["high"] += np.where(seen, sim, 0.0).max(axis=1, initial=0.0).tolist()
+            seen[rows, rows + at.start] = False
+        self.low[at] = np.minimum(self.low[at], np.where(seen, sim, np.inf).min(axis=1, initial=np.inf))
+        self.high[at] = np.maximum(self.high[at], np.where(seen, sim, 0.0).max(axis=1, initial=0.0))
+
+    def table(self, mine: pa.Table) -> pa.Table:
+        return pa.table({"profile": mine.column("profile"), "users": pa.array(self.users), "shared": pa.array(self.shared),
+                         "sim": pa.array(self.sim), "low": pa.array(self.low), "high": pa.array(self.high)})
 
+
+def _row_sums(diagonal: bool, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Kernel: for each profile, sums over the users of the other chunk."""
+    left, right = _lists(left), _lists(right)
     n_l, n_r = _column(left, "n").astype(float), _column(right, "n").astype(float)
     w_l, w_r = _column(left, "members"), _column(right, "members")
+    ours, theirs = _RowSums(len(n_l)), _RowSums(len(n_r))
     for s, e, counts in tiles.shared_counts(left.column("items"), right.column("items")):
-        add(left, s, counts, n_l[s:e], n_r, w_r, diagonal)
+        sim = counts / np.sqrt(n_l[s:e, None] * n_r[None, :])
+        ours.add(slice(s, e), counts, sim, w_r, diagonal)
         if not diagonal:
-            add(right, 0, counts.T, n_r, n_l[s:e], w_l[s:e], False)
-    types = [pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-    return pa.table({c: pa.array(out[c], t) for c, t in zip(names, types)})
+            theirs.add(slice(0, len(n_r)), counts.T, sim.T, w_l[s:e], False)
+    out = [ours.table(left)] if diagonal else [ours.table(left), theirs.table(right)]
+    return pa.concat_tables(out)
 
 
 def overlap_summary(inter: DataFrame, per_chunk: int = PROFILES_PER_CHUNK) -> DataFrame:
@@ -153,7 +167,7 @@ def overlap_summary(inter: DataFrame, per_chunk: int = PROFILES_PER_CHUNK) -> Da
             .agg(F.sum("users").alias("users"), F.sum("shared").alias("shared"), F.sum("sim").alias("sim"),
                  F.min("low").alias("low"), F.max("high").alias("high")))
     twin = F.col("members") > 1
-    per_profile = sums.join(prof.select("profile", "n", "members"), "profile").select(
+    per_profile = sums.join(tiles.fresh(prof.select("profile", "n", "members")), "profile").select(
         "profile", (F.col("users") - 1).alias("overlapping_users"),
         (F.col("shared") - F.col("n")).alias("shared_items"), (F.col("sim") - 1).alias("similarity_sum"),
         F.when(F.col("users") > 1, F.when(twin, F.least(F.col("low"), F.lit(1.0))).otherwise(F.col("low")))

@@ -24,7 +24,7 @@ MAX_TASKS = 50_000
 
 def chunk_count(rows: int, per_chunk: int, cores: int = 1) -> int:
     """Chunks of at most ``per_chunk`` rows; smaller ones, down to ``SMALL_CHUNK``, while cores would idle."""
-    enough = min(math.ceil(rows / SMALL_CHUNK), math.ceil(math.sqrt(2 * cores)))
+    enough = min(math.ceil(rows / SMALL_CHUNK), math.ceil(math.sqrt(6 * cores)))
     return max(1, math.ceil(rows / per_chunk), enough)
 
 
@@ -94,6 +94,38 @@ def best_columns(score: np.ndarray, k: int, floor: float = -np.inf) -> tuple[np.
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(places)
 
 
+class RunningBest:
+    """The ``k`` best rows of each column over row batches that come in row order.
+
+    Equal scores go to the lower row; only scores above 0 count.
+    """
+
+    def __init__(self, cols: int, k: int):
+        self.k = k
+        self.score = np.full((cols, k), -np.inf)
+        self.row = np.zeros((cols, k), dtype=np.int64)
+        self.extra = np.zeros((cols, k), dtype=np.int64)
+
+    def add(self, score: np.ndarray, extra: np.ndarray, start: int) -> None:
+        """``score`` and ``extra`` hold one row per left row; ``start`` is the number of the first."""
+        flipped = np.ascontiguousarray(score.T)
+        cols, rows, place = best_columns(flipped, self.k, 0.0)
+        new = [np.full_like(self.score, -np.inf), np.zeros_like(self.row), np.zeros_like(self.extra)]
+        new[0][cols, place - 1] = score[rows, cols]
+        new[1][cols, place - 1] = rows + start
+        new[2][cols, place - 1] = extra[rows, cols]
+        both = np.concatenate([self.score, new[0]], axis=1)
+        order = np.argsort(-both, axis=1, kind="stable")[:, :self.k]
+        self.score = np.take_along_axis(both, order, axis=1)
+        self.row = np.take_along_axis(np.concatenate([self.row, new[1]], axis=1), order, axis=1)
+        self.extra = np.take_along_axis(np.concatenate([self.extra, new[2]], axis=1), order, axis=1)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(column, row, extra) of what was kept."""
+        cols, place = np.nonzero(self.score > 0)
+        return cols, self.row[cols, place], self.extra[cols, place]
+
+
 def shared_counts(left, right) -> Iterator[tuple[int, int, np.ndarray]]:
     """Numbers of common items for row batches of two list columns: (start, stop, matrix)."""
     l_off, l_val = list_parts(left)
