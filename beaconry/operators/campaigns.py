@@ -67,9 +67,10 @@ class _Block:
             dots = left[s:e] @ self.matrix.T
             yield s, e, np.round(np.divide(dots, scale, out=np.zeros_like(dots), where=scale != 0), 4) + 0.0
 
-    def picked(self, keys, rows: np.ndarray, cols: np.ndarray, score: np.ndarray, key: str) -> pa.Table:
+    def picked(self, keys, rows: np.ndarray, cols: np.ndarray, score: np.ndarray, place: np.ndarray,
+               key: str) -> pa.Table:
         return pa.table({key: _flat(keys).take(pa.array(rows)), "campaign_id": self.ids.take(pa.array(cols)),
-                         "similarity_score": pa.array(score)})
+                         "similarity_score": pa.array(score), "rank": pa.array(place.astype(np.int64))})
 
 
 def _flat(col) -> pa.Array:
@@ -81,8 +82,8 @@ def _flat(col) -> pa.Array:
 def _best(key: str, k: int):
     def run(block: _Block, batch) -> Iterator[pa.Table]:
         for s, _, score in block.scores(batch.column("embedding")):
-            rows, cols, _ = tiles.best_columns(score.copy(), k)
-            yield block.picked(batch.column(key), rows + s, cols, score[rows, cols], key)
+            rows, cols, place = tiles.best_columns(score.copy(), k)
+            yield block.picked(batch.column(key), rows + s, cols, score[rows, cols], place, key)
 
     return run
 
@@ -113,39 +114,64 @@ def _served(block: _Block, batch) -> Iterator[pa.Table]:
         open_score[ban_row[mine] - s, ban_col[mine]] = -np.inf
         rows, cols, place = tiles.best_columns(open_score, MAX_SERVED)
         few = place <= most[rows + s]
-        rows, cols = rows[few], cols[few]
-        yield block.picked(batch.column("request_id"), rows + s, cols, score[rows, cols], "request_id")
+        rows, cols, place = rows[few], cols[few], place[few]
+        yield block.picked(batch.column("request_id"), rows + s, cols, score[rows, cols], place, "request_id")
 
 
-def _against(left: DataFrame, campaigns: DataFrame, key: str, how, schema: str) -> DataFrame:
-    """Apply ``how(block, batch)`` to the left rows against all campaigns, in bounded pieces.
+class _Side:
+    """The campaign side: fetched only up to the local bound plus one row.
 
-    The campaign side is fetched only up to the local bound plus one row. Within the
-    bound every task scores its rows against all campaigns and no vector is shuffled;
-    beyond it both sides meet in tiles.
+    Within the bound every task scores its rows against all campaigns and no vector is
+    shuffled; beyond it both sides meet in tiles.
     """
-    some = campaigns.limit(LOCAL_ROWS + 1).toArrow()
-    if some.num_rows <= LOCAL_ROWS and some.nbytes <= LOCAL_BYTES:
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block = _Block(some) if some.num_rows else None
-            for b in batches:
-                if block is not None and b.num_rows:
-                    for t in how(block, b):
-                        yield from t.to_batches()
 
-        return left.mapInArrow(scan, schema)
-
-    empty = left.sparkSession.createDataFrame([], schema).toArrow()
-
-    def tile(users: pa.Table, block: pa.Table) -> pa.Table:
-        if not users.num_rows or not block.num_rows:
-            return empty
-        return pa.concat_tables(list(how(_Block(block), users)))
-
-    size = campaigns.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    slim = left.withColumn("embedding", first_block("embedding", size["dim"]))
-    return tiles.pair_tiles(slim, campaigns, key, "campaign_id", tiles.chunk_count(left.count(), USERS_PER_CHUNK),
-                            tiles.chunk_count(size["n"], CAMPAIGNS_PER_CHUNK), tile, schema)
+    def __init__(self, campaigns: DataFrame):
+        self.df = campaigns
+        some = campaigns.limit(LOCAL_ROWS + 1).toArrow()
+        self.local = some if some.num_rows <= LOCAL_ROWS and some.nbytes <= LOCAL_BYTES else None
+        if self.local is not None:
+            self.rows = some.num_rows
+            self.dim = int(np.diff(tiles.list_parts(some.column("embedding"))[0]).max(initial=0))
+        else:
+            size = campaigns.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+            self.rows, self.dim = size["n"], size["dim"]
+
+    def slim(self, left: DataFrame) -> DataFrame:
+        """Left vectors cut to what a campaign can meet (see ``first_block``)."""
+        return left.withColumn("embedding", first_block("embedding", self.dim))
+
+    def against(self, left: DataFrame, key: str, how, schema: str) -> DataFrame:
+        """Apply ``how(block, batch)`` to the left rows against all campaigns, in bounded pieces."""
+        some = self.local
+        if some is not None:
+            def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                block = _Block(some) if some.num_rows else None
+                for b in batches:
+                    if block is not None and b.num_rows:
+                        for t in how(block, b):
+                            yield from t.to_batches()
+
+            return left.mapInArrow(scan, schema)
+
+        empty = left.sparkSession.createDataFrame([], schema).toArrow()
+
+        def tile(users: pa.Table, block: pa.Table) -> pa.Table:
+            if not users.num_rows or not block.num_rows:
+                return empty
+            return pa.concat_tables(list(how(_Block(block), users)))
+
+        return tiles.pair_tiles(left, self.df, key, "campaign_id", tiles.chunk_count(left.count(), USERS_PER_CHUNK),
+                                tiles.chunk_count(self.rows, CAMPAIGNS_PER_CHUNK), tile, schema)
+
+
+def _ranked(side: _Side, left: DataFrame, key: str, how, k: int) -> DataFrame:
+    """(key, campaign_id, similarity_score, rank) of the ``k`` best; the left keys are unique.
+
+    Where a task sees all campaigns its places are the ranks; otherwise tiles are merged.
+    """
+    kind = left.schema[key].dataType.simpleString()
+    found = side.against(left, key, how, f"{key} {kind}, campaign_id string, similarity_score double, rank bigint")
+    return found if side.local is not None else _final_rank(found.drop("rank"), k, key)
 
 
 def _final_rank(scored: DataFrame, k: int, key: str = "user_id") -> DataFrame:
@@ -159,16 +185,17 @@ def campaign_topk(users: DataFrame, campaigns: DataFrame, k: int = 10, dim_polic
 
     Columns: user_id, campaign_id, similarity_score, rank. Rows without a vector are skipped.
     """
-    schema = f"user_id {users.schema['user_id'].dataType.simpleString()}, campaign_id string, similarity_score double"
-    u = with_vector(_policy(users, dim_policy, dim), ["user_id"])
-    return _final_rank(_against(u, with_vector(campaigns, ["campaign_id"]), "user_id", _best("user_id", k), schema), k)
+    side = _Side(with_vector(campaigns, ["campaign_id"]))
+    u = side.slim(with_vector(_policy(users, dim_policy, dim), ["user_id"]))
+    return _ranked(side, u, "user_id", _best("user_id", k), k)
 
 
 def score_summary(users: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Every user against every campaign, folded to one row per user: count, mean, low, high."""
     schema = (f"user_id {users.schema['user_id'].dataType.simpleString()}, campaigns bigint, total double, "
               "low double, high double")
-    parts = _against(with_vector(users, ["user_id"]), with_vector(campaigns, ["campaign_id"]), "user_id", _summed, schema)
+    side = _Side(with_vector(campaigns, ["campaign_id"]))
+    parts = side.against(side.slim(with_vector(users, ["user_id"])), "user_id", _summed, schema)
     return parts.groupBy("user_id").agg(
         F.sum("campaigns").alias("campaigns"), (F.sum("total") / F.sum("campaigns")).alias("mean_score"),
         F.min("low").alias("low_score"), F.max("high").alias("high_score"))
@@ -190,15 +217,13 @@ def serve_requests(requests: DataFrame, users: DataFrame, campaigns: DataFrame,
         F.filter(F.coalesce("exclude_campaign_ids", F.array().cast("array<string>")), lambda c: c.isNotNull()).alias("banned"),
         F.coalesce(day("window_start", epoch), F.lit(-(1 << 30))).cast("bigint").alias("opens"),
         F.coalesce(day("window_end", epoch), F.lit(1 << 30)).cast("bigint").alias("closes"))
-    left = with_vector(asked.join(users.select("user_id", "embedding"), "user_id"),
-                       ["request_id", "most", "banned", "opens", "closes"])
     dated = campaign_vectors.join(campaigns.select(
         "campaign_id", day("start_date", epoch).cast("bigint").alias("start"),
         day("end_date", epoch).cast("bigint").alias("end")), "campaign_id")
-    schema = (f"request_id {requests.schema['request_id'].dataType.simpleString()}, campaign_id string, "
-              "similarity_score double")
-    found = _final_rank(_against(left, with_vector(dated, ["campaign_id", "start", "end"]), "request_id", _served, schema),
-                        MAX_SERVED, "request_id")
+    side = _Side(with_vector(dated, ["campaign_id", "start", "end"]))
+    left = asked.join(side.slim(with_vector(users, ["user_id"])), "user_id").select(
+        "request_id", "most", "banned", "opens", "closes", "embedding")
+    found = _ranked(side, left, "request_id", _served, MAX_SERVED)
     info = campaigns.select("campaign_id", F.col("name").alias("campaign_name"),
                             serving.priority_text(F.col("priority")).alias("priority"), "start_date", "end_date")
     out = (found.join(asked.select("request_id", "user_id", "most"), "request_id").filter(F.col("rank") <= F.col("most"))
@@ -239,7 +264,7 @@ def campaign_topk_ann(users: DataFrame, campaigns: DataFrame, dim: int, k: int =
     def tile(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return empty
-        t = pa.concat_tables(list(best(_Block(right), left)))
+        t = pa.concat_tables(list(best(_Block(right), left))).drop_columns(["rank"])
         return t.append_column("scored", pa.array(np.full(t.num_rows, right.num_rows, dtype=np.int64)))
 
     found = tiles.cell_tiles(cells(u, "user_id"), cells(c, "campaign_id"), ["table", "bucket"], "user_id",

@@ -28,11 +28,17 @@ def enrich_purchases(purchases: DataFrame, products: DataFrame, cols: Sequence[s
     return p.join(cat, "product_id", "left")
 
 
+def product_key(purchases: DataFrame, products: DataFrame) -> Column:
+    """The product id for grouping and joining: as text only where the two tables disagree on its type."""
+    same = purchases.schema["product_id"].dataType == products.schema["product_id"].dataType
+    return (F.col("product_id") if same else F.col("product_id").cast("string")).alias("product_id")
+
+
 def preference_counts(purchases: DataFrame, products: DataFrame, col: str) -> DataFrame:
     """Purchases per (user, value). Counted per product before the catalogue join."""
-    per_product = purchases.groupBy("user_id", F.col("product_id").cast("string").alias("product_id")).agg(
-        F.count("*").alias("n"))
-    cat = products.select(F.col("product_id").cast("string").alias("product_id"), col)
+    key = product_key(purchases, products)
+    per_product = purchases.groupBy("user_id", key).agg(F.count("*").alias("n"))
+    cat = products.select(key, col)
     return (per_product.join(cat, "product_id", "left").groupBy("user_id", col)
             .agg(F.sum("n").alias("cnt")))
 
@@ -57,9 +63,9 @@ def user_features(purchases: DataFrame, users: DataFrame, products: DataFrame, a
     Totals and both preference lists then come out of one pass: each folded row is
     stacked into a 'total', an 'article' and a 'category' row.
     """
-    cat = one_per_product(products.select(F.col("product_id").cast("string").alias("product_id"),
-                                          "article_type", "master_category"))
-    folded = purchases.groupBy("user_id", F.col("product_id").cast("string").alias("product_id")).agg(
+    key = product_key(purchases, products)
+    cat = one_per_product(products.select(key, "article_type", "master_category"))
+    folded = purchases.groupBy("user_id", key).agg(
         F.count("*").alias("n"), F.sum(F.col("total_amount").cast("double")).alias("spent"),
         F.max("purchase_date").alias("latest"))
     by_user = folded.join(cat, "product_id", "left").repartition("user_id")
