@@ -5,27 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from beaconry.functions import columns as C
 from beaconry.operators.neighbours import neighbours
 from beaconry.session import cut
 
 
-def dense_index(df: DataFrame, col: str, width: int = 1 << 16, prefix: int = 6) -> DataFrame:
-    """Distinct values of ``col`` numbered from 1 in order, without one global sort.
+def dense_index(df: DataFrame, col: str) -> DataFrame:
+    """Distinct values of ``col`` numbered from 1 in order, without one global sort task.
 
-    Values fall into ordered buckets (number ranges, or leading characters of a text);
-    only the bucket sizes are summed up in one task.
+    Values are range-partitioned and stored with the number of their range, so a lost
+    executor cannot shift the ranges; only the range sizes are summed up in one task.
     """
-    numeric = isinstance(df.schema[col].dataType, T.NumericType)
-    bucket = F.floor(F.col(col) / width) if numeric else F.substring(col, 1, prefix)
-    ids = df.select(col).dropna().distinct().withColumn("_b", bucket)
-    sizes = ids.groupBy("_b").agg(F.count("*").alias("_n"))
+    ids = df.select(col).dropna().distinct().repartitionByRange(col)
+    ranged = cut(ids.withColumn("_b", F.spark_partition_id()))
+    sizes = ranged.groupBy("_b").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("_b", F.coalesce(before, F.lit(0)).alias("_before"))
     inside = F.row_number().over(W.partitionBy("_b").orderBy(col))
-    return (ids.withColumn("_in", inside).join(offsets, "_b")
+    return (ranged.withColumn("_in", inside).join(offsets, "_b")
             .select(col, (F.col("_before") + F.col("_in")).cast("bigint").alias("pos")))
 
 

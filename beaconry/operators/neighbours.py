@@ -18,6 +18,7 @@ from beaconry.operators import tiles
 from beaconry.session import cut
 
 PROFILES_PER_CHUNK = 32_768
+ITEMS_PER_CHUNK = 8_000_000
 
 
 def interactions(events: DataFrame, kinds: list[str], item: str = "product_id") -> DataFrame:
@@ -37,6 +38,13 @@ def profiles(inter: DataFrame) -> tuple[DataFrame, DataFrame]:
         per_profile.withColumn("n", F.size("items").cast("bigint")))
 
 
+def _chunks(prof: DataFrame, per_chunk: int) -> int:
+    """Chunks small enough in profiles and in items held."""
+    size = prof.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("items")).first()
+    return max(tiles.chunk_count(size["rows"], per_chunk, tiles.cores_of(prof)),
+               tiles.chunk_count(size["items"], ITEMS_PER_CHUNK))
+
+
 def _lists(table: pa.Table) -> pa.Table:
     return table.sort_by("lowest")
 
@@ -86,7 +94,7 @@ def neighbours(inter: DataFrame, k: int = 5, per_chunk: int = PROFILES_PER_CHUNK
     """
     id_type = inter.schema["user_id"].dataType.simpleString()
     members, prof = profiles(inter)
-    chunks = tiles.chunk_count(prof.count(), per_chunk, tiles.cores_of(prof))
+    chunks = _chunks(prof, per_chunk)
     arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     schema = f"lowest {id_type}, n bigint, other {id_type}, other_n bigint, shared bigint"
     pairs = tiles.self_tiles(prof.select("profile", "items", "n", "lowest"), "profile", chunks,
@@ -161,7 +169,7 @@ def overlap_summary(inter: DataFrame, per_chunk: int = PROFILES_PER_CHUNK) -> Da
     highest similarity among users sharing an item (NULL if none does).
     """
     members, prof = profiles(inter)
-    chunks = tiles.chunk_count(prof.count(), per_chunk, tiles.cores_of(prof))
+    chunks = _chunks(prof, per_chunk)
     schema = "profile string, users bigint, shared bigint, sim double, low double, high double"
     sums = (tiles.self_tiles(prof, "profile", chunks, _row_sums, schema).groupBy("profile")
             .agg(F.sum("users").alias("users"), F.sum("shared").alias("shared"), F.sum("sim").alias("sim"),

@@ -24,7 +24,7 @@ MAX_TASKS = 50_000
 
 def chunk_count(rows: int, per_chunk: int, cores: int = 1) -> int:
     """Chunks of at most ``per_chunk`` rows; smaller ones, down to ``SMALL_CHUNK``, while cores would idle."""
-    enough = min(math.ceil(rows / SMALL_CHUNK), math.ceil(math.sqrt(6 * cores)))
+    enough = min(math.ceil(rows / SMALL_CHUNK), math.ceil(math.sqrt(6 * cores))) if cores > 1 else 1
     return max(1, math.ceil(rows / per_chunk), enough)
 
 

@@ -511,3 +511,30 @@ def fn_array(t):
         "vec_id", F.round(V.dot(e, e), 6).alias("square"),
         F.round(F.aggregate(F.slice(e, 1, 5), F.lit(0.0), lambda s, x: s + x), 6).alias("head_sum"),
         F.size(F.filter(e, lambda x: x > 0)).cast("bigint").alias("positives"))
+
+
+@query("fn_math", """SELECT l_orderkey, l_linenumber, l_partkey, round(sqrt(l_extendedprice), 4) AS root, round(power(l_discount, 2), 6) AS squared,
+    CASE WHEN l_tax = 0 THEN 0.0 ELSE round(l_discount / l_tax, 4) END AS ratio FROM lineitem""")
+def fn_math(t):
+    guarded = F.when(F.col("l_tax") == 0, F.lit(0.0)).otherwise(F.round(F.col("l_discount") / F.col("l_tax"), 4))
+    return t.raw("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.round(F.sqrt("l_extendedprice"), 4).alias("root"),
+        F.round(F.pow("l_discount", F.lit(2)), 6).alias("squared"), guarded.alias("ratio"))
+
+
+@query("fn_map", """SELECT doc_id, '{"lang":"' || lang || '"' || coalesce(',"quality":"' || quality || '"', '') || '}' AS item
+    FROM documents LEFT JOIN labels USING (doc_id)""")
+def fn_map(t):
+    """Attributes as a map, those without a value left out."""
+    df = t.raw("documents").select("doc_id", "lang").join(t.raw("labels"), "doc_id", "left")
+    pairs = F.create_map(F.lit("lang"), F.col("lang"), F.lit("quality"), F.col("quality").cast("string"))
+    return df.select("doc_id", F.to_json(F.map_filter(pairs, lambda k, v: v.isNotNull())).alias("item"))
+
+
+@query("fn_cast", """SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS VARCHAR) AS key_text, CAST(trunc(l_quantity) AS INT) AS quantity,
+    CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_shipdate AS DATE) AS shipped FROM lineitem""")
+def fn_cast(t):
+    return t.raw("lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("key_text"),
+        C.lenient("l_quantity", "int").alias("quantity"), F.col("l_extendedprice").try_cast("decimal(18,2)").alias("price"),
+        F.col("l_shipdate").try_cast("date").alias("shipped"))

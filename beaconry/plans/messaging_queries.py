@@ -286,6 +286,17 @@ def st_ingest(t):
     return S.read_ingested(t.spark, target).drop("id")
 
 
+@query("st_poll", INGESTED)
+def st_poll(t):
+    """The same table from a source polled every ten seconds."""
+    topic, target, bad = (scratch_path(t.spark, n) for n in ("topic", "clicks", "bad"))
+    click_messages(t).write.text(topic)
+    q = S.ingest_clicks(messages.read_clicks(t.spark, {"path": topic}), target, bad, scratch_path(t.spark, "ckpt"), once=False)
+    q.processAllAvailable()
+    q.stop()
+    return S.read_ingested(t.spark, target).drop("id")
+
+
 @query("st_bad_records", "SELECT event_type, count(*) AS n_quarantined FROM clicks_v WHERE price % 5 < 2 GROUP BY 1")
 def st_bad_records(t):
     """A price in words or a cut-off message goes to quarantine instead of stopping the stream."""

@@ -21,11 +21,19 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session we did not build ourselves."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if not spark.sparkContext.master.startswith("local"):
+        # Start with more shuffle partitions than cores; adaptive execution merges small ones.
+        cores = spark.sparkContext.defaultParallelism
+        first = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * cores)
+        if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+            spark.conf.set(INITIAL_PARTITIONS, str(first))
     return spark
 
 

@@ -41,21 +41,26 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(ok).drop("raw", "_corrupt"), parsed.filter(~ok).select("raw")
 
 
-def ingest_clicks(stream: DataFrame, target: str, quarantine: str, checkpoint: str, once: bool = True):
+def ingest_clicks(stream: DataFrame, target: str, quarantine: str, checkpoint: str, once: bool = True,
+                  poll: str = POLL):
     """Messages to a flat click table; bad ones to quarantine. Returns the query.
 
+    ``once`` reads all there is and stops; otherwise the source is polled every ``poll``.
+
     Each micro-batch owns one ``batch_id`` partition and overwrites it, so a batch that
     is replayed after a failure leaves the same files. Nothing older is rewritten.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
-        valid, bad = split_valid(parse_clicks(batch))
+        parsed = parse_clicks(batch).persist()  # the source is read once for both tables
+        valid, bad = split_valid(parsed)
         rows = event_id(normalise_clicks(valid)).withColumn("batch_id", F.lit(batch_id))
         for df, path in ((rows, target), (bad.withColumn("batch_id", F.lit(batch_id)), quarantine)):
             (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(path))
+        parsed.unpersist()
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=POLL)).start()
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:

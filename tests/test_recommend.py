@@ -121,7 +121,7 @@ def test_topn_for_users_without_interactions(spark):
 
 def test_dense_index_of_text(spark):
     df = spark.createDataFrame([(f"ad_{i}",) for i in range(30)], "item_id string")
-    got = {r["item_id"]: r["pos"] for r in CF.dense_index(df, "item_id", prefix=4).collect()}
+    got = {r["item_id"]: r["pos"] for r in CF.dense_index(df, "item_id").collect()}
     assert got == {a: i + 1 for i, a in enumerate(sorted(got))}
 
 
