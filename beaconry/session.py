@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Collection
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,11 +26,27 @@ RUNTIME_CONF = {
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
+_SHIPPED: set[str] = set()
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session we did not build ourselves."""
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    # Spark copies the archive to its own file store at once and serves it from there.
+    name = Path(tempfile.mkdtemp(prefix="beaconry-zip-")) / package.name
+    sc.addPyFile(shutil.make_archive(str(name), "zip", package.parent, package.name))
+    _SHIPPED.add(sc.applicationId)
+
+
+def tune(spark: SparkSession, keep: Collection[str] = ()) -> SparkSession:
+    """Ready a session for the operators: the package on the executors and the runtime settings, but for ``keep``."""
+    ship_package(spark)
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key not in keep:
+            spark.conf.set(key, value)
     if not spark.sparkContext.master.startswith("local"):
         # Start with more shuffle partitions than cores; adaptive execution merges small ones.
         cores = spark.sparkContext.defaultParallelism
@@ -43,7 +62,7 @@ def get_session(app: str = "beaconry", master: str | None = None, **conf: str) -
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate(), conf)
 
 
 def scratch_root(spark: SparkSession) -> str:
