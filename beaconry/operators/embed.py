@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from beaconry.functions import columns as C
 from beaconry.functions import vectors as V
-from beaconry.operators.features import last_k, newest_first
+from beaconry.operators.features import last_k
 from beaconry.sources.tables import keep_latest
 from beaconry.sources.upsert import upsert_merge
 
@@ -118,7 +118,3 @@ def refresh_user_embeddings(stored: DataFrame, users: DataFrame, purchases: Data
 
 def vector_coverage(df: DataFrame, col: str = "embedding") -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.avg(V.is_nonzero(col).cast("double")).alias("coverage"))
-
-
-def newest(purchases: DataFrame) -> list[Column]:
-    return newest_first(purchases)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconry.functions.columns import as_col
 from beaconry.sources.tables import keep_latest
 
 # Newest first; the trailing columns only break ties, for a repeatable order.
@@ -196,7 +195,3 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def sort_key(c) -> Column:
-    return as_col(c).asc_nulls_last()

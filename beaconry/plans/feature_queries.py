@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions import columns as C
@@ -10,9 +9,9 @@ from beaconry.functions import vectors as V
 from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
 from beaconry.operators import delivery, embed, features, neighbours, profile, schedule, serving
-from beaconry.plans.bindings import CART_KINDS, CLICK_AS_OF, DIM, LAST_K, PURCHASE_AS_OF
+from beaconry.plans.bindings import CLICK_AS_OF, DIM, LAST_K, PURCHASE_AS_OF
 from beaconry.plans.registry import query
-from beaconry.sources import tables, upsert
+from beaconry.sources import upsert
 
 DAY = 86400
 
@@ -269,9 +268,9 @@ LINES = """SELECT user_id, product_id, count(*) AS quantity, arg_max(price, (ts,
     WHERE event_type = 'add_to_cart' GROUP BY 1, 2"""
 
 
-@query("agg_cart_lines", LINES)
+@query("agg_cart_lines", f"SELECT *, round(price * quantity, 2)::DOUBLE AS subtotal FROM ({LINES})")
 def agg_cart_lines(t):
-    return features.cart_lines(t.clicks)
+    return rounded(features.cart_subtotals(features.cart_lines(t.clicks)), subtotal=2)
 
 
 @query("agg_cart", f"""SELECT user_id, sum(quantity)::BIGINT AS total_items, round(sum(price * quantity), 2)::DOUBLE AS cart_total

@@ -8,7 +8,7 @@ from beaconry.functions import vectors as V
 from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
 from beaconry.operators import delivery, embed, metrics, neighbours, schedule
-from beaconry.plans.bindings import CART_KINDS, CLICK_AS_OF, DIM, LAST_K, PURCHASE_AS_OF, Tables, clicks_of
+from beaconry.plans.bindings import CART_KINDS, CLICK_AS_OF, DIM, LAST_K, Tables
 from beaconry.plans.feature_queries import LAST_PER_ID, USER_VECTOR, WEIGHTED, attributed, records, rounded, vector_facts
 from beaconry.plans.registry import query
 from beaconry.plans.table_queries import INGESTED, click_messages

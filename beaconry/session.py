@@ -95,8 +95,3 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return df.checkpoint(eager=True)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (no job is run)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())

@@ -183,6 +183,14 @@ def test_length_mismatch_and_mean_policy(spark):
     assert mean == {"A": 0.7071, "B": 0.7071}
 
 
+def test_items_with_other_field_names(spark):
+    raw = spark.createDataFrame([("A", None, [1.0, 0.0], None), ("", "B", [], [0.0, 1.0]), ("C", None, None, None)],
+                                "campaign_id string, cid string, campaign_embedding array<double>, embedding array<double>")
+    camps = K.item_vectors(raw, ["campaign_id", "cid"], ["campaign_embedding", "embedding"])
+    got = K.campaign_topk(vectors(spark, "user_id", [(1, [0.0, 2.0])]), camps).orderBy("rank").collect()
+    assert [(r["campaign_id"], r["similarity_score"]) for r in got] == [("B", 1.0), ("A", 0.0)]
+
+
 def test_no_campaigns(spark):
     users = vectors(spark, "user_id", [(1, [1.0])])
     none = vectors(spark, "campaign_id", [("A", None)], "string")
