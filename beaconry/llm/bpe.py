@@ -275,7 +275,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
-    """Texts of encoded rows, with digests: doc_id, n_tokens, ids_sha256, decoded_sha256, text.
+    """Texts of encoded rows, with digests: doc_id, n_tokens, ids_sha256, decoded_sha256, text, ids.
 
     ids_sha256 is over the decimal ids joined by one blank, decoded_sha256 over the decoded bytes. Null ids count as none.
     """
@@ -303,8 +303,8 @@ def decode(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
                 out["decoded_sha256"].append(digest.hexdigest())
                 out["text"].append("".join(texts))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out["n_tokens"], pa.int64()), *(
-                pa.array(out[k], pa.string()) for k in ("ids_sha256", "decoded_sha256", "text"))], names=["doc_id", *out])
+                pa.array(out[k], pa.string()) for k in ("ids_sha256", "decoded_sha256", "text")), rows], names=["doc_id", *out, "ids"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, text string, ids array<int>")
 
 

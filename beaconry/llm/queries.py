@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from beaconry.llm import bpe, near_dup, suffix_dedup
+from beaconry.llm import ann_forest, bpe, chat_format, lm_score, mixing, near_dup, quality, rules, suffix_dedup, toxicity
 from beaconry.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,4 +39,100 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text decoded from them."""
     path = public_tokenizers.path(TOKENIZER)
     ids = bpe.encode(load(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(ids, path).drop("text")
+    return bpe.decode(ids, path).drop("text", "ids")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and robust outliers of every document."""
+    return rules.quality_rules(load(spark, sf_dir, "documents"))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality posterior of every document from its text, its source and its language."""
+    return quality.quality_classifier(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every vector whose id is divisible by 50."""
+    return ann_forest.nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document between texts labelled good and the whole corpus."""
+    docs = load(spark, sf_dir, "documents")
+    return lm_score.cross_entropy_difference(docs, lm_score.labelled_target(docs, load(spark, sf_dir, "labels")))
+
+
+# A conversation whose texts hold the template's own marks.
+FORGED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the examples of every conversation say when read back."""
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    forged = spark.createDataFrame([(-7, 0, "user", FORGED), (-7, 1, "assistant", FORGED)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.prefix_examples(turns.unionByName(forged))).drop("n_examples")
+
+
+ORACLE["op6_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, row_number() OVER w AS pos, length('### ' || replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ': ', '\: ')
+    || ': ' || replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') || '</turn>' || chr(10)) AS size
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+p AS (
+  SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY pos) AS upto, pos = max(pos) OVER (PARTITION BY conv_id) AS is_last FROM e)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR is_last) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id""".replace("\\", "\\")
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture in which no source is gone through more than twice as often as another."""
+    mixed = mixing.mix(load(spark, sf_dir, "documents"), repeats=2.0, seed=17)
+    return mixed.select("doc_id", "source", "n_tokens", "pass", "block", "place")
+
+
+ORACLE["op9_mixing"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
+    CAST(('0x' || substr(md5('block:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT % 512 AS INT) AS block
+  FROM documents),
+s AS (SELECT k, sum(n_tokens) AS tokens FROM d GROUP BY k HAVING sum(n_tokens) > 0),
+r AS (SELECT max(tokens) * 1.0::DOUBLE / min(tokens) AS ratio, sum(tokens) AS total FROM s),
+bisect AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, CASE WHEN ratio <= 2 * (1 + 1e-12) THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS high, ratio FROM r
+  UNION ALL
+  SELECT step + 1, CASE WHEN high = 0 OR pow(ratio, 1 - (low + high) / 2) <= 2 * (1 + 1e-12) THEN low ELSE (low + high) / 2 END,
+    CASE WHEN high = 0 THEN high WHEN pow(ratio, 1 - (low + high) / 2) <= 2 * (1 + 1e-12) THEN (low + high) / 2 ELSE high END, ratio
+  FROM bisect WHERE step < 50),
+x AS (SELECT high AS t FROM bisect WHERE step = 50),
+w AS (SELECT k, tokens, pow(tokens / total::DOUBLE, t) / sum(pow(tokens / total::DOUBLE, t)) OVER () AS weight FROM s, r, x),
+g AS (SELECT k, tokens, CAST(round(weight * max(tokens / weight) OVER ()) AS BIGINT) AS budget FROM w),
+b AS (SELECT k, block, sum(n_tokens) AS tokens FROM d GROUP BY k, block),
+p AS (
+  SELECT b.k, b.block, b.tokens, g.budget, g.tokens AS source_tokens, coalesce(g.budget // g.tokens, 1) AS whole,
+    unnest(range(0, CAST(coalesce(g.budget // g.tokens, 1) AS BIGINT) + 1)) AS pass
+  FROM b LEFT JOIN g ON b.k = g.k),
+o AS (SELECT *, ('0x' || substr(md5('17:' || k || ':' || pass || ':' || block), 1, 13))::BIGINT AS place FROM p),
+f AS (SELECT *, sum(tokens) OVER (PARTITION BY k, pass ORDER BY place, block) - tokens AS before FROM o)
+SELECT d.doc_id, d.source, d.n_tokens, CAST(f.pass AS INT) AS pass, d.block, f.place
+FROM d JOIN f ON d.k = f.k AND d.block = f.block
+WHERE f.pass < f.whole OR 2 * (f.budget - f.whole * f.source_tokens - f.before) > f.tokens"""
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))

@@ -275,7 +275,7 @@ def _drop_key(f):
     return lambda table: f(table.drop_columns(["g"]))
 
 
-def _cleaned(window: int, with_text: bool):
+def _cleaned(window: int, with_text: bool, carry: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
             rows = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
@@ -304,22 +304,27 @@ def _cleaned(window: int, with_text: bool):
             if with_text:
                 columns.append(pa.array(out, pa.string()))
                 names.append("kept_text")
+            columns += [part.column(c) for c in carry]
+            names += carry
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def suffix_dedup(docs: DataFrame, window: int = 100, with_text: bool = True, crowded: int = CROWDED) -> DataFrame:
+def suffix_dedup(docs: DataFrame, window: int = 100, with_text: bool = True, crowded: int = CROWDED,
+                 carry: list[str] | None = None) -> DataFrame:
     """Each document without the bytes of strings of ``window`` bytes that also start earlier.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept_text (characters split by a cut are
     left out of it). Null text counts as empty. Rows with a null doc_id come back whole: without an id there is no order.
     Rows that repeat an id stand for one document, so a repeated row is not a copy of itself; each gets a result. Other columns
-    are ignored; an empty table gives no rows.
+    are ignored unless named in ``carry``; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
+    carry = carry or []
     runs = repeated_strings(docs, window, crowded=crowded).groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return (texts.join(runs, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "runs")
-            .mapInArrow(_cleaned(window, with_text), schema + (", kept_text string" if with_text else "")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
+    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema) if carry else ""
+    return (texts.join(runs, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "runs", *carry)
+            .mapInArrow(_cleaned(window, with_text, carry), schema))
