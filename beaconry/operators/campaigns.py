@@ -119,22 +119,18 @@ def _served(block: _Block, batch) -> Iterator[pa.Table]:
 
 
 class _Side:
-    """The campaign side: fetched only up to the local bound plus one row.
+    """The campaign side, fetched only after an aggregate has shown that it is within the local bounds.
 
-    Within the bound every task scores its rows against all campaigns and no vector is
-    shuffled; beyond it both sides meet in tiles.
+    Within the bounds every task scores its rows against all campaigns and no vector is
+    shuffled; beyond them both sides meet in tiles. Both give the same rows.
     """
 
     def __init__(self, campaigns: DataFrame):
         self.df = campaigns
-        some = campaigns.limit(LOCAL_ROWS + 1).toArrow()
-        self.local = some if some.num_rows <= LOCAL_ROWS and some.nbytes <= LOCAL_BYTES else None
-        if self.local is not None:
-            self.rows = some.num_rows
-            self.dim = int(np.diff(tiles.list_parts(some.column("embedding"))[0]).max(initial=0))
-        else:
-            size = campaigns.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-            self.rows, self.dim = size["n"], size["dim"]
+        size = campaigns.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dim"),
+                             F.coalesce(F.sum(8 * F.size("embedding") + 64), F.lit(0)).alias("bytes")).first()
+        self.rows, self.dim = size["n"], size["dim"]
+        self.local = campaigns.toArrow() if self.rows <= LOCAL_ROWS and size["bytes"] <= LOCAL_BYTES else None
 
     def slim(self, left: DataFrame) -> DataFrame:
         """Left vectors cut to what a campaign can meet (see ``first_block``)."""
@@ -153,6 +149,7 @@ class _Side:
 
             return left.mapInArrow(scan, schema)
 
+        left = cut(left)  # counted and tiled from one computation
         empty = left.sparkSession.createDataFrame([], schema).toArrow()
 
         def tile(users: pa.Table, block: pa.Table) -> pa.Table:
@@ -225,7 +222,9 @@ def serve_requests(requests: DataFrame, users: DataFrame, campaigns: DataFrame,
         "request_id", "most", "banned", "opens", "closes", "embedding")
     found = _ranked(side, left, "request_id", _served, MAX_SERVED)
     info = campaigns.select("campaign_id", F.col("name").alias("campaign_name"),
-                            serving.priority_text(F.col("priority")).alias("priority"), "start_date", "end_date")
+                            serving.priority_text(F.col("priority")).alias("priority"), "start_date", "end_date",
+                            F.date_format("start_date", "yyyy-MM-dd'T'00:00:00'Z'").alias("time_window_start"),
+                            F.date_format("end_date", "yyyy-MM-dd'T'23:59:59'Z'").alias("time_window_end"))
     out = (found.join(asked.select("request_id", "user_id", "most"), "request_id").filter(F.col("rank") <= F.col("most"))
            .drop("most").join(info, "campaign_id"))
     if ctr is None:

@@ -19,6 +19,8 @@ def micros(col: str):
 def attribute_clicks(deliveries: DataFrame, clicks: DataFrame, horizon_seconds: int) -> DataFrame:
     """First click of the same user within the horizon after each delivery (NULL if none).
 
+    A delivery without user or time has no click: such rows stay out of the buckets and are put back at the end.
+
     ``deliveries`` need user_id and sent_at, ``clicks`` user_id, click_id and click_ts.
     A user's time line is cut into horizon-long buckets; a delivery looks into its own
     bucket and the next, so each click is put into two. Inside a bucket one pass from
@@ -27,10 +29,11 @@ def attribute_clicks(deliveries: DataFrame, clicks: DataFrame, horizon_seconds:
     """
     h = horizon_seconds * 1_000_000
     no_click = F.lit(None).cast(clicks.schema["click_id"].dataType)
-    left = deliveries.select(F.col("user_id").alias("_u"), micros("sent_at").alias("_at"),
+    known = F.col("user_id").isNotNull() & F.col("sent_at").isNotNull()
+    left = deliveries.filter(known).select(F.col("user_id").alias("_u"), micros("sent_at").alias("_at"),
                              F.struct(*deliveries.columns).alias("_d"), no_click.alias("_id"))
     left = left.withColumn("_b", F.floor(F.col("_at") / h))
-    click = clicks.filter(F.col("click_ts").isNotNull()).withColumn("_at", micros("click_ts"))
+    click = clicks.filter(F.col("user_id").isNotNull() & F.col("click_ts").isNotNull()).withColumn("_at", micros("click_ts"))
     bucket = F.floor(F.col("_at") / h)
     right = click.select(F.col("user_id").alias("_u"), "_at", F.lit(None).cast(left.schema["_d"].dataType).alias("_d"),
                          F.col("click_id").alias("_id"), F.explode(F.array(bucket, bucket - 1)).alias("_b"))
@@ -39,9 +42,11 @@ def attribute_clicks(deliveries: DataFrame, clicks: DataFrame, horizon_seconds:
             .rowsBetween(W.unboundedPreceding, W.currentRow))
     met = F.last(F.when(F.col("_d").isNull(), F.struct("_at", "_id")), ignorenulls=True).over(back)
     near = F.col("_f._at") - F.col("_at") <= h
-    return (left.unionByName(right).withColumn("_f", met).filter(F.col("_d").isNotNull())
-            .select("_d.*", F.when(near, F.col("_f._id")).alias("click_id"),
-                    F.when(near, F.timestamp_micros(F.col("_f._at"))).alias("click_ts")))
+    found = (left.unionByName(right).withColumn("_f", met).filter(F.col("_d").isNotNull())
+             .select("_d.*", F.when(near, F.col("_f._id")).alias("click_id"),
+                     F.when(near, F.timestamp_micros(F.col("_f._at"))).alias("click_ts")))
+    alone = deliveries.filter(~known).withColumns({"click_id": no_click, "click_ts": F.lit(None).cast("timestamp")})
+    return found.unionByName(alone)
 
 
 def delivery_log(attributed: DataFrame) -> DataFrame:
@@ -52,16 +57,26 @@ def delivery_log(attributed: DataFrame) -> DataFrame:
         ~F.col("failed"), F.col("sent_at"))).withColumn("click_time", F.when(~F.col("failed"), F.col("click_ts")))
 
 
+def quarantined(df: DataFrame, *times: str) -> DataFrame:
+    """Rows that ``dedup_within`` and ``throttle`` leave out, since a time that they need is NULL."""
+    missing = F.lit(False)
+    for c in times:
+        missing = missing | F.col(c).isNull()
+    return df.filter(missing)
+
+
 def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int = DAY) -> DataFrame:
     """Keep a row unless a kept row of the same key lies less than the window before it.
 
+    Rows without a time can't be placed and are left out; ``quarantined`` gives them.
+
     The first row of a key and every row at least one window after the row before it are
     kept whatever came earlier; they start a run. Only rows inside a run depend on the
     fold. Runs, not keys, are the unit of work, so a key with many copies spreads out as
     soon as it pauses once, and a task reads its runs as a stream with one number of state.
     """
     width = window_seconds * 1_000_000
-    rows = df.withColumn("_at", micros(ts))
+    rows = df.filter(F.col(ts).isNotNull()).withColumn("_at", micros(ts))
     # Copies at the very same time: only the first by ``tie`` can be kept.
     first = W.partitionBy(key, "_at").orderBy(tie)
     rows = rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
@@ -105,13 +120,15 @@ def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "
              min_gap_seconds: int = 40) -> DataFrame:
     """Alerts that are shown: text not yet shown in the session, and the gap since the last alert kept.
 
+    Alerts without a time or a session start are left out; ``quarantined`` gives them.
+
     A session is a user and a session start; the first alert is measured from that start.
     What is shown depends on all that was shown before, so the rows of a session are read
     in time order as a stream; the state is the last alert time and the texts shown,
     never the rows. A busy user is spread over the tasks by session.
     """
     gap = min_gap_seconds * 1_000_000
-    rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).withColumn("_at", micros(ts)).withColumn(
+    rows = df.filter(F.col(text).isNotNull() & (F.col(text) != "") & F.col(ts).isNotNull() & F.col(start).isNotNull()).withColumn("_at", micros(ts)).withColumn(
         "_begin", micros(start))
     cols = df.columns
 

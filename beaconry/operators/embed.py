@@ -95,9 +95,11 @@ def changed_rows(current: DataFrame, stored: DataFrame, key: str, cols: Sequence
 
 
 def delta_embeddings(stored: DataFrame, current: DataFrame, key: str, cols: Sequence[str], dim: int) -> DataFrame:
-    """Stored (key, content_hash, embedding) brought up to date; unchanged texts are not embedded again."""
+    """Stored (key, content_hash, embedding) brought up to date; unchanged texts are not embedded again, rows gone from
+    ``current`` go."""
     fresh = embed_text(changed_rows(current, stored, key, cols), cols, dim)
-    return upsert_merge(stored.select(key, "content_hash", "embedding"),
+    still = stored.select(key, "content_hash", "embedding").join(current.select(key), key, "left_semi")
+    return upsert_merge(still,
                         fresh.select(key, "content_hash", "embedding"), [key], ["content_hash", "embedding"])
 
 
@@ -109,8 +111,11 @@ def affected_users(purchases: DataFrame, new_purchases: DataFrame, changed_produ
 
 def refresh_user_embeddings(stored: DataFrame, users: DataFrame, purchases: DataFrame, new_purchases: DataFrame,
                             product_vectors: DataFrame, changed_products: DataFrame, k: int, dim: int) -> DataFrame:
-    """User vectors after a delta: only affected users are computed again."""
-    who = affected_users(purchases, new_purchases, changed_products, k)
+    """User vectors after a delta, equal to a full computation: only affected users and users not stored yet are computed
+    again, users who are gone go."""
+    added = users.select("user_id").join(stored.select("user_id"), "user_id", "left_anti")
+    who = affected_users(purchases, new_purchases, changed_products, k).unionByName(added).distinct()
+    stored = stored.join(users.select("user_id"), "user_id", "left_semi")
     part = user_embeddings(users.join(who, "user_id", "left_semi"), purchases.join(who, "user_id", "left_semi"),
                            product_vectors, k, dim)
     return upsert_merge(stored.select("user_id", "embedding"), part, ["user_id"], ["embedding"])

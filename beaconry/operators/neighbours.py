@@ -30,7 +30,7 @@ def interactions(events: DataFrame, kinds: list[str], item: str = "product_id")
 def profiles(inter: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(user, profile) and one row per profile: items, size, members, lowest member."""
     per_user = inter.groupBy("user_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    keyed = per_user.withColumn("profile", F.sha2(F.concat_ws(",", F.col("items").cast("array<string>")), 256))
+    keyed = per_user.withColumn("profile", F.sha2(F.to_json("items"), 256))
     keyed = cut(keyed)
     per_profile = keyed.groupBy("profile").agg(
         F.any_value("items").alias("items"), F.count("*").alias("members"), F.min("user_id").alias("lowest"))

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from beaconry.session import cut
 
-SMALL_SIDE = 50_000  # groups whose brackets may be broadcast
-
 
 def key_profile(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Distinct keys and rows; the second level adds up one row per key."""
@@ -57,9 +55,10 @@ def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Seque
         F.when(few | F.lit(p >= 1 - slack), F.col("_max")).otherwise(F.col("_e")[2 * i + 1]).alias("hi"))
         for i, p in enumerate(probs)])
     brackets = cut(sketch.select(*keys, "_n", wanted.alias("_w")))
-    # One row per group; with few groups the rows need no shuffle to meet them.
-    side = F.broadcast(brackets) if not by or brackets.count() <= SMALL_SIDE else brackets
-    cells = rows.join(side, keys).select(*keys, "_v", "_n", F.inline("_w")).filter(F.col("_v") <= F.col("hi"))
+    # One row per group, also for a NULL one; without groups a single row. Spark chooses the join by its size.
+    side = brackets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n", "_w")
+    met = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    cells = rows.join(side if by else F.broadcast(side), met).select(*keys, "_v", "_n", F.inline("_w")).filter(F.col("_v") <= F.col("hi"))
     inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
     counted = cells.groupBy(*keys, "prob", "_n", inside.alias("_v")).agg(F.count("*").alias("_c"))
     upto = W.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(

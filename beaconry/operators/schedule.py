@@ -19,44 +19,55 @@ def slot_order(user: Column, slots: Column | None = None) -> Column:
     return F.transform(F.sort_array(keyed), lambda x: x["s"])
 
 
-def schedule_rows(ranked: DataFrame, as_of: str, max_per_day: int = MAX_PER_DAY, score: str = "similarity_score") -> DataFrame:
-    """First ``max_per_day`` recommendations of each user, each with its own hour slot."""
-    return ranked.filter(F.col("rank") <= max_per_day).select(
-        "user_id", F.lit(as_of).cast("date").alias("date"),
-        F.coalesce(F.col("campaign_id"), F.lit("UNKNOWN")).alias("campaign_id"),
-        F.get(slot_order(F.col("user_id")), (F.col("rank") - 1).cast("int")).cast("bigint").alias("timeslot"),
-        C.first_truthy_number([score]).alias("score"), "rank")
+def assign_slots(ranked: DataFrame, as_of: str, max_per_day: int = MAX_PER_DAY, score: str = "similarity_score") -> DataFrame:
+    """One record per user and date with the list of {campaign_id, timeslot, score}.
 
-
-def assign_slots(ranked: DataFrame, as_of: str, max_per_day: int = MAX_PER_DAY) -> DataFrame:
-    """One record per user and date with the list of {campaign_id, timeslot, score}."""
-    entry = F.struct("rank", "campaign_id", "timeslot", "score")
-    return schedule_rows(ranked, as_of, max_per_day).groupBy("user_id", "date").agg(
-        F.transform(F.sort_array(F.collect_list(entry)), lambda x: x.dropFields("rank")).alias("schedule"))
+    The first ``max_per_day`` recommendations get an hour slot each; the slots of a user are shuffled once.
+    """
+    entry = F.struct("rank", F.coalesce(F.col("campaign_id"), F.lit("UNKNOWN")).alias("campaign_id"),
+                     C.first_truthy_number([score]).alias("score"))
+    lists = ranked.filter(F.col("rank") <= max_per_day).groupBy("user_id").agg(F.sort_array(F.collect_list(entry)).alias("_l"))
+    slotted = lists.withColumn("_slots", slot_order(F.col("user_id")))
+    return slotted.select("user_id", F.lit(as_of).cast("date").alias("date"), F.transform("_l", lambda x: F.struct(
+        x["campaign_id"].alias("campaign_id"), F.get("_slots", (x["rank"] - 1).cast("int")).cast("bigint").alias("timeslot"),
+        x["score"].alias("score"))).alias("schedule"))
 
 
 def hour_of(c: Column) -> Column:
     return F.split_part(c, F.lit(":"), F.lit(1)).try_cast("int")
 
 
+def free_hours(s: Column, e: Column) -> Column:
+    """Hours outside the quiet ones: from ``s`` up to ``e``, over midnight if ``e`` is not after ``s``; all if either is NULL."""
+    hours = F.sequence(F.lit(0), F.lit(SLOTS - 1))
+    return (F.when(s.isNull() | e.isNull(), hours).when(s < e, F.filter(hours, lambda h: (h < s) | (h >= e)))
+            .otherwise(F.filter(hours, lambda h: (h < s) & (h >= e))))
+
+
+def quiet_bounds(start: Column, end: Column) -> tuple[Column, Column]:
+    """First quiet hour and the hour after the last; an end with minutes (08:30) also bars its own hour. NULL if nothing is barred."""
+    minutes = F.split_part(end, F.lit(":"), F.lit(2)).try_cast("int")
+    return F.when(start != end, hour_of(start)), hour_of(end) + F.when(minutes > 0, 1).otherwise(0)
+
+
 def is_quiet(slot: Column, start: Column, end: Column) -> Column:
-    """Whether the hour starting at ``slot`` touches the quiet time; it may cross midnight.
+    """Whether the hour starting at ``slot`` touches the quiet time; it may cross midnight."""
+    return ~F.array_contains(free_hours(*quiet_bounds(start, end)), slot.cast("int"))
 
-    Hours before ``end`` are quiet, so 22:00-08:00 bars 22, 23 and 0 to 7. An end with
-    minutes (08:30) also bars its own hour.
-    """
-    s = hour_of(start)
-    e = hour_of(end) + F.when(F.split_part(end, F.lit(":"), F.lit(2)).try_cast("int") > 0, 1).otherwise(0)
-    return F.when(start == end, F.lit(False)).when(s < e, (slot >= s) & (slot < e)).otherwise((slot >= s) | (slot < e))
 
+def with_slots(users: DataFrame) -> DataFrame:
+    """Add ``slots``: free hours, the user's preferred times first (in order of day), then a repeatable shuffle.
 
-def allowed_slots(user: Column, quiet_start: Column, quiet_end: Column, preferred: Column) -> Column:
-    """Free hours, the user's preferred times first (in order of day), then a repeatable shuffle."""
-    free = F.filter(F.sequence(F.lit(0), F.lit(SLOTS - 1)),
-                    lambda s: ~F.coalesce(is_quiet(s, quiet_start, quiet_end), F.lit(False)))
-    likes = F.sort_array(F.transform(F.coalesce(preferred, F.array().cast("array<string>")), hour_of))
-    first = F.array_intersect(likes, free)
-    return F.concat(first, slot_order(user, F.array_except(free, first)))
+    ``users``: user_id, quiet_start, quiet_end, preferred_times. Hours before the end are quiet, so 22:00-08:00 bars 22, 23
+    and 0 to 7; equal times bar nothing. Each step is a column of its own, so that it is computed once per user.
+    """
+    start, end = quiet_bounds(F.col("quiet_start"), F.col("quiet_end"))
+    free = users.withColumns({"_s": start, "_e": end}).withColumn("_free", free_hours(F.col("_s"), F.col("_e")))
+    likes = F.sort_array(F.transform(F.coalesce("preferred_times", F.array().cast("array<string>")), hour_of))
+    first = free.withColumn("_first", F.array_intersect(likes, F.col("_free"))).withColumn(
+        "_rest", F.array_except("_free", "_first"))
+    return first.withColumn("slots", F.concat("_first", slot_order(F.col("user_id"), F.col("_rest")))).drop(
+        "_s", "_e", "_free", "_first", "_rest")
 
 
 def constraint_error(constraints: DataFrame, counts: DataFrame | None = None) -> DataFrame:
@@ -76,20 +87,25 @@ def constraint_error(constraints: DataFrame, counts: DataFrame | None = None) ->
         "status", F.when(F.col("error_code").isNull(), "success").otherwise("error"))
 
 
+def live_on(campaigns: DataFrame, date: str) -> DataFrame:
+    return campaigns.filter(F.lit(date).cast("date").between(F.col("start_date"), F.col("end_date")))
+
+
 def plan_schedule(ranked: DataFrame, constraints: DataFrame, campaigns: DataFrame, date: str) -> DataFrame:
     """Schedule of one day under each user's constraints.
 
     ``constraints``: user_id, max_notifications_per_day, quiet_start, quiet_end,
-    preferred_times, blackout_dates. Campaigns whose dates cover the day are ordered by
-    priority, then score; the i-th gets the i-th allowed slot; ``sequence`` is by time.
+    preferred_times, blackout_dates. ``ranked`` should be ranked among the campaigns of the day only (see ``live_on``):
+    a cut made over all campaigns leaves users short. Campaigns whose dates cover the day are ordered by priority,
+    then score; the i-th gets the i-th allowed slot; ``sequence`` is by time.
     """
     day = F.lit(date).cast("date")
     ok = constraint_error(constraints).filter("status = 'success'").filter(
         ~F.array_contains(F.coalesce("blackout_dates", F.array().cast("array<date>")), day))
-    rules = ok.select(
-        "user_id", F.least("max_notifications_per_day", F.lit(MAX_PER_DAY)).alias("_max"),
-        allowed_slots(F.col("user_id"), F.col("quiet_start"), F.col("quiet_end"), F.col("preferred_times")).alias("_slots"))
-    live = campaigns.filter(day.between(F.col("start_date"), F.col("end_date"))).select("campaign_id", "priority")
+    # Spread by user, as the join below needs: a table of few files is slotted by all tasks.
+    rules = with_slots(ok.repartition("user_id")).select(
+        "user_id", F.least("max_notifications_per_day", F.lit(MAX_PER_DAY)).alias("_max"), F.slice("slots", 1, MAX_PER_DAY).alias("_slots"))
+    live = live_on(campaigns, date).select("campaign_id", "priority")
     w = W.partitionBy("user_id").orderBy(F.col("priority").desc(), F.col("similarity_score").desc(), "campaign_id")
     placed = (ranked.select("user_id", "campaign_id", "similarity_score").join(live, "campaign_id")
               .withColumn("_i", F.row_number().over(w)).filter(F.col("_i") <= MAX_PER_DAY)

@@ -6,15 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_N, MAX_N = 10, 20
-# Numeric priority to the text of the reply.
-PRIORITY_TEXT = {3: "low", 4: "medium", 5: "high"}
 
 
 def priority_text(c: Column) -> Column:
-    out = None
-    for number, text in PRIORITY_TEXT.items():
-        out = F.when(c == number, text) if out is None else out.when(c == number, text)
-    return out
+    """Text of a numeric priority: 4 is medium, all below low, all above high; NULL stays NULL."""
+    return F.when(c < 4, "low").when(c == 4, "medium").when(c > 4, "high")
 
 
 def wanted(n: Column) -> Column:
@@ -35,9 +31,11 @@ def overlapping(ranked: DataFrame) -> DataFrame:
 
 
 def request_status(requests: DataFrame, user_vectors: DataFrame, campaigns_ready: bool = True) -> DataFrame:
-    """status and error_code per request: missing user id, unknown user, no vector, no campaigns."""
+    """status and error_code per request: missing user id or a number out of bounds, unknown user, no vector,
+    no campaigns."""
     known = user_vectors.select("user_id", F.coalesce(F.size("embedding") > 0, F.lit(False)).alias("_has"))
-    code = (F.when(F.col("user_id").isNull(), "INVALID_REQUEST")
+    number = F.col("num_recommendations") if "num_recommendations" in requests.columns else F.lit(None).cast("int")
+    code = (F.when(F.col("user_id").isNull() | F.coalesce((number < 1) | (number > MAX_N), F.lit(False)), "INVALID_REQUEST")
             .when(F.col("_has").isNull(), "USER_NOT_FOUND")
             .when(~F.col("_has"), "EMBEDDING_NOT_AVAILABLE"))
     if not campaigns_ready:

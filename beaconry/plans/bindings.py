@@ -24,6 +24,14 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
+    @cached_property
+    def n_vectors(self) -> int:
+        return self.raw("embeddings").count()
+
+    @cached_property
+    def n_campaigns(self) -> int:
+        return self.raw("benchmark").count()
+
     @cached_property
     def products(self) -> DataFrame:
         return self.raw("part").selectExpr(
@@ -60,7 +68,7 @@ class Tables:
     @cached_property
     def product_vectors(self) -> DataFrame:
         e = self.raw("embeddings").select("vec_id", "embedding")
-        return self.raw("part").select("p_partkey").join(e, F.col("vec_id") == F.col("p_partkey") % 500).select(
+        return self.raw("part").select("p_partkey").join(e, F.col("vec_id") == F.col("p_partkey") % self.n_vectors).select(
             F.col("p_partkey").alias("product_id"), "embedding")
 
     @cached_property
@@ -87,7 +95,7 @@ class Tables:
         """Views stand for delivered notifications, one campaign each."""
         return self.raw("events").filter("event_type = 'view'").selectExpr(
             "event_id AS notification_id", "user_id",
-            "concat('C', CAST(get_json_object(props, '$.k') AS BIGINT) % 40 + 1) AS campaign_id",
+            f"concat('C', (CAST(get_json_object(props, '$.k') AS BIGINT) + 100 * (event_id % 10)) % {self.n_campaigns} + 1) AS campaign_id",
             "date_trunc('minute', ts) AS scheduled_time", "CAST(ts AS TIMESTAMP) AS sent_at",
             "CAST(get_json_object(props, '$.k') AS BIGINT) % 17 = 0 AS failed")
 
@@ -108,13 +116,21 @@ class Tables:
 
         return campaign_topk(self.user_vectors, self.campaign_vectors, 10)
 
+    def ranked_on(self, date: str) -> DataFrame:
+        """The ten best of the campaigns whose dates cover the day."""
+        from beaconry.operators.campaigns import campaign_topk
+        from beaconry.operators.schedule import live_on
+
+        live = self.campaign_vectors.join(live_on(self.campaigns, date).select("campaign_id"), "campaign_id", "left_semi")
+        return campaign_topk(self.user_vectors, live, 10)
+
     @cached_property
     def requests(self) -> DataFrame:
         """One request per event: ids beyond the known users, missing ids, lists and windows included."""
         return self.raw("events").selectExpr(
             "event_id AS request_id", "CASE WHEN event_id % 11 = 10 THEN NULL ELSE user_id * 11 END AS user_id",
             "CAST(nullif(event_id % 25, 0) AS INT) AS num_recommendations",
-            "array(concat('C', event_id % 40 + 1), concat('C', event_id % 7 + 1)) AS exclude_campaign_ids",
+            f"array(concat('C', event_id % {self.n_campaigns} + 1), concat('C', event_id % 7 + 1)) AS exclude_campaign_ids",
             "CASE WHEN event_id % 3 > 0 THEN CAST(ts AS DATE) END AS window_start",
             "CASE WHEN event_id % 3 > 1 THEN date_add(CAST(ts AS DATE), 2) END AS window_end")
 
@@ -153,7 +169,7 @@ SQL_VIEWS: dict[str, str] = {
                    "DATE '2023-12-20' + CAST(item_id % 30 AS INT) AS start_date, "
                    "DATE '2023-12-20' + CAST(item_id % 30 + 14 AS INT) AS end_date, item_id AS vec_id FROM benchmark",
     "product_vectors_v": "SELECT p_partkey AS product_id, CAST(embedding AS DOUBLE[]) AS embedding FROM part "
-                         "JOIN embeddings ON vec_id = p_partkey % 500",
+                         "JOIN embeddings ON vec_id = p_partkey % (SELECT count(*) FROM embeddings)",
     "campaign_vectors_v": "SELECT concat('C', item_id + 1) AS campaign_id, CAST(embedding AS DOUBLE[]) AS embedding "
                           "FROM benchmark JOIN embeddings ON vec_id = item_id",
     "clicks_v": "SELECT event_id, ts, user_id, CASE event_type WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_type, "
@@ -162,7 +178,7 @@ SQL_VIEWS: dict[str, str] = {
     "interactions_v": "SELECT DISTINCT user_id, product_id AS item_id FROM clicks_v "
                       "WHERE event_type IN ('add_to_cart','purchase')",
     "deliveries_v": "SELECT event_id AS notification_id, user_id, "
-                    "concat('C', CAST(json_extract_string(props, '$.k') AS BIGINT) % 40 + 1) AS campaign_id, "
+                    "concat('C', (CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 * (event_id % 10)) % (SELECT count(*) FROM benchmark) + 1) AS campaign_id, "
                     "date_trunc('minute', ts) AS scheduled_time, ts AS sent_at, "
                     "CAST(json_extract_string(props, '$.k') AS BIGINT) % 17 = 0 AS failed FROM events WHERE event_type = 'view'",
     "click_times_v": "SELECT event_id AS click_id, user_id, ts AS click_ts FROM events WHERE event_type = 'click'",
@@ -176,6 +192,8 @@ SQL_VIEWS: dict[str, str] = {
                 "LEFT JOIN user_blocks_v b ON b.user_id = u.user_id AND b.rn = 1 LEFT JOIN user_norms_v n ON n.user_id = u.user_id",
     "ranked_v": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity_score DESC, campaign_id) AS rank "
                 "FROM scores_v) WHERE rank <= 10",
+    "ranked_live_v": "SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY user_id ORDER BY similarity_score DESC, campaign_id) AS rank "
+                     "FROM scores_v s JOIN campaigns_v USING (campaign_id) WHERE DATE '2024-01-05' BETWEEN start_date AND end_date) WHERE rank <= 10",
     "sizes_v": "SELECT user_id, count(*) AS n FROM interactions_v GROUP BY user_id",
     "pairs_v": "SELECT p.u AS user_id, p.v AS neighbour, p.shared, a.n AS n_u, b.n AS n_v, "
                "p.shared / sqrt(CAST(a.n * b.n AS DOUBLE)) AS similarity FROM (SELECT x.user_id AS u, y.user_id AS v, "
@@ -192,7 +210,7 @@ SQL_VIEWS: dict[str, str] = {
                  "WHERE NOT EXISTS (SELECT 1 FROM interactions_v s WHERE s.user_id = u.user_id AND s.item_id = i.item_id))) WHERE rank <= 100",
     "requests_v": "SELECT event_id AS request_id, CASE WHEN event_id % 11 = 10 THEN NULL ELSE user_id * 11 END AS user_id, "
                   "CAST(nullif(event_id % 25, 0) AS INT) AS num_recommendations, "
-                  "[concat('C', event_id % 40 + 1), concat('C', event_id % 7 + 1)] AS exclude_campaign_ids, "
+                  "[concat('C', event_id % (SELECT count(*) FROM benchmark) + 1), concat('C', event_id % 7 + 1)] AS exclude_campaign_ids, "
                   "CASE WHEN event_id % 3 > 0 THEN CAST(ts AS DATE) END AS window_start, "
                   "CASE WHEN event_id % 3 > 1 THEN CAST(ts AS DATE) + 2 END AS window_end FROM events",
     "constraints_v": "SELECT user_id, CAST(1 + user_id % 6 AS INT) AS max_notifications_per_day, "
@@ -207,7 +225,7 @@ SQL_VIEWS: dict[str, str] = {
     "plan_v": "SELECT user_id, DATE '2024-01-05' AS schedule_date, row_number() OVER (PARTITION BY user_id ORDER BY slot) AS sequence, "
               "campaign_id, priority, similarity_score, slot AS timeslot FROM (SELECT r.user_id, r.campaign_id, c.priority, r.similarity_score, "
               "row_number() OVER (PARTITION BY r.user_id ORDER BY c.priority DESC, r.similarity_score DESC, r.campaign_id) AS i "
-              "FROM ranked_v r JOIN campaigns_v c USING (campaign_id) WHERE DATE '2024-01-05' BETWEEN c.start_date AND c.end_date) "
+              "FROM ranked_live_v r JOIN campaigns_v c USING (campaign_id)) "
               "JOIN constraints_v USING (user_id) JOIN free_slots_v f USING (user_id, i) "
               "WHERE i <= max_notifications_per_day AND max_notifications_per_day <= 5 AND NOT blacked_out",
     "attributed_v": "SELECT d.*, k.click_id, k.click_ts FROM deliveries_v d LEFT JOIN (SELECT * FROM (SELECT d.notification_id, c.click_id, c.click_ts, "

@@ -131,18 +131,26 @@ def join_anti_seen(t):
     return CF.cf_scores(t.interactions)
 
 
-@query("join_exclude", """SELECT request_id, campaign_id FROM requests_v r JOIN ranked_v k ON k.user_id = r.user_id
-    WHERE NOT list_contains(r.exclude_campaign_ids, k.campaign_id)""")
+@query("join_exclude", """SELECT request_id, campaign_id FROM (SELECT r.request_id, k.campaign_id, row_number() OVER (PARTITION BY r.request_id
+    ORDER BY similarity_score DESC, k.campaign_id) AS rank FROM requests_v r JOIN scores_v k ON k.user_id = r.user_id
+    WHERE NOT list_contains(r.exclude_campaign_ids, k.campaign_id)) WHERE rank <= 10""")
 def join_exclude(t):
-    hits = t.requests.select("request_id", "user_id").join(t.ranked.select("user_id", "campaign_id"), "user_id")
-    return serving.exclude_campaigns(hits, t.requests).select("request_id", "campaign_id")
+    """The ten best campaigns of a request among those it does not exclude."""
+    asked = t.requests.withColumns({"window_start": F.lit(None).cast("date"), "window_end": F.lit(None).cast("date"),
+                                    "num_recommendations": F.lit(10)})
+    served = K.serve_requests(asked, t.user_vectors, t.campaigns, t.campaign_vectors).select("request_id", "campaign_id")
+    return serving.exclude_campaigns(served, t.requests).select("request_id", "campaign_id")
 
 
-@query("join_window_overlap", """SELECT request_id, k.campaign_id FROM requests_v r JOIN ranked_v k ON k.user_id = r.user_id
+@query("join_window_overlap", """SELECT request_id, campaign_id FROM (SELECT r.request_id, k.campaign_id, row_number() OVER (PARTITION BY r.request_id
+    ORDER BY similarity_score DESC, k.campaign_id) AS rank FROM requests_v r JOIN scores_v k ON k.user_id = r.user_id
     JOIN campaigns_v c ON c.campaign_id = k.campaign_id WHERE (window_end IS NULL OR start_date <= window_end)
-    AND (window_start IS NULL OR window_start <= end_date)""")
+    AND (window_start IS NULL OR window_start <= end_date)) WHERE rank <= 10""")
 def join_window_overlap(t):
-    hits = t.requests.join(t.ranked.select("user_id", "campaign_id"), "user_id").join(
+    """The ten best campaigns of a request among those that run in its window."""
+    asked = t.requests.withColumns({"exclude_campaign_ids": F.array().cast("array<string>"), "num_recommendations": F.lit(10)})
+    served = K.serve_requests(asked, t.user_vectors, t.campaigns, t.campaign_vectors).select("request_id", "campaign_id")
+    hits = served.join(asked.select("request_id", "window_start", "window_end"), "request_id").join(
         t.campaigns.select("campaign_id", "start_date", "end_date"), "campaign_id")
     return serving.overlapping(hits).select("request_id", "campaign_id")
 
@@ -291,13 +299,13 @@ def agg_key_unique(t):
     return profile.key_profile(t.purchases, ["purchase_id"])
 
 
-@query("agg_null_counts", """WITH d AS (SELECT doc_id, source, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))
-    SELECT 'doc_id' AS column_name, count(*) - count(doc_id) AS nulls, count(doc_id) AS non_nulls FROM d
-    UNION ALL SELECT 'source', count(*) - count(source), count(source) FROM d
-    UNION ALL SELECT 'quality', count(*) - count(quality), count(quality) FROM d
-    UNION ALL SELECT 'toxic', count(*) - count(toxic), count(toxic) FROM d""")
+NULLS = "SELECT '{c}' AS column_name, count(*) - count({c}) AS nulls, count({c}) AS non_nulls FROM d"
+
+
+@query("agg_null_counts", "WITH d AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id)) " + " UNION ALL ".join(
+    NULLS.format(c=c) for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")))
 def agg_null_counts(t):
-    df = t.raw("documents").select("doc_id", "source").join(t.raw("labels"), "doc_id", "left")
+    df = t.raw("documents").join(t.raw("labels"), "doc_id", "left")
     return profile.null_profile(df)
 
 
@@ -355,9 +363,9 @@ def win_neighbours(t):
     return rounded(neighbours.neighbours(t.interactions), similarity=8)
 
 
-@query("win_top_n_items", "SELECT user_id, item_id, score, rank FROM cf_topn_v WHERE rank <= 20")
+@query("win_top_n_items", "SELECT user_id, item_id, score, rank FROM cf_topn_v WHERE rank <= 100")
 def win_top_n_items(t):
-    return CF.cf_topn(t.interactions, t.items, n=20)
+    return CF.cf_topn(t.interactions, t.items, n=100)
 
 
 RANKED_COLS = ["user_id", "campaign_id", "similarity_score", "rank"]
@@ -381,12 +389,12 @@ def win_rank_col(t):
 def versions(t):
     """Stored vectors of all events' users: one version per event type, updated at the event time."""
     e = t.raw("events").select("user_id", F.col("event_type").alias("version"), F.col("ts").alias("last_updated"),
-                               (F.col("event_id") % 500).alias("vec_id"))
+                               (F.col("event_id") % t.n_vectors).alias("vec_id"))
     return e.join(t.raw("embeddings").select("vec_id", "embedding"), "vec_id")
 
 
 VERSIONS = """SELECT user_id, version, vec_id, CAST(64 AS BIGINT) AS embedding_dimension FROM (SELECT user_id, event_type AS version,
-    event_id % 500 AS vec_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events {w}) WHERE rn = 1"""
+    event_id % (SELECT count(*) FROM embeddings) AS vec_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events {w}) WHERE rn = 1"""
 
 
 @query("win_latest_version", VERSIONS.format(w=""))

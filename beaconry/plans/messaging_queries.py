@@ -162,9 +162,10 @@ def rec_validate_clean(t):
     return all_rows.agg(F.count(F.when(F.col("issue") == 0, 1)).alias("n_records"), F.coalesce(F.sum("issue"), F.lit(0)).alias("n_issues"))
 
 
-@query("rec_filters", """SELECT request_id, user_id, rank, campaign_id, similarity_score, campaign_name, priority, estimated_ctr FROM (SELECT r.request_id, r.user_id,
+@query("rec_filters", """SELECT request_id, user_id, rank, campaign_id, similarity_score, campaign_name, priority, estimated_ctr, time_window_start, time_window_end FROM (SELECT r.request_id, r.user_id,
     row_number() OVER (PARTITION BY request_id ORDER BY similarity_score DESC, s.campaign_id) AS rank, s.campaign_id, similarity_score, c.name AS campaign_name,
-    CASE c.priority WHEN 3 THEN 'low' WHEN 4 THEN 'medium' WHEN 5 THEN 'high' END AS priority, round(ctr, 6) AS estimated_ctr,
+    CASE WHEN c.priority < 4 THEN 'low' WHEN c.priority = 4 THEN 'medium' ELSE 'high' END AS priority, round(ctr, 6) AS estimated_ctr,
+    strftime(start_date, '%Y-%m-%dT00:00:00Z') AS time_window_start, strftime(end_date, '%Y-%m-%dT23:59:59Z') AS time_window_end,
     least(coalesce(num_recommendations, 10), 20) AS wanted FROM requests_v r JOIN scores_v s ON s.user_id = r.user_id JOIN campaigns_v c ON c.campaign_id = s.campaign_id
     LEFT JOIN (SELECT campaign_id, avg((click_ts IS NOT NULL)::INT) AS ctr FROM attributed_v GROUP BY 1) x ON x.campaign_id = s.campaign_id
     WHERE (window_end IS NULL OR start_date <= window_end) AND (window_start IS NULL OR window_start <= end_date)
@@ -199,7 +200,7 @@ PLAN_DAY = "2024-01-05"
 
 
 def plan(t):
-    return schedule.plan_schedule(t.ranked, t.constraints, t.campaigns, PLAN_DAY)
+    return schedule.plan_schedule(t.ranked_on(PLAN_DAY), t.constraints, t.campaigns, PLAN_DAY)
 
 
 @query("sch_plan", """SELECT user_id, schedule_date, sequence, campaign_id, priority, similarity_score, timeslot,

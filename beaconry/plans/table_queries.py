@@ -153,7 +153,7 @@ def snk_ensure_table(t):
 def snk_batch_writer(t):
     path = scratch_path(t.spark, "chunks")
     df = t.purchases.groupBy("user_id", "product_id").agg(F.count("*").alias("times_purchased"))
-    tables.foreach_partition_sink(df, parquet_chunks(path), chunk=5000)
+    tables.foreach_partition_sink(df, parquet_chunks(path, df.schema), chunk=5000)
     return t.spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,6 +74,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme Spark would use, so that executors resolve it as the driver does."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
+
+
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Create an empty table when the path is missing; return the table."""
     if not path_exists(spark, path):
@@ -80,17 +87,22 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def foreach_partition_sink(df: DataFrame, writer: Callable[[list[Row]], None], chunk: int = 500) -> None:
-    """Hand rows to an external store from the executors, ``chunk`` rows per call."""
+def foreach_partition_sink(df: DataFrame, writer: Callable[[list[Row], str], None], chunk: int = 500) -> None:
+    """Hand rows to an external store from the executors, ``chunk`` rows per call.
+
+    Each chunk comes with a name made of partition and number, the same when a lost task runs again, so equal
+    chunks stay apart and a repeated one can replace itself.
+    """
     def send(rows: Iterable[Row]) -> None:
-        batch: list[Row] = []
+        part = TaskContext.get().partitionId()
+        number, batch = 0, []
         for row in rows:
             batch.append(row)
             if len(batch) == chunk:
-                writer(batch)
-                batch = []
+                writer(batch, f"{part:06d}-{number:06d}")
+                number, batch = number + 1, []
         if batch:
-            writer(batch)
+            writer(batch, f"{part:06d}-{number:06d}")
 
     df.foreachPartition(send)
 

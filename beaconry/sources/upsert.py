@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beaconry.sources.tables import keep_latest, path_exists
@@ -43,17 +43,36 @@ def key_bucket(key: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of key buckets a table was laid out with; NULL without a table."""
+    layout = f"{path.rstrip('/')}/_layout"
+    return spark.read.schema("buckets int").json(layout).first()["buckets"] if path_exists(spark, layout) else None
+
+
 def upsert_table(path: str, delta: DataFrame, key: Sequence[str],
-                 order: Sequence[Column | str], buckets: int = 64) -> None:
+                 order: Sequence[Column | str], buckets: int | None = None) -> None:
     """Replace items of a stored table, rewriting only the key buckets the delta touches.
 
+    The number of buckets is a property of the table, kept beside its data (64 unless given at first); another number
+    later is an error, since a key would then have two places.
+
     The table is laid out by key bucket. Untouched buckets are neither read nor
     written; the overwrite of the touched ones is staged by the commit protocol, so a
     lost executor leaves the old files in place.
     """
     spark = delta.sparkSession
+    known = stored_buckets(spark, path)
+    if known is not None and buckets not in (None, known):
+        raise ValueError(f"{path} is laid out in {known} buckets, not {buckets}")
+    if known is None:
+        if path_exists(spark, path):
+            raise ValueError(f"{path} holds a table of unknown layout")
+        buckets = buckets or 64
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.json(f"{path.rstrip('/')}/_layout")
+    else:
+        buckets = known
     new = delta.withColumn("_bucket", key_bucket(key, buckets))
-    if path_exists(spark, path):
+    if known is not None:
         # At most ``buckets`` small numbers reach the driver; they prune the scan.
         hit = [r[0] for r in new.select("_bucket").distinct().collect()]
         base = spark.read.parquet(path).filter(F.col("_bucket").isin(hit))
