@@ -36,7 +36,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def text_blocks(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with about ``most`` bytes in column ``text``, and these texts as UTF-8 (null: empty)."""
     for batch in batches:
         texts = [t.encode() if t is not None else b"" for t in batch.column("text").to_pylist()]
