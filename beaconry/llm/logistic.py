@@ -16,6 +16,11 @@ def bounded(rows: DataFrame, key: str, label: str, most: int) -> DataFrame:
     return rows.where(place < share)
 
 
+def matrix(rows: list) -> np.ndarray:
+    """Rows of equal length as a matrix; none make one without columns."""
+    return np.array(rows, dtype=float) if rows else np.zeros((0, 0))
+
+
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weights (intercept first) on features shifted and scaled by the other two arrays; one label only gives its own rate."""
     if len(y) == 0 or y.min() == y.max():

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import prepare, shingle_sets, stored, text_blocks
-from beaconry.llm.logistic import bounded, fit, logit
+from beaconry.llm.logistic import bounded, fit, logit, matrix
 
 TRAIN_ROWS = 10_000  # of each label
 THRESHOLD = 0.5
@@ -104,7 +104,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None =
     marks = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     marks = bounded(marks, "doc_id", "quality", train_rows).select("doc_id", "quality")  # about 2 * train_rows rows
     sample = texts.join(F.broadcast(marks), "doc_id").select("text", "quality").mapInArrow(_sample, "x array<double>, quality int").collect()  # bounded
-    model = fit(np.array([r["x"] for r in sample]).reshape(len(sample), -1), np.array([r["quality"] for r in sample], dtype=float))
+    model = fit(matrix([r["x"] for r in sample]), np.array([r["quality"] for r in sample], dtype=float))
     scored = stored(texts.mapInArrow(_evidence(model), "doc_id long, host string, path string, p long"), "evidence")
     sites = site_posteriors(scored).withColumnsRenamed({"host": "h", "path": "q"})
     found = scored.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")))

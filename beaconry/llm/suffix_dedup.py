@@ -7,9 +7,9 @@ the bytes it covers. The work is cut so that equal strings always meet in one bo
    one hash make a unit (at most ``window - k + 1`` strings), some three units per hundred bytes of text. Equal
    strings have equal hashes, so they lie in units of one hash. A task merges units of equal content in its own batch
    and keeps the places of the later ones with the first.
-2. Hashes met once are dropped. Units with equal content are merged by a grouped minimum: all but the first are marked
+2. Hashes met once are dropped, unless the unit may repeat itself (its smallest k-mer lies in it twice). Units with equal content are merged by a grouped minimum: all but the first are marked
    whole.
-3. Hashes with several contents go, in groups of bounded size, to a suffix array each: two-stage sorting (only
+3. Hashes with several contents, or one that may repeat itself, go, in groups of bounded size, to a suffix array each: two-stage sorting (only
    suffixes smaller than their successor are compared, the others are induced by scanning the buckets), then common
    prefixes of adjacent suffixes show the equal strings. A hash with more contents than fit one array has its strings
    aggregated by their own 128-bit hash, with partial sums, so that no key is held by one task.
@@ -31,7 +31,7 @@ KMER = 32
 GROUP_BYTES = 1 << 21  # text in one suffix array
 CROWDED = 8192  # contents under one hash beyond which its strings are aggregated instead
 
-UNIT = "h long, s long, doc_id long, at long, n int, others array<long>"
+UNIT = "h long, s long, doc_id long, at long, n int, loops boolean, others array<long>"
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -53,7 +53,8 @@ def _units(window: int, kmer: int):
         bounds = np.cumsum([0, *(len(texts[i]) for i in keep)])
         rolled = RollingHash(data)
         at = np.arange(len(data) - kmer + 1)
-        least = _sliding(rolled.of(at, at + kmer), span, np.minimum)  # one per window
+        key = rolled.of(at, at + kmer)
+        least = _sliding(key, span, np.minimum)  # one per window
         owner = np.searchsorted(bounds, np.arange(len(least)), side="right") - 1
         valid = np.arange(len(least)) + window <= bounds[owner + 1]
         fresh = np.ones(len(least), dtype=bool)
@@ -69,17 +70,25 @@ def _units(window: int, kmer: int):
             ends = np.repeat(stops, pieces)
             starts = np.repeat(starts, pieces) + step * span
             stops = np.minimum(starts + span, ends)
+        # places of k-mers that are the smallest of some window; equal neighbours show that a unit may repeat itself
+        most = np.zeros(len(key) + span - 1, dtype=np.uint64)
+        most[span - 1:span - 1 + len(least)] = np.where(valid, least, 0)
+        anchor = np.flatnonzero(_sliding(most, span, np.maximum) == key)
+        again = np.zeros(len(anchor) + 1, dtype=np.int64)
+        np.cumsum(key[anchor[1:]] == key[anchor[:-1]], out=again[1:len(anchor)])
+        low, high = np.searchsorted(anchor, starts), np.searchsorted(anchor, stops + span - 2, side="right")
+        loops = (high - low > 1) & (again[np.maximum(high - 1, 0)] > again[np.minimum(low, len(anchor))])
         doc = doc_ids[np.asarray(keep)][owner[starts]]
-        return least[starts], rolled.of(starts, stops + window - 1), doc, starts - bounds[owner[starts]], stops - starts
+        return least[starts], rolled.of(starts, stops + window - 1), doc, starts - bounds[owner[starts]], stops - starts, loops
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_blocks(batches, 8 << 20):
+        for part, texts in text_blocks(batches, 4 << 20):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
             if not any(len(t) >= window for t in texts):
                 continue
-            h, s, doc, pos, n = block(ids.astype(np.int64), texts)
+            h, s, doc, pos, n, loops = block(ids.astype(np.int64), texts)
             order = np.lexsort((pos, doc, s, h))
-            h, s, doc, pos, n = (x[order] for x in (h, s, doc, pos, n))
+            h, s, doc, pos, n, loops = (x[order] for x in (h, s, doc, pos, n, loops))
             again = np.zeros(len(h), dtype=bool)
             again[1:] = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
             head = np.flatnonzero(~again)
@@ -87,9 +96,9 @@ def _units(window: int, kmer: int):
             offsets = 2 * (np.append(head, len(h)) - np.arange(len(head) + 1))
             yield pa.RecordBatch.from_arrays([
                 pa.array(h[head].view(np.int64)), pa.array(s[head].view(np.int64)), pa.array(doc[head]),
-                pa.array(pos[head].astype(np.int64)), pa.array(n[head].astype(np.int32)),
+                pa.array(pos[head].astype(np.int64)), pa.array(n[head].astype(np.int32)), pa.array(loops[head]),
                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(rest.astype(np.int64)))],
-                names=["h", "s", "doc_id", "at", "n", "others"])
+                names=["h", "s", "doc_id", "at", "n", "loops", "others"])
 
     return run
 
@@ -240,11 +249,11 @@ def repeated_strings(docs: DataFrame, window: int = 100, kmer: int = KMER, crowd
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     units = texts.mapInArrow(_units(window, kmer), UNIT)
-    often = units.groupBy("h").agg(F.sum(1 + F.size("others")).alias("c")).where("c > 1").select("h")
+    often = units.groupBy("h").agg(F.sum(1 + F.size("others")).alias("c"), F.max("loops").alias("loops")).where("c > 1 OR loops").select("h")
     # Written once: three steps read it, and a lost executor does not bring the text scan back.
     hits = stored(units.join(often, "h"), "units")
     place = F.struct("doc_id", "at", "n")
-    firsts = hits.groupBy("h", "s").agg(F.min(place).alias("first"))
+    firsts = hits.groupBy("h", "s").agg(F.min(place).alias("first"), F.max("loops").alias("loops"))
     whole = (hits.join(firsts, ["h", "s"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("at") != F.col("first.at")))
              .select("doc_id", F.col("at").alias("lo"), (F.col("at") + F.col("n") - 1).alias("hi")))
     pair = F.explode(F.transform(F.sequence(F.lit(0), (F.size("others") / 2 - 1).cast("int")),
@@ -253,7 +262,7 @@ def repeated_strings(docs: DataFrame, window: int = 100, kmer: int = KMER, crowd
               .where(F.col("p") != F.struct(F.col("doc_id"), F.col("at").alias("lo")))
               .select("p.doc_id", "p.lo", (F.col("p.lo") + F.col("n") - 1).alias("hi")))
     firsts = stored(firsts, "contents")
-    several = firsts.groupBy("h").agg(F.count("*").alias("contents")).where("contents > 1")
+    several = firsts.groupBy("h").agg(F.count("*").alias("contents"), F.max("loops").alias("loops")).where("contents > 1 OR loops").drop("loops")
     asked = (firsts.join(several, "h").select(F.col("first.doc_id").alias("doc_id"), F.struct(
         "h", F.col("first.at").alias("at"), F.col("first.n").alias("n"), (F.col("contents") > crowded).alias("crowded")).alias("unit"))
         .groupBy("doc_id").agg(F.collect_list("unit").alias("asked")))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import prepare
-from beaconry.llm.logistic import bounded, fit, logit
+from beaconry.llm.logistic import bounded, fit, logit, matrix
 
 TRAIN_ROWS = 4000  # of each label
 STEM = (4, 7)  # lengths of stems
@@ -216,13 +216,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
 
     sample = train.mapInArrow(measure, "x array<double>, toxic int").collect()  # a bounded sample
-    model = fit(np.array([r["x"] for r in sample]).reshape(len(sample), -1), np.array([r["toxic"] for r in sample], dtype=float))
+    model = fit(matrix([r["x"] for r in sample]), np.array([r["toxic"] for r in sample], dtype=float))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(Lexicon(terms))
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            x = np.array([features(t, words) for t in texts]).reshape(len(texts), -1)
+            x = np.array([features(t, words) for t in texts]).reshape(len(texts), 5)
             p = 1 / (1 + np.exp(-logit(x, model))) if len(model[1]) else np.full(len(texts), 0.5)
             counts = np.rint(np.expm1(x)).astype(np.int64) if len(texts) else np.zeros((0, 5), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([
