@@ -13,7 +13,8 @@ from beaconry import schemas
 from beaconry.functions import columns as C
 from beaconry.operators.clean import event_id, normalise_clicks
 from beaconry.operators.metrics import lag_seconds
-from beaconry.sources.tables import keep_latest
+from beaconry.sources.tables import keep_latest, path_exists
+from beaconry.sources.upsert import upsert_table
 
 POLL = "10 seconds"
 DELIVERY_POLL = "1 minute"
@@ -47,16 +48,25 @@ def ingest_clicks(stream: DataFrame, target: str, quarantine: str, checkpoint: s
 
     ``once`` reads all there is and stops; otherwise the source is polled every ``poll``.
 
-    Each micro-batch owns one ``batch_id`` partition and overwrites it, so a batch that
-    is replayed after a failure leaves the same files. Nothing older is rewritten.
+    The table is laid out by day and holds each id once: a micro-batch leaves out what other batches
+    have stored for its days. It owns its ``batch_id`` partitions and overwrites them, so a batch that is
+    replayed after a failure leaves the same files. Nothing older is rewritten.
     """
     def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         parsed = parse_clicks(batch).persist()  # the source is read once for both tables
         valid, bad = split_valid(parsed)
-        rows = event_id(normalise_clicks(valid)).withColumn("batch_id", F.lit(batch_id))
-        for df, path in ((rows, target), (bad.withColumn("batch_id", F.lit(batch_id)), quarantine)):
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
+        named = event_id(normalise_clicks(valid)).withColumn("day", F.coalesce(F.substring("timestamp", 1, 10), F.lit("none")))
+        rows = keep_latest(named, ["id"], [F.col("timestamp")])
+        if path_exists(spark, target):
+            days = [r["day"] for r in named.select("day").distinct().collect()]  # the days of one micro-batch; they prune the scan
+            old = spark.read.schema(rows.schema.add("batch_id", "long")).parquet(target).filter(
+                F.col("day").isin(days) & (F.col("batch_id") != batch_id))
+            rows = rows.join(old.select("id"), "id", "left_anti")
+        # a day's rows meet in few files; a large day is split by size
+        for df, path, layout in ((rows.hint("rebalance", "day"), target, ["day", "batch_id"]), (bad, quarantine, ["batch_id"])):
+            (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path))
         parsed.unpersist()
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
@@ -64,8 +74,8 @@ def ingest_clicks(stream: DataFrame, target: str, quarantine: str, checkpoint: s
 
 
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """The stored clicks, each id once."""
-    return keep_latest(spark.read.parquet(target), ["id"], [F.col("batch_id")]).drop("batch_id")
+    """The stored clicks, each id once as they were written."""
+    return spark.read.parquet(target).drop("day", "batch_id")
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -139,7 +149,8 @@ def throttle_stream(df: DataFrame, min_gap_seconds: int = 40, delay: str = "1 ho
     """
     gap = min_gap_seconds * 1_000_000
     rows = event_time(event_time(df), "session_start")
-    rows = rows.filter(F.col("text").isNotNull() & (F.col("text") != "")).withWatermark("ts", delay)
+    rows = rows.filter(F.col("text").isNotNull() & (F.col("text") != "") & F.col("ts").isNotNull()
+                       & F.col("session_start").isNotNull()).withWatermark("ts", delay)
     schema = rows.schema
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -147,6 +158,9 @@ def throttle_stream(df: DataFrame, min_gap_seconds: int = 40, delay: str = "1 ho
             state.remove()
             return
         begin = int(pd.Timestamp(key[1]).value // 1000)
+        end = begin // 1000 + session_seconds * 1000
+        if not state.exists and state.getCurrentWatermarkMs() > end:
+            return  # the session is over and its state gone: what comes now can't be judged and is no new alert
         last, shown = state.get if state.exists else (begin, [])
         shown = list(shown)
         known = set(shown)
@@ -161,7 +175,6 @@ def throttle_stream(df: DataFrame, min_gap_seconds: int = 40, delay: str = "1 ho
                 known.add(text)
                 shown.append(text)
         state.update((last, shown))
-        end = begin // 1000 + session_seconds * 1000
         state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
         yield todo[keep]
 
@@ -176,19 +189,25 @@ def deliver_due(schedule_stream: DataFrame, deliver: Callable[[DataFrame, int],
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=DELIVERY_POLL)).start()
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
+                 key: list[str] | None = None, buckets: int = 8) -> DataFrame:
     """Run a stream over all there is, to a Parquet table, and read it back.
 
-    'append' uses the exactly-once file sink; 'complete' overwrites the whole result.
+    'append' uses the exactly-once file sink; 'update' replaces the rows of the keys that a micro-batch changed;
+    'complete' overwrites the whole result.
     """
     if mode == "append":
         q = (stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     else:
         def store(batch: DataFrame, _: int) -> None:
-            batch.write.mode("overwrite").parquet(path)
+            if mode == "update":
+                upsert_table(path, batch, key, key, buckets)
+            else:
+                batch.write.mode("overwrite").parquet(path)
 
         q = (stream.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     q.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+    return stream.sparkSession.read.parquet(path).select(*stream.columns) if mode == "update" else (
+        stream.sparkSession.read.schema(stream.schema).parquet(path))
