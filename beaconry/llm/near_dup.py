@@ -6,7 +6,7 @@ the child named by its minwise token there, so two documents part with probabili
 of at most ``leaf`` members are compared exhaustively on their minwise tokens; larger nodes branch again, and the levels
 end only when no large node is left (or a node's members agree on every coordinate left to it, see ``MOST_LEVELS``).
 
-A leaf reports a spanning forest of its look-alikes rather than all pairs. The look-alikes' connected parts are then
+A leaf reports the components of its look-alikes as stars rather than all pairs. The look-alikes' connected parts are then
 searched exactly: full shingle sets of a part are compared breadth first, each set against those not yet reached, so the
 exact components come out without a row per pair. Parts too large for one task are searched leaf by leaf, and the results are
 joined as components.
@@ -27,7 +27,8 @@ from beaconry.llm.common import connected, prepare, shingle_sets, stored, text_b
 
 COORDINATES = 128
 TREES = 8
-LEAF = 512
+SKETCH = 64  # coordinates compared inside a leaf
+LEAF = 4096
 MOST_LEVELS = 40
 PART_TOKENS = 4_000_000  # shingles of one connected part that a task searches at once
 
@@ -63,21 +64,22 @@ def _embed(size: int):
 
 
 def _look_alikes(floor: float):
-    """Spanning forest of the members of one leaf whose minwise tokens agree in a share of at least ``floor``."""
+    """Components of the members of one leaf whose minwise tokens agree in a share of at least ``floor``, as stars."""
 
     def run(table: pa.Table) -> pa.Table:
         keys = table.column("key").to_pylist()
         tokens = table.column("tokens").combine_chunks()
-        rows = tokens.flatten().to_numpy().reshape(len(keys), COORDINATES)
+        rows = tokens.flatten().to_numpy().reshape(len(keys), SKETCH)
         rest = np.arange(len(keys))
         a, b = [], []
         while len(rest) > 1:
-            queue, rest = [rest[0]], rest[1:]
+            head, rest = rest[0], rest[1:]
+            queue = [head]
             while queue and len(rest):
                 at = queue.pop()
                 near = (rows[rest] == rows[at]).mean(axis=1) >= floor
                 for i in rest[near]:
-                    a.append(keys[at])
+                    a.append(keys[head])
                     b.append(keys[i])
                 queue.extend(rest[near])
                 rest = rest[~near]
@@ -87,7 +89,7 @@ def _look_alikes(floor: float):
 
 
 def _exact_forest(share: int):
-    """Spanning forest of the members of one part whose full sets satisfy 100 * |x & y| >= share * |x | y|."""
+    """Components of the members of one part whose full sets satisfy 100 * |x & y| >= share * |x | y|, as stars."""
 
     def run(table: pa.Table) -> pa.Table:
         keys = table.column("key").to_pylist()
@@ -102,7 +104,8 @@ def _exact_forest(share: int):
         rest = np.arange(len(keys))
         a, b = [], []
         while len(rest) > 1:
-            queue, rest = [rest[0]], rest[1:]
+            head, rest = rest[0], rest[1:]
+            queue = [head]
             while queue and len(rest):
                 at = queue.pop()
                 # sizes of similar sets differ by the same share at most
@@ -119,7 +122,7 @@ def _exact_forest(share: int):
                 member[own] = False
                 near = 100 * common >= share * (sizes[at] + spans - common)
                 for i in some[near]:
-                    a.append(keys[at])
+                    a.append(keys[head])
                     b.append(keys[i])
                 queue.extend(some[near])
                 rest = np.concatenate([rest[:lo], some[~near], rest[hi:]])
@@ -131,9 +134,11 @@ def _exact_forest(share: int):
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
-            yield pa.RecordBatch.from_arrays([part.column("part"), part.column("key"),
-                                              pa.array([x.tobytes() for x in shingle_sets(texts, size)], pa.binary())],
-                                             names=["part", "key", "shingles"])
+            sets = [x.tobytes() for x in shingle_sets(texts, size)]
+            # of rows that share an id only those with the text of the class
+            right = pa.array([hashlib.blake2b(x, digest_size=16).digest() == k for x, k in zip(sets, part.column("key").to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column("part"), part.column("key"), pa.array(sets, pa.binary())],
+                                             names=["part", "key", "shingles"]).filter(right)
 
     return run
 
@@ -185,8 +190,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, share: int = 80, trees: int
     classes = stored(named.join(first, "key").where("doc_id = first").select("key", "tokens").dropDuplicates(["key"]), "representatives")
     small = stored(leaves(classes, similarity, trees, leaf), "leaves")
     # four standard errors below the similarity
-    floor = similarity - 4 * math.sqrt(similarity * (1 - similarity) / COORDINATES)
-    seeming = stored(small.join(classes, "key").groupBy("path").applyInArrow(_look_alikes(floor), "a binary, b binary").distinct(), "seeming")
+    floor = similarity - 4 * math.sqrt(similarity * (1 - similarity) / SKETCH)
+    sketches = classes.select("key", F.slice("tokens", 1, SKETCH).alias("tokens"))
+    seeming = stored(small.join(sketches, "key").groupBy("path").applyInArrow(_look_alikes(floor), "a binary, b binary").distinct(), "seeming")
     parts = stored(connected(seeming, "binary"), "parts").select(F.col("id").alias("key"), "root")
     weight = parts.join(first.select("key", "n"), "key").groupBy("root").agg(F.sum("n").alias("weight"))
     placed = parts.join(weight, "root")
@@ -194,8 +200,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, share: int = 80, trees: int
     whole = placed.where(F.col("weight") <= PART_TOKENS).select("key", F.xxhash64("root").alias("part"))
     split = placed.where(F.col("weight") > PART_TOKENS).join(small, "key").select("key", F.col("path").alias("part"))
     wanted = (whole.unionByName(split).join(first.select("key", "first"), "key").select("key", "part", F.col("first").alias("doc_id")))
-    one_text = texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("text").alias("text"))
-    sets = wanted.join(one_text, "doc_id").select("part", "key", "text").mapInArrow(_sets(size), "part long, key binary, shingles binary")
+    sets = wanted.join(texts, "doc_id").select("part", "key", "text").mapInArrow(_sets(size), "part long, key binary, shingles binary")
     links = stored(sets.groupBy("part").applyInArrow(_exact_forest(share), "a binary, b binary"), "links")
     joined = connected(links, "binary").select(F.col("id").alias("key"), "root")
     groups = (first.join(joined, "key", "left").withColumn("root", F.coalesce("root", "key")))
