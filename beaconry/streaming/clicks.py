@@ -56,7 +56,9 @@ def ingest_clicks(stream: DataFrame, target: str, quarantine: str, checkpoint: s
         spark = batch.sparkSession
         parsed = parse_clicks(batch).persist()  # the source is read once for both tables
         valid, bad = split_valid(parsed)
-        named = event_id(normalise_clicks(valid)).withColumn("day", F.coalesce(F.substring("timestamp", 1, 10), F.lit("none")))
+        # a text that is no date must not make a partition of its own
+        day = F.when(F.col("timestamp").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring("timestamp", 1, 10)).otherwise("none")
+        named = event_id(normalise_clicks(valid)).withColumn("day", day)
         rows = keep_latest(named, ["id"], [F.col("timestamp")])
         if path_exists(spark, target):
             days = [r["day"] for r in named.select("day").distinct().collect()]  # the days of one micro-batch; they prune the scan
