@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from beaconry.session import cut
 from beaconry.sources.tables import keep_latest
 
 # Newest first; the trailing columns only break ties, for a repeatable order.
@@ -154,19 +155,23 @@ def purchase_lists(purchases: DataFrame, page: int = 1000) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(entry)), lambda x: x.dropFields("position")).alias("purchases"))
 
 
-def user_order_totals(purchases: DataFrame) -> DataFrame:
-    return purchases.groupBy("user_id").agg(
-        F.count("*").alias("total_orders"), F.sum("total_amount").alias("total_spent"),
-        F.avg("total_amount").alias("avg_order_value"), F.max("purchase_date").alias("last_purchase_date"))
+def joined_user_features(purchases: DataFrame, users: DataFrame, products: DataFrame, as_of: str, k: int = 5) -> DataFrame:
+    """``user_features`` put together by joins: totals, profile and one list per catalogue column.
 
-
-def merge_user_features(users: DataFrame, parts: Sequence[DataFrame], as_of: str) -> DataFrame:
-    """Per-user aggregates left joined to the profile and to each further part."""
-    out = parts[0].join(users.drop("password_hash"), "user_id", "left")
-    for part in parts[1:]:
-        out = out.join(part, "user_id", "left")
-    return out.withColumn("days_since_signup", F.datediff(
-        F.lit(as_of).cast("date"), F.col("created_at").try_cast("date")).cast("bigint"))
+    All parts start from one stored fold of the purchases to (user, product).
+    """
+    key = product_key(purchases, products)
+    fold = cut(purchases.groupBy("user_id", key).agg(
+        F.count("*").alias("n"), F.sum(F.col("total_amount").cast("double")).alias("spent"), F.max("purchase_date").alias("latest")))
+    cat = one_per_product(products.select(key, "article_type", "master_category"))
+    named = fold.select("user_id", "product_id", "n").join(cat, "product_id", "left")
+    out = fold.groupBy("user_id").agg(F.sum("n").alias("total_orders"), F.sum("spent").alias("total_spent"),
+                                      F.max("latest").alias("last_purchase_date"))
+    out = out.withColumn("avg_order_value", F.col("total_spent") / F.col("total_orders")).join(users.drop("password_hash"), "user_id", "left")
+    for col, name in (("article_type", "top_article_types"), ("master_category", "top_master_categories")):
+        out = out.join(top_values(named.groupBy("user_id", col).agg(F.sum("n").alias("cnt")), col, k, name), "user_id", "left")
+    age = F.datediff(F.lit(as_of).cast("date"), F.col("created_at").try_cast("date"))
+    return out.withColumn("days_since_signup", age.cast("bigint"))
 
 
 def cart_lines(events: DataFrame) -> DataFrame:

@@ -70,11 +70,7 @@ USER_COLS = ["user_id", "total_orders", "total_spent", "avg_order_value", "last_
 @query("join_user_multi", USER_FEATURES)
 def join_user_multi(t):
     """The same features as four joined parts."""
-    arts = features.top_values(features.preference_counts(t.purchases, t.products, "article_type"),
-                               "article_type", 5, "top_article_types")
-    cats = features.top_values(features.preference_counts(t.purchases, t.products, "master_category"),
-                               "master_category", 5, "top_master_categories")
-    out = features.merge_user_features(t.users, [features.user_order_totals(t.purchases), arts, cats], PURCHASE_AS_OF)
+    out = features.joined_user_features(t.purchases, t.users, t.products, PURCHASE_AS_OF)
     return rounded(rounded_average(out, "avg_order_value"), total_spent=2).select(*USER_COLS)
 
 

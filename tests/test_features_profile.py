@@ -45,9 +45,7 @@ def test_both_feature_forms_agree(spark):
     p, cat = purchases(spark, rows), X.one_per_product(products(spark))
     users = spark.createDataFrame([(i, f"n{i}", D(2023, 1, 1)) for i in range(9)], "user_id long, name string, created_at date")
     one = X.user_features(p, users, cat, "2024-03-01", 2)
-    parts = [X.user_order_totals(p)] + [X.top_values(X.preference_counts(p, cat, c), c, 2, n) for c, n in (
-        ("article_type", "top_article_types"), ("master_category", "top_master_categories"))]
-    many = X.merge_user_features(users, parts, "2024-03-01")
+    many = X.joined_user_features(p, users, cat, "2024-03-01", 2)
     cols = sorted(one.columns)
     assert sorted(map(str, one.select(cols).collect())) == sorted(map(str, many.select(cols).collect()))
 
