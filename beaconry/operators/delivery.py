@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -57,6 +58,17 @@ def delivery_log(attributed: DataFrame) -> DataFrame:
         ~F.col("failed"), F.col("sent_at"))).withColumn("click_time", F.when(~F.col("failed"), F.col("click_ts")))
 
 
+def _stretches(batch: pa.RecordBatch, *cols: str) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs of rows that agree in ``cols``."""
+    new = np.zeros(batch.num_rows, dtype=bool)
+    new[:1] = True
+    for c in cols:
+        v = batch.column(c).to_numpy(zero_copy_only=False)
+        new[1:] |= v[1:] != v[:-1]
+    starts = np.flatnonzero(new).tolist()
+    yield from zip(starts, [*starts[1:], batch.num_rows])
+
+
 def quarantined(df: DataFrame, *times: str) -> DataFrame:
     """Rows that ``dedup_within`` and ``throttle`` leave out, since a time that they need is NULL."""
     missing = F.lit(False)
@@ -86,11 +98,15 @@ def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, last = None, None
         for b in batches:
-            keep = []
-            for i, (r, at) in enumerate(zip(b.column("_run").to_pylist(), b.column("_at").to_pylist())):
-                if r != run or at - last >= width:
-                    run, last = r, at
+            at, keep = b.column("_at").to_numpy(), []
+            for s, e in _stretches(b, "_run"):
+                name = b.column("_run")[s].as_py()
+                i = s if name != run else s + int(np.searchsorted(at[s:e], last + width))
+                run = name
+                while i < e:  # from each kept row straight to the next
                     keep.append(i)
+                    last = int(at[i])
+                    i += int(np.searchsorted(at[i:e], last + width))
             yield b.take(pa.array(keep, pa.int64())).select(cols)
 
     placed = runs.repartition("_run").sortWithinPartitions("_run", "_at")
@@ -135,16 +151,25 @@ def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         session, last, shown = None, 0, set()
         for b in batches:
-            keep = []
-            users, texts = b.column(user).to_pylist(), b.column(text).to_pylist()
-            times, begins = b.column("_at").to_pylist(), b.column("_begin").to_pylist()
-            for i, who in enumerate(zip(users, begins)):
+            at, keep = b.column("_at").to_numpy(), []
+            coded = b.column(text).dictionary_encode()
+            names, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            for s, e in _stretches(b, user, "_begin"):
+                who = (b.column(user)[s].as_py(), b.column("_begin")[s].as_py())
                 if who != session:
-                    session, last, shown = who, begins[i], set()
-                if times[i] - last >= gap and texts[i] not in shown:
+                    session, last, shown = who, who[1], set()
+                fresh = np.array([n not in shown for n in names], dtype=bool)
+                i = s + int(np.searchsorted(at[s:e], last + gap))
+                while i < e:
+                    new = fresh[codes[i:e]]
+                    if not new.any():
+                        break
+                    i += int(new.argmax())  # the next alert with a text not shown yet
                     keep.append(i)
-                    shown.add(texts[i])
-                    last = times[i]
+                    fresh[codes[i]] = False
+                    shown.add(names[codes[i]])
+                    last = int(at[i])
+                    i += int(np.searchsorted(at[i:e], last + gap))
             yield b.take(pa.array(keep, pa.int64())).select(cols)
 
     # Same session, time and text: one row is enough to decide.
