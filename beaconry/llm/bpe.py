@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from beaconry.llm.common import prepare
 
-MOST_STATES = 200_000
-MOST_PAIRS = 1_000_000
-MOST_PIECES = 600_000
+MOST_STATES = 100_000
+MOST_PAIRS = 400_000
+MOST_PIECES = 200_000
 FLUSH = 1024  # bytes of a piece between emissions
 
 
