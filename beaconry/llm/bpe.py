@@ -181,6 +181,11 @@ class Texts(dict):
             self[chunk] = out
         return out
 
+    def forget(self) -> None:
+        """Give the looked-up pieces back; the transducer stays."""
+        self.clear()
+        self.pieces.clear()
+
     def encode(self, text: str) -> bytes:
         first, *chunks = text.split(" ")
         if chunks and first and not first[-1].isspace():
@@ -270,6 +275,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             offsets = np.cumsum([0, *(len(p) // 4 for p in parts)]).astype(np.int32)
             ids = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(parts))])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), ids)], names=["doc_id", "ids"])
+        known.forget()  # the worker goes on to other work
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -289,10 +295,10 @@ def decode(encoded: DataFrame, path: str, chunk: int = 4096) -> DataFrame:
         names = [str(i) for i in range(len(tokens))]
         for batch in batches:
             rows = batch.column("ids")
-            flat, offsets = rows.flatten().to_numpy().tolist(), np.cumsum([0, *(n or 0 for n in rows.value_lengths().to_pylist())])
+            flat, offsets = rows.flatten().to_numpy(), np.cumsum([0, *(n or 0 for n in rows.value_lengths().to_pylist())])
             out = {k: [] for k in ("n_tokens", "ids_sha256", "decoded_sha256", "text")}
             for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
-                ids, machine, digest, texts = flat[lo:hi], Utf8Machine(), hashlib.sha256(), []
+                ids, machine, digest, texts = flat[lo:hi].tolist(), Utf8Machine(), hashlib.sha256(), []
                 for at in range(0, len(ids), chunk):
                     data = b"".join(map(tokens.__getitem__, ids[at:at + chunk]))
                     digest.update(data)

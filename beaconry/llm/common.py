@@ -21,7 +21,7 @@ GAP_BYTES[[0x20, *range(0x09, 0x0E)]] = True
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of every operator here: Arrow batches small enough for long texts."""
     tune(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
     return spark
 
 

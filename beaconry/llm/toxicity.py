@@ -24,7 +24,7 @@ TRAIN_ROWS = 4000  # of each label
 STEM = (4, 7)  # lengths of stems
 TIMES = 30.0  # how many times as frequent a term has to be among toxic documents
 AROUND = 8  # words on either side of a hit
-MOST_WORDS = 500_000
+MOST_WORDS = 300_000
 MOST_STATES = 100_000
 STRIP = "".join(map(chr, range(33, 48))) + "".join(map(chr, range(58, 65))) + "[\\]^_`{|}~“”„«»‘’…–—¡¿"
 QUOTES = frozenset('"“”„«»')
