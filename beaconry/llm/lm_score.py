@@ -130,6 +130,6 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, most: int = VOC
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the documents labelled good, written once."""
+    """Texts of the documents labelled good, written once. The join sorts and merges at every size: labels have no bound."""
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, "doc_id", "left_semi").select("text"), "target")
+    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target")
