@@ -1,25 +1,37 @@
 """Cross-entropy difference of two matched n-gram models.
 
-Target and background model share one vocabulary (the most frequent words of both, all others are one class), the same order and the
-same smoothing; they differ in the texts counted. A document's score is the mean over its tokens of the difference of
-the two losses: below 0 it reads more like the target.
+Target and background model share one vocabulary (all words of both), the same order and the same smoothing; they differ in the
+texts counted. A document's score is the mean over its tokens of the difference of the two losses: below 0 it reads more like the target.
+
+Words, histories and bigrams are counted under 64-bit keys. A task reads its texts in chunks and files the sorted keys and counts of a
+chunk under buckets of keys, so a common n-gram is one entry a chunk. A bucket's task adds up its entries and answers every chunk with
+the counts of both models; a chunk then meets its answers and is scored. Nothing but sums reaches the driver.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import prepare, stored
+from beaconry.llm.common import BASE, mixed, prepare, stored, text_blocks
 
-VOCABULARY = 1023  # words; number 0 stands for all others
 SMOOTHING = 0.5
 WEIGHT = 0.7  # of the bigram against the unigram
+CHUNK = 3 << 20  # bytes of text counted at once
+BUCKET = 8 << 20  # bytes of text whose n-grams make a bucket
+LEAST_BITS = 6  # of the number of buckets
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+OTHER = ""  # stands for all words left out; no word is empty
+# what a key counts, in its last two bits
+PAIR, WORD, HISTORY = np.uint64(0), np.uint64(1), np.uint64(2)
+KIND = np.uint64(3)
 
 
 def _words(text: str | None) -> list[str]:
@@ -42,91 +54,200 @@ def _unigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch()
 
 
-def _numbers(vocabulary: list[str]) -> dict[str, int]:
-    return {word: i + 1 for i, word in enumerate(vocabulary)}
+def vocabulary_of(texts: DataFrame, most: int) -> list[str]:
+    """The ``most`` most frequent words, ties in order of code points; a list of bounded length."""
+    counts = texts.select("text").mapInArrow(_unigrams, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+
+
+def _hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+
+
+START = _hash(" ")  # no word either
+
+
+class _Numbers(dict):
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+class Grams:
+    """The n-grams of some texts: sorted ``keys`` with ``counts``, and for every token the places of its pair, word and history."""
+
+    def __init__(self, texts: Iterable[list[str]]):
+        numbers = _Numbers()
+        ids = [np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)) for words in texts]
+        self.sizes = np.array([len(x) for x in ids], dtype=np.int64)
+        now = np.concatenate([np.zeros(0, dtype=np.int64), *ids])
+        start, before = len(numbers), np.roll(now, 1)
+        before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = start
+        hashes = np.array([*map(_hash, numbers), START], dtype=np.uint64)
+        pairs, pair, n = np.unique(before * (start + 1) + now, return_inverse=True, return_counts=True)
+        keys = np.concatenate([mixed(hashes[pairs // (start + 1)] * np.uint64(BASE) + hashes[pairs % (start + 1)]) & ~KIND | PAIR,
+                               hashes[:start] & ~KIND | WORD, hashes & ~KIND | HISTORY])
+        counts = np.concatenate([n, np.bincount(now, minlength=start), np.bincount(before, minlength=start + 1)])
+        order = np.argsort(keys, kind="stable")
+        place = np.empty(len(keys), dtype=np.int64)
+        place[order] = np.arange(len(keys))
+        self.keys, self.counts = keys[order], counts[order].astype(np.uint64)
+        self.pair, self.word, self.history = place[pair], place[len(pairs) + now], place[len(pairs) + start + before]
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes first: what they share compresses."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
 
+def _reader(vocabulary: frozenset[str] | None):
+    if vocabulary is None:
+        return _words
+    return lambda text: [w if w in vocabulary else OTHER for w in _words(text)]
 
-def _ids(text: str | None, numbers: dict[str, int]) -> np.ndarray:
-    words = _words(text)
-    get = numbers.get
-    return np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
 
+CHUNKS = "chunk long, data binary"
+PIECES = "chunk long, bucket long, keys binary, counts binary"
 
-def _bigrams(vocabulary: list[str]):
-    size = len(vocabulary) + 2  # the last number stands for the start
+
+def _chunks(size: int):
+    """Rows of a chunk number and the chunk's doc_id and text, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, table = _numbers(vocabulary), np.zeros(size * size, dtype=np.int64)
-        for part in batches:
-            cells = []
-            for text in part.column("text").to_pylist():
-                ids = _ids(text, numbers)
-                if len(ids):
-                    cells.append(np.concatenate([[size - 1], ids[:-1]]) * size + ids)
-            if cells:
-                table += np.bincount(np.concatenate(cells), minlength=size * size)
-        cell = np.flatnonzero(table)
-        for at in range(0, len(cell), 100_000):
-            some = cell[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(table[some])], names=["cell", "n"])
+        number, held, parts = TaskContext.get().partitionId() << 32, 0, []
+
+        def chunk() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(pa.Table.from_batches(parts))
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "data"])
+
+        for part, texts in text_blocks(batches):
+            parts.append(part)
+            held += sum(map(len, texts)) + 64 * len(texts)
+            if held >= size:
+                yield chunk()
+                number, held, parts = number + 1, 0, []
+        if parts:
+            yield chunk()
 
     return run
 
 
-def vocabulary_of(texts: DataFrame, most: int = VOCABULARY) -> list[str]:
-    """The ``most`` most frequent words, ties in order of code points; a list of bounded length."""
-    counts = texts.select("text").mapInArrow(_unigrams, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+def _read(data: bytes) -> pa.Table:
+    with pa.ipc.open_stream(data) as stream:
+        return stream.read_all()
+
+
+def _pieces(bits: int, read):
+    """For every chunk and bucket the sorted keys that the chunk has there, each less the one before, and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
+                grams = Grams(map(read, _read(data.as_buffer()).column("text").to_pylist()))
+                if not len(grams.pair):
+                    continue
+                met, starts = np.unique(grams.keys >> np.uint64(64 - bits), return_index=True)
+                some = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(grams.keys)], strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([number] * len(some), pa.int64()), pa.array(met.astype(np.int64)),
+                    pa.array([_packed(np.diff(grams.keys[s], prepend=np.uint64(0))) for s in some], pa.binary()),
+                    pa.array([_packed(grams.counts[s]) for s in some], pa.binary())], names=["chunk", "bucket", "keys", "counts"])
+
+    return run
+
+
+ANSWERS = "chunk long, bucket long, target binary, background binary, n_words long, target_tokens long, background_tokens long"
+
+
+def _answers(table: pa.Table) -> pa.Table:
+    """The counts of both models for every chunk that has n-grams in one bucket, and a row with the bucket's words and tokens."""
+    chunks, parts = table.column("chunk").to_pylist(), [np.cumsum(_unpacked(x), dtype=np.uint64) for x in table.column("keys").to_pylist()]
+    counts = [_unpacked(x) for x in table.column("counts").to_pylist()]
+    sizes = [len(x) for x in parts]
+    keys, where = np.unique(np.concatenate(parts), return_inverse=True)
+    counts = np.concatenate(counts).astype(np.float64)  # exact below 2^53
+    own = np.repeat([c is None for c in chunks], sizes)
+    target, background = (np.bincount(where[x], weights=counts[x], minlength=len(keys)) for x in (own, ~own))
+    is_word, bucket = keys & KIND == WORD, table.column("bucket")[0].as_py()
+    rows = [(None, bucket, None, None, int(is_word.sum()), int(target[is_word].sum()), int(background[is_word].sum()))]
+    at = 0
+    for chunk, size in zip(chunks, sizes, strict=True):
+        if chunk is not None:
+            some = where[at:at + size]
+            rows.append((chunk, bucket, _packed(target[some]), _packed(background[some]), None, None, None))
+        at += size
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["chunk", "bucket", "target", "background", "n_words", "target_tokens", "background_tokens"]
+    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Negative log probabilities of each (word before, word) from bigram counts: interpolated with add-``SMOOTHING`` unigrams."""
-    outcomes = counts.shape[0] - 1  # the start is no outcome
-    unigram = (counts.sum(axis=0) + SMOOTHING) / (counts.sum() + SMOOTHING * outcomes)
-    before = counts.sum(axis=1, keepdims=True)
-    bigram = np.divide(counts, before, out=np.tile(unigram, (len(counts), 1)), where=before > 0)
+SCORED = ["doc_id", "n_tokens", "target_loss", "background_loss", "score", "selected"]
+
+
+def losses(counts: np.ndarray, grams: Grams, tokens: int, outcomes: int) -> np.ndarray:
+    """Negative log probability of each token from the counts of ``grams.keys``: its bigram interpolated with add-``SMOOTHING`` unigrams."""
+    unigram = (counts[grams.word] + SMOOTHING) / (tokens + SMOOTHING * outcomes)
+    before = counts[grams.history]
+    bigram = np.divide(counts[grams.pair], before, out=unigram.copy(), where=before > 0)
     return -np.log(WEIGHT * bigram + (1 - WEIGHT) * unigram)
 
 
-def fit_model(texts: DataFrame, vocabulary: list[str]) -> np.ndarray:
-    """Losses of a bigram model over all of ``texts``: a table of fixed size, whatever the corpus."""
-    size = len(vocabulary) + 2
-    counts = texts.select("text").mapInArrow(_bigrams(vocabulary), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    table = np.zeros(size * size)
-    for part in counts.toArrow().to_batches():  # at most size * size rows
-        table[part.column("cell").to_numpy()] = part.column("n").to_numpy()
-    return losses(table.reshape(size, size)).astype(np.float32)
+def _scores(read, outcomes: int, tokens: tuple[int, int]):
+    """Scores of one chunk's texts from the answers of its buckets, which follow each other as its sorted keys do."""
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        if not chunk.num_rows:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_())], names=SCORED)
+        texts = _read(chunk.column("data")[0].as_buffer())
+        grams = Grams(map(read, texts.column("text").to_pylist()))
+        answers = answers.sort_by("bucket")
+        row = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
+        loss = []
+        for name, total in zip(("target", "background"), tokens, strict=True):
+            counts = np.concatenate([np.zeros(0, dtype=np.uint64), *map(_unpacked, answers.column(name).to_pylist())]).astype(np.float64)
+            each = losses(counts, grams, total, outcomes) if len(row) else np.zeros(0)
+            loss.append(np.round(np.bincount(row, weights=each, minlength=len(grams.sizes)) / np.maximum(1, grams.sizes), 9))
+        diff = np.round(loss[0] - loss[1], 9)
+        return pa.table([texts.column("doc_id"), pa.array(grams.sizes), pa.array(loss[0]), pa.array(loss[1]), pa.array(diff), pa.array(diff < 0)],
+                        names=SCORED)
+
+    return run
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, most: int = VOCABULARY) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, most: int | None = None) -> DataFrame:
     """Per row doc_id, n_tokens, target_loss and background_loss (nats a token), score (their difference) and selected (score < 0).
 
-    The background model counts all of ``docs``, the target model all of ``target`` (a column text). Tokens are lower-cased words. A text without
-    words, null included, has losses and score 0 and is not selected. Rows are scored one by one, repeated ones and such without id too; other
+    The background model counts all of ``docs``, the target model all of ``target`` (a column text). Tokens are lower-cased words, all of them in
+    the vocabulary; ``most`` leaves only that many most frequent ones, all others being one class. A text without words, null included, has
+    losses and score 0 and is not selected. Rows are scored one by one, repeated ones and such without id too; other
     columns are ignored. Empty tables give uniform models.
     """
     spark = prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    vocabulary = vocabulary_of(texts.select("text").unionByName(target.select("text")), most)
-    size = len(vocabulary) + 2
-    models = spark.sparkContext.broadcast(np.stack([fit_model(target, vocabulary), fit_model(texts, vocabulary)]))  # 2 * (most + 2)^2 numbers
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, tables = _numbers(vocabulary), models.value.reshape(2, -1)
-        for part in batches:
-            n, sums = [], []
-            for text in part.column("text").to_pylist():
-                ids = _ids(text, numbers)
-                n.append(len(ids))
-                cells = np.concatenate([[size - 1], ids[:-1]]) * size + ids if len(ids) else ids
-                sums.append(tables[:, cells].astype(np.float64).sum(axis=1) / max(1, len(ids)))
-            loss = np.round(np.array(sums).reshape(len(n), 2), 9)
-            diff = np.round(loss[:, 0] - loss[:, 1], 9)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(loss[:, 0]), pa.array(loss[:, 1]),
-                                              pa.array(diff), pa.array(diff < 0)],
-                                             names=["doc_id", "n_tokens", "target_loss", "background_loss", "score", "selected"])
-
-    return texts.mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double, selected boolean")
+    wanted = target.select(F.lit(None).cast("long").alias("doc_id"), "text")
+    read = _reader(None if most is None else frozenset(vocabulary_of(texts.select("text").unionByName(wanted.select("text")), most)))
+    size = sum(df.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0 for df in (texts, wanted))
+    bits = max(LEAST_BITS, (size // BUCKET).bit_length())
+    chunks = stored(texts.mapInArrow(_chunks(CHUNK), CHUNKS), "chunks")
+    every = chunks.unionByName(wanted.mapInArrow(_chunks(CHUNK), CHUNKS).withColumn("chunk", F.lit(None).cast("long")))  # the target's have no number
+    spark.conf.set(BATCH, "4")  # a row is a whole chunk
+    try:
+        answers = stored(every.mapInArrow(_pieces(bits, read), PIECES).groupBy("bucket").applyInArrow(_answers, ANSWERS), "counts")
+    finally:
+        prepare(spark)
+    total = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", "target_tokens", "background_tokens"))).first()
+    # one more outcome than words, unless the class of others is among them already
+    outcomes = total["n_words"] + 1 if most is None else min(most, total["n_words"]) + 1
+    run = _scores(read, outcomes, (total["target_tokens"], total["background_tokens"]))
+    return (chunks.groupBy("chunk")
+            .cogroup(answers.where("chunk IS NOT NULL").select("chunk", "bucket", "target", "background").groupBy("chunk"))
+            .applyInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double, selected boolean"))
 
 
 def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:

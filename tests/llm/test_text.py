@@ -125,6 +125,20 @@ def test_scores_match_brute_force(spark):
     assert L.cross_entropy_difference(df.limit(0), df.limit(0).select("text")).count() == 0
 
 
+def test_scores_count_every_word(spark, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK", 1 << 15)  # several chunks a task
+    docs = [tuple(r) for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text").collect()]
+    docs += [(900, "qzx vbk qzx"), (901, "wjq pfk wjq"), (902, None), (903, " ")]
+    target = [t for _, t in docs[:80]] + ["qzx vbk qzx"]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in L.cross_entropy_difference(df, spark.createDataFrame([(t,) for t in target], "text string")).collect()}
+    score = brute.bigram_losses(target, [t for _, t in docs], None, L.SMOOTHING, L.WEIGHT)
+    assert len(got) == len(docs) and len({w for _, t in docs for w in (t or "").lower().split()}) > 1023
+    for i, text in docs:
+        assert (got[i]["target_loss"], got[i]["background_loss"]) == pytest.approx(score(text), abs=1e-6)
+    assert got[900]["selected"] and not got[901]["selected"]  # words met twice and once tell them apart
+
+
 def test_statistics_match_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text").collect()]
     line = "one two three four five six seven eight nine"
