@@ -62,7 +62,8 @@ def _evidence(model):
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in text_blocks(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(list(measures(texts)), pa.list_(pa.float64())), part.column("quality")], names=["x", "quality"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(measures(texts)), pa.list_(pa.float64())), part.column("quality"), part.column("weight")],
+                                         names=["x", "quality", "weight"])
 
 
 def _strength(rates: DataFrame) -> Column:
@@ -102,9 +103,9 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None =
                         (F.col("source") if host is None else host).cast("string").alias("host"),
                         (F.col("lang") if path is None else path).cast("string").alias("path"))
     marks = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
-    marks = bounded(marks, "doc_id", "quality", train_rows).select("doc_id", "quality")  # about 2 * train_rows rows
-    sample = texts.join(F.broadcast(marks), "doc_id").select("text", "quality").mapInArrow(_sample, "x array<double>, quality int").collect()  # bounded
-    model = fit(matrix([r["x"] for r in sample]), np.array([r["quality"] for r in sample], dtype=float))
+    marks = bounded(marks, "doc_id", "quality", train_rows).select("doc_id", "quality", "weight")  # about 2 * train_rows rows
+    sample = texts.join(F.broadcast(marks), "doc_id").select("text", "quality", "weight").mapInArrow(_sample, "x array<double>, quality int, weight double").collect()  # bounded
+    model = fit(matrix([r["x"] for r in sample]), np.array([r["quality"] for r in sample], dtype=float), counts=np.array([r["weight"] for r in sample]))
     scored = stored(texts.mapInArrow(_evidence(model), "doc_id long, host string, path string, p long"), "evidence")
     sites = site_posteriors(scored).withColumnsRenamed({"host": "h", "path": "q"})
     found = scored.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")))

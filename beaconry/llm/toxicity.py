@@ -204,19 +204,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held)
     marks = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    marks = bounded(marks.withColumn("held_out", held).where("NOT held_out"), "doc_id", "toxic", train_rows).select("doc_id", "toxic")  # about 2 * train_rows rows
-    # copies of one text count once
-    train = texts.join(F.broadcast(marks), "doc_id").groupBy(F.sha2("text", 256)).agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
+    marks = bounded(marks.withColumn("held_out", held).where("NOT held_out"), "doc_id", "toxic", train_rows).select("doc_id", "toxic", "weight")  # about 2 * train_rows rows
+    # copies of one text count once; the label's weight goes with the label
+    train = (texts.join(F.broadcast(marks), "doc_id").groupBy(F.sha2("text", 256)).agg(F.max("text").alias("text"), F.max(F.struct("toxic", "weight")).alias("label"))
+             .select("text", "label.toxic", "label.weight"))
     terms = learn_terms(train)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(Lexicon(terms))
         for batch in batches:
             rows = [features(t or "", words) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic"), batch.column("weight")], names=["x", "toxic", "weight"])
 
-    sample = train.mapInArrow(measure, "x array<double>, toxic int").collect()  # a bounded sample
-    model = fit(matrix([r["x"] for r in sample]), np.array([r["toxic"] for r in sample], dtype=float))
+    sample = train.mapInArrow(measure, "x array<double>, toxic int, weight double").collect()  # a bounded sample
+    model = fit(matrix([r["x"] for r in sample]), np.array([r["toxic"] for r in sample], dtype=float), counts=np.array([r["weight"] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(Lexicon(terms))

@@ -30,6 +30,21 @@ def test_logistic_regression_separates():
     assert logistic.fit(x[:3], np.ones(3))[0][0] > 0 and logistic.fit(np.zeros((0, 3)), np.zeros(0))[0][0] == 0
 
 
+def test_capped_fits_decide_as_whole_ones(spark):
+    rng = np.random.default_rng(3)
+    y = (rng.random(20_000) < 0.1).astype(int)
+    x = rng.normal(size=(20_000, 2)) + 1.5 * y[:, None]
+    rows = spark.createDataFrame([(i, int(n)) for i, n in enumerate(y)], "id long, y int")
+    kept = logistic.bounded(rows, "id", "y", 1000).collect()
+    at = np.array([r["id"] for r in kept])
+    assert len(at) < 2300 and sum(r["weight"] for r in kept if r["y"] == 0) == pytest.approx((y == 0).sum(), rel=0.1)
+    whole = logistic.logit(x, logistic.fit(x, y.astype(float))) > 0
+    capped = logistic.logit(x, logistic.fit(x[at], y[at].astype(float), counts=np.array([r["weight"] for r in kept]))) > 0
+    assert (whole == capped).mean() > 0.99
+    assert (whole == (logistic.logit(x, logistic.fit(x[at], y[at].astype(float))) > 0)).mean() < 0.95  # without weights
+    assert {r["weight"] for r in logistic.bounded(rows, "id", "y", 50_000).collect()} == {1.0}
+
+
 def test_quality_on_rows_not_learned_from(spark):
     docs, labels = tables(spark, LARGER)
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
