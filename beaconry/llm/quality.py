@@ -104,7 +104,10 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None =
                         (F.col("lang") if path is None else path).cast("string").alias("path"))
     marks = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     marks = bounded(marks, "doc_id", "quality", train_rows).select("doc_id", "quality", "weight")  # about 2 * train_rows rows
-    sample = texts.join(F.broadcast(marks), "doc_id").select("text", "quality", "weight").mapInArrow(_sample, "x array<double>, quality int, weight double").collect()  # bounded
+    # one row of each id: marks are bounded, rows that repeat an id are not
+    train = (texts.join(F.broadcast(marks), "doc_id").groupBy("doc_id")
+             .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("quality").alias("quality"), F.first("weight").alias("weight")))
+    sample = train.select("text", "quality", "weight").mapInArrow(_sample, "x array<double>, quality int, weight double").collect()  # bounded
     model = fit(matrix([r["x"] for r in sample]), np.array([r["quality"] for r in sample], dtype=float), counts=np.array([r["weight"] for r in sample]))
     scored = stored(texts.mapInArrow(_evidence(model), "doc_id long, host string, path string, p long"), "evidence")
     sites = site_posteriors(scored).withColumnsRenamed({"host": "h", "path": "q"})

@@ -52,6 +52,14 @@ def test_quality_on_rows_not_learned_from(spark):
     assert np.mean([r["kept"] == (r["quality"] == 1) for r in scored]) > 0.95
 
 
+def test_repeated_ids_train_once(spark):
+    docs, labels = tables(spark, ROOT)
+    hot = docs.join(labels.where("quality = 0"), "doc_id").select(docs["*"]).orderBy("doc_id").limit(1)
+    more = docs.unionByName(hot.crossJoin(spark.range(500)).drop("id"))
+    one, many = ({r["doc_id"]: r["evidence"] for r in Q.quality_classifier(d, labels).select("doc_id", "evidence").collect()} for d in (docs, more))
+    assert len(one) == len(many) and max(abs(one[i] - many[i]) for i in one) < 1e-5
+
+
 def test_sparse_sites_lean_on_their_host(spark):
     rows = [(h, "p", 900_000) for h in ("a",) for _ in range(500)] + [("a", "few", 100_000)] + [("b", "q", 100_000)] * 500 + [(None, None, 500_000)] * 3
     got = {(r["host"], r["path"]): r for r in Q.site_posteriors(spark.createDataFrame(rows, "host string, path string, p long")).collect()}
