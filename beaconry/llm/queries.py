@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beaconry.llm import ann_forest, bpe, chat_format, lm_score, mixing, near_dup, quality, rules, suffix_dedup, toxicity
+from beaconry.llm import (ann_forest, bpe, chat_format, filter_audit, lm_score, mixing, mtree, near_dup, quality, rules, suffix_dedup, toxicity,
+                          whitening)
 from beaconry.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +137,64 @@ WHERE f.pass < f.whole OR 2 * (f.budget - f.whole * f.source_tokens - f.before)
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four strongest components, whitened."""
+    return whitening.whiten(load(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+@query
+def op12_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten greatest integer inner products of every vector whose id is divisible by 100."""
+    return mtree.largest_products(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024).drop("computed")
+
+
+ORACLE["op12_mtree_topk"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10"""
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in every order, per source."""
+    return filter_audit.filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_audit"] = r"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+d AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN t.doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM t LEFT JOIN l ON t.doc_id = l.doc_id),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY part, fails),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+p AS (SELECT '' AS filter_order UNION ALL SELECT filter_order || f FROM p, f WHERE NOT contains(filter_order, f)),
+s AS (
+  SELECT filter_order, step, filter_order[step] AS f, left(filter_order, step - 1) AS before
+  FROM (SELECT filter_order, CAST(unnest([1, 2, 3, 4, 5]) AS INT) AS step FROM p WHERE length(filter_order) = 5)),
+c AS (
+  SELECT m.*, s.*, contains(fails, f) AS hit, translate(fails, before, '') <> fails AS gone FROM m, s),
+r AS (
+  SELECT part, filter_order, step, any_value(f) AS f,
+    CAST(sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant, CAST(sum(CASE WHEN fails = f THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM c GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM r"""
