@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +92,9 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
+LONG_WORD = 64  # bytes; polynomials modulo 2^64 clash on certain words of a thousand letters
+
+
 def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles of ``size`` words, A-Z folded.
 
@@ -99,6 +103,8 @@ def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
     data = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
     starts, ends = word_spans(data)
     words = RollingHash(data, lower=True).of(starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        words[i] = int.from_bytes(hashlib.blake2b(data[starts[i]:ends[i]].tobytes().lower(), digest_size=8).digest(), "little")
     limits = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
     for lo, hi in zip(limits[:-1], limits[1:], strict=True):
         if lo == hi:

@@ -55,7 +55,8 @@ def _evidence(model):
         for part, texts in text_blocks(batches):
             p = 1 / (1 + np.exp(-logit(measures(texts), model))) if len(model[1]) else np.full(len(texts), 1 / (1 + np.exp(-model[0][0])))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("host"), part.column("path"),
-                                              pa.array(np.rint(p * UNIT).astype(np.int64))], names=["doc_id", "host", "path", "p"])
+                                              pa.array(np.rint(p * UNIT).astype(np.int64)), part.column("text_hash")],
+                                             names=["doc_id", "host", "path", "p", "text_hash"])
 
     return run
 
@@ -90,18 +91,20 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None,
-                       threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """Per row doc_id, evidence, site (posterior rate of its path without the row itself), posterior and kept.
+                       threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, with_row: bool = False) -> DataFrame:
+    """Per row doc_id, evidence, site (posterior rate of its path without the row itself), posterior and kept; ``with_row`` adds
+    host, path and text_hash, which name a row among those that share its id.
 
     ``host`` and ``path`` are columns of ``docs``; by default its source and language. The model is fitted on at most about ``train_rows``
-    rows of each quality label; of several labels of an id the greatest counts, null labels none. Null text counts as empty; null hosts and
-    paths are sites of their own. Repeated rows count and are returned one by one, rows without id too. Without labels the evidence is
+    rows of each quality label; of several labels of an id the greatest counts, null labels none. Null text counts as empty, and a text is
+    measured whole, however long; null hosts and paths are sites of their own. Repeated rows count and are returned one by one, rows without id too. Without labels the evidence is
     the same for all and everything is kept. Other columns are ignored.
     """
     prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         (F.col("source") if host is None else host).cast("string").alias("host"),
-                        (F.col("lang") if path is None else path).cast("string").alias("path"))
+                        (F.col("lang") if path is None else path).cast("string").alias("path"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     marks = labels.where(F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     marks = bounded(marks, "doc_id", "quality", train_rows).select("doc_id", "quality", "weight")  # about 2 * train_rows rows
     # one row of each id: marks are bounded, rows that repeat an id are not
@@ -109,7 +112,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None =
              .agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("quality").alias("quality"), F.first("weight").alias("weight")))
     sample = train.select("text", "quality", "weight").mapInArrow(_sample, "x array<double>, quality int, weight double").collect()  # bounded
     model = fit(matrix([r["x"] for r in sample]), np.array([r["quality"] for r in sample], dtype=float), counts=np.array([r["weight"] for r in sample]))
-    scored = stored(texts.mapInArrow(_evidence(model), "doc_id long, host string, path string, p long"), "evidence")
+    scored = stored(texts.mapInArrow(_evidence(model), "doc_id long, host string, path string, p long, text_hash long"), "evidence")
     sites = site_posteriors(scored).withColumnsRenamed({"host": "h", "path": "q"})
     found = scored.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")))
     bound = lambda x: F.least(F.greatest(x, F.lit(1e-6)), F.lit(1 - 1e-6))
@@ -117,5 +120,6 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, host: Column | None =
     p = F.col("p") / UNIT
     site = (F.col("s") - p + F.col("strength") * F.col("prior")) / (F.col("n") - 1 + F.col("strength"))
     total = odds(p) + odds(F.col("site")) - odds(F.col("m"))
-    return (found.withColumn("site", site).select("doc_id", p.alias("evidence"), "site", (1 / (1 + F.exp(-total))).alias("posterior"))
+    row = ["host", "path", "text_hash"] if with_row else []
+    return (found.withColumn("site", site).select("doc_id", p.alias("evidence"), "site", (1 / (1 + F.exp(-total))).alias("posterior"), *row)
             .withColumn("kept", F.col("posterior") >= threshold))

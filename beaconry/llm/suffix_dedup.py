@@ -7,8 +7,8 @@ the bytes it covers. The work is cut so that equal strings always meet in one bo
    one hash make a unit (at most ``window - k + 1`` strings), some three units per hundred bytes of text. Equal
    strings have equal hashes, so they lie in units of one hash. A task merges units of equal content in its own batch
    and keeps the places of the later ones with the first.
-2. Hashes met once are dropped, unless the unit may repeat itself (its smallest k-mer lies in it twice). Units with equal content are merged by a grouped minimum: all but the first are marked
-   whole.
+2. Hashes met once are dropped, unless the unit may repeat itself (its smallest k-mer lies in it twice): a first pass counts
+   hashes alone, with partial sums a block. Units with equal content are merged by a grouped minimum: all but the first are marked whole.
 3. Hashes with several contents, or one that may repeat itself, go, in groups of bounded size, to a suffix array each: two-stage sorting (only
    suffixes smaller than their successor are compared, the others are induced by scanning the buckets), then common
    prefixes of adjacent suffixes show the equal strings. A hash with more contents than fit one array has its strings
@@ -22,16 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import RollingHash, prepare, stored, text_blocks
 
 KMER = 32
-GROUP_BYTES = 1 << 21  # text in one suffix array
+GROUP_BYTES = 1 << 20  # text in one suffix array
 CROWDED = 8192  # contents under one hash beyond which its strings are aggregated instead
 
-UNIT = "h long, s long, doc_id long, at long, n int, loops boolean, others array<long>"
+COUNT = "h long, c long, loops boolean"
+UNIT = "h long, s long, doc_id long, version long, at long, n int, loops boolean, others array<long>"
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -44,65 +46,108 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def _units(window: int, kmer: int):
+def _block_units(texts: list[bytes], window: int, kmer: int) -> tuple[np.ndarray, ...]:
+    """Units of texts of at least ``window`` bytes each: hash, text number, start, number of strings, whether it may repeat itself,
+    and the rolling hash of all."""
     span = window - kmer + 1
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    bounds = np.cumsum([0, *map(len, texts)])
+    rolled = RollingHash(data)
+    at = np.arange(len(data) - kmer + 1, dtype=np.int32)
+    key = rolled.of(at, at + np.int32(kmer))
+    least = _sliding(key, span, np.minimum)  # one per window
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(bounds))[:len(least)]
+    valid = np.ones(len(least), dtype=bool)
+    for end in bounds[1:-1]:
+        valid[max(0, end - window + 1):end] = False
+    fresh = np.ones(len(least), dtype=bool)
+    fresh[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+    fresh &= valid
+    # runs of windows under one hash, cut to at most `span` windows
+    starts = np.flatnonzero(fresh)
+    lasts = bounds[owner[starts] + 1] - window + 1
+    stops = lasts.copy()
+    stops[:-1] = np.minimum(starts[1:], lasts[:-1])
+    pieces = -(-(stops - starts) // span)
+    if (pieces > 1).any():
+        step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        ends = np.repeat(stops, pieces)
+        starts = np.repeat(starts, pieces) + step * span
+        stops = np.minimum(starts + span, ends)
+    names, owner = least[starts], owner[starts]
+    # places of k-mers that are the smallest of some window; equal neighbours show that a unit may repeat itself
+    least[~valid] = 0
+    most = np.zeros(len(key) + span - 1, dtype=np.uint64)
+    most[span - 1:span - 1 + len(least)] = least
+    del least, fresh, valid
+    anchor = np.flatnonzero(_sliding(most, span, np.maximum) == key)
+    again = np.zeros(len(anchor) + 1, dtype=np.int64)
+    np.cumsum(key[anchor[1:]] == key[anchor[:-1]], out=again[1:len(anchor)])
+    low, high = np.searchsorted(anchor, starts), np.searchsorted(anchor, stops + span - 2, side="right")
+    loops = (high - low > 1) & (again[np.maximum(high - 1, 0)] > again[np.minimum(low, len(anchor))])
+    return names, owner, starts, stops - starts, loops, bounds, rolled
+
+
+def _long_texts(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Ids, versions and bytes of texts that hold a string of ``window`` bytes, in blocks of bounded size and in order of both."""
+    for part, texts in text_blocks(batches):
+        ids, versions = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "version"))
+        order = [i for i in np.lexsort((versions, ids)) if len(texts[i]) >= window]
+        if order:
+            yield ids[order], versions[order], [texts[i] for i in order]
+
+
+def _hashes(window: int, kmer: int):
+    """How often each hash names a unit, and whether one of those may repeat itself; one row a hash and block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, texts in _long_texts(batches, window):
+            names, _, _, _, loops, _, _ = _block_units(texts, window, kmer)
+            known, where = np.unique(names, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(known.view(np.int64)), pa.array(np.bincount(where)), pa.array(np.bincount(where, weights=loops) > 0)], names=["h", "c", "loops"])
+
+    return run
+
 
-    def block(doc_ids: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        keep = [i for i, t in enumerate(texts) if len(t) >= window]
-        data = np.frombuffer(b"".join(texts[i] for i in keep), dtype=np.uint8)
-        bounds = np.cumsum([0, *(len(texts[i]) for i in keep)])
-        rolled = RollingHash(data)
-        at = np.arange(len(data) - kmer + 1)
-        key = rolled.of(at, at + kmer)
-        least = _sliding(key, span, np.minimum)  # one per window
-        owner = np.searchsorted(bounds, np.arange(len(least)), side="right") - 1
-        valid = np.arange(len(least)) + window <= bounds[owner + 1]
-        fresh = np.ones(len(least), dtype=bool)
-        fresh[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
-        fresh &= valid
-        # runs of windows under one hash, cut to at most `span` windows
-        starts = np.flatnonzero(fresh)
-        stops = np.append(np.minimum(starts[1:], bounds[owner[starts[:-1]] + 1] - window + 1),
-                          bounds[owner[starts[-1]] + 1] - window + 1)
-        pieces = -(-(stops - starts) // span)
-        if (pieces > 1).any():
-            step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            ends = np.repeat(stops, pieces)
-            starts = np.repeat(starts, pieces) + step * span
-            stops = np.minimum(starts + span, ends)
-        # places of k-mers that are the smallest of some window; equal neighbours show that a unit may repeat itself
-        most = np.zeros(len(key) + span - 1, dtype=np.uint64)
-        most[span - 1:span - 1 + len(least)] = np.where(valid, least, 0)
-        anchor = np.flatnonzero(_sliding(most, span, np.maximum) == key)
-        again = np.zeros(len(anchor) + 1, dtype=np.int64)
-        np.cumsum(key[anchor[1:]] == key[anchor[:-1]], out=again[1:len(anchor)])
-        low, high = np.searchsorted(anchor, starts), np.searchsorted(anchor, stops + span - 2, side="right")
-        loops = (high - low > 1) & (again[np.maximum(high - 1, 0)] > again[np.minimum(low, len(anchor))])
-        doc = doc_ids[np.asarray(keep)][owner[starts]]
-        return least[starts], rolled.of(starts, stops + window - 1), doc, starts - bounds[owner[starts]], stops - starts, loops
+def _units(window: int, kmer: int):
+    """Units, those of equal content in one block as one row with the places of the later ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in text_blocks(batches, 4 << 20):
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-            if not any(len(t) >= window for t in texts):
-                continue
-            h, s, doc, pos, n, loops = block(ids.astype(np.int64), texts)
-            order = np.lexsort((pos, doc, s, h))
-            h, s, doc, pos, n, loops = (x[order] for x in (h, s, doc, pos, n, loops))
+        for ids, versions, texts in _long_texts(batches, window):
+            h, owner, pos, n, loops, bounds, rolled = _block_units(texts, window, kmer)
+            s = rolled.of(pos, pos + n + window - 1)
+            pos = pos - bounds[owner]
+            order = np.argsort(s, kind="stable")  # places stay in order
+            h, s, owner, pos, n, loops = (x[order] for x in (h, s, owner, pos, n, loops))
             again = np.zeros(len(h), dtype=bool)
             again[1:] = (h[1:] == h[:-1]) & (s[1:] == s[:-1])
             head = np.flatnonzero(~again)
-            rest = np.stack([doc[again], pos[again]], axis=1).ravel()
-            offsets = 2 * (np.append(head, len(h)) - np.arange(len(head) + 1))
+            rest = np.stack([ids[owner[again]], versions[owner[again]], pos[again]], axis=1).ravel()
+            offsets = 3 * (np.append(head, len(h)) - np.arange(len(head) + 1))
             yield pa.RecordBatch.from_arrays([
-                pa.array(h[head].view(np.int64)), pa.array(s[head].view(np.int64)), pa.array(doc[head]),
+                pa.array(h[head].view(np.int64)), pa.array(s[head].view(np.int64)), pa.array(ids[owner[head]]), pa.array(versions[owner[head]]),
                 pa.array(pos[head].astype(np.int64)), pa.array(n[head].astype(np.int32)), pa.array(loops[head]),
                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(rest.astype(np.int64)))],
-                names=["h", "s", "doc_id", "at", "n", "loops", "others"])
+                names=["h", "s", "doc_id", "version", "at", "n", "loops", "others"])
 
     return run
 
 
+def direct_sort(text: np.ndarray, some: np.ndarray, depth: int) -> np.ndarray:
+    """The suffixes ``some`` in the order of their first ``depth`` bytes. Equal beginnings are merged first, by a hash of them."""
+    if not len(some):
+        return some
+    padded = np.zeros(len(text) + depth, dtype=np.uint8)
+    padded[:len(text)] = text
+    _, first, where = np.unique(RollingHash(padded).of(some, some + depth), return_index=True, return_inverse=True)
+    # byte strings of one length, compared inside numpy
+    beginnings = np.lib.stride_tricks.sliding_window_view(padded, depth)[some[first]].view(f"S{depth}").ravel()
+    rank = np.empty(len(first), dtype=np.int32)
+    rank[np.argsort(beginnings)] = np.arange(len(first), dtype=np.int32)
+    return some[np.argsort(rank[where], kind="stable")]
+
+
 def two_stage_sort(data: bytes, depth: int) -> np.ndarray:
     """Suffix array of ``data``, right for the first ``depth`` bytes of every suffix.
 
@@ -120,7 +165,7 @@ def two_stage_sort(data: bytes, depth: int) -> np.ndarray:
     inner = run < len(change)
     rises[inner] = text[change[run[inner]] + 1] > text[change[run[inner]]]
     small = np.flatnonzero(rises)
-    direct = np.array(sorted(small.tolist(), key=lambda i: data[i:i + depth]), dtype=np.int64)
+    direct = direct_sort(text, small, depth)
     limits = np.searchsorted(text[direct], np.arange(257))
     fronts: list[list[np.ndarray]] = [[] for _ in range(256)]
     fronts[text[n - 1]].append(np.array([n - 1]))
@@ -153,17 +198,21 @@ def common_prefixes(data: bytes, order: np.ndarray, most: int) -> np.ndarray:
     """Length of the common prefix, up to ``most``, of each suffix in ``order`` and the one before it (0 for the first)."""
     text = np.zeros(len(data) + most + 8, dtype=np.uint8)
     text[:len(data)] = np.frombuffer(data, dtype=np.uint8)
-    words = np.lib.stride_tricks.sliding_window_view(text, 8)
-    out = np.zeros(len(order), dtype=np.int64)
-    left, right, live = order[:-1].copy(), order[1:].copy(), np.arange(1, len(order))
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, 8)).view("<u8").ravel()  # the eight bytes from every place
+    out = np.zeros(len(order), dtype=np.int32)
+    left, right, live = order[:-1], order[1:], np.arange(1, len(order))
     room = len(data) - np.maximum(left, right)
     for done in range(0, most, 8):
-        same = words[left + done] == words[right + done]
-        whole = same.all(axis=1)
-        out[live] = done + np.where(whole, 8, same.argmin(axis=1))
+        differ = words[left + done] ^ words[right + done]
+        ended = differ != 0
+        lowest = differ[ended]
+        lowest &= np.uint64(0) - lowest
+        out[live[ended]] = done + (np.frexp(lowest.astype(np.float64))[1] - 1) // 8  # the first byte that differs
+        whole = ~ended
         left, right, live = left[whole], right[whole], live[whole]
         if not len(live):
             break
+    out[live] = most
     out[1:] = np.minimum(np.minimum(out[1:], most), room)
     return out
 
@@ -173,7 +222,7 @@ def _later(window: int):
 
     def run(table: pa.Table) -> pa.Table:
         segments = table.column("seg").to_pylist()
-        docs, ats = table.column("doc_id").to_numpy(), table.column("at").to_numpy()
+        docs, versions, ats = (table.column(c).to_numpy() for c in ("doc_id", "version", "at"))
         data = b"\0".join(segments)
         sizes = np.array([len(s) for s in segments])
         begin = np.cumsum(sizes + 1) - sizes - 1
@@ -185,27 +234,32 @@ def _later(window: int):
         usable = np.flatnonzero(offset + window <= sizes[unit])  # strings inside one unit
         group, unit, offset = group[usable], unit[usable], offset[usable]
         start = ats[unit] + offset
-        by = np.lexsort((start, docs[unit], group))
+        # only strings that are met more than once
+        size = np.bincount(group) if len(group) else np.zeros(0, dtype=np.int64)
+        several = size[group] > 1
+        group, unit, start = group[several], unit[several], start[several]
+        by = np.lexsort((start, versions[unit], docs[unit], group))
         group, unit, start = group[by], unit[by], start[by]
         later = np.zeros(len(by), dtype=bool)
         later[1:] = group[1:] == group[:-1]
         first = np.maximum.accumulate(np.where(later, 0, np.arange(len(by))))
-        doc = docs[unit]
-        later &= (doc != doc[first]) | (start != start[first])  # the same place seen in two units is no copy
-        return _runs(doc[later], start[later])
+        doc, version = docs[unit], versions[unit]
+        # the same place seen in two units is no copy
+        later &= (doc != doc[first]) | (version != version[first]) | (start != start[first])
+        return _runs(doc[later], version[later], start[later])
 
     return run
 
 
-def _runs(doc: np.ndarray, start: np.ndarray) -> pa.Table:
-    by = np.lexsort((start, doc))
-    doc, start = doc[by], start[by]
+def _runs(doc: np.ndarray, version: np.ndarray, start: np.ndarray) -> pa.Table:
+    by = np.lexsort((start, version, doc))
+    doc, version, start = doc[by], version[by], start[by]
     head = np.ones(len(doc), dtype=bool)
-    head[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+    head[1:] = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] > start[:-1] + 1)
     first = np.flatnonzero(head)
     last = np.append(first[1:], len(doc)) - 1
-    return pa.table({"doc_id": pa.array(doc[first], pa.int64()), "lo": pa.array(start[first], pa.int64()),
-                     "hi": pa.array(start[last] if len(doc) else start[first], pa.int64())})
+    return pa.table({"doc_id": pa.array(doc[first], pa.int64()), "version": pa.array(version[first], pa.int64()),
+                     "lo": pa.array(start[first], pa.int64()), "hi": pa.array(start[last] if len(doc) else start[first], pa.int64())})
 
 
 def _cut_segments(window: int):
@@ -213,17 +267,14 @@ def _cut_segments(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
-            rows = {k: [] for k in ("h", "crowded", "doc_id", "at", "seg")}
-            for text, doc, asked in zip(texts, part.column("doc_id").to_pylist(), part.column("asked").to_pylist(), strict=True):
-                for u in asked:
-                    rows["h"].append(u["h"])
-                    rows["crowded"].append(u["crowded"])
-                    rows["doc_id"].append(doc)
-                    rows["at"].append(u["at"])
-                    rows["seg"].append(text[u["at"]:u["at"] + u["n"] + window - 1])
-            yield pa.RecordBatch.from_arrays([pa.array(rows["h"], pa.int64()), pa.array(rows["crowded"], pa.bool_()),
-                                              pa.array(rows["doc_id"], pa.int64()), pa.array(rows["at"], pa.int64()),
-                                              pa.array(rows["seg"], pa.binary())], names=list(rows))
+            asked = part.column("asked")
+            of = np.repeat(np.arange(len(texts)), pa.compute.list_value_length(asked).to_numpy(zero_copy_only=False))
+            units = asked.flatten()
+            at, n = units.field("at").to_numpy(), units.field("n").to_numpy()
+            segments = [texts[t][a:a + k] for t, a, k in zip(of.tolist(), at.tolist(), (n + window - 1).tolist(), strict=True)]
+            ids, versions = (part.column(c).to_numpy(zero_copy_only=False)[of] for c in ("doc_id", "version"))
+            yield pa.RecordBatch.from_arrays([units.field("h"), units.field("crowded"), pa.array(ids, pa.int64()), pa.array(versions, pa.int64()),
+                                              units.field("at"), pa.array(segments, pa.binary())], names=["h", "crowded", "doc_id", "version", "at", "seg"])
 
     return run
 
@@ -233,50 +284,64 @@ def _strings(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, ats = batch.column("doc_id").to_numpy(), batch.column("at").to_numpy()
+            docs, versions, ats = (batch.column(c).to_numpy() for c in ("doc_id", "version", "at"))
             for i, seg in enumerate(batch.column("seg").to_pylist()):
                 data = np.frombuffer(seg, dtype=np.uint8)
                 at = np.arange(len(data) - window + 1)
                 names = [RollingHash(data).of(at, at + window), RollingHash(data[::-1] ^ 0x55).of(len(data) - at - window, len(data) - at)]
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in names] + [
-                    pa.array(np.full(len(at), docs[i])), pa.array(at + ats[i])], names=["w1", "w2", "doc_id", "lo"])
+                    pa.array(np.full(len(at), docs[i])), pa.array(np.full(len(at), versions[i])), pa.array(at + ats[i])],
+                    names=["w1", "w2", "doc_id", "version", "lo"])
 
     return run
 
 
-def repeated_strings(docs: DataFrame, window: int = 100, kmer: int = KMER, crowded: int = CROWDED) -> DataFrame:
-    """Runs (doc_id, lo, hi) of starts of the strings of ``window`` bytes that also start earlier; runs may touch or overlap."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    units = texts.mapInArrow(_units(window, kmer), UNIT)
-    often = units.groupBy("h").agg(F.sum(1 + F.size("others")).alias("c"), F.max("loops").alias("loops")).where("c > 1 OR loops").select("h")
+def versioned(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """Rows (doc_id, version, text, carry as structs): ``version`` is 0 for ids with one text, else a hash of the row's text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("version"),
+                        (F.struct(*(F.col(c).alias(c) for c in carry)) if carry else F.lit(None).cast("boolean")).alias("carry"))
+    several = stored(texts.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("version").alias("low"), F.max("version").alias("high"))
+                     .where("low <> high").select(F.col("doc_id").alias("of")), "versions")
+    if several.isEmpty():
+        return texts.withColumn("version", F.lit(0).cast("long"))
+    return (texts.join(several, F.col("doc_id") == F.col("of"), "left")
+            .withColumn("version", F.when(F.col("of").isNull(), F.lit(0)).otherwise(F.col("version"))).drop("of"))
+
+
+def repeated_strings(texts: DataFrame, window: int = 100, kmer: int = KMER, crowded: int = CROWDED) -> DataFrame:
+    """Runs (doc_id, version, lo, hi) of starts of the strings of ``window`` bytes that also start earlier; runs may touch or overlap.
+
+    ``texts`` are rows (doc_id, version, text); equal rows stand for one document, and documents are in order of both.
+    """
+    texts = texts.select("doc_id", "version", "text").where("doc_id IS NOT NULL")
+    often = (texts.mapInArrow(_hashes(window, kmer), COUNT).groupBy("h").agg(F.sum("c").alias("c"), F.max("loops").alias("loops"))
+             .where("c > 1 OR loops").select("h"))
     # Written once: three steps read it, and a lost executor does not bring the text scan back.
-    hits = stored(units.join(often, "h"), "units")
-    place = F.struct("doc_id", "at", "n")
-    firsts = hits.groupBy("h", "s").agg(F.min(place).alias("first"), F.max("loops").alias("loops"))
-    whole = (hits.join(firsts, ["h", "s"]).where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("at") != F.col("first.at")))
-             .select("doc_id", F.col("at").alias("lo"), (F.col("at") + F.col("n") - 1).alias("hi")))
-    pair = F.explode(F.transform(F.sequence(F.lit(0), (F.size("others") / 2 - 1).cast("int")),
-                                 lambda i: F.struct(F.col("others")[2 * i].alias("doc_id"), F.col("others")[2 * i + 1].alias("lo"))))
-    merged = (hits.where("size(others) > 0").select(pair.alias("p"), "n", "doc_id", "at")
-              .where(F.col("p") != F.struct(F.col("doc_id"), F.col("at").alias("lo")))
-              .select("p.doc_id", "p.lo", (F.col("p.lo") + F.col("n") - 1).alias("hi")))
+    hits = stored(texts.mapInArrow(_units(window, kmer), UNIT).join(often, "h"), "units")
+    run = lambda at: (F.col(at).alias("lo"), (F.col(at) + F.col("n") - 1).alias("hi"))
+    firsts = hits.groupBy("h", "s").agg(F.min(F.struct("doc_id", "version", "at", "n")).alias("first"), F.max("loops").alias("loops"))
+    whole = (hits.join(firsts, ["h", "s"]).where(F.struct("doc_id", "version", "at") != F.struct("first.doc_id", "first.version", "first.at"))
+             .select("doc_id", "version", *run("at")))
+    place = F.explode(F.transform(F.sequence(F.lit(0), (F.size("others") / 3 - 1).cast("int")), lambda i: F.struct(
+        *(F.col("others")[3 * i + j].alias(c) for j, c in enumerate(("doc_id", "version", "at"))))))
+    merged = (hits.where("size(others) > 0").select(place.alias("p"), "n", "doc_id", "version", "at")
+              .where(F.col("p") != F.struct("doc_id", "version", "at")).select("p.*", "n").select("doc_id", "version", *run("at")))
     firsts = stored(firsts, "contents")
     several = firsts.groupBy("h").agg(F.count("*").alias("contents"), F.max("loops").alias("loops")).where("contents > 1 OR loops").drop("loops")
-    asked = (firsts.join(several, "h").select(F.col("first.doc_id").alias("doc_id"), F.struct(
+    asked = (firsts.join(several, "h").select("first.doc_id", "first.version", F.struct(
         "h", F.col("first.at").alias("at"), F.col("first.n").alias("n"), (F.col("contents") > crowded).alias("crowded")).alias("unit"))
-        .groupBy("doc_id").agg(F.collect_list("unit").alias("asked")))
-    segments = stored(texts.join(asked, "doc_id").mapInArrow(
-        _cut_segments(window), "h long, crowded boolean, doc_id long, at long, seg binary"), "segments")
+        .groupBy("doc_id", "version").agg(F.collect_list("unit").alias("asked")))
+    segments = stored(texts.join(asked, ["doc_id", "version"]).mapInArrow(
+        _cut_segments(window), "h long, crowded boolean, doc_id long, version long, at long, seg binary"), "segments")
     size = segments.agg(F.coalesce(F.sum(F.length("seg")), F.lit(0))).first()[0]
     groups = int(size // GROUP_BYTES) + 1
     partial = (segments.where("NOT crowded").withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups)))
-               .groupBy("g").applyInArrow(_drop_key(_later(window)), "doc_id long, lo long, hi long"))
-    strings = segments.where("crowded").select("doc_id", "at", "seg").mapInArrow(
-        _strings(window), "w1 long, w2 long, doc_id long, lo long")
-    known = strings.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "lo")).alias("first"), F.count("*").alias("c")).where("c > 1")
-    packed = (strings.join(known, ["w1", "w2"]).where(F.struct("doc_id", "lo") != F.col("first"))
-              .select("doc_id", "lo", F.col("lo").alias("hi")))
+               .groupBy("g").applyInArrow(_drop_key(_later(window)), "doc_id long, version long, lo long, hi long"))
+    strings = segments.where("crowded").select("doc_id", "version", "at", "seg").mapInArrow(
+        _strings(window), "w1 long, w2 long, doc_id long, version long, lo long")
+    known = strings.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "version", "lo")).alias("first"), F.count("*").alias("c")).where("c > 1")
+    packed = (strings.join(known, ["w1", "w2"]).where(F.struct("doc_id", "version", "lo") != F.col("first"))
+              .select("doc_id", "version", "lo", F.col("lo").alias("hi")))
     return whole.unionByName(merged).unionByName(partial).unionByName(packed)
 
 
@@ -284,11 +349,10 @@ def _drop_key(f):
     return lambda table: f(table.drop_columns(["g"]))
 
 
-def _cleaned(window: int, with_text: bool, carry: list[str]):
+def _cleaned(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_blocks(batches):
-            rows = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256")}
-            out = []
+            rows = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
             for text, runs in zip(texts, part.column("runs").to_pylist(), strict=True):
                 spans: list[list[int]] = []
                 for lo, hi in sorted((r["lo"], r["hi"] + window) for r in runs or ()):
@@ -307,15 +371,10 @@ def _cleaned(window: int, with_text: bool, carry: list[str]):
                 rows["n_spans"].append(len(spans))
                 rows["kept_sha256"].append(hashlib.sha256(left).hexdigest())
                 # a cut may split a character; what is left of it goes too
-                out.append(left.decode("utf-8", "ignore"))
-            columns = [part.column("doc_id"), *(pa.array(rows[k], pa.int64() if k != "kept_sha256" else pa.string()) for k in rows)]
-            names = ["doc_id", *rows]
-            if with_text:
-                columns.append(pa.array(out, pa.string()))
-                names.append("kept_text")
-            columns += [part.column(c) for c in carry]
-            names += carry
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                rows["kept_text"].append(left.decode("utf-8", "ignore"))
+            types = {"kept_sha256": pa.string(), "kept_text": pa.string()}
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(v, types.get(k, pa.int64())) for k, v in rows.items()), part.column("carry")],
+                                             names=["doc_id", *rows, "carry"])
 
     return run
 
@@ -325,15 +384,20 @@ def suffix_dedup(docs: DataFrame, window: int = 100, with_text: bool = True, cro
     """Each document without the bytes of strings of ``window`` bytes that also start earlier.
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept_text (characters split by a cut are
-    left out of it). Null text counts as empty. Rows with a null doc_id come back whole: without an id there is no order.
-    Rows that repeat an id stand for one document, so a repeated row is not a copy of itself; each gets a result. Other columns
-    are ignored unless named in ``carry``; an empty table gives no rows.
+    left out of it) and the columns in ``carry``, which may not bear one of these names. Null text counts as empty; a text is judged whole,
+    however long. Rows with a null doc_id come back whole: without an id there is no order. Equal rows stand for one document, so a
+    repeated row is not a copy of itself; texts that share an id are documents of their own, in the order of a hash of the text. Each row gets a
+    result. Other columns are ignored; an empty table gives no rows.
     """
     prepare(docs.sparkSession)
     carry = carry or []
-    runs = repeated_strings(docs, window, crowded=crowded).groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if with_text else "")
-    schema += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema) if carry else ""
-    return (texts.join(runs, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "runs", *carry)
-            .mapInArrow(_cleaned(window, with_text, carry), schema))
+    named = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if with_text else [])]
+    if clash := sorted({c.lower() for c in carry} & {*named, "kept_text"}):
+        raise ValueError(f"carried columns bear names of the result: {clash}")
+    texts = versioned(docs, carry)
+    runs = (repeated_strings(texts, window, crowded=crowded).groupBy(F.col("doc_id").alias("of"), F.col("version").alias("at"))
+            .agg(F.collect_set(F.struct("lo", "hi")).alias("runs")))
+    kind = texts.schema["carry"].dataType.simpleString()
+    cleaned = (texts.join(runs, (F.col("doc_id") == F.col("of")) & (F.col("version") == F.col("at")), "left").select("doc_id", "text", "runs", "carry")
+               .mapInArrow(_cleaned(window), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, carry {kind}"))
+    return cleaned.select(*named, *(F.col("carry")[c].alias(c) for c in carry))

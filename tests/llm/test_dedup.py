@@ -61,6 +61,20 @@ def test_passage_edge_cases(spark):
     assert sorted((r["doc_id"] or 0, r["n_removed"], r["lo"]) for r in got) == [(0, 0, 2), (0, 0, 3), (1, 0, 1), (1, 0, 1)]
 
 
+def test_texts_that_share_an_id_keep_their_own_bytes(spark):
+    one, two = "".join(f"{i} " for i in range(200)), "".join(f"{i}-" for i in range(300, 500))
+    rows = [(5, one), (5, two), (7, one[100:400]), (9, two[:90] + "?" + two[90:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in S.suffix_dedup(df).collect())
+    assert got == sorted([(5, len(one), 0), (5, len(two), 0), (7, 300, 300), (9, len(two) + 1, len(two) - 90)])
+    # of two that share an id and a passage, one loses it
+    both = S.suffix_dedup(spark.createDataFrame([(5, one), (5, "!" + one)], "doc_id long, text string")).collect()
+    assert sorted(r["n_removed"] for r in both) == [0, len(one)]
+    with pytest.raises(ValueError):
+        S.suffix_dedup(df.withColumn("n_bytes", df.doc_id), carry=["n_bytes"])
+    assert S.suffix_dedup(df.withColumn("runs", df.doc_id), carry=["runs"]).where("runs = doc_id").count() == 4
+
+
 def test_passage_query_matches_brute_force(spark):
     from beaconry.llm.queries import QUERIES
 
@@ -107,6 +121,48 @@ def test_near_duplicate_edge_cases(spark):
         (0, 0, True), (3, 3, True), (7, 3, False), (7, 3, False), (9, 9, True)]
 
 
+def test_trees_follow_the_depth():
+    assert N.survival(0.85, 0) == 1 and 0.69 < N.survival(0.85, 3) < 0.71
+    for depth in (1, 3, 10, 16):
+        trees = N.trees_for(0.8, depth)
+        assert (1 - N.survival(0.8, depth)) ** trees <= N.MISSED < (1 - N.survival(0.8, depth)) ** (trees - 1)
+
+
+@pytest.mark.parametrize("leaf,levels", [(48, 16), (64, 2)])
+def test_a_hub_keeps_its_one_link_copies(spark, monkeypatch, leaf, levels):
+    monkeypatch.setattr(N, "MOST_LEVELS", levels)
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(302)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 300):  # several leaves; each at 0.85 to 0.87 of the hub, far from each other
+        t, at = list(base), rng.randrange(5, 280)
+        for k in range(7):
+            t[(at + 43 * k) % 295] = f"x{i}.{k}"
+        rows.append((i, " ".join(t)))
+    got = {r["doc_id"]: tuple(r)[1:] for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85, leaf=leaf).collect()}
+    assert got == brute.components(rows, 3, 85)
+    assert sum(c == 0 for _, c, _ in got.values()) > 250
+
+
+def test_long_words_do_not_clash(spark):
+    word = "a"
+    while len(word) < 1024:  # Thue-Morse words clash under polynomials modulo 2^64
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{word} y z"), (2, f"{other} y z"), (3, f"{word.upper()} Y z")]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 1}
+
+
+def test_near_duplicates_that_share_an_id(spark):
+    text = " ".join(map(str, range(60)))
+    rows = [(1, text), (5, text), (5, "quite another text of some words"), (8, text + " a"), (8, text + " b")]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), with_hash=True).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [(1, 1, True), (5, 1, False), (5, 5, True), (8, 1, False), (8, 1, False)]
+    alone = N.near_duplicates(spark.createDataFrame(rows[3:], "doc_id long, text string")).collect()
+    assert sorted(r["kept"] for r in alone) == [False, True]  # one of a group
+
+
 def test_near_duplicate_query_matches_brute_force(spark):
     from beaconry.llm.queries import QUERIES
 
