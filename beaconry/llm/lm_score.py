@@ -3,9 +3,11 @@
 Target and background model share one vocabulary (all words of both), the same order and the same smoothing; they differ in the
 texts counted. A document's score is the mean over its tokens of the difference of the two losses: below 0 it reads more like the target.
 
-Words, histories and bigrams are counted under 64-bit keys. A task reads its texts in chunks and files the sorted keys and counts of a
-chunk under buckets of keys, so a common n-gram is one entry a chunk. A bucket's task adds up its entries and answers every chunk with
-the counts of both models; a chunk then meets its answers and is scored. Nothing but sums reaches the driver.
+Words and bigrams are counted under 64-bit keys. How often a word is a history is its count less that of the texts it ends, so histories need no
+keys of their own. A task reads its texts in chunks and files the sorted keys and the counts of both models under buckets of keys, so a common
+n-gram is one entry a chunk, and a text of both models is read once. A bucket's task adds up its entries and answers every chunk with
+what the others count; a chunk adds its own and is scored. Most n-grams are met in one chunk only, so most answers are zeros, which take no
+room. Nothing but sums reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beaconry.llm.common import BASE, mixed, prepare, stored, text_blocks
@@ -29,9 +31,9 @@ BUCKET = 8 << 20  # bytes of text whose n-grams make a bucket
 LEAST_BITS = 6  # of the number of buckets
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 OTHER = ""  # stands for all words left out; no word is empty
-# what a key counts, in its last two bits
-PAIR, WORD, HISTORY = np.uint64(0), np.uint64(1), np.uint64(2)
-KIND = np.uint64(3)
+# what a key counts, in its last bit
+PAIR, WORD = np.uint64(0), np.uint64(1)
+KIND = np.uint64(1)
 
 
 def _words(text: str | None) -> list[str]:
@@ -73,10 +75,14 @@ class _Numbers(dict):
         return number
 
 
+COUNTS = ["target", "background", "target_ends", "background_ends"]
+
+
 class Grams:
-    """The n-grams of some texts: sorted ``keys`` with ``counts``, and for every token the places of its pair, word and history."""
+    """The n-grams of some texts: sorted ``keys``, for every token the places of its pair, word and the word before (-1: a start), and the
+    ``counts`` of both models: n-grams, and texts that end in a word. ``models`` says which texts count for the target and the background."""
 
-    def __init__(self, texts: Iterable[list[str]]):
+    def __init__(self, texts: Iterable[list[str]], models: list[np.ndarray] | None = None):
         numbers = _Numbers()
         ids = [np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)) for words in texts]
         self.sizes = np.array([len(x) for x in ids], dtype=np.int64)
@@ -84,24 +90,34 @@ class Grams:
         start, before = len(numbers), np.roll(now, 1)
         before[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = start
         hashes = np.array([*map(_hash, numbers), START], dtype=np.uint64)
-        pairs, pair, n = np.unique(before * (start + 1) + now, return_inverse=True, return_counts=True)
+        pairs, pair = np.unique(before * (start + 1) + now, return_inverse=True)
         keys = np.concatenate([mixed(hashes[pairs // (start + 1)] * np.uint64(BASE) + hashes[pairs % (start + 1)]) & ~KIND | PAIR,
-                               hashes[:start] & ~KIND | WORD, hashes & ~KIND | HISTORY])
-        counts = np.concatenate([n, np.bincount(now, minlength=start), np.bincount(before, minlength=start + 1)])
+                               hashes[:start] & ~KIND | WORD])
         order = np.argsort(keys, kind="stable")
-        place = np.empty(len(keys), dtype=np.int64)
-        place[order] = np.arange(len(keys))
-        self.keys, self.counts = keys[order], counts[order].astype(np.uint64)
-        self.pair, self.word, self.history = place[pair], place[len(pairs) + now], place[len(pairs) + start + before]
+        place = np.empty(len(keys) + 1, dtype=np.int64)
+        place[order], place[-1] = np.arange(len(keys)), -1
+        self.keys = keys[order]
+        self.pair, self.word, self.history = place[pair], place[len(pairs) + now], place[len(pairs) + before]
+        self.counts = {}
+        row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        last = self.word[(np.cumsum(self.sizes) - 1)[self.sizes > 0]] if len(row) else np.zeros(0, dtype=np.int64)
+        for name, of in zip(("target", "background"), models or (), strict=False):
+            weight = of.astype(np.int64)
+            for places, w, to in ((np.r_[self.pair, self.word], np.r_[weight[row], weight[row]], name), (last, weight[self.sizes > 0], f"{name}_ends")):
+                self.counts[to] = np.bincount(places, weights=w, minlength=len(keys)).astype(np.uint64)
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Numbers byte by byte, all first bytes first: what they share compresses."""
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers in as few bytes each as the greatest needs, all last bytes first; zeros take none."""
+    width = -(-int(x.max(initial=0)).bit_length() // 8)
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<u8").ravel()
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    out = np.zeros((size, 8), dtype=np.uint8)
+    if data:
+        out[:, :len(data) // size] = np.frombuffer(data, dtype=np.uint8).reshape(-1, size).T
+    return out.view("<u8").ravel()
 
 
 def _reader(vocabulary: frozenset[str] | None):
@@ -111,11 +127,11 @@ def _reader(vocabulary: frozenset[str] | None):
 
 
 CHUNKS = "chunk long, data binary"
-PIECES = "chunk long, bucket long, keys binary, counts binary"
+PIECES = "chunk long, bucket long, n long, keys binary, " + ", ".join(f"{c} binary" for c in COUNTS)
 
 
 def _chunks(size: int):
-    """Rows of a chunk number and the chunk's doc_id and text, compressed."""
+    """Rows of a chunk number and the chunk's rows, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, parts = TaskContext.get().partitionId() << 32, 0, []
@@ -143,114 +159,134 @@ def _read(data: bytes) -> pa.Table:
         return stream.read_all()
 
 
+def _models(texts: pa.Table) -> list[np.ndarray]:
+    return [texts.column(c).to_numpy() for c in ("is_target", "is_background")]
+
+
 def _pieces(bits: int, read):
     """For every chunk and bucket the sorted keys that the chunk has there, each less the one before, and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
-                grams = Grams(map(read, _read(data.as_buffer()).column("text").to_pylist()))
+                texts = _read(data.as_buffer())
+                grams = Grams(map(read, texts.column("text").to_pylist()), _models(texts))
                 if not len(grams.pair):
                     continue
                 met, starts = np.unique(grams.keys >> np.uint64(64 - bits), return_index=True)
                 some = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(grams.keys)], strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([number] * len(some), pa.int64()), pa.array(met.astype(np.int64)),
+                    pa.array([number] * len(some), pa.int64()), pa.array(met.astype(np.int64)), pa.array([s.stop - s.start for s in some], pa.int64()),
                     pa.array([_packed(np.diff(grams.keys[s], prepend=np.uint64(0))) for s in some], pa.binary()),
-                    pa.array([_packed(grams.counts[s]) for s in some], pa.binary())], names=["chunk", "bucket", "keys", "counts"])
+                    *(pa.array([_packed(grams.counts[c][s]) for s in some], pa.binary()) for c in COUNTS)],
+                    names=["chunk", "bucket", "n", "keys", *COUNTS])
 
     return run
 
 
-ANSWERS = "chunk long, bucket long, target binary, background binary, n_words long, target_tokens long, background_tokens long"
+SUMS = ["n_words", "target_tokens", "background_tokens", "target_texts", "background_texts"]
+ANSWERS = ("chunk long, bucket long, n long, " + ", ".join(f"{c} binary" for c in COUNTS) + ", " + ", ".join(f"{c} long" for c in SUMS))
 
 
 def _answers(table: pa.Table) -> pa.Table:
-    """The counts of both models for every chunk that has n-grams in one bucket, and a row with the bucket's words and tokens."""
-    chunks, parts = table.column("chunk").to_pylist(), [np.cumsum(_unpacked(x), dtype=np.uint64) for x in table.column("keys").to_pylist()]
-    counts = [_unpacked(x) for x in table.column("counts").to_pylist()]
-    sizes = [len(x) for x in parts]
+    """For every chunk that has n-grams in one bucket what the others count of them, and a row with the bucket's sums."""
+    chunks, sizes = table.column("chunk").to_pylist(), table.column("n").to_pylist()
+    parts = [np.cumsum(_unpacked(x, n), dtype=np.uint64) for x, n in zip(table.column("keys").to_pylist(), sizes, strict=True)]
     keys, where = np.unique(np.concatenate(parts), return_inverse=True)
-    counts = np.concatenate(counts).astype(np.float64)  # exact below 2^53
-    own = np.repeat([c is None for c in chunks], sizes)
-    target, background = (np.bincount(where[x], weights=counts[x], minlength=len(keys)) for x in (own, ~own))
-    is_word, bucket = keys & KIND == WORD, table.column("bucket")[0].as_py()
-    rows = [(None, bucket, None, None, int(is_word.sum()), int(target[is_word].sum()), int(background[is_word].sum()))]
-    at = 0
-    for chunk, size in zip(chunks, sizes, strict=True):
-        if chunk is not None:
-            some = where[at:at + size]
-            rows.append((chunk, bucket, _packed(target[some]), _packed(background[some]), None, None, None))
-        at += size
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["chunk", "bucket", "target", "background", "n_words", "target_tokens", "background_tokens"]
-    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+    del parts
+    is_word = keys & KIND == WORD
+    columns: dict[str, list] = {"chunk": [*chunks, None], "bucket": [table.column("bucket")[0].as_py()] * (len(chunks) + 1), "n": [*sizes, None]}
+    sums = {"n_words": int(is_word.sum())}
+    for name in COUNTS:
+        own = np.concatenate([_unpacked(x, n) for x, n in zip(table.column(name).to_pylist(), sizes, strict=True)])
+        total = np.bincount(where, weights=own.astype(np.float64), minlength=len(keys)).astype(np.uint64)  # exact below 2^53
+        rest = total[where] - own
+        ends = np.cumsum([0, *sizes])
+        columns[name] = [_packed(rest[a:b]) if chunk is not None else None for chunk, a, b in zip(chunks, ends[:-1], ends[1:], strict=True)] + [None]
+        model, _, kind = name.partition("_")
+        sums[f"{model}_{'texts' if kind else 'tokens'}"] = int(total[is_word].sum())
+    for name in SUMS:
+        columns[name] = [None] * len(chunks) + [sums[name]]
+    types = {c: pa.binary() for c in COUNTS}
+    out = pa.table({c: pa.array(v, types.get(c, pa.int64())) for c, v in columns.items()})
+    return out.filter(pa.array([c is not None for c in chunks] + [True]))
 
 
 SCORED = ["doc_id", "n_tokens", "target_loss", "background_loss", "score", "selected"]
 
 
-def losses(counts: np.ndarray, grams: Grams, tokens: int, outcomes: int) -> np.ndarray:
+def losses(counts: np.ndarray, ends: np.ndarray, grams: Grams, tokens: int, texts: int, outcomes: int) -> np.ndarray:
     """Negative log probability of each token from the counts of ``grams.keys``: its bigram interpolated with add-``SMOOTHING`` unigrams."""
     unigram = (counts[grams.word] + SMOOTHING) / (tokens + SMOOTHING * outcomes)
-    before = counts[grams.history]
+    before = np.where(grams.history < 0, texts, (counts - ends)[grams.history])
     bigram = np.divide(counts[grams.pair], before, out=unigram.copy(), where=before > 0)
     return -np.log(WEIGHT * bigram + (1 - WEIGHT) * unigram)
 
 
-def _scores(read, outcomes: int, tokens: tuple[int, int]):
+def _scores(read, outcomes: int, sums: dict[str, int]):
     """Scores of one chunk's texts from the answers of its buckets, which follow each other as its sorted keys do."""
 
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not chunk.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_())], names=SCORED)
         texts = _read(chunk.column("data")[0].as_buffer())
-        grams = Grams(map(read, texts.column("text").to_pylist()))
+        grams = Grams(map(read, texts.column("text").to_pylist()), _models(texts))
         answers = answers.sort_by("bucket")
         row = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
+
+        def counted(name: str) -> np.ndarray:
+            others = [_unpacked(x, n) for x, n in zip(answers.column(name).to_pylist(), answers.column("n").to_pylist(), strict=True)]
+            return (np.concatenate([np.zeros(0, dtype=np.uint64), *others]) + grams.counts[name]).astype(np.float64)
+
         loss = []
-        for name, total in zip(("target", "background"), tokens, strict=True):
-            counts = np.concatenate([np.zeros(0, dtype=np.uint64), *map(_unpacked, answers.column(name).to_pylist())]).astype(np.float64)
-            each = losses(counts, grams, total, outcomes) if len(row) else np.zeros(0)
+        for name in ("target", "background"):
+            each = losses(counted(name), counted(f"{name}_ends"), grams, sums[f"{name}_tokens"], sums[f"{name}_texts"], outcomes) if len(row) else np.zeros(0)
             loss.append(np.round(np.bincount(row, weights=each, minlength=len(grams.sizes)) / np.maximum(1, grams.sizes), 9))
         diff = np.round(loss[0] - loss[1], 9)
-        return pa.table([texts.column("doc_id"), pa.array(grams.sizes), pa.array(loss[0]), pa.array(loss[1]), pa.array(diff), pa.array(diff < 0)],
-                        names=SCORED)
+        out = pa.table([texts.column("doc_id"), pa.array(grams.sizes), pa.array(loss[0]), pa.array(loss[1]), pa.array(diff), pa.array(diff < 0)],
+                       names=SCORED)
+        return out.filter(texts.column("is_background"))
 
     return run
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, most: int | None = None) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target: DataFrame | None = None, most: int | None = None, is_target: Column | None = None) -> DataFrame:
     """Per row doc_id, n_tokens, target_loss and background_loss (nats a token), score (their difference) and selected (score < 0).
 
-    The background model counts all of ``docs``, the target model all of ``target`` (a column text). Tokens are lower-cased words, all of them in
-    the vocabulary; ``most`` leaves only that many most frequent ones, all others being one class. A text without words, null included, has
-    losses and score 0 and is not selected. Rows are scored one by one, repeated ones and such without id too; other
-    columns are ignored. Empty tables give uniform models.
+    The background model counts all of ``docs``; the target model the rows of ``docs`` for which ``is_target`` holds and all of ``target`` (a
+    column text), whichever is given. Tokens are lower-cased words, all of them in the vocabulary; ``most`` leaves only that many most frequent
+    ones, all others being one class. A text without words, null included, has losses and score 0 and is not selected; texts are read whole,
+    however long. Rows are scored one by one, repeated ones and such without id too; other columns are ignored. Empty tables give uniform models.
     """
     spark = prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = target.select(F.lit(None).cast("long").alias("doc_id"), "text")
-    read = _reader(None if most is None else frozenset(vocabulary_of(texts.select("text").unionByName(wanted.select("text")), most)))
-    size = sum(df.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0 for df in (texts, wanted))
+    none = F.lit(False)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (none if is_target is None else F.coalesce(is_target, none)).alias("is_target"),
+                        F.lit(True).alias("is_background"))
+    tables = [texts]
+    if target is not None:
+        tables.append(target.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(True).alias("is_target"), none.alias("is_background")))
+    every = tables[0].select("text") if len(tables) == 1 else tables[0].select("text").unionByName(tables[1].select("text"))
+    read = _reader(None if most is None else frozenset(vocabulary_of(every, most)))
+    size = sum(df.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0 for df in tables)
     bits = max(LEAST_BITS, (size // BUCKET).bit_length())
     chunks = stored(texts.mapInArrow(_chunks(CHUNK), CHUNKS), "chunks")
-    every = chunks.unionByName(wanted.mapInArrow(_chunks(CHUNK), CHUNKS).withColumn("chunk", F.lit(None).cast("long")))  # the target's have no number
+    counted = chunks
+    for more in tables[1:]:  # counted but not scored: its chunks have no number
+        counted = counted.unionByName(more.mapInArrow(_chunks(CHUNK), CHUNKS).withColumn("chunk", F.lit(None).cast("long")))
     spark.conf.set(BATCH, "4")  # a row is a whole chunk
     try:
-        answers = stored(every.mapInArrow(_pieces(bits, read), PIECES).groupBy("bucket").applyInArrow(_answers, ANSWERS), "counts")
+        answers = stored(counted.mapInArrow(_pieces(bits, read), PIECES).groupBy("bucket").applyInArrow(_answers, ANSWERS), "counts")
     finally:
         prepare(spark)
-    total = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_words", "target_tokens", "background_tokens"))).first()
+    sums = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in SUMS)).first().asDict()
     # one more outcome than words, unless the class of others is among them already
-    outcomes = total["n_words"] + 1 if most is None else min(most, total["n_words"]) + 1
-    run = _scores(read, outcomes, (total["target_tokens"], total["background_tokens"]))
-    return (chunks.groupBy("chunk")
-            .cogroup(answers.where("chunk IS NOT NULL").select("chunk", "bucket", "target", "background").groupBy("chunk"))
-            .applyInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double, selected boolean"))
+    outcomes = sums["n_words"] + 1 if most is None else min(most, sums["n_words"]) + 1
+    return (chunks.groupBy("chunk").cogroup(answers.where("chunk IS NOT NULL").select("chunk", "bucket", "n", *COUNTS).groupBy("chunk"))
+            .applyInArrow(_scores(read, outcomes, sums), "doc_id long, n_tokens long, target_loss double, background_loss double, score double, selected boolean"))
 
 
-def labelled_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the documents labelled good, written once. The join sorts and merges at every size: labels have no bound."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    return stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good.hint("merge"), "doc_id", "left_semi").select("text"), "target")
+def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with a column ``good``: whether the id is labelled good. Only ids are joined to them; Spark chooses how."""
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("of"), F.lit(True).alias("good")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.join(good, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))

@@ -139,6 +139,24 @@ def test_scores_count_every_word(spark, monkeypatch):
     assert got[900]["selected"] and not got[901]["selected"]  # words met twice and once tell them apart
 
 
+def test_scoring_query_matches_brute_force(spark):
+    from beaconry.llm.queries import QUERIES
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect()}
+    good = {r["doc_id"] for r in spark.read.parquet(f"{ROOT}/labels.parquet").collect() if r["quality"] == 1}
+    score = brute.bigram_losses([docs[i] for i in good if i in docs], docs.values(), None, L.SMOOTHING, L.WEIGHT)
+    got = QUERIES["op5_lm_scoring"](spark, ROOT).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(docs)
+    for r in got:
+        assert (r["target_loss"], r["background_loss"]) == pytest.approx(score(docs[r["doc_id"]]), abs=1e-6)
+
+
+def test_numbers_are_packed_and_read_back():
+    for x in ([], [0, 0], [255], [256, 3], [1 << 63, 7, 0], list(range(1000))):
+        a = np.array(x, dtype=np.uint64)
+        assert (L._unpacked(L._packed(a), len(a)) == a).all() and (any(x) or L._packed(a) == b"")
+
+
 def test_statistics_match_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text").collect()]
     line = "one two three four five six seven eight nine"
