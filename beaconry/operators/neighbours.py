@@ -1,24 +1,26 @@
 """User-user similarity on shared items.
 
-Users with the same item set are one profile, so copies cost nothing. Profiles meet in
-tiles (see ``tiles``); the similarity of two users is shared / sqrt(n_u * n_v). For a
-fixed user the order by similarity is the order by shared^2 / n_v, which is exact in
-doubles; equal values go to the lower user id.
+Users with the same item set are one profile, so copies cost nothing. Profiles that share an item meet by inverted
+lists (see ``inverted``); the similarity of two users is shared / sqrt(n_u * n_v). For a fixed user the order by
+similarity is the order by shared^2 / n_v, which is exact in doubles; equal values go to the lower user id.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beaconry.operators import tiles
+from beaconry.operators import inverted
+from beaconry.operators.tiles import fresh
 from beaconry.session import cut
 
-PROFILES_PER_CHUNK = 32_768
-ITEMS_PER_CHUNK = 8_000_000
+SEED_ITEMS = 3  # rarest items of a profile whose holders set its first bar
+SEED_HOLDERS = 64
 
 
 def interactions(events: DataFrame, kinds: list[str], item: str = "product_id") -> DataFrame:
@@ -28,159 +30,170 @@ def interactions(events: DataFrame, kinds: list[str], item: str = "product_id")
 
 
 def profiles(inter: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(user, profile) and one row per profile: items, size, members, lowest member."""
-    per_user = inter.groupBy("user_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    keyed = per_user.withColumn("profile", F.sha2(F.to_json("items"), 256))
-    keyed = cut(keyed)
+    """(user, profile) and one row per profile: items with their holders, rare ones first, size, members, lowest member."""
+    per_user = inverted.lists_by_rarity(inter, "user_id", "item_id")
+    keyed = cut(per_user.withColumn("profile", F.sha2(F.to_json("items"), 256)))
     per_profile = keyed.groupBy("profile").agg(
         F.any_value("items").alias("items"), F.count("*").alias("members"), F.min("user_id").alias("lowest"))
     return keyed.select("user_id", "profile"), cut(
         per_profile.withColumn("n", F.size("items").cast("bigint")))
 
 
-def _chunks(prof: DataFrame, per_chunk: int) -> int:
-    """Chunks small enough in profiles and in items held."""
-    size = prof.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("items")).first()
-    return max(tiles.chunk_count(size["rows"], per_chunk, tiles.cores_of(prof)),
-               tiles.chunk_count(size["items"], ITEMS_PER_CHUNK))
-
-
-def _lists(table: pa.Table) -> pa.Table:
-    return table.sort_by("lowest")
-
-
-def _column(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy()
+def _load(prof: DataFrame) -> int:
+    """Entries of the lists that all profiles file, each under all of its items, on two sides."""
+    return 2 * (prof.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0)
 
 
-def _best_profiles(keep: int, id_type: pa.DataType):
-    """Kernel: the ``keep`` most similar profiles of each profile in a tile.
+def _best_profiles(keep: int, id_type: pa.DataType) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Kernel: the ``keep`` most similar other profiles of each probing profile in a bucket, none below its bar.
 
-    A profile goes by its lowest member; rows come in that order, so ties do too.
+    The running best of the bucket raise the bars from piece to piece.
     """
-    def rows(mine: pa.Table, other: pa.Table, who: np.ndarray, whom: np.ndarray, shared: np.ndarray) -> pa.Table:
-        who, whom = pa.array(who), pa.array(whom)
-        return pa.table({"lowest": mine.column("lowest").take(who), "n": mine.column("n").take(who),
-                         "other": other.column("lowest").take(whom), "other_n": other.column("n").take(whom),
-                         "shared": pa.array(shared.astype(np.int64))})
-
-    empty = pa.table({"lowest": pa.array([], id_type), "n": pa.array([], pa.int64()), "other": pa.array([], id_type),
-                      "other_n": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
-
-    def run(diagonal: bool, left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = _lists(left), _lists(right)
-        n_l, n_r = _column(left, "n").astype(float), _column(right, "n").astype(float)
-        out, back = [empty], tiles.RunningBest(len(n_r), keep)
-        for s, e, counts in tiles.shared_counts(left.column("items"), right.column("items")):
-            square = (counts * counts).astype(float)
-            if not diagonal:
-                back.add(square / n_l[s:e, None], counts, s)
-            square /= n_r[None, :]
-            who, whom, _ = tiles.best_columns(square, keep, 0.0)
-            out.append(rows(left, right, who + s, whom, counts[who, whom]))
-        if not diagonal:
-            whom, who, shared = back.result()
-            out.append(rows(right, left, whom, who, shared))
-        return pa.concat_tables([t.cast(empty.schema) for t in out])
+    def run(postings: pa.Table, probes: pa.Table) -> pa.Table:
+        out = {"lowest": pa.array([], id_type), "n": pa.array([], pa.int64()), "other": pa.array([], id_type),
+               "other_n": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())}
+        if not postings.num_rows or not probes.num_rows:
+            return pa.table(out)
+        post, ask = inverted.both_sides(postings, probes, "lowest")
+        bars = np.zeros(1 + max(post.ids.max(), ask.ids.max()))
+        np.maximum.at(bars, ask.ids, ask.table.column("bar").to_numpy())
+        sizes = post.n.astype(float)
+        who = whom = shared = np.zeros(0, dtype=np.int64)
+
+        def alive(probe: np.ndarray, posting: np.ndarray) -> np.ndarray:
+            most = np.minimum(ask.left[probe], post.left[posting]).astype(float)
+            return most * most >= bars[ask.ids[probe]] * sizes[posting]
+
+        for a, b, c in inverted.common(post, ask, alive):
+            near = c * c >= bars[ask.ids[a]] * sizes[b]
+            who, whom, shared = (np.concatenate(x) for x in ((who, a[near]), (whom, b[near]), (shared, c[near])))
+            close = (shared * shared) / sizes[whom]
+            order = np.lexsort((post.ids[whom], -close, ask.ids[who]))
+            mine = ask.ids[who][order]
+            place = np.arange(len(mine)) - np.searchsorted(mine, mine)
+            full = order[place == keep - 1]
+            np.maximum.at(bars, ask.ids[who[full]], close[full])
+            best = order[place < keep]
+            who, whom, shared = who[best], whom[best], shared[best]
+        ids = (ask.table.column("lowest").take(pa.array(who)), post.table.column("lowest").take(pa.array(whom)))
+        return pa.table({"lowest": ids[0], "n": pa.array(ask.n[who]), "other": ids[1], "other_n": pa.array(post.n[whom]), "shared": pa.array(shared)})
 
     return run
 
 
-def neighbours(inter: DataFrame, k: int = 5, per_chunk: int = PROFILES_PER_CHUNK) -> DataFrame:
-    """The ``k`` most similar users of each user that share at least one item.
+def _closeness():
+    return (F.col("shared") * F.col("shared")).cast("double") / F.col("other_n")
+
 
-    Columns: user_id, neighbour, shared, similarity, rank. Exact: a user's k neighbours
-    lie in the k + 1 best profiles (its own included), each giving its k + 1 lowest members.
+def near_profiles(prof: DataFrame, k: int, holders: int = inverted.HOLDERS) -> DataFrame:
+    """Rows (lowest, n, other, other_n, shared): for each profile, named by its lowest member, the ``k`` most similar others that share an item.
+
+    First the profiles under a few rare items, in small sub-buckets, give every profile a bar: the k-th best it has met. Then all
+    probe the full lists, above their bars only. Members of the profile itself are neighbours already and lower ``k`` for its bar.
     """
-    id_type = inter.schema["user_id"].dataType.simpleString()
-    members, prof = profiles(inter)
-    chunks = _chunks(prof, per_chunk)
+    id_type = prof.schema["lowest"].dataType.simpleString()
     arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
     schema = f"lowest {id_type}, n bigint, other {id_type}, other_n bigint, shared bigint"
-    pairs = tiles.self_tiles(prof.select("profile", "items", "n", "lowest"), "profile", chunks,
-                             _best_profiles(k + 1, arrow_type), schema)
+    load = _load(prof)
+    lists = prof.select("lowest", "members", "items")
+    best = _best_profiles(k, arrow_type)
+    rare = inverted.places(lists, SEED_ITEMS)
+    seeds = _seeds(rare, best, schema, load)
+    # pairs are met once, so a profile has at most k a rare item; it needs fewer others the more members it has, and who has enough asks no one
+    bars = seeds.groupBy(F.col("lowest").alias("_of")).agg(F.sort_array(F.collect_list(_closeness()), False).alias("_met"))
+    asking = fresh(lists).where(F.col("members") <= k).join(bars, F.col("lowest") == F.col("_of"), "left").withColumn(
+        "bar", F.coalesce(F.get("_met", (k - F.col("members")).cast("int")), F.lit(0.0))).drop("_of", "_met")
+    # even a profile that consists of the remaining items only would be no closer than their number
+    probes = inverted.places(asking).where(F.size("items") - F.col("place") >= F.col("bar"))
+    return inverted.meet(inverted.places(lists), probes, "lowest", best, schema, load, holders)
+
+
+def _seeds(rare: DataFrame, best: Callable[[pa.Table, pa.Table], pa.Table], schema: str, load: int) -> DataFrame:
+    """Profiles meet those of their own small sub-bucket only."""
+    subs = F.greatest(F.ceil(F.col("holders") / SEED_HOLDERS), F.lit(1))
+    apart = rare.withColumn("item", F.concat_ws("~", F.col("item").cast("string"), F.pmod(F.xxhash64("lowest"), subs).cast("string"))).withColumn(
+        "holders", F.lit(1).cast("bigint"))
+    return inverted.meet(apart, apart.withColumn("bar", F.lit(0.0)), "lowest", best, schema, load)
+
+
+def neighbours(inter: DataFrame, k: int = 5, holders: int = inverted.HOLDERS) -> DataFrame:
+    """The ``k`` most similar users of each user that share at least one item.
 
-    closeness = (F.col("shared") * F.col("shared")).cast("double") / F.col("other_n")
-    w = W.partitionBy("lowest").orderBy(closeness.desc(), "other")
-    best = pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k + 1)
+    Columns: user_id, neighbour, shared, similarity, rank. Exact: a user's k neighbours lie in its own profile and the k
+    best others, each giving its k + 1 lowest members.
+    """
+    members, prof = profiles(inter)
+    others = near_profiles(prof, k, holders)
+    twins = prof.where("members > 1").select("lowest", "n", F.col("lowest").alias("other"), F.col("n").alias("other_n"), F.col("n").alias("shared"))
+    w = W.partitionBy("lowest").orderBy(_closeness().desc(), "other")
+    best = others.unionByName(fresh(twins)).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k + 1)
 
-    names = tiles.fresh(prof.select("profile", "lowest"))
+    names = fresh(prof.select("profile", "lowest"))
     low = W.partitionBy("profile").orderBy("user_id")
     few = (members.withColumn("_rn", F.row_number().over(low)).filter(F.col("_rn") <= k + 1)
            .groupBy("profile").agg(F.collect_list("user_id").alias("few")).join(names, "profile")
            .select(F.col("lowest").alias("other"), "few"))
     cand = best.join(few, "other").select(
-        "lowest", "shared", (-closeness).alias("far"),
+        "lowest", "shared", (-_closeness()).alias("far"),
         (F.col("shared") / F.sqrt((F.col("n") * F.col("other_n")).cast("double"))).alias("similarity"),
         F.explode("few").alias("neighbour"))
     # At most (k + 1)^2 candidates per profile.
     lists = cand.groupBy("lowest").agg(F.sort_array(F.collect_list(
         F.struct("far", "neighbour", "shared", "similarity"))).alias("cand"))
-    by_profile = lists.join(tiles.fresh(names), "lowest").select("profile", "cand")
+    by_profile = lists.join(fresh(names), "lowest").select("profile", "cand")
     own = members.join(by_profile, "profile").select(
         "user_id", F.posexplode(F.slice(F.filter("cand", lambda c: c["neighbour"] != F.col("user_id")), 1, k)))
     return own.select("user_id", F.col("col.neighbour").alias("neighbour"), F.col("col.shared").alias("shared"),
                       F.col("col.similarity").alias("similarity"), (F.col("pos") + 1).cast("bigint").alias("rank"))
 
 
-class _RowSums:
-    """Sums over the other chunk's users for the profiles of one chunk, filled batch by batch."""
-
-    def __init__(self, rows: int):
-        self.users, self.shared = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        self.sim, self.low, self.high = np.zeros(rows), np.full(rows, np.inf), np.zeros(rows)
-
-    def add(self, at: slice, counts: np.ndarray, sim: np.ndarray, weight: np.ndarray, skip: bool) -> None:
-        """``weight`` is the number of users per column; ``skip`` leaves a profile itself out of low and high."""
-        seen = counts > 0
-        self.users[at] += seen @ weight
-        self.shared[at] += counts @ weight
-        self.sim[at] += sim @ weight.astype(float)
-        if skip:
-            rows = np.arange(counts.shape[0])
-            seen[rows, rows + at.start] = False
-        self.low[at] = np.minimum(self.low[at], np.where(seen, sim, np.inf).min(axis=1, initial=np.inf))
-        self.high[at] = np.maximum(self.high[at], np.where(seen, sim, 0.0).max(axis=1, initial=0.0))
-
-    def table(self, mine: pa.Table) -> pa.Table:
-        return pa.table({"profile": mine.column("profile"), "users": pa.array(self.users), "shared": pa.array(self.shared),
-                         "sim": pa.array(self.sim), "low": pa.array(self.low), "high": pa.array(self.high)})
-
-
-def _row_sums(diagonal: bool, left: pa.Table, right: pa.Table) -> pa.Table:
-    """Kernel: for each profile, sums over the users of the other chunk."""
-    left, right = _lists(left), _lists(right)
-    n_l, n_r = _column(left, "n").astype(float), _column(right, "n").astype(float)
-    w_l, w_r = _column(left, "members"), _column(right, "members")
-    ours, theirs = _RowSums(len(n_l)), _RowSums(len(n_r))
-    for s, e, counts in tiles.shared_counts(left.column("items"), right.column("items")):
-        sim = counts / np.sqrt(n_l[s:e, None] * n_r[None, :])
-        ours.add(slice(s, e), counts, sim, w_r, diagonal)
-        if not diagonal:
-            theirs.add(slice(0, len(n_r)), counts.T, sim.T, w_l[s:e], False)
-    out = [ours.table(left)] if diagonal else [ours.table(left), theirs.table(right)]
-    return pa.concat_tables(out)
-
-
-def overlap_summary(inter: DataFrame, per_chunk: int = PROFILES_PER_CHUNK) -> DataFrame:
+def _row_sums(id_type: pa.DataType) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Kernel: for each probing profile, sums over the users of the other profiles it meets in a bucket."""
+
+    def run(postings: pa.Table, probes: pa.Table) -> pa.Table:
+        if not postings.num_rows or not probes.num_rows:
+            none = {c: pa.array([], pa.int64()) for c in ("users", "shared")} | {c: pa.array([], pa.float64()) for c in ("sim", "low", "high")}
+            return pa.table({"lowest": pa.array([], id_type)} | none)
+        post, ask = inverted.both_sides(postings, probes, "lowest")
+        weight = post.table.column("members").to_numpy()
+        rows = len(ask.n)
+        users, shared, sim, low, high = np.zeros(rows, np.int64), np.zeros(rows, np.int64), np.zeros(rows), np.full(rows, np.inf), np.zeros(rows)
+        for a, b, c in inverted.common(post, ask, lambda probe, posting: np.ones(len(probe), dtype=bool)):
+            each = c / np.sqrt((ask.n[a] * post.n[b]).astype(float))
+            users += np.bincount(a, weights=weight[b], minlength=rows).astype(np.int64)
+            shared += np.bincount(a, weights=c * weight[b], minlength=rows).astype(np.int64)
+            sim += np.bincount(a, weights=each * weight[b], minlength=rows)
+            np.minimum.at(low, a, each)
+            np.maximum.at(high, a, each)
+        met = np.flatnonzero(users)
+        return pa.table({"lowest": ask.table.column("lowest").take(pa.array(met)), "users": pa.array(users[met]), "shared": pa.array(shared[met]),
+                         "sim": pa.array(sim[met]), "low": pa.array(low[met]), "high": pa.array(high[met])})
+
+    return run
+
+
+def overlap_summary(inter: DataFrame, holders: int = inverted.HOLDERS) -> DataFrame:
     """Row sums of the user-user matrix, self excluded, without emitting its entries.
 
     Columns: user_id, overlapping_users, shared_items, similarity_sum, and the lowest and
     highest similarity among users sharing an item (NULL if none does).
     """
     members, prof = profiles(inter)
-    chunks = _chunks(prof, per_chunk)
-    schema = "profile string, users bigint, shared bigint, sim double, low double, high double"
-    sums = (tiles.self_tiles(prof, "profile", chunks, _row_sums, schema).groupBy("profile")
+    id_type = prof.schema["lowest"].dataType.simpleString()
+    arrow_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_type]
+    rows = inverted.places(prof.select("lowest", "members", "items"))
+    sums = (inverted.meet(rows, rows, "lowest", _row_sums(arrow_type), f"lowest {id_type}, users bigint, shared bigint, sim double, low double, high double",
+                          _load(prof), holders).groupBy("lowest")
             .agg(F.sum("users").alias("users"), F.sum("shared").alias("shared"), F.sum("sim").alias("sim"),
                  F.min("low").alias("low"), F.max("high").alias("high")))
-    twin = F.col("members") > 1
-    per_profile = sums.join(tiles.fresh(prof.select("profile", "n", "members")), "profile").select(
-        "profile", (F.col("users") - 1).alias("overlapping_users"),
-        (F.col("shared") - F.col("n")).alias("shared_items"), (F.col("sim") - 1).alias("similarity_sum"),
-        F.when(F.col("users") > 1, F.when(twin, F.least(F.col("low"), F.lit(1.0))).otherwise(F.col("low")))
-        .alias("lowest_similarity"),
-        F.when(F.col("users") > 1, F.when(twin, F.lit(1.0)).otherwise(F.col("high"))).alias("highest_similarity"))
+    # the other members of a profile share all its items
+    twins = F.col("members") - 1
+    per_profile = fresh(prof.select("profile", "n", "members", "lowest")).join(fresh(sums).withColumnRenamed("lowest", "_of"), F.col("lowest") == F.col("_of"), "left")
+    per_profile = per_profile.select(
+        "profile", (F.coalesce("users", F.lit(0)) + twins).alias("overlapping_users"),
+        (F.coalesce("shared", F.lit(0)) + twins * F.col("n")).alias("shared_items"), (F.coalesce("sim", F.lit(0.0)) + twins).alias("similarity_sum"),
+        F.when(twins > 0, F.least(F.coalesce("low", F.lit(1.0)), F.lit(1.0))).otherwise(F.col("low")).alias("lowest_similarity"),
+        F.when(twins > 0, F.lit(1.0)).otherwise(F.col("high")).alias("highest_similarity"))
     return members.join(per_profile, "profile").drop("profile")
 
 
