@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from beaconry.session import cut
+
 DAY = 86400
+LONG_RUN = 1_000_000  # rows of a run that one task still folds
+STEPS = 1024  # parts of a window, in which the next row is looked for
 
 
 def micros(col: str):
@@ -77,7 +81,7 @@ def quarantined(df: DataFrame, *times: str) -> DataFrame:
     return df.filter(missing)
 
 
-def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int = DAY) -> DataFrame:
+def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int = DAY, long_run: int = LONG_RUN) -> DataFrame:
     """Keep a row unless a kept row of the same key lies less than the window before it.
 
     Rows without a time can't be placed and are left out; ``quarantined`` gives them.
@@ -86,13 +90,28 @@ def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int
     kept whatever came earlier; they start a run. Only rows inside a run depend on the
     fold. Runs, not keys, are the unit of work, so a key with many copies spreads out as
     soon as it pauses once, and a task reads its runs as a stream with one number of state.
+
+    A run of more than ``long_run`` rows is not left to one task: each of its rows points to
+    the first row a window later, and the kept rows are those met from the run's start. The
+    pointers are doubled from round to round, so the rounds grow with the logarithm of the kept rows.
     """
     width = window_seconds * 1_000_000
     rows = df.filter(F.col(ts).isNotNull()).withColumn("_at", micros(ts))
+    cells = _run_cells(rows, key, width)
+    long = cut(cells.groupBy("_run").agg(F.sum("_rows").alias("_rows")).where(F.col("_rows") > long_run).select("_run"))
     # Copies at the very same time: only the first by ``tie`` can be kept.
     first = W.partitionBy(key, "_at").orderBy(tie)
     rows = rows.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
-    runs = _with_runs(rows, key, width)
+    runs = _with_runs(rows, key, width, cells)
+    if long.isEmpty():
+        return _fold_runs(runs, df, width)
+    short = _fold_runs(runs.join(long, "_run", "left_anti"), df, width)
+    whole = runs.join(long, "_run", "left_semi")
+    kept = _followed(whole.select("_run", "_at"), width)
+    return short.unionByName(whole.join(kept, ["_run", "_at"], "left_semi").select(*df.columns))
+
+
+def _fold_runs(runs: DataFrame, df: DataFrame, width: int) -> DataFrame:
     cols = df.columns
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,23 +132,58 @@ def dedup_within(df: DataFrame, key: str, ts: str, tie: str, window_seconds: int
     return placed.select(*cols, "_at", "_run").mapInArrow(fold, df.schema)
 
 
-def _with_runs(rows: DataFrame, key: str, width: int) -> DataFrame:
-    """Add ``_run``: key and start of the stretch of rows with no gap of ``width`` or more.
+def _run_cells(rows: DataFrame, key: str, width: int) -> DataFrame:
+    """Coarse cells of one width that hold rows: key, cell, number of rows, and ``_run``, the key and start of the run they lie in.
 
-    Gaps are found between coarse cells of one width, so the window over a key sees one
-    row per filled cell instead of all its rows.
+    A run is a stretch of rows with no gap of ``width`` or more. The window over a key sees one row per filled cell
+    instead of all its rows.
     """
-    cell = F.floor(F.col("_at") / width)
-    cells = rows.groupBy(key, cell.alias("_cell")).agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
-    order = W.partitionBy(key).orderBy("_cell")
+    cells = rows.groupBy(F.col(key).alias("_key"), F.floor(F.col("_at") / width).alias("_in")).agg(
+        F.min("_at").alias("_lo"), F.max("_at").alias("_hi"), F.count("*").alias("_rows"))
+    order = W.partitionBy("_key").orderBy("_in")
     starts = cells.withColumn("_prev", F.lag("_hi").over(order)).withColumn(
         "_new", F.when(F.col("_prev").isNull() | (F.col("_lo") - F.col("_prev") >= width), F.col("_lo")))
-    named = starts.select(F.col(key).alias("_key"), F.col("_cell").alias("_in"),
-                          F.max("_new").over(order).alias("_start"))
-    return (rows.withColumn("_cell", cell)
-            .join(named, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cell") == F.col("_in")))
-            .withColumn("_run", F.concat_ws("~", F.col(key).cast("string"), F.col("_start").cast("string")))
-            .drop("_cell", "_in", "_key", "_start"))
+    return starts.select("_key", "_in", "_rows", F.concat_ws("~", F.col("_key").cast("string"), F.max("_new").over(order).cast("string")).alias("_run"))
+
+
+def _with_runs(rows: DataFrame, key: str, width: int, cells: DataFrame) -> DataFrame:
+    at = F.floor(F.col("_at") / width)
+    return (rows.withColumn("_cell", at)
+            .join(cells.drop("_rows"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_cell") == F.col("_in")))
+            .drop("_cell", "_in", "_key"))
+
+
+def _next_rows(points: DataFrame, width: int) -> DataFrame:
+    """(_run, _at, _next): for every row of a run the first one at least ``width`` later; rows without one are left out.
+
+    Times are cut into small cells. A row asks in the cell of its time plus ``width``: one pass from the latest
+    entry back carries the row last met; where that finds none, the next filled cell has it.
+    """
+    fine = max(1, width // STEPS)
+    none = F.lit(None).cast("bigint")
+    both = (points.select("_run", F.col("_at").alias("_t"), F.col("_at").alias("_to"), none.alias("_from"))
+            .unionByName(points.select("_run", (F.col("_at") + width).alias("_t"), none.alias("_to"), F.col("_at").alias("_from")))
+            .withColumn("_cell", F.floor(F.col("_t") / fine)))
+    back = W.partitionBy("_run", "_cell").orderBy(F.col("_t").desc(), F.col("_to").isNull()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    asked = both.withColumn("_near", F.last("_to", ignorenulls=True).over(back)).where("_from IS NOT NULL")
+    later = W.partitionBy("_run").orderBy(F.col("_cell").desc()).rowsBetween(W.unboundedPreceding, -1)
+    cells = both.groupBy("_run", "_cell").agg(F.min("_to").alias("_low")).withColumn("_after", F.last("_low", ignorenulls=True).over(later))
+    return (asked.join(cells.select("_run", "_cell", "_after"), ["_run", "_cell"])
+            .select("_run", F.col("_from").alias("_at"), F.coalesce("_near", "_after").alias("_next")).where("_next IS NOT NULL"))
+
+
+def _followed(points: DataFrame, width: int) -> DataFrame:
+    """(_run, _at) of the rows met from each run's first row by ``_next_rows``, in a logarithm of joins."""
+    jumps = cut(_next_rows(points, width))
+    kept = cut(points.groupBy("_run").agg(F.min("_at").alias("_at")))
+    while True:
+        # ``kept`` holds the first 2^i rows, a jump goes 2^i rows further
+        new = cut(kept.join(jumps, ["_run", "_at"]).select("_run", F.col("_next").alias("_at")))
+        if new.isEmpty():
+            return kept
+        kept = cut(kept.unionByName(new))
+        further = jumps.select("_run", F.col("_at").alias("_next"), F.col("_next").alias("_then"))
+        jumps = cut(jumps.join(further, ["_run", "_next"]).select("_run", "_at", F.col("_then").alias("_next")))
 
 
 def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "text", start: str = "session_start",

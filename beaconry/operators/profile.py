@@ -30,14 +30,19 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), F.col(col).asc_nulls_last())
 
 
+GRID = 64  # parts into which a bracket is refined
+MOST = 1 << 20  # rows of a bracket that are ranked in one window
+
+
 def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                      accuracy: int = 10000) -> DataFrame:
+                      accuracy: int = 10000, most: int = MOST) -> DataFrame:
     """Exact interpolated percentiles without holding or sorting all values.
 
     A quantile sketch (one small row per group) brackets each wanted rank within its
     error bound. A second pass over the rows folds all that lies below a bracket into one
     count inside the map tasks, and only the few distinct values inside it are ranked.
-    Returns ``by`` columns, ``prob`` and ``value``.
+    Ranks that the counts don't confirm, and brackets that would hold more than ``most`` rows,
+    are found by ``_refined`` instead. Returns ``by`` columns, ``prob`` and ``value``.
     """
     by = list(by)
     keys = by or ["_all"]
@@ -54,11 +59,10 @@ def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Seque
         F.when(few | F.lit(p <= slack), F.col("_min")).otherwise(F.col("_e")[2 * i]).alias("lo"),
         F.when(few | F.lit(p >= 1 - slack), F.col("_max")).otherwise(F.col("_e")[2 * i + 1]).alias("hi"))
         for i, p in enumerate(probs)])
-    brackets = cut(sketch.select(*keys, "_n", wanted.alias("_w")))
+    brackets = cut(sketch.select(*keys, "_n", "_min", "_max", wanted.alias("_w")))
+    narrow = F.when(few, F.col("_n")).otherwise(2 * slack * F.col("_n")) <= most
     # One row per group, also for a NULL one; without groups a single row. Spark chooses the join by its size.
-    side = brackets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n", "_w")
-    met = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    cells = rows.join(side if by else F.broadcast(side), met).select(*keys, "_v", "_n", F.inline("_w")).filter(F.col("_v") <= F.col("hi"))
+    cells = _met(rows, brackets.where(narrow).select(*keys, "_n", "_w"), keys).select(*keys, "_v", "_n", F.inline("_w")).filter(F.col("_v") <= F.col("hi"))
     inside = F.when(F.col("_v") >= F.col("lo"), F.col("_v"))
     counted = cells.groupBy(*keys, "prob", "_n", inside.alias("_v")).agg(F.count("*").alias("_c"))
     upto = W.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(
@@ -66,11 +70,69 @@ def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Seque
     ranked = counted.withColumn("_last", F.sum("_c").over(upto)).withColumn("_first", F.col("_last") - F.col("_c"))
     at = (F.col("_n") - 1) * F.col("prob")
     lower, upper = F.floor(at), F.ceil(at)
-    out = ranked.groupBy(*keys, "prob", "_n").agg(
+    met = cut(ranked.groupBy(*keys, "prob", "_n").agg(
         F.max(F.when((F.col("_first") <= lower) & (lower < F.col("_last")), F.col("_v"))).alias("_a"),
-        F.max(F.when((F.col("_first") <= upper) & (upper < F.col("_last")), F.col("_v"))).alias("_z"))
-    value = F.col("_a") + (F.col("_z") - F.col("_a")) * (at - lower)
-    return out.select(*by, "prob", value.alias("value"))
+        F.max(F.when((F.col("_first") <= upper) & (upper < F.col("_last")), F.col("_v"))).alias("_z")))
+    value = (F.col("_a") + (F.col("_z") - F.col("_a")) * (at - lower)).alias("value")
+    missed = F.col("_a").isNull() | F.col("_z").isNull()
+    open_ = (met.where(missed).select(*keys, "prob")
+             .unionByName(brackets.where(~narrow).select(*keys, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))))
+    out = met.where(~missed).select(*by, "prob", value)
+    if open_.isEmpty():
+        return out
+    ends = _met(open_, brackets.select(*keys, "_n", "_min", "_max"), keys).select(*keys, "prob", "_n", "_min", "_max")
+    each = ends.select("*", F.explode(F.array_distinct(F.array(lower, upper))).alias("rank"))
+    found = _refined(rows, each.select(*keys, "rank", F.col("_min").alias("lo"), F.col("_max").alias("hi"), F.lit(0).cast("bigint").alias("below"),
+                                       F.col("_n").alias("inside")).distinct(), keys, accuracy, most)
+    pick = lambda rank, name: found.select(*[F.col(k).alias(f"_{name}{i}") for i, k in enumerate(keys)],
+                                           F.col("rank").alias(f"_{name}"), F.col("value").alias(name))
+    same = lambda name: [F.col(k).eqNullSafe(F.col(f"_{name}{i}")) for i, k in enumerate(keys)]
+    both = ends.join(pick("lower", "_a"), [*same("_a"), F.col("__a") == lower]).join(pick("upper", "_z"), [*same("_z"), F.col("__z") == upper])
+    return out.unionByName(both.select(*by, "prob", value))
+
+
+def _met(rows: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their group's entry in ``side``, NULL groups too. The one entry of an ungrouped table is broadcast."""
+    side = side.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in side.columns if c not in keys])
+    return rows.join(F.broadcast(side) if list(keys) == ["_all"] else side, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+
+
+def _refined(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], accuracy: int, most: int) -> DataFrame:
+    """(keys, rank, value) by brackets that are narrowed until they hold at most ``most`` rows or one value.
+
+    ``wanted`` has the keys, a rank (from 0), a bracket ``lo`` to ``hi`` that holds it, and the rows ``below`` and ``inside``.
+    Each round takes a grid of quantiles of the bracket's rows and counts what lies below, on, between and above the two
+    grid values around the rank. Counts are exact, so the part that holds the rank does, however wrong the grid; grid values are
+    values of the rows, so every round leaves at least one behind.
+    """
+    columns = [*keys, "rank", "lo", "hi", "below", "inside"]
+    wanted = cut(wanted.select(*columns))
+    done = wanted.where((F.col("inside") <= most) | (F.col("lo") == F.col("hi")))
+    while True:
+        todo = wanted.where((F.col("inside") > most) & (F.col("lo") < F.col("hi")))
+        if todo.isEmpty():
+            break
+        within = (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))
+        grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+        step = F.least(F.floor((F.col("rank") - F.col("below")) / F.col("inside") * GRID), F.lit(GRID - 1)).cast("int")
+        edges = (_met(rows, todo, keys).where(within).groupBy(*columns).agg(F.percentile_approx("_v", grid, accuracy).alias("_e"))
+                 .select(*columns, F.get("_e", step).alias("_a"), F.get("_e", step + 1).alias("_b")))
+        edges = cut(edges)
+        part = sum(((F.col("_v") >= F.col(c)).cast("int") + (F.col("_v") > F.col(c)).cast("int") for c in ("_a", "_b")), F.lit(0))
+        counts = (_met(rows, edges, keys).where(within).groupBy(*columns, part.alias("_p"))
+                  .agg(F.count("*").alias("_c"), F.min("_v").alias("_l"), F.max("_v").alias("_h")))
+        before = W.partitionBy(*keys, "rank").orderBy("_p").rowsBetween(W.unboundedPreceding, -1)  # five rows at most
+        parts = counts.withColumn("_under", F.col("below") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
+        wanted = cut(parts.where((F.col("_under") <= F.col("rank")) & (F.col("rank") < F.col("_under") + F.col("_c"))).select(
+            *keys, "rank", F.col("_l").alias("lo"), F.col("_h").alias("hi"), F.col("_under").alias("below"), F.col("_c").alias("inside")))
+        done = done.unionByName(wanted.where((F.col("inside") <= most) | (F.col("lo") == F.col("hi"))))
+    single = done.where(F.col("lo") == F.col("hi")).select(*keys, "rank", F.col("lo").alias("value"))
+    several = _met(rows, done.where(F.col("lo") < F.col("hi")), keys).where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+    counted = several.groupBy(*keys, "rank", "below", F.col("_v").alias("value")).agg(F.count("*").alias("_c"))
+    upto = W.partitionBy(*keys, "rank").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    last = F.col("below") + F.sum("_c").over(upto)
+    ranked = counted.withColumn("_last", last).where((F.col("rank") < F.col("_last")) & (F.col("rank") >= F.col("_last") - F.col("_c")))
+    return single.unionByName(ranked.select(*keys, "rank", "value"))
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:

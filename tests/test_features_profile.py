@@ -167,3 +167,24 @@ def test_active_and_lookup(spark):
     assert [r[0] for r in clean.active_campaigns(c, "2024-01-31").collect()] == ["a"]
     keys = spark.createDataFrame([("c",), ("c",)], "campaign_id string")
     assert tables.lookup(c, keys, ["campaign_id"]).count() == 1
+
+
+def test_percentiles_whose_bracket_misses(spark, monkeypatch):
+    """A sketch far too coarse, a small bound and wild values: brackets miss or hold too much, the values stay exact."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    probs = [0.0, 0.01, 0.5, 0.95, 0.999, 1.0]
+    groups = {"wild": 10.0 ** rng.uniform(-300, 300, 900), "two": rng.choice([0.0, 1.0], 800), "one": np.full(500, 7.0), None: rng.normal(size=700)}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["prob"]): r["value"] for r in P.exact_percentiles(df, "v", probs, ["g"], accuracy=3, most=20).collect()}
+    assert got == {(g, p): pytest.approx(np.percentile(v, 100 * p)) for g, v in groups.items() for p in probs}
+    values = np.array([x for _, x in rows])
+    whole = {r["prob"]: r["value"] for r in P.exact_percentiles(df, "v", probs, accuracy=5, most=100).collect()}
+    assert whole == {p: pytest.approx(np.percentile(values, 100 * p)) for p in probs}
+    # a first bracket that misses its rank: the sketch's edges are shifted
+    real = F.percentile_approx
+    shifted = lambda c, e, a: F.transform(real(c, e, a), lambda x: x + 1e6) if a == 50 else real(c, e, a)
+    monkeypatch.setattr(P.F, "percentile_approx", shifted)
+    assert P.exact_percentiles(spark.range(2000).select(F.col("id").cast("double").alias("v")), "v", [0.25], accuracy=50).first()["value"] == 499.75

@@ -167,3 +167,22 @@ def test_active_users_are_close(spark):
     df = spark.range(60_000).select((F.col("id") % 20_000).alias("user_id"), F.lit(T0).alias("ts"))
     n = M.active_users(df, "1 day").first()["active_users"]
     assert abs(n - 20_000) / 20_000 <= 0.05
+
+
+@pytest.mark.parametrize("long_run", [0, 50])
+def test_long_runs_are_followed_by_pointers(spark, long_run):
+    """A third of all rows in one run without a pause; the rows kept are those of the fold."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    rows = [(i, "hot", int(t)) for i, t in enumerate(np.cumsum(rng.integers(1, 4000, 700)))]
+    rows += [(1000 + i, str(rng.choice(["a", "b", "c"])), int(rng.integers(0, 40 * 86400))) for i in range(1300)]
+    rows += [(5000, "hot", rows[10][2]), (5001, "hot", rows[0][2] + 3600), (5002, None, 5), (5003, None, 6)]
+    df = spark.createDataFrame(rows, "id long, key string, s long").withColumn("at", F.timestamp_seconds("s")).drop("s")
+    want, last = set(), {}
+    for i, key, s in sorted(rows, key=lambda r: (r[2], r[0])):
+        if key not in last or s >= last[key] + 3600:
+            last[key] = s
+            want.add(i)
+    assert {r["id"] for r in D.dedup_within(df, "key", "at", "id", 3600, long_run=long_run).collect()} == want
+    assert {r["id"] for r in D.dedup_within(df, "key", "at", "id", 3600).collect()} == want
