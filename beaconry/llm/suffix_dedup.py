@@ -218,9 +218,21 @@ def common_prefixes(data: bytes, order: np.ndarray, most: int) -> np.ndarray:
 
 
 def _later(window: int):
-    """For one group of unit contents: runs of strings that start earlier in another unit or place."""
+    """For one group of unit contents: runs of strings that start earlier in another unit or place.
+
+    A group holds whole hashes, some of them large, so it may be larger than intended: it is searched in parts of about ``GROUP_BYTES``.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("h")
+        h = table.column("h").to_numpy()
+        ends = np.flatnonzero(np.append(h[1:] != h[:-1], True)) + 1  # of each hash's rows
+        held = np.cumsum(pa.compute.binary_length(table.column("seg")).to_numpy())[ends - 1]
+        last = np.append(np.flatnonzero(np.diff(held // GROUP_BYTES)), len(ends) - 1)
+        stops = ends[last].tolist()
+        return pa.concat_tables([part(table.slice(a, b - a)) for a, b in zip([0, *stops], stops, strict=False)])
+
+    def part(table: pa.Table) -> pa.Table:
         segments = table.column("seg").to_pylist()
         docs, versions, ats = (table.column(c).to_numpy() for c in ("doc_id", "version", "at"))
         data = b"\0".join(segments)
