@@ -326,10 +326,10 @@ RATES = "SELECT CAST(epoch(time_bucket(INTERVAL {w}, ts)) AS BIGINT) AS window_s
 
 @query("st_rates", RATES.format(w="1 HOUR"))
 def st_rates(t):
-    """State of windows a day behind is dropped; each micro-batch writes only the windows it changed."""
-    rates = S.event_rates(stream_of(t), "1 hour", delay="1 day")
-    out = S.run_to_table(rates, scratch_path(t.spark, "rates"), scratch_path(t.spark, "ckpt"), "update", ["window_start", "event_type"])
-    return out.withColumn("window_start", F.unix_timestamp("window_start"))
+    """Each micro-batch changes only the windows it has rows of; rows a day behind are counted and listed apart."""
+    rates, late = scratch_path(t.spark, "rates"), scratch_path(t.spark, "late")
+    S.count_with_late(stream_of(t).select("ts", "event_type"), rates, late, scratch_path(t.spark, "ckpt"), "1 hour", 86400).awaitTermination()
+    return S.read_rates(t.spark, rates).withColumn("window_start", F.unix_timestamp("window_start"))
 
 
 @query("st_rates_batch", RATES.format(w="1 MINUTE"))
@@ -398,16 +398,29 @@ def st_due(t):
     return t.spark.read.parquet(out).select("user_id", "campaign_id", "sequence")
 
 
-def arrivals(t):
+def arrivals(events):
     """Arrival: the value column as seconds of delay."""
     lag = (F.col("value") * 1_000_000).cast("bigint")
-    return t.raw("events").withColumn("arrived_at", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + lag))
+    return events.withColumn("arrived_at", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + lag))
 
 
 @query("st_late", "SELECT event_type, count(*) FILTER (CAST(trunc(value * 1000000) AS BIGINT) <= 20000000) AS in_time, "
        "count(*) FILTER (CAST(trunc(value * 1000000) AS BIGINT) > 20000000) AS late FROM events GROUP BY 1")
 def st_late(t):
-    ok, late = S.late_events(arrivals(t), 20)
+    """The stream counts all events and lists those that arrived more than 20 seconds late."""
+    rates, late = scratch_path(t.spark, "rates"), scratch_path(t.spark, "late")
+    events = S.event_time(arrivals(stream_of(t)).select("event_id", "ts", "event_type", "arrived_at"))
+    S.count_with_late(events, rates, late, scratch_path(t.spark, "ckpt"), "1 hour", 20, arrival="arrived_at").awaitTermination()
+    listed = S.read_late(t.spark, late, events.schema).groupBy("event_type").agg(F.count("*").alias("late"))
+    every = S.read_rates(t.spark, rates).groupBy("event_type").agg(F.sum("n").alias("n"))
+    return every.join(listed, "event_type", "left").select("event_type", (F.col("n") - F.coalesce("late", F.lit(0))).alias("in_time"),
+                                                         F.coalesce("late", F.lit(0)).alias("late"))
+
+
+@query("st_late_batch", "SELECT event_type, count(*) FILTER (CAST(trunc(value * 1000000) AS BIGINT) <= 20000000) AS in_time, "
+       "count(*) FILTER (CAST(trunc(value * 1000000) AS BIGINT) > 20000000) AS late FROM events GROUP BY 1")
+def st_late_batch(t):
+    ok, late = S.late_events(arrivals(t.raw("events")), 20)
     both = ok.withColumn("late", F.lit(0)).unionByName(late.withColumn("late", F.lit(1)))
     return both.groupBy("event_type").agg(F.count(F.when(F.col("late") == 0, 1)).alias("in_time"),
                                           F.count(F.when(F.col("late") == 1, 1)).alias("late"))

@@ -12,7 +12,7 @@ from beaconry.plans.bindings import LAST_K, PURCHASE_AS_OF
 from beaconry.plans.registry import query
 from beaconry.session import scratch_path
 from beaconry.sources import messages, tables, upsert
-from beaconry.sources.writers import parquet_chunks
+from beaconry.sources.chunk_sink import write_chunks
 from beaconry.streaming import clicks as S
 
 
@@ -128,7 +128,7 @@ def snk_put(t):
     path = scratch_path(t.spark, "products")
     upsert.upsert_table(path, base, ["product_id"], ["price"], buckets=8)
     upsert.upsert_table(path, delta, ["product_id"], [F.col("price").desc()], buckets=8)
-    return t.spark.read.parquet(path).drop("_bucket")
+    return upsert.read_table(t.spark, path)
 
 
 @query("snk_update_set", """SELECT u.user_id AS user_id, name, n_orders, last_order FROM users_v u
@@ -153,7 +153,7 @@ def snk_ensure_table(t):
 def snk_batch_writer(t):
     path = scratch_path(t.spark, "chunks")
     df = t.purchases.groupBy("user_id", "product_id").agg(F.count("*").alias("times_purchased"))
-    tables.foreach_partition_sink(df, parquet_chunks(path, df.schema), chunk=5000)
+    write_chunks(df, path, chunk=5000)
     return t.spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from beaconry import schemas
@@ -14,7 +16,7 @@ from beaconry.functions import columns as C
 from beaconry.operators.clean import event_id, normalise_clicks
 from beaconry.operators.metrics import lag_seconds
 from beaconry.sources.tables import keep_latest, path_exists
-from beaconry.sources.upsert import upsert_table
+from beaconry.sources.upsert import KeyedTable, read_table, upsert_table
 
 POLL = "10 seconds"
 DELIVERY_POLL = "1 minute"
@@ -121,6 +123,83 @@ def late_events(df: DataFrame, delay_seconds: float, arrival: str = "arrived_at"
     return df.filter(~late), df.filter(late)
 
 
+class _Seen:
+    """The latest event time of the micro-batches before one, kept beside the late rows: a small file a batch."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.known = spark, f"{path.rstrip('/')}/_seen", None
+
+    def before(self, batch_id: int) -> int | None:
+        if self.known is None:  # after a start: one small file a batch
+            self.known = {}
+            if path_exists(self.spark, self.path):
+                self.known = {r["batch_id"]: r["latest"] for r in self.spark.read.schema("batch_id long, latest long").json(self.path).collect()}
+        return max((t for b, t in self.known.items() if b < batch_id and t is not None), default=None)
+
+    def add(self, batch_id: int, latest: int | None) -> None:
+        if self.known is not None:
+            self.known[batch_id] = latest
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{batch_id:010d}.json")
+        out = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(jpath, True)
+        out.write(bytearray(json.dumps({"batch_id": batch_id, "latest": latest}).encode()))
+        out.close()
+
+
+RATE_KEY = ["window_start", "event_type"]
+
+
+def count_with_late(stream: DataFrame, rates: str, late: str, checkpoint: str, width: str, delay_seconds: float,
+                    arrival: str | None = None, once: bool = True, poll: str = POLL):
+    """Counts per window and type in the keyed table ``rates``; late rows are counted too, and listed in ``late``. Returns the query.
+
+    A row is late if its time lies more than the delay behind the latest time of the micro-batches before its own, or, with a
+    column ``arrival``, more than the delay before that. No state is held in the stream: a micro-batch adds up its own rows and changes
+    only the windows it has rows of. A window remembers the batch that changed it last and its count before, so a batch that
+    is replayed after a failure counts once; its late rows replace their own partition. Rows without a time are left out.
+    """
+    delay = int(delay_seconds * 1_000_000)
+    seen = _Seen(stream.sparkSession, late)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = event_time(batch).where("ts IS NOT NULL")
+        counts = (rows.groupBy(F.window("ts", width).getField("start").alias("window_start"), "event_type")
+                  .agg(F.count("*").alias("_add"), F.max(F.unix_micros("ts")).alias("_latest"))).persist()
+        latest = counts.agg(F.max("_latest")).first()[0]
+        if arrival is not None:
+            behind = lag_seconds("ts", arrival) > delay_seconds
+        else:
+            bar = seen.before(batch_id)
+            behind = None if bar is None else F.unix_micros("ts") < bar - delay
+        if behind is not None:
+            (rows.where(behind).withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(late))
+        new = counts.select(*RATE_KEY, "_add")
+        if KeyedTable(spark, rates).state() is None:
+            n, prior = F.col("_add"), F.lit(0).cast("bigint")
+        else:
+            old = read_table(spark, rates).select(F.col("window_start").alias("_w"), F.col("event_type").alias("_e"), "n", "prior", "batch")
+            new = new.join(old, F.col("window_start").eqNullSafe(F.col("_w")) & F.col("event_type").eqNullSafe(F.col("_e")), "left")
+            prior = F.coalesce(F.when(F.col("batch") == batch_id, F.col("prior")).otherwise(F.col("n")), F.lit(0)).cast("bigint")
+            n = F.col("_add") + prior
+        upsert_table(rates, new.select(*RATE_KEY, n.alias("n"), prior.alias("prior"), F.lit(batch_id).cast("long").alias("batch")), RATE_KEY, RATE_KEY, 4)
+        seen.add(batch_id, latest)
+        counts.unpersist()
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
+
+
+def read_rates(spark: SparkSession, rates: str) -> DataFrame:
+    return read_table(spark, rates).select(*RATE_KEY, "n")
+
+
+def read_late(spark: SparkSession, late: str, schema: T.StructType) -> DataFrame:
+    """The late rows so far; empty where no batch has left any."""
+    fields = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(fields).parquet(late) if path_exists(spark, late) else spark.createDataFrame([], fields)
+
+
 def attribute_clicks_stream(deliveries: DataFrame, clicks: DataFrame, horizon: str, delay: str = "1 hour") -> DataFrame:
     """Deliveries joined to clicks of the same user within the horizon, both sides with watermarks.
 
@@ -211,5 +290,5 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
         q = (stream.writeStream.outputMode(mode).foreachBatch(store).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     q.awaitTermination()
-    return stream.sparkSession.read.parquet(path).select(*stream.columns) if mode == "update" else (
+    return read_table(stream.sparkSession, path).select(*stream.columns) if mode == "update" else (
         stream.sparkSession.read.schema(stream.schema).parquet(path))

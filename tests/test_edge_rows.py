@@ -14,6 +14,7 @@ from beaconry.operators import profile as P
 from beaconry.operators import schedule as S
 from beaconry.operators import serving
 from beaconry.sources import tables, upsert
+from beaconry.sources.chunk_sink import write_chunks
 from beaconry.sources.writers import parquet_chunks
 
 T0 = dt.datetime(2024, 1, 1)
@@ -72,7 +73,7 @@ def test_bucket_count_belongs_to_the_table(spark, tmp_path):
     upsert.upsert_table(path, rows, ["k"], ["n"])
     with pytest.raises(ValueError):
         upsert.upsert_table(path, rows, ["k"], ["n"], buckets=64)
-    assert spark.read.parquet(path).count() == 20 and upsert.stored_buckets(spark, path) == 8
+    assert upsert.read_table(spark, path).count() == 20 and upsert.stored_buckets(spark, path) == 8
 
 
 def test_equal_chunks_are_all_stored(spark, tmp_path):
@@ -106,3 +107,81 @@ def test_every_priority_and_number_gets_an_answer(spark):
     reqs = spark.createDataFrame([(1, 1, None), (2, 1, 20), (3, 1, 0), (4, 1, -1), (5, 1, 21)], "request_id long, user_id long, num_recommendations int")
     assert {r["request_id"]: r["error_code"] for r in serving.request_status(reqs, users).collect()} == {
         1: None, 2: None, 3: "INVALID_REQUEST", 4: "INVALID_REQUEST", 5: "INVALID_REQUEST"}
+
+
+# -- tables that survive ---------------------------------------------------------------
+
+def test_an_empty_first_delta_makes_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, None), (None, "n")], "k long, v string")
+    with pytest.raises(ValueError):
+        upsert.read_table(spark, path)
+    upsert.upsert_table(path, rows.limit(0), ["k"], ["v"], buckets=4)
+    assert upsert.read_table(spark, path).count() == 0 and upsert.read_table(spark, path).columns == ["k", "v"]
+    upsert.upsert_table(path, rows, ["k"], ["v"])
+    upsert.upsert_table(path, rows.limit(0), ["k"], ["v"])  # changes nothing
+    assert {tuple(r) for r in upsert.read_table(spark, path).collect()} == {(1, "a"), (2, None), (None, "n")}
+    upsert.upsert_table(path, spark.createDataFrame([(2, "b", 7)], "k long, v string, w int"), ["k"], ["v"])
+    assert {tuple(r) for r in upsert.read_table(spark, path).collect()} == {(1, "a", None), (2, "b", 7), (None, "n", None)}
+
+
+def test_a_failed_write_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("n"))
+    upsert.upsert_table(path, rows, ["k"], ["n"], buckets=4)
+    before = upsert.KeyedTable(spark, path).commits()
+    with monkeypatch.context() as m:  # the writer dies after its files, before its commit
+        m.setattr(upsert.KeyedTable, "commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            upsert.upsert_table(path, rows.withColumn("n", F.lit(2)), ["k"], ["n"])
+    fails = F.raise_error(F.lit("task dies")).cast("int")
+    with pytest.raises(Exception, match="task dies"):
+        upsert.upsert_table(path, rows.withColumn("n", F.when(F.col("k") == 49, fails).otherwise(3)), ["k"], ["n"])
+    table = upsert.KeyedTable(spark, path)
+    assert table.commits() == before and upsert.read_table(spark, path).agg(F.sum("n")).first()[0] == 50
+    assert table.drop_unused() >= 1 and upsert.read_table(spark, path).count() == 50
+    # of two writers from one state the second fails
+    state = table.state()
+    upsert.upsert_table(path, rows.limit(1).withColumn("n", F.lit(9)), ["k"], ["n"])
+    with pytest.raises(RuntimeError):
+        table.commit(state, state["number"])
+    assert upsert.read_table(spark, path).agg(F.sum("n")).first()[0] == 58 and table.read(state=state).agg(F.sum("n")).first()[0] == 50
+
+
+def test_chunks_appear_with_the_commit_or_not_at_all(spark, tmp_path):
+    path, df = str(tmp_path / "w"), spark.range(25).repartition(3).select("id", F.lit(None).cast("string").alias("b"))
+    write_chunks(df, path, chunk=4)
+    assert spark.read.parquet(path).count() == 25
+    assert max(r["n"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()) == 4
+    dies = df.withColumn("b", F.when(F.col("id") == 24, F.raise_error(F.lit("task dies")).cast("string")).otherwise("x"))
+    with pytest.raises(Exception):
+        write_chunks(dies, path, chunk=4)
+    assert spark.read.parquet(path).count() == 25 and [p.name for p in (tmp_path / "w").iterdir() if "staging" in p.name] == []
+    write_chunks(df, path, chunk=10)
+    assert spark.read.parquet(path).count() == 50
+    write_chunks(df.limit(7), path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_late_rows_are_counted_and_listed(spark, tmp_path):
+    """Three micro-batches, the second a day late; the last is replayed and counts once."""
+    from beaconry.streaming import clicks as S
+
+    src, rates, late, ckpt = (str(tmp_path / n) for n in ("src", "rates", "late", "ckpt"))
+    kind = "ts timestamp, event_type string, n int"
+    day = dt.datetime(2024, 1, 3, 12)
+    for i, times in enumerate(([day, day], [day - dt.timedelta(hours=30), day - dt.timedelta(hours=1), None], [day - dt.timedelta(hours=30), day])):
+        spark.createDataFrame([(x, "a", i) for x in times], kind).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(kind).parquet(src)
+        S.count_with_late(stream, rates, late, ckpt, "1 hour", 86400).awaitTermination()
+    want = {day - dt.timedelta(hours=30): 2, day - dt.timedelta(hours=1): 1, day: 3}
+    assert {r["window_start"]: r["n"] for r in S.read_rates(spark, rates).collect()} == want
+    listed = S.read_late(spark, late, stream.schema)
+    assert sorted((r["n"], r["ts"]) for r in listed.collect()) == [(1, day - dt.timedelta(hours=30)), (2, day - dt.timedelta(hours=30))]
+    last = max((tmp_path / "ckpt" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()  # the last batch is not known to have ended
+    for crc in (tmp_path / "ckpt" / "commits").glob(f".{last.name}.crc"):
+        crc.unlink()
+    S.count_with_late(spark.readStream.schema(kind).parquet(src), rates, late, ckpt, "1 hour", 86400).awaitTermination()
+    assert {r["window_start"]: r["n"] for r in S.read_rates(spark, rates).collect()} == want
+    assert S.read_late(spark, late, stream.schema).count() == 2

@@ -124,7 +124,7 @@ def test_upserts_are_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     for df in (base, delta, delta):
         upsert.upsert_table(path, df, ["k"], [F.col("n").desc()], buckets=4)
-        rows = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "n").collect())
+        rows = sorted(tuple(r) for r in upsert.read_table(spark, path).select("k", "v", "n").collect())
     assert rows == want
     once = upsert.upsert_merge(base, delta.filter("n > 2 or k = 3"), ["k"], ["v"])
     again = upsert.upsert_merge(once, delta.filter("n > 2 or k = 3"), ["k"], ["v"])
