@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from beaconry.functions import vectors as V
 from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
-from beaconry.operators import delivery, embed, metrics, neighbours, schedule
+from beaconry.operators import delivery, embed, metrics, neighbours, schedule, vector_index
 from beaconry.plans.bindings import CART_KINDS, CLICK_AS_OF, DIM, LAST_K, Tables
 from beaconry.plans.feature_queries import LAST_PER_ID, USER_VECTOR, WEIGHTED, attributed, records, rounded, vector_facts
 from beaconry.plans.registry import query
 from beaconry.plans.table_queries import INGESTED, click_messages
-from beaconry.session import scratch_path
+from beaconry.session import cut, scratch_path
 from beaconry.sources import messages
 from beaconry.streaming import clicks as S
 
@@ -123,7 +123,19 @@ def rec_skip_no_vector(t):
 
 @query("rec_ann")
 def rec_ann(t):
-    return K.campaign_topk_ann(t.user_vectors, t.campaign_vectors, DIM)
+    """Ranking from a stored vector index; every user has as many rows as the exact ranking gives it."""
+    path, users, campaigns = scratch_path(t.spark, "index"), cut(t.user_vectors), cut(t.campaign_vectors)
+    vector_index.build_index(campaigns, users, path, DIM)
+    return vector_index.search(users, campaigns, path, DIM)
+
+
+@query("rec_ann_complete", """SELECT user_id, least(10, (SELECT count(*) FROM campaign_vectors_v)) AS n_rows, true AS whole_ranks, true AS true_scores FROM users_v""")
+def rec_ann_complete(t):
+    """Per user of the index search: its rows, whether its ranks are without gaps, and whether all its scores are cosines of the exact table."""
+    near = rec_ann(t)
+    exact = K.campaign_topk(t.user_vectors, t.campaign_vectors, t.n_campaigns).select("user_id", "campaign_id", F.col("similarity_score").alias("exact"))
+    return near.join(exact, ["user_id", "campaign_id"], "left").groupBy("user_id").agg(
+        F.count("*").alias("n_rows"), (F.max("rank") == F.count("*")).alias("whole_ranks"), F.bool_and(F.coalesce(F.col("similarity_score") == F.col("exact"), F.lit(False))).alias("true_scores"))
 
 
 @query("rec_user_similarity", "SELECT user_id, neighbour, shared, round(similarity, 8) AS similarity, rank FROM near_v")

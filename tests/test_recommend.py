@@ -8,6 +8,7 @@ from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
 from beaconry.operators import neighbours as N
 from beaconry.operators import serving
+from beaconry.operators import vector_index as VI
 
 
 def pairs(spark, rows):
@@ -250,3 +251,28 @@ def test_request_status(spark):
     reqs = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, None)], "request_id long, user_id long")
     got = {r["request_id"]: r["error_code"] for r in serving.request_status(reqs, users).collect()}
     assert got == {1: None, 2: "EMBEDDING_NOT_AVAILABLE", 3: "USER_NOT_FOUND", 4: "INVALID_REQUEST"}
+
+
+def test_index_search_is_whole_and_near(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((20, 16))
+    camps = [(f"C{i:04d}", (centres[i % 20] + 0.3 * rng.standard_normal(16)).tolist()) for i in range(900)] + [("ZERO", [0.0] * 16), ("NONE", None), ("EMPTY", [])]
+    users = [(u, (centres[u % 20] + 0.3 * rng.standard_normal(16)).tolist() + rng.standard_normal(16).tolist()) for u in range(200)]
+    users += [(900, [0.0] * 32), (901, [0.0] * 16 + [1.0] * 16), (902, None)]
+    c = spark.createDataFrame(camps, "campaign_id string, embedding array<double>")
+    u = spark.createDataFrame(users, "user_id long, embedding array<double>")
+    path = str(tmp_path / "index")
+    VI.build_index(c, u, path, 16)
+    got = VI.search(u, c, path, 16).collect()
+    exact = {(r["user_id"], r["campaign_id"]): r["similarity_score"] for r in K.campaign_topk(u, c, 10).collect()}
+    assert {i: sorted(r["rank"] for r in got if r["user_id"] == i) for i, _ in users[:-1]} == {i: list(range(1, 11)) for i, _ in users[:-1]}
+    near = {(r["user_id"], r["campaign_id"]): r["similarity_score"] for r in got}
+    assert len(near.keys() & exact.keys()) / len(exact) >= 0.9 and all(near[p] == exact[p] for p in near.keys() & exact.keys())
+    assert np.mean([r["candidates"] for r in got if r["user_id"] < 900]) < 0.3 * 901  # most campaigns are never scored
+    assert {k for k in near if k[0] >= 900} == {k for k in exact if k[0] >= 900}
+    # one cell a user holds too few for a long list: those users are ranked exactly
+    long = VI.search(u, c, path, 16, k=100, probes=1).groupBy("user_id").count().collect()
+    assert {r["count"] for r in long} == {100} and len(long) == 202
+    empty = str(tmp_path / "empty")
+    VI.build_index(c.limit(0), u, empty, 16)
+    assert VI.search(u, c.limit(0), empty, 16).count() == 0
