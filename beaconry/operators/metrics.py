@@ -64,6 +64,42 @@ def active_users(events: DataFrame, width: str, rsd: float = 0.02, ts: str = "ts
             .select(F.col("w.start").alias("window_start"), "active_users"))
 
 
+SKETCH = "minute"
+
+
+def minute_sketches(events: DataFrame, value: str, by: Sequence[str] = (), user: str = "user_id", ts: str = "ts",
+                    lg_users: int = 14, k_values: int = 800) -> DataFrame:
+    """One row per minute and group: events, a sketch of the users and one of the values, both as binary and of bounded size.
+
+    Events without a time are left out; NULL users and values are in no sketch.
+    """
+    minute = F.date_trunc("minute", F.col(ts).cast("timestamp")).alias(SKETCH)
+    return (events.where(F.col(ts).isNotNull()).groupBy(minute, *by)
+            .agg(F.count("*").alias("n"), F.hll_sketch_agg(user, lg_users).alias("users"),
+                 F.kll_sketch_agg_double(F.col(value).cast("double"), k_values).alias("values")))
+
+
+def store_sketches(sketches: DataFrame, path: str, batch_id: int) -> None:
+    """Add a batch's sketches to the stored ones. The batch owns its partitions, so a replayed one replaces itself; a minute may have a row a batch."""
+    rows = sketches.withColumns({"day": F.to_date(SKETCH), "batch_id": F.lit(batch_id).cast("long")})
+    (rows.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(path))
+
+
+def merged_sketches(sketches: DataFrame, width: str, by: Sequence[str] = (), lg_users: int = 14) -> DataFrame:
+    """Sketches of larger windows from those of their minutes (or of smaller windows): no event is read again."""
+    time = "window_start" if "window_start" in sketches.columns else SKETCH
+    return (sketches.groupBy(F.window(time, width).alias("w"), *by)
+            .agg(F.sum("n").alias("n"), F.hll_union_agg("users", F.lit(True)).alias("users"), F.kll_merge_agg_double("values").alias("values"))
+            .select(F.col("w.start").alias("window_start"), *by, "n", "users", "values"))
+
+
+def sketched(merged: DataFrame, probs: Sequence[float] = (0.95, 0.99)) -> DataFrame:
+    """What merged sketches estimate: distinct users, and percentiles of the values (NULL where there are none)."""
+    known = F.kll_sketch_get_n_double("values") > 0
+    cols = {f"p{p * 100:g}".replace(".", "_"): F.when(known, F.kll_sketch_get_quantile_double("values", F.lit(float(p)))) for p in probs}
+    return merged.withColumns({"active_users": F.hll_sketch_estimate("users"), **cols}).drop("users", "values")
+
+
 def lag_stats(events: DataFrame, width: str, event_ts: str = "ts", arrival_ts: str = "arrived_at") -> DataFrame:
     """Highest and mean seconds between event and arrival, per event-time window."""
     lag = lag_seconds(event_ts, arrival_ts)

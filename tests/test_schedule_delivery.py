@@ -186,3 +186,19 @@ def test_long_runs_are_followed_by_pointers(spark, long_run):
             want.add(i)
     assert {r["id"] for r in D.dedup_within(df, "key", "at", "id", 3600, long_run=long_run).collect()} == want
     assert {r["id"] for r in D.dedup_within(df, "key", "at", "id", 3600).collect()} == want
+
+
+def test_minute_sketches_merge_to_the_direct_one(spark, tmp_path):
+    rows = spark.range(40_000).select((F.col("id") % 9000).alias("user_id"), F.timestamp_seconds(F.col("id") * 2).alias("ts"),
+                                      ((F.col("id") * 7919) % 40_000).cast("double").alias("value"), F.lit("a").alias("kind"))
+    rows = rows.unionByName(spark.createDataFrame([(None, T0, None, "b"), (1, None, 1.0, "b")], "user_id long, ts timestamp, value double, kind string"))
+    path = str(tmp_path / "s")
+    for batch in (0, 1, 1):  # the second batch is replayed
+        M.store_sketches(M.minute_sketches(rows.where(F.pmod(F.hash("user_id"), F.lit(2)) == batch), "value", ["kind"]), path, batch)
+    stored = spark.read.parquet(path)
+    day = M.sketched(M.merged_sketches(M.merged_sketches(stored, "1 hour", ["kind"]), "1 day", ["kind"])).collect()
+    direct = rows.where("kind = 'a'").agg(F.hll_sketch_estimate(F.hll_sketch_agg("user_id", 14)).alias("u")).first()["u"]
+    got = {r["kind"]: r for r in day}
+    assert got["a"]["n"] == 40_000 and abs(got["a"]["active_users"] / direct - 1) < 0.02 and abs(got["a"]["active_users"] / 9000 - 1) < 0.05
+    assert abs(got["a"]["p95"] / 38_000 - 1) < 0.01 and abs(got["a"]["p99"] / 39_600 - 1) < 0.01
+    assert sum(r["n"] for r in day if r["kind"] == "b") == 1 and [r["p95"] for r in day if r["kind"] == "b"] == [None]
