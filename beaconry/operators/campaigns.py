@@ -203,20 +203,17 @@ def serve_requests(requests: DataFrame, users: DataFrame, campaigns: DataFrame,
     """Ranked campaigns per request: exclusions and time window applied, cut to the wanted number.
 
     ``requests``: request_id, user_id, num_recommendations, exclude_campaign_ids,
-    window_start, window_end (an open end always overlaps). The filters act on the scores
+    window_start, window_end (dates, or times whose time of day counts; an open end always overlaps). The filters act on the scores
     inside the tasks, so no request can run short of campaigns and at most
     ``MAX_SERVED`` rows per request leave a task.
     """
-    day = F.date_diff
-    epoch = F.lit("1970-01-01").cast("date")
+    moment = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     asked = requests.select(
         "request_id", "user_id", serving.wanted(F.col("num_recommendations")).cast("bigint").alias("most"),
         F.filter(F.coalesce("exclude_campaign_ids", F.array().cast("array<string>")), lambda c: c.isNotNull()).alias("banned"),
-        F.coalesce(day("window_start", epoch), F.lit(-(1 << 30))).cast("bigint").alias("opens"),
-        F.coalesce(day("window_end", epoch), F.lit(1 << 30)).cast("bigint").alias("closes"))
+        F.coalesce(moment("window_start"), F.lit(-(1 << 62))).alias("opens"), F.coalesce(moment("window_end"), F.lit(1 << 62)).alias("closes"))
     dated = campaign_vectors.join(campaigns.select(
-        "campaign_id", day("start_date", epoch).cast("bigint").alias("start"),
-        day("end_date", epoch).cast("bigint").alias("end")), "campaign_id")
+        "campaign_id", serving.runs_from(F.col("start_date")).alias("start"), serving.runs_to(F.col("end_date")).alias("end")), "campaign_id")
     side = _Side(with_vector(dated, ["campaign_id", "start", "end"]))
     left = asked.join(side.slim(with_vector(users, ["user_id"])), "user_id").select(
         "request_id", "most", "banned", "opens", "closes", "embedding")

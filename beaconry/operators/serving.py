@@ -23,11 +23,70 @@ def exclude_campaigns(ranked: DataFrame, requests: DataFrame) -> DataFrame:
     return ranked.join(banned, ["request_id", "campaign_id"], "left_anti")
 
 
+def runs_from(c: Column) -> Column:
+    """A campaign's first day begins at midnight; times are compared in microseconds."""
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def runs_to(c: Column) -> Column:
+    """It ends with the second before midnight of its last day."""
+    return F.unix_micros(c.cast("timestamp")) + (86400 - 1) * 1_000_000
+
+
+def _meets(window_start: Column, window_end: Column, start: Column, end: Column) -> Column:
+    moment = lambda c: F.unix_micros(c.cast("timestamp"))
+    return (start <= F.coalesce(moment(window_end), start)) & (F.coalesce(moment(window_start), end) <= end)
+
+
 def overlapping(ranked: DataFrame) -> DataFrame:
-    """Keep campaigns whose dates overlap the requested window; an open end always overlaps."""
-    return ranked.filter(
-        (F.col("start_date") <= F.coalesce("window_end", F.col("start_date")))
-        & (F.coalesce("window_start", F.col("end_date")) <= F.col("end_date")))
+    """Keep campaigns whose days overlap the requested window, times of day included; an open end always overlaps."""
+    return ranked.filter(_meets(F.col("window_start"), F.col("window_end"), runs_from(F.col("start_date")), runs_to(F.col("end_date"))))
+
+
+def window_overlaps(windows: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Interval join: (window_id, campaign_id) of the windows that a campaign runs in, each pair once.
+
+    Windows (window_id, window_start, window_end; open where NULL) and campaigns are cut into days and joined by day; the first
+    day that both have decides, so a pair is met once however long both are. Open ends reach as far as there are campaigns.
+    A campaign without a date or that ends before it starts overlaps nothing.
+    """
+    days = lambda a, b: F.explode(F.sequence(a, b)).alias("_day")
+    runs = campaigns.where("start_date <= end_date").select("campaign_id", F.to_date("start_date").alias("start_date"), F.to_date("end_date").alias("end_date"))
+    reach = runs.agg(F.min("start_date").alias("_lo"), F.max("end_date").alias("_hi"))  # one row
+    first = F.greatest(F.coalesce(F.to_date("window_start"), F.col("_lo")), F.col("_lo"))
+    last = F.least(F.coalesce(F.to_date("window_end"), F.col("_hi")), F.col("_hi"))
+    asked = (windows.select("window_id", "window_start", "window_end").join(F.broadcast(reach)).withColumns({"_first": first, "_last": last})
+             .where("_first <= _last").select("window_id", "window_start", "window_end", "_first", days(F.col("_first"), F.col("_last"))))
+    met = asked.join(runs.select("*", days(F.col("start_date"), F.col("end_date"))), "_day").where(F.col("_day") == F.greatest("_first", "start_date"))
+    return met.where(_meets(F.col("window_start"), F.col("window_end"), runs_from(F.col("start_date")), runs_to(F.col("end_date")))).select("window_id", "campaign_id")
+
+
+def _best(rows: DataFrame, k: int) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("request_id").orderBy(F.col("similarity_score").desc(), "campaign_id")
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+
+
+def best_allowed(requests: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
+    """(request_id, campaign_id): the ``k`` best of a request's user that it does not exclude.
+
+    ``ranked`` needs, per user, ``k`` campaigns more than a request excludes at most: whatever it drops, enough are left.
+    """
+    rows = requests.select("request_id", "user_id").join(ranked.select("user_id", "campaign_id", "similarity_score"), "user_id")
+    return _best(exclude_campaigns(rows, requests), k).select("request_id", "campaign_id")
+
+
+def best_in_window(requests: DataFrame, ranked: DataFrame, campaigns: DataFrame, k: int) -> DataFrame:
+    """(request_id, campaign_id): the ``k`` best of a request's user among the campaigns that run in its window.
+
+    Requests share few windows, so the interval join is made once a window and not once a request. ``ranked`` holds all campaigns of a user.
+    """
+    window = F.sha2(F.to_json(F.struct("window_start", "window_end"), {"ignoreNullFields": "false"}), 256).alias("window_id")
+    asked = requests.select("request_id", "user_id", "window_start", "window_end", window)
+    allowed = window_overlaps(asked.dropDuplicates(["window_id"]), campaigns)
+    rows = asked.select("request_id", "user_id", "window_id").join(ranked.select("user_id", "campaign_id", "similarity_score"), "user_id")
+    return _best(rows.join(allowed, ["window_id", "campaign_id"], "left_semi"), k).select("request_id", "campaign_id")
 
 
 def request_status(requests: DataFrame, user_vectors: DataFrame, campaigns_ready: bool = True) -> DataFrame:

@@ -131,11 +131,9 @@ def join_anti_seen(t):
     ORDER BY similarity_score DESC, k.campaign_id) AS rank FROM requests_v r JOIN scores_v k ON k.user_id = r.user_id
     WHERE NOT list_contains(r.exclude_campaign_ids, k.campaign_id)) WHERE rank <= 10""")
 def join_exclude(t):
-    """The ten best campaigns of a request among those it does not exclude."""
-    asked = t.requests.withColumns({"window_start": F.lit(None).cast("date"), "window_end": F.lit(None).cast("date"),
-                                    "num_recommendations": F.lit(10)})
-    served = K.serve_requests(asked, t.user_vectors, t.campaigns, t.campaign_vectors).select("request_id", "campaign_id")
-    return serving.exclude_campaigns(served, t.requests).select("request_id", "campaign_id")
+    """The ten best campaigns of a request among those it does not exclude: as many more are ranked as a request can drop."""
+    most = t.requests.agg(F.max(F.size("exclude_campaign_ids"))).first()[0] or 0
+    return serving.best_allowed(t.requests, K.campaign_topk(t.user_vectors, t.campaign_vectors, 10 + max(most, 0)), 10)
 
 
 @query("join_window_overlap", """SELECT request_id, campaign_id FROM (SELECT r.request_id, k.campaign_id, row_number() OVER (PARTITION BY r.request_id
@@ -143,12 +141,8 @@ def join_exclude(t):
     JOIN campaigns_v c ON c.campaign_id = k.campaign_id WHERE (window_end IS NULL OR start_date <= window_end)
     AND (window_start IS NULL OR window_start <= end_date)) WHERE rank <= 10""")
 def join_window_overlap(t):
-    """The ten best campaigns of a request among those that run in its window."""
-    asked = t.requests.withColumns({"exclude_campaign_ids": F.array().cast("array<string>"), "num_recommendations": F.lit(10)})
-    served = K.serve_requests(asked, t.user_vectors, t.campaigns, t.campaign_vectors).select("request_id", "campaign_id")
-    hits = served.join(asked.select("request_id", "window_start", "window_end"), "request_id").join(
-        t.campaigns.select("campaign_id", "start_date", "end_date"), "campaign_id")
-    return serving.overlapping(hits).select("request_id", "campaign_id")
+    """The ten best campaigns of a request among those that run in its window, by an interval join of windows and campaigns."""
+    return serving.best_in_window(t.requests, K.campaign_topk(t.user_vectors, t.campaign_vectors, t.n_campaigns), t.campaigns, 10)
 
 
 @query("join_due_context", """SELECT notification_id, d.user_id, d.campaign_id, u.name AS user_name, email, c.name AS campaign_name, template_long

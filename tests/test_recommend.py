@@ -276,3 +276,33 @@ def test_index_search_is_whole_and_near(spark, tmp_path):
     empty = str(tmp_path / "empty")
     VI.build_index(c.limit(0), u, empty, 16)
     assert VI.search(u, c.limit(0), empty, 16).count() == 0
+
+
+def test_windows_and_exclusions_drop_rows_in_their_own_joins(spark):
+    import datetime as dt
+
+    at = lambda d, h=0, m=0: dt.datetime(2024, 1, d, h, m)
+    camps = [("A", dt.date(2024, 1, 1), dt.date(2024, 1, 3)), ("B", dt.date(2024, 1, 3), dt.date(2024, 1, 9)), ("C", dt.date(2024, 1, 12), dt.date(2024, 1, 12)),
+             ("D", None, dt.date(2024, 1, 5)), ("E", dt.date(2024, 1, 8), dt.date(2024, 1, 2))]
+    c = spark.createDataFrame(camps, "campaign_id string, start_date date, end_date date")
+    windows = {1: (None, None), 2: (at(3, 23), at(3, 23, 30)), 3: (at(3, 23, 59), at(4)), 4: (at(9, 23, 59), at(12)), 5: (at(10), at(11, 23)), 6: (at(10), None),
+               7: (None, at(2, 12)), 8: (at(12, 23, 59, ) + dt.timedelta(seconds=59, milliseconds=500), None)}
+    w = spark.createDataFrame([(i, *x) for i, x in windows.items()], "window_id long, window_start timestamp, window_end timestamp")
+    got = {}
+    for r in serving.window_overlaps(w, c).collect():
+        got.setdefault(r["window_id"], []).append(r["campaign_id"])
+    want = {1: "ABC", 2: "AB", 3: "AB", 4: "BC", 6: "C", 7: "A"}
+    assert {i: sorted(x) for i, x in got.items()} == {i: list(x) for i, x in want.items()}
+    vecs = spark.createDataFrame([(x, [1.0, float(i)]) for i, x in enumerate("ABC")], "campaign_id string, embedding array<double>")
+    users = spark.createDataFrame([(7, [1.0, 0.0])], "user_id long, embedding array<double>")
+    reqs = w.select(F.col("window_id").alias("request_id"), F.lit(7).cast("long").alias("user_id"), "window_start", "window_end",
+                    F.when(F.col("window_id") == 1, F.array(F.lit("A"), F.lit("Z"))).otherwise(F.array()).cast("array<string>").alias("exclude_campaign_ids"))
+    ranked = K.campaign_topk(users, vecs, 3)
+    found = {(r["request_id"], r["campaign_id"]) for r in serving.best_in_window(reqs, ranked, c, 1).collect()}
+    assert found == {(i, x[0]) for i, x in want.items()}
+    allowed = {r["request_id"]: r["campaign_id"] for r in serving.best_allowed(reqs, ranked, 1).collect()}
+    assert allowed == {1: "B", **{i: "A" for i in range(2, 9)}}
+    # the serving kernel compares times of day as well
+    named = c.withColumns({"name": F.col("campaign_id"), "priority": F.lit(1)})
+    served = K.serve_requests(reqs.withColumns({"num_recommendations": F.lit(10), "exclude_campaign_ids": F.array().cast("array<string>")}), users, named, vecs)
+    assert {(r["request_id"], r["campaign_id"]) for r in served.collect()} == {(i, x) for i, xs in want.items() for x in xs}
