@@ -121,5 +121,39 @@ def refresh_user_embeddings(stored: DataFrame, users: DataFrame, purchases: Data
     return upsert_merge(stored.select("user_id", "embedding"), part, ["user_id"], ["embedding"])
 
 
+def recent_state(purchases: DataFrame, k: int) -> DataFrame:
+    """The state that user vectors depend on: each user's last ``k`` purchases, at most ``k`` rows a user."""
+    return last_k(purchases, k).drop("rn")
+
+
+def advance_state(state: DataFrame, new_purchases: DataFrame, k: int) -> DataFrame:
+    """The state after a delta, from the old state and the delta alone.
+
+    A purchase that is not among a user's last ``k`` never comes back, so the last ``k`` of the state and the delta are those of
+    the whole history. Users without a new purchase keep their rows.
+    """
+    new = new_purchases.select(*state.columns)
+    who = new.select(F.col("user_id").alias("_of")).distinct()
+    mine = F.col("user_id").eqNullSafe(F.col("_of"))
+    moved = last_k(state.join(who, mine, "left_semi").unionByName(new), k).drop("rn")
+    return state.join(who, mine, "left_anti").unionByName(moved)
+
+
+def refresh_from_state(stored: DataFrame, state: DataFrame, users: DataFrame, new_purchases: DataFrame,
+                       product_vectors: DataFrame, changed_products: DataFrame, k: int, dim: int) -> tuple[DataFrame, DataFrame]:
+    """User vectors and state after a delta, equal to a full computation; the purchase history is not read.
+
+    ``state`` is that of ``advance_state`` before the delta. Only users with a new purchase, a changed product among their
+    last ``k`` or no stored vector are computed again.
+    """
+    after = advance_state(state, new_purchases, k)
+    touched = after.join(changed_products.select("product_id"), "product_id", "left_semi").select("user_id")
+    added = users.select("user_id").join(stored.select("user_id"), "user_id", "left_anti")
+    who = touched.unionByName(new_purchases.select("user_id")).unionByName(added).distinct()
+    part = user_embeddings(users.join(who, "user_id", "left_semi"), after.join(who, "user_id", "left_semi"), product_vectors, k, dim)
+    still = stored.join(users.select("user_id"), "user_id", "left_semi").select("user_id", "embedding")
+    return upsert_merge(still, part, ["user_id"], ["embedding"]), after
+
+
 def vector_coverage(df: DataFrame, col: str = "embedding") -> DataFrame:
     return df.agg(F.count("*").alias("n"), F.avg(V.is_nonzero(col).cast("double")).alias("coverage"))

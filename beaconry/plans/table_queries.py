@@ -11,7 +11,7 @@ from beaconry.operators import clean, features
 from beaconry.plans.bindings import LAST_K, PURCHASE_AS_OF
 from beaconry.plans.registry import query
 from beaconry.session import scratch_path
-from beaconry.sources import messages, tables, upsert
+from beaconry.sources import clustered, messages, tables, upsert
 from beaconry.sources.chunk_sink import write_chunks
 from beaconry.streaming import clicks as S
 
@@ -62,7 +62,9 @@ def src_scan_limit(t):
 
 @query("src_point_lookup", "SELECT user_id, name, email FROM users_v WHERE user_id IN (SELECT user_id FROM events)")
 def src_point_lookup(t):
-    return tables.lookup(t.users.select("user_id", "name", "email"), t.raw("events"), ["user_id"])
+    path = scratch_path(t.spark, "users")
+    clustered.write_clustered(t.users.select("user_id", "name", "email"), path, "user_id", files=8)
+    return clustered.clustered_lookup(t.spark, path, t.raw("events"), "user_id")
 
 
 def click_messages(t):

@@ -185,3 +185,46 @@ def test_late_rows_are_counted_and_listed(spark, tmp_path):
     S.count_with_late(spark.readStream.schema(kind).parquet(src), rates, late, ckpt, "1 hour", 86400).awaitTermination()
     assert {r["window_start"]: r["n"] for r in S.read_rates(spark, rates).collect()} == want
     assert S.read_late(spark, late, stream.schema).count() == 2
+
+
+def test_a_key_set_opens_few_files(spark, tmp_path):
+    from beaconry.sources import clustered
+
+    path = str(tmp_path / "c")
+    rows = spark.range(4000).select((F.col("id") * 3).alias("k"), F.concat(F.lit("v"), "id").alias("v")).repartition(7)
+    rows = rows.unionByName(spark.createDataFrame([(None, "none"), (30, "again")], "k long, v string"))
+    clustered.write_clustered(rows, path, "k", files=16)
+    assert spark.read.parquet(path).count() == 4002
+    every = {f for f in spark.read.parquet(path).inputFiles()}
+    keys = spark.createDataFrame([(30,), (30,), (31,), (33,), (None,), (-5,), (99_999,)], "k long")
+    got = clustered.clustered_lookup(spark, path, keys, "k")
+    assert sorted(r["v"] for r in got.collect()) == ["again", "v10", "v11"]
+    assert len(every) >= 12 and len(got.inputFiles()) == 1  # of all files one is opened
+    assert clustered.clustered_lookup(spark, path, keys.where("k < 0 or k is null"), "k").count() == 0
+    words = spark.createDataFrame([(w, i) for i, w in enumerate("abcdefgh")], "k string, n int")
+    clustered.write_clustered(words, str(tmp_path / "w"), "k", files=4)
+    assert [r["n"] for r in clustered.clustered_lookup(spark, str(tmp_path / "w"), spark.createDataFrame([("c",), ("zz",)], "k string"), "k").collect()] == [2]
+
+
+def test_user_vectors_from_the_state_of_last_purchases(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    kind = "purchase_id string, user_id long, product_id long, purchase_date date, total_amount double, quantity int, l_suppkey int, l_shipdate timestamp"
+    bought = [(f"p{i}", int(rng.integers(0, 12)), int(rng.integers(0, 9)), dt.date(2024, 1, 1) + dt.timedelta(days=int(rng.integers(0, 20))), float(i), 1, 1, None)
+              for i in range(150)]
+    df = spark.createDataFrame(bought, kind)
+    old, new = df.where("purchase_date < '2024-01-15' and user_id <> 11"), df.where("purchase_date >= '2024-01-15' or user_id = 11")
+    users = spark.createDataFrame([(u,) for u in [*range(2, 12), 50]], "user_id long")
+    vectors = spark.createDataFrame([(p, [float(p), 1.0]) for p in range(8)], "product_id long, embedding array<float>")
+    changed = spark.createDataFrame([(3,), (4,)], "product_id long")
+    before = vectors.withColumn("embedding", F.when(F.col("product_id").isin(3, 4), F.array(F.lit(0.0), F.lit(0.0)).cast("array<float>")).otherwise(F.col("embedding")))
+    stored = E.user_embeddings(spark.createDataFrame([(u,) for u in range(0, 9)], "user_id long"), old, before, 3, 2)
+    old.write.parquet(str(tmp_path / "history"))
+    E.recent_state(spark.read.parquet(str(tmp_path / "history")), 3).write.parquet(str(tmp_path / "state"))
+    state = spark.read.parquet(str(tmp_path / "state"))
+    out, after = E.refresh_from_state(stored, state, users, new, vectors, changed, 3, 2)
+    want = E.user_embeddings(users, df, vectors, 3, 2)
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    cols = sorted(state.columns)
+    assert sorted(map(str, after.select(cols).collect())) == sorted(map(str, E.recent_state(df, 3).select(cols).collect()))
+    plan = after._jdf.queryExecution().executedPlan().toString()
+    assert "/state" in plan and "/history" not in plan
