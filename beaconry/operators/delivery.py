@@ -226,8 +226,7 @@ def throttle(df: DataFrame, user: str = "user_id", ts: str = "ts", text: str = "
                     i += int(np.searchsorted(at[i:e], last + gap))
             yield b.take(pa.array(keep, pa.int64())).select(cols)
 
-    # Same session, time and text: one row is enough to decide.
-    once = W.partitionBy(user, "_begin", "_at", text).orderBy(*cols)
-    rows = rows.withColumn("_rn", F.row_number().over(once)).filter("_rn = 1").drop("_rn")
-    placed = rows.repartition(user, "_begin").sortWithinPartitions(user, "_begin", "_at", text)
+    # Of rows of the same session, time and text the first in this order is shown or none is: the others find their text shown.
+    rest = [c for c in cols if c not in (user, text)]
+    placed = rows.repartition(user, "_begin").sortWithinPartitions(user, "_begin", "_at", text, *rest)
     return placed.mapInArrow(fold, df.schema)
