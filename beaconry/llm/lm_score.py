@@ -18,6 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,12 +127,12 @@ def _reader(vocabulary: frozenset[str] | None):
     return lambda text: [w if w in vocabulary else OTHER for w in _words(text)]
 
 
-CHUNKS = "chunk long, data binary"
+CHUNKS = "chunk long, ids array<long>, data binary"
 PIECES = "chunk long, bucket long, n long, keys binary, " + ", ".join(f"{c} binary" for c in COUNTS)
 
 
 def _chunks(size: int):
-    """Rows of a chunk number and the chunk's rows, compressed."""
+    """Rows of a chunk number, the ids in the chunk, and its rows, compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, parts = TaskContext.get().partitionId() << 32, 0, []
@@ -140,7 +141,9 @@ def _chunks(size: int):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_table(pa.Table.from_batches(parts))
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "data"])
+            ids = [i for part in parts for i in part.column("doc_id").to_pylist() if i is not None]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                                               pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "ids", "data"])
 
         for part, texts in text_blocks(batches):
             parts.append(part)
@@ -159,8 +162,12 @@ def _read(data: bytes) -> pa.Table:
         return stream.read_all()
 
 
-def _models(texts: pa.Table) -> list[np.ndarray]:
-    return [texts.column(c).to_numpy() for c in ("is_target", "is_background")]
+def _models(texts: pa.Table, chunk: int | None, wanted: list[int] | None) -> list[np.ndarray]:
+    """Which texts of a chunk the target and the background count; a chunk without a number is of the target only."""
+    if chunk is None:
+        return [np.ones(texts.num_rows, dtype=bool), np.zeros(texts.num_rows, dtype=bool)]
+    ids = pa.compute.is_in(texts.column("doc_id"), value_set=pa.array(wanted or [], pa.int64())).to_numpy(zero_copy_only=False)
+    return [ids, np.ones(texts.num_rows, dtype=bool)]
 
 
 def _pieces(bits: int, read):
@@ -168,9 +175,9 @@ def _pieces(bits: int, read):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, data in zip(batch.column("chunk").to_pylist(), batch.column("data"), strict=True):
+            for number, data, wanted in zip(batch.column("chunk").to_pylist(), batch.column("data"), batch.column("wanted").to_pylist(), strict=True):
                 texts = _read(data.as_buffer())
-                grams = Grams(map(read, texts.column("text").to_pylist()), _models(texts))
+                grams = Grams(map(read, texts.column("text").to_pylist()), _models(texts, number, wanted))
                 if not len(grams.pair):
                     continue
                 met, starts = np.unique(grams.keys >> np.uint64(64 - bits), return_index=True)
@@ -230,7 +237,8 @@ def _scores(read, outcomes: int, sums: dict[str, int]):
         if not chunk.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), *[pa.float64()] * 3, pa.bool_())], names=SCORED)
         texts = _read(chunk.column("data")[0].as_buffer())
-        grams = Grams(map(read, texts.column("text").to_pylist()), _models(texts))
+        models = _models(texts, chunk.column("chunk")[0].as_py(), chunk.column("wanted")[0].as_py())
+        grams = Grams(map(read, texts.column("text").to_pylist()), models)
         answers = answers.sort_by("bucket")
         row = np.repeat(np.arange(len(grams.sizes)), grams.sizes)
 
@@ -243,36 +251,41 @@ def _scores(read, outcomes: int, sums: dict[str, int]):
             each = losses(counted(name), counted(f"{name}_ends"), grams, sums[f"{name}_tokens"], sums[f"{name}_texts"], outcomes) if len(row) else np.zeros(0)
             loss.append(np.round(np.bincount(row, weights=each, minlength=len(grams.sizes)) / np.maximum(1, grams.sizes), 9))
         diff = np.round(loss[0] - loss[1], 9)
-        out = pa.table([texts.column("doc_id"), pa.array(grams.sizes), pa.array(loss[0]), pa.array(loss[1]), pa.array(diff), pa.array(diff < 0)],
-                       names=SCORED)
-        return out.filter(texts.column("is_background"))
+        return pa.table([texts.column("doc_id"), pa.array(grams.sizes), pa.array(loss[0]), pa.array(loss[1]), pa.array(diff), pa.array(diff < 0)],
+                        names=SCORED)
 
     return run
 
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame | None = None, most: int | None = None, is_target: Column | None = None) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target: DataFrame | None = None, most: int | None = None, target_ids: DataFrame | None = None) -> DataFrame:
     """Per row doc_id, n_tokens, target_loss and background_loss (nats a token), score (their difference) and selected (score < 0).
 
-    The background model counts all of ``docs``; the target model the rows of ``docs`` for which ``is_target`` holds and all of ``target`` (a
+    The background model counts all of ``docs``; the target model the rows of ``docs`` whose doc_id is in ``target_ids`` and all of ``target`` (a
     column text), whichever is given. Tokens are lower-cased words, all of them in the vocabulary; ``most`` leaves only that many most frequent
     ones, all others being one class. A text without words, null included, has losses and score 0 and is not selected; texts are read whole,
     however long. Rows are scored one by one, repeated ones and such without id too; other columns are ignored. Empty tables give uniform models.
+
+    The ids of the target meet the ids of the chunks, not the texts: what moves is a list of ids, and later the compressed chunks.
     """
     spark = prepare(docs.sparkSession)
-    none = F.lit(False)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (none if is_target is None else F.coalesce(is_target, none)).alias("is_target"),
-                        F.lit(True).alias("is_background"))
-    tables = [texts]
-    if target is not None:
-        tables.append(target.select(F.lit(None).cast("long").alias("doc_id"), "text", F.lit(True).alias("is_target"), none.alias("is_background")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    tables = [texts] + ([] if target is None else [target.select(F.lit(None).cast("long").alias("doc_id"), "text")])
     every = tables[0].select("text") if len(tables) == 1 else tables[0].select("text").unionByName(tables[1].select("text"))
     read = _reader(None if most is None else frozenset(vocabulary_of(every, most)))
-    size = sum(df.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0 for df in tables)
+    size = every.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     bits = max(LEAST_BITS, (size // BUCKET).bit_length())
     chunks = stored(texts.mapInArrow(_chunks(CHUNK), CHUNKS), "chunks")
+    if target_ids is None:
+        chunks = chunks.select("chunk", "data", F.lit(None).cast("array<long>").alias("wanted"))
+    else:
+        ids = target_ids.select(F.col("doc_id").cast("long").alias("id")).where("id IS NOT NULL").distinct()
+        met = chunks.select("chunk", F.explode("ids").alias("id")).join(ids, "id", "left_semi")
+        wanted = stored(met.groupBy("chunk").agg(F.collect_set("id").alias("wanted")), "wanted")  # at most a chunk's own ids
+        chunks = chunks.select("chunk", "data").join(wanted, "chunk", "left")
     counted = chunks
     for more in tables[1:]:  # counted but not scored: its chunks have no number
-        counted = counted.unionByName(more.mapInArrow(_chunks(CHUNK), CHUNKS).withColumn("chunk", F.lit(None).cast("long")))
+        other = more.mapInArrow(_chunks(CHUNK), CHUNKS).select(F.lit(None).cast("long").alias("chunk"), "data", F.lit(None).cast("array<long>").alias("wanted"))
+        counted = counted.unionByName(other)
     spark.conf.set(BATCH, "4")  # a row is a whole chunk
     try:
         answers = stored(counted.mapInArrow(_pieces(bits, read), PIECES).groupBy("bucket").applyInArrow(_answers, ANSWERS), "counts")
@@ -283,10 +296,3 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame | None = None, m
     outcomes = sums["n_words"] + 1 if most is None else min(most, sums["n_words"]) + 1
     return (chunks.groupBy("chunk").cogroup(answers.where("chunk IS NOT NULL").select("chunk", "bucket", "n", *COUNTS).groupBy("chunk"))
             .applyInArrow(_scores(read, outcomes, sums), "doc_id long, n_tokens long, target_loss double, background_loss double, score double, selected boolean"))
-
-
-def with_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with a column ``good``: whether the id is labelled good. Only ids are joined to them; Spark chooses how."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("of"), F.lit(True).alias("good")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(good, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))

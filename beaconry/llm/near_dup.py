@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import connected, prepare, shingle_sets, stored, text_blocks
+from beaconry.llm.common import connected, give_back, prepare, shingle_sets, stored, text_blocks
 
 COORDINATES = 128
 MISSED = 1e-4  # probability that no tree compares a pair just similar enough
@@ -131,6 +131,8 @@ def _exact_forest(share: int):
                     b.append(keys[i])
                 queue.extend(some[near])
                 rest = np.concatenate([rest[:lo], some[~near], rest[hi:]])
+        del held, sets, numbers, member
+        give_back()
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run

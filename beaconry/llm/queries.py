@@ -64,8 +64,8 @@ def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document between texts labelled good and the whole corpus."""
-    docs = lm_score.with_quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
-    return lm_score.cross_entropy_difference(docs, is_target=F.col("good"))
+    good = load(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.cross_entropy_difference(load(spark, sf_dir, "documents"), target_ids=good)
 
 
 # A conversation whose texts hold the template's own marks.

@@ -26,7 +26,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beaconry.llm.common import RollingHash, prepare, stored, text_blocks
+from beaconry.llm.common import RollingHash, give_back, prepare, stored, text_blocks
 
 KMER = 32
 GROUP_BYTES = 1 << 20  # text in one suffix array
@@ -230,7 +230,9 @@ def _later(window: int):
         held = np.cumsum(pa.compute.binary_length(table.column("seg")).to_numpy())[ends - 1]
         last = np.append(np.flatnonzero(np.diff(held // GROUP_BYTES)), len(ends) - 1)
         stops = ends[last].tolist()
-        return pa.concat_tables([part(table.slice(a, b - a)) for a, b in zip([0, *stops], stops, strict=False)])
+        out = pa.concat_tables([part(table.slice(a, b - a)) for a, b in zip([0, *stops], stops, strict=False)])
+        give_back()
+        return out
 
     def part(table: pa.Table) -> pa.Table:
         segments = table.column("seg").to_pylist()

@@ -9,6 +9,7 @@ form of address as directed. A logistic model weighs the kinds of hits.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,6 +23,7 @@ from beaconry.llm.logistic import bounded, fit, logit, matrix
 
 TRAIN_ROWS = 4000  # of each label
 STEM = (4, 7)  # lengths of stems
+CHANCE = 2e-4  # probability of so many toxic documents among a term's, were it no sign
 TIMES = 30.0  # how many times as frequent a term has to be among toxic documents
 AROUND = 8  # words on either side of a hit
 MOST_WORDS = 300_000
@@ -38,93 +40,115 @@ def folded(word: str) -> str:
 
 
 class Lexicon:
-    """Words and stems (ending in ``*``) in a trie, with the errors allowed by length: one from five letters, two from nine."""
+    """Words and stems (ending in ``*``) in a trie, met by words with errors: one from four letters, two from nine, one inside a stem.
+
+    An error is a letter too many, missing or wrong, or two neighbours swapped, at any place. A state is a set of trie nodes with their
+    least errors; a node may wait for the other letter of a swap. Sets are determinised when first met.
+    """
 
     def __init__(self, terms: list[str]):
         self._children: list[dict[str, int]] = [{}]
-        self._ends: list[tuple[int, bool] | None] = [None]
-        self._budget = [0]
+        self._words: list[int | None] = [None]  # errors allowed to the word that ends here
+        self._stems: list[int | None] = [None]
+        self._length, self._budget = [0], [0]
         for term in sorted(terms):
             text, stem = term.rstrip("*"), term.endswith("*")
-            allowed = 0 if len(text) < 5 or stem else 1 if len(text) < 9 else 2
+            allowed = 0 if len(text) < 4 else 1 if len(text) < 9 or stem else 2
             node = 0
-            for char in text:
+            self._budget[0] = max(self._budget[0], allowed)
+            for at, char in enumerate(text):
                 if char not in self._children[node]:
                     self._children[node][char] = len(self._children)
                     self._children.append({})
-                    self._ends.append(None)
+                    self._words.append(None)
+                    self._stems.append(None)
+                    self._length.append(at + 1)
                     self._budget.append(0)
                 node = self._children[node][char]
                 self._budget[node] = max(self._budget[node], allowed)
-            before = self._ends[node]
-            self._ends[node] = (allowed, stem or (before is not None and before[1]))
+            (self._stems if stem else self._words)[node] = allowed
         self._reset()
 
     def _reset(self) -> None:
-        start = ((0, 0),)
-        self._sets, self._numbers, self._steps = [start], {start: 0}, [{}]
-        self._stem = [None]
+        start = self._close({(0, ""): 0})
+        self._sets, self._numbers, self._steps, self._stem = [start], {start: 0}, [{}], [None]
 
-    def _close(self, found: dict[int, int]) -> tuple[tuple[int, int], ...]:
+    def _close(self, found: dict[tuple[int, str], int]) -> tuple[tuple[tuple[int, str], int], ...]:
         queue = list(found.items())
         while queue:  # letters left out of the word
-            node, errors = queue.pop()
-            for child in self._children[node].values():
-                if node and errors + 1 <= self._budget[child] and errors + 1 < found.get(child, 9):
-                    found[child] = errors + 1
-                    queue.append((child, errors + 1))
+            (node, waits), errors = queue.pop()
+            for child in () if waits else self._children[node].values():
+                if errors + 1 <= self._budget[child] and errors + 1 < found.get((child, ""), 9):
+                    found[child, ""] = errors + 1
+                    queue.append(((child, ""), errors + 1))
         return tuple(sorted(found.items()))
 
     def _build(self, state: int, char: str) -> int:
-        found: dict[int, int] = {}
+        found: dict[tuple[int, str], int] = {}
 
-        def reach(node: int, errors: int) -> None:
-            if errors <= self._budget[node] and errors < found.get(node, 9):
-                found[node] = errors
+        def reach(node: int, errors: int, waits: str = "") -> None:
+            if errors <= self._budget[node] and errors < found.get((node, waits), 9):
+                found[node, waits] = errors
 
-        for node, errors in self._sets[state]:
+        for (node, waits), errors in self._sets[state]:
+            if waits:
+                if char == waits:
+                    reach(node, errors)
+                continue
             for letter, child in self._children[node].items():
-                if letter == char:
-                    reach(child, errors)
-                elif node:  # the first letter has to be right
-                    reach(child, errors + 1)
-            if node:
-                reach(node, errors + 1)
+                reach(child, errors + (letter != char))
+                if letter != char and char in self._children[child]:
+                    reach(self._children[child][char], errors + 1, letter)  # the two are swapped
+            reach(node, errors + 1)
+        # a stem is met when its last letter is read; leaving that out would make a shorter stem
+        stem = min((e for (n, waits), e in found.items() if not waits and self._stems[n] is not None and e <= self._stems[n]), default=None)
         key = self._close(found)
-        target = self._numbers.get(key)
+        number = (key, stem)
+        target = self._numbers.get(number)
         if target is None:
-            target = self._numbers[key] = len(self._sets)
+            target = self._numbers[number] = len(self._sets)
             self._sets.append(key)
             self._steps.append({})
-            stems = [e for n, e in key if self._ends[n] is not None and self._ends[n][1] and e == 0]
-            self._stem.append(0 if stems else None)
+            self._stem.append(stem)
         self._steps[state][char] = target
         return target
 
-    def errors(self, word: str) -> int | None:
-        """Least number of errors to a term, None if none is near enough."""
+    def match(self, word: str) -> tuple[int, bool] | None:
+        """Least number of errors to a term, and whether that says little (errors in a stem or a word of four letters); None if none is near enough."""
         if len(self._sets) > MOST_STATES:
             self._reset()
-        state = 0
+        state, stem = 0, None
         for char in word:
             step = self._steps[state].get(char)
             state = step if step is not None else self._build(state, char)
             if self._stem[state] is not None:
-                return 0
+                if self._stem[state] == 0:
+                    return 0, False
+                stem = self._stem[state]
             if not self._sets[state]:
-                return None
-        return min((e for n, e in self._sets[state] if self._ends[n] is not None and e <= self._ends[n][0]), default=None)
+                break
+        else:
+            ends = [(e, e > 0 and self._length[n] < 5) for (n, waits), e in self._sets[state] if not waits and self._words[n] is not None and e <= self._words[n]]
+            if ends:
+                best = min(ends)
+                return best if stem is None else min(best, (stem, True))
+        return None if stem is None else (stem, True)
+
+    def errors(self, word: str) -> int | None:
+        """Least number of errors to a term, None if none is near enough."""
+        met = self.match(word)
+        return met and met[0]
 
 
 class Words(dict):
-    """Kind of each raw word: 0 nothing, 1 a term, 2 a term with errors."""
+    """Kind of each raw word: 0 nothing, 1 a term, 2 a term with errors, 3 one with errors that says little."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
 
     def __missing__(self, word: str) -> int:
-        errors = self.lexicon.errors(folded(word))
-        kind = 0 if errors is None else 1 if errors == 0 else 2
+        met = self.lexicon.match(folded(word))
+        kind = 0 if met is None else 1 if met[0] == 0 else 3 if met[1] else 2
         if len(word) < 64:
             if len(self) >= MOST_WORDS:
                 self.clear()
@@ -149,13 +173,20 @@ def hits(text: str, words: Words) -> list[tuple[int, bool, bool]]:
     return out
 
 
+FEATURES = 6
+
+
 def features(text: str, words: Words) -> list[float]:
-    """Logarithms of the numbers of terms, of terms with errors, of quoted and of directed hits, and of hits per thousand words."""
+    """Logarithms of the numbers of terms, of terms with errors, of quoted and of directed hits, and of hits per thousand words; then of hits that say little.
+
+    The last are counted apart: how much they weigh is learned, and they are neither quoted nor directed.
+    """
     found = hits(text, words)
-    plain = [h for h in found if not h[1]]
+    sure = [h for h in found if h[0] != 3]
+    plain = [h for h in sure if not h[1]]
     return [np.log1p(sum(k == 1 for k, _, _ in plain)), np.log1p(sum(k == 2 for k, _, _ in plain)),
-            np.log1p(len(found) - len(plain)), np.log1p(sum(d for _, _, d in plain)),
-            np.log1p(1000 * len(plain) / (len(text) / 6 + 50))]
+            np.log1p(len(sure) - len(plain)), np.log1p(sum(d for _, _, d in plain)),
+            np.log1p(1000 * len(plain) / (len(text) / 6 + 50)), np.log1p(1000 * (len(found) - len(sure)) / (len(text) / 6 + 50))]
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,15 +203,22 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array([r[2] for r in rows], pa.int64())], names=["term", "clean", "toxic"])
 
 
+def by_chance(hits: int, trials: int, share: float) -> float:
+    """Probability of at least ``hits`` in so many trials of this probability."""
+    if share >= 1:
+        return 1.0
+    return sum(math.comb(trials, k) * share ** k * (1 - share) ** (trials - k) for k in range(hits, trials + 1))
+
+
 def learn_terms(train: DataFrame) -> list[str]:
-    """Terms from a bounded sample (text, toxic): frequent among toxic texts, and ``TIMES`` as frequent as among clean ones."""
+    """Terms from a bounded sample (text, toxic): ``TIMES`` as frequent among toxic texts as among clean ones, and in more of them than chance explains."""
     totals = Counter({r["toxic"]: r["c"] for r in train.groupBy("toxic").agg(F.count("*").alias("c")).collect()})
     if not totals[1]:
         return []
     counts = train.mapInArrow(_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    kept = counts.where((F.col("toxic") >= max(3, 0.01 * totals[1]))
-                        & (F.col("toxic") / totals[1] >= TIMES * (F.col("clean") + 0.5) / (totals[0] + 0.5)))
-    support = {r["term"]: r["toxic"] for r in kept.collect()}  # terms of a bounded sample
+    kept = counts.where(F.col("toxic") / totals[1] >= TIMES * (F.col("clean") + 0.5) / (totals[0] + 0.5)).collect()  # terms of a bounded sample
+    share = totals[1] / (totals[0] + totals[1])
+    support = {r["term"]: r["toxic"] for r in kept if by_chance(r["toxic"], r["clean"] + r["toxic"], share) < CHANCE}
     out: list[str] = []
     for term in sorted(support, key=lambda t: (len(t.rstrip("*")), t)):
         text = term.rstrip("*")
@@ -198,7 +236,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
 
     Learns from at most about ``train_rows`` rows of each label whose crc32(doc_id as text) mod 5 is not 0; labels that are null
     or neither 0 nor 1 are not used, and of several labels of an id the greatest counts. Null texts are scored as empty ones; rows
-    without id are scored and not held out; repeated rows are scored one by one; other columns are ignored. Without any labels the score is 0.5.
+    without id are scored and not held out; texts are read whole, however long; repeated rows are scored one by one; other columns are ignored. Without any labels the score is 0.5.
     """
     spark = prepare(docs.sparkSession)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
@@ -223,9 +261,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
         words = Words(Lexicon(terms))
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            x = np.array([features(t, words) for t in texts]).reshape(len(texts), 5)
+            x = np.array([features(t, words) for t in texts]).reshape(len(texts), FEATURES)
             p = 1 / (1 + np.exp(-logit(x, model))) if len(model[1]) else np.full(len(texts), 0.5)
-            counts = np.rint(np.expm1(x)).astype(np.int64) if len(texts) else np.zeros((0, 5), dtype=np.int64)
+            counts = np.rint(np.expm1(x)).astype(np.int64) if len(texts) else np.zeros((0, FEATURES), dtype=np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32)),
                 pa.array(counts[:, 0] + counts[:, 1]), pa.array(counts[:, 2])],

@@ -81,30 +81,48 @@ def test_quality_edge_cases(spark):
     assert [tuple(r) for r in urls.select(Q.host_of(F.col("url")), Q.path_of(F.col("url"))).collect()] == [("www.x.org", "a"), ("", ""), (None, None)]
 
 
-def test_lexicon_meets_misspelled_words():
-    words = T.Lexicon(["moron", "worthless", "idiot", "scum", "veq*"])
+def edits(a, b):
+    """Optimal string alignment: insertions, deletions, substitutions and swaps of neighbours."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        rows.append([i, *[0] * len(b)])
+        for j, y in enumerate(b, 1):
+            rows[i][j] = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                rows[i][j] = min(rows[i][j], rows[i - 2][j - 2] + 1)
+    return rows[len(a)][len(b)]
 
-    def edits(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row, last = [i, *[0] * len(b)], row
-            for j, y in enumerate(b, 1):
-                row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-        return row[-1]
 
+def test_lexicon_meets_misspelled_words():
+    terms = {"moron": 1, "worthless": 2, "idiot": 1, "scum": 1, "oaf": 0}
+    words = T.Lexicon([*terms, "veq*"])
     rng = random.Random(1)
+    tried = {"", "scmu", "skum", "1diot", "idoit", "xorthless", "niot", "oser", "csum"}
+    for term in terms:  # every single error at every place
+        for at in range(len(term) + 1):
+            tried |= {term[:at] + c + term[at:] for c in "xos"} | {term[:at] + c + term[at + 1:] for c in "xos"} | {term[:at] + term[at + 1:]}
+            tried.add(term[:at] + term[at:at + 2][::-1] + term[at + 2:])
     for _ in range(4000):
-        word = list(rng.choice(["moron", "worthless", "idiot", "scum"]))
+        word = list(rng.choice(list(terms)))
         for _ in range(rng.randint(0, 3)):
-            at = rng.randrange(1, len(word) + 1)
-            word[at:at + rng.randint(0, 1)] = rng.choice(["", "x", "o", "s"])
-        word = "".join(word)
-        want = min((d for t, most in (("moron", 1), ("worthless", 2), ("idiot", 1), ("scum", 0))
-                    if (d := edits(word, t)) <= most and word[:1] == t[0]), default=None)
-        assert words.errors(word) == want, word
+            at = rng.randrange(len(word) + 1)
+            word[at:at + rng.randint(0, 2)] = rng.choice(["", "x", "o", "s", "ro"])
+        tried.add("".join(word))
+    for word in tried:
+        if not word.startswith("veq"):
+            assert words.errors(word) == min((d for t, most in terms.items() if (d := edits(word, t)) <= most), default=None), word
     assert words.errors("veqabc") == 0 and words.errors("ve") is None and words.errors("") is None
 
 
+def test_stems_meet_errors_inside():
+    words = T.Lexicon(["degen*", "idiot"])
+    assert words.match("degenerate") == (0, False)
+    for word in ("dgeenerate", "deggenerate", "xegenerate", "dgenerate", "degfnerates", "degne"):
+        assert words.match(word) == (1, True), word
+    assert words.match("dege") is None and words.match("degree") is None and words.match("idoit") == (1, False)
+    assert words.match("idiotic") is None
+
+
 def test_quotation_is_told_from_abuse():
     words = T.Words(T.Lexicon(["moron"]))
     plain = T.hits("well you moron go away", words)
