@@ -67,8 +67,11 @@ def mix(docs: DataFrame, repeats: float | None = REPEATS, entropy: float | None
 
     ``pass`` counts from 0; within a source rows are read by pass, place, block and doc_id. Tokens are words. Rows without a word have no tokens and
     go along with their block; a source without any token is passed through once. A null source is a source of its own, null ids share a block;
-    repeated rows are rows. Other columns are dropped unless kept; an empty table gives an empty mixture.
+    repeated rows are rows; long texts are counted whole. Other columns are dropped unless kept, and kept ones may not bear a name of the result; an
+    empty table gives an empty mixture.
     """
+    if clash := sorted({c.lower() for c in keep or ()} & {"n_tokens", "weight", "pass", "block", "place"}):
+        raise ValueError(f"kept columns bear names of the result: {clash}")
     prepare(docs.sparkSession)
     words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), GAP, -1), "")).cast("long")
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-"))

@@ -35,6 +35,40 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, sf_dir, "documents"), size=3, share=85)
 
 
+# Strings of 100 bytes as hexadecimal digits; runs of later ones are cut out.
+ORACLE["op2_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, h, unnest(range(0, CAST(length(h) // 2 - 99 AS BIGINT))) AS pos FROM d WHERE length(h) >= 200),
+s AS (SELECT doc_id, pos, md5(substr(h, CAST(2 * pos + 1 AS BIGINT), 200)) AS string FROM w),
+f AS (SELECT *, first_value(struct_pack(doc_id := doc_id, pos := pos)) OVER (PARTITION BY string ORDER BY doc_id, pos) AS first FROM s),
+m AS (SELECT doc_id, pos FROM f WHERE first.doc_id <> doc_id OR first.pos <> pos),
+g AS (SELECT *, coalesce(pos > (max(pos) OVER before) + 100, true) AS fresh FROM m WINDOW before AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+i AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM g),
+r AS (SELECT doc_id, span, min(pos) AS lo, max(pos) + 100 AS hi FROM i GROUP BY doc_id, span),
+k AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS from_ FROM r),
+p AS (
+  SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS last, string_agg(substr(h, CAST(2 * from_ + 1 AS BIGINT), CAST(2 * (lo - from_) AS BIGINT)), '' ORDER BY lo) AS head
+  FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN p USING (doc_id)"""
+
+# Every two documents that share a shingle; components by closure.
+ORACLE["op3_near_dedup"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS shingles FROM d),
+x AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x AS a JOIN x AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+r AS (SELECT doc_id AS id, doc_id AS root FROM s UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) AS component_id FROM r GROUP BY id)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c ON c.id = s.doc_id"""
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text decoded from them."""

@@ -26,8 +26,8 @@ STEM = (4, 7)  # lengths of stems
 CHANCE = 2e-4  # probability of so many toxic documents among a term's, were it no sign
 TIMES = 30.0  # how many times as frequent a term has to be among toxic documents
 AROUND = 8  # words on either side of a hit
-MOST_WORDS = 300_000
-MOST_STATES = 100_000
+MOST_WORDS = 100_000
+MOST_ENTRIES = 200_000  # of all remembered sets together: short words leave sets of many nodes
 STRIP = "".join(map(chr, range(33, 48))) + "".join(map(chr, range(58, 65))) + "[\\]^_`{|}~“”„«»‘’…–—¡¿"
 QUOTES = frozenset('"“”„«»')
 # words of reporting and forms of address, in the four languages of the tables
@@ -71,7 +71,7 @@ class Lexicon:
 
     def _reset(self) -> None:
         start = self._close({(0, ""): 0})
-        self._sets, self._numbers, self._steps, self._stem = [start], {start: 0}, [{}], [None]
+        self._sets, self._numbers, self._steps, self._stem, self._held = [start], {}, [{}], [None], len(start)
 
     def _close(self, found: dict[tuple[int, str], int]) -> tuple[tuple[tuple[int, str], int], ...]:
         queue = list(found.items())
@@ -110,12 +110,14 @@ class Lexicon:
             self._sets.append(key)
             self._steps.append({})
             self._stem.append(stem)
+            self._held += len(key) + 4
         self._steps[state][char] = target
+        self._held += 1
         return target
 
     def match(self, word: str) -> tuple[int, bool] | None:
         """Least number of errors to a term, and whether that says little (errors in a stem or a word of four letters); None if none is near enough."""
-        if len(self._sets) > MOST_STATES:
+        if self._held > MOST_ENTRIES:
             self._reset()
         state, stem = 0, None
         for char in word:

@@ -209,6 +209,8 @@ def test_mixture_matches_brute_force(spark):
     assert got == brute.mixture(rows, 2.0, 3, M.BLOCKS)
     assert {i for i, _ in got} == {r[0] for r in rows}  # nothing is lost
     assert M.mix(df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        M.mix(df.withColumn("weight", F.lit(1)), keep=["weight"])
     ids = spark.createDataFrame([(None, "a", "x"), (1, "a", "x"), (1, "a", "x")], "doc_id long, source string, text string")
     assert M.mix(ids).count() == 3
 
