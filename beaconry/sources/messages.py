@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from beaconry.functions.columns import as_col
 
+CONNECTOR = "kafka"  # the data source that topics are read and written by
+
 
 def open_envelope(c) -> Column:
     """The request text, whether plain or wrapped as ``{"body": "<json>"}``."""
@@ -30,20 +32,31 @@ def event_messages(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
+def _topic(writer, topic: str, servers: str):
+    return writer.format(CONNECTOR).option("kafka.bootstrap.servers", servers).option("topic", topic)
+
+
 def publish_events(df: DataFrame, topic: str, servers: str) -> None:
     """Append JSON messages to a topic (needs the Kafka connector on the class path)."""
-    (event_messages(df).write.format("kafka").option("kafka.bootstrap.servers", servers)
-     .option("topic", topic).save())
+    _topic(event_messages(df).write, topic, servers).mode("append").save()
+
+
+def publish_stream(df: DataFrame, topic: str, servers: str, checkpoint: str, once: bool = True, poll: str = "10 seconds"):
+    """Publish the rows of a stream as JSON messages, each at least once. Returns the query."""
+    writer = _topic(event_messages(df).writeStream, topic, servers).option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=poll)).start()
 
 
 def read_clicks(spark: SparkSession, source: dict[str, str]) -> DataFrame:
     """Stream of JSON click messages in one ``value`` column.
 
-    ``{"servers": ..., "topic": ...}`` reads a topic from its start; ``{"path": ...}``
-    replays text files with one message per line.
+    ``{"servers": ..., "topic": ...}`` reads a topic from its start, at most ``per_trigger`` messages a micro-batch if that is given;
+    ``{"path": ...}`` replays text files with one message per line.
     """
     if "topic" in source:
-        raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", source["servers"])
-               .option("subscribe", source["topic"]).option("startingOffsets", "earliest").load())
-        return raw.select(F.col("value").cast("string").alias("value"))
+        raw = (spark.readStream.format(CONNECTOR).option("kafka.bootstrap.servers", source["servers"])
+               .option("subscribe", source["topic"]).option("startingOffsets", "earliest"))
+        if "per_trigger" in source:
+            raw = raw.option("maxOffsetsPerTrigger", source["per_trigger"])
+        return raw.load().select(F.col("value").cast("string").alias("value"))
     return spark.readStream.option("maxFilesPerTrigger", source.get("files_per_trigger", "1000")).text(source["path"])
