@@ -527,6 +527,6 @@ def met_embedding_coverage(t):
 @query("met_lag", """SELECT CAST(epoch(time_bucket(INTERVAL 1 HOUR, ts)) AS BIGINT) AS window_start, count(*) AS n, round(max(trunc(value * 1000000) / 1000000), 4) AS max_lag,
     round(avg(trunc(value * 1000000) / 1000000) + 1e-7, 4) AS avg_lag FROM events GROUP BY 1""")
 def met_lag(t):
-    out = metrics.lag_stats(arrivals(t), "1 hour")
+    out = metrics.lag_stats(arrivals(t.raw("events")), "1 hour")
     return out.withColumns({"window_start": F.unix_timestamp("window_start"), "max_lag": F.round("max_lag", 4),
                             "avg_lag": F.round(F.col("avg_lag") + 1e-7, 4)})
