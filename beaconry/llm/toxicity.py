@@ -23,6 +23,7 @@ from beaconry.llm.logistic import bounded, fit, logit, matrix
 
 TRAIN_ROWS = 4000  # of each label
 STEM = (4, 7)  # lengths of stems
+SURE = 1e-9  # the same for terms that are met with spelling errors as well: the neighbours of a doubtful term say nothing
 CHANCE = 2e-4  # probability of so many toxic documents among a term's, were it no sign
 TIMES = 30.0  # how many times as frequent a term has to be among toxic documents
 AROUND = 8  # words on either side of a hit
@@ -46,14 +47,15 @@ class Lexicon:
     least errors; a node may wait for the other letter of a swap. Sets are determinised when first met.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], sure: frozenset[str] | None = None):
+        """``sure`` are the terms that may be misspelled, all by default; the others are met as they are."""
         self._children: list[dict[str, int]] = [{}]
         self._words: list[int | None] = [None]  # errors allowed to the word that ends here
         self._stems: list[int | None] = [None]
         self._length, self._budget = [0], [0]
         for term in sorted(terms):
             text, stem = term.rstrip("*"), term.endswith("*")
-            allowed = 0 if len(text) < 4 else 1 if len(text) < 9 or stem else 2
+            allowed = 0 if len(text) < 4 or (sure is not None and term not in sure) else 1 if len(text) < 9 or stem else 2
             node = 0
             self._budget[0] = max(self._budget[0], allowed)
             for at, char in enumerate(text):
@@ -212,15 +214,17 @@ def by_chance(hits: int, trials: int, share: float) -> float:
     return sum(math.comb(trials, k) * share ** k * (1 - share) ** (trials - k) for k in range(hits, trials + 1))
 
 
-def learn_terms(train: DataFrame) -> list[str]:
-    """Terms from a bounded sample (text, toxic): ``TIMES`` as frequent among toxic texts as among clean ones, and in more of them than chance explains."""
+def learn_terms(train: DataFrame) -> tuple[list[str], frozenset[str]]:
+    """Terms from a bounded sample (text, toxic): ``TIMES`` as frequent among toxic texts as among clean ones, and in more of them than chance explains; and those
+    of them that are sure enough to be met with errors."""
     totals = Counter({r["toxic"]: r["c"] for r in train.groupBy("toxic").agg(F.count("*").alias("c")).collect()})
     if not totals[1]:
-        return []
+        return [], frozenset()
     counts = train.mapInArrow(_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     kept = counts.where(F.col("toxic") / totals[1] >= TIMES * (F.col("clean") + 0.5) / (totals[0] + 0.5)).collect()  # terms of a bounded sample
     share = totals[1] / (totals[0] + totals[1])
-    support = {r["term"]: r["toxic"] for r in kept if by_chance(r["toxic"], r["clean"] + r["toxic"], share) < CHANCE}
+    chance = {r["term"]: by_chance(r["toxic"], r["clean"] + r["toxic"], share) for r in kept}
+    support = {r["term"]: r["toxic"] for r in kept if chance[r["term"]] < CHANCE}
     out: list[str] = []
     for term in sorted(support, key=lambda t: (len(t.rstrip("*")), t)):
         text = term.rstrip("*")
@@ -230,7 +234,7 @@ def learn_terms(train: DataFrame) -> list[str]:
         if term.endswith("*") and max(longer, default=0) >= 0.97 * support[term]:
             continue  # the longer term says as much
         out.append(term)
-    return out
+    return out, frozenset(t for t in out if chance[t] < SURE)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -248,10 +252,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     # copies of one text count once; the label's weight goes with the label
     train = (texts.join(F.broadcast(marks), "doc_id").groupBy(F.sha2("text", 256)).agg(F.max("text").alias("text"), F.max(F.struct("toxic", "weight")).alias("label"))
              .select("text", "label.toxic", "label.weight"))
-    terms = learn_terms(train)
+    terms, sure = learn_terms(train)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(Lexicon(terms))
+        words = Words(Lexicon(terms, sure))
         for batch in batches:
             rows = [features(t or "", words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic"), batch.column("weight")], names=["x", "toxic", "weight"])
@@ -260,7 +264,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     model = fit(matrix([r["x"] for r in sample]), np.array([r["toxic"] for r in sample], dtype=float), counts=np.array([r["weight"] for r in sample]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(Lexicon(terms))
+        words = Words(Lexicon(terms, sure))
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             x = np.array([features(t, words) for t in texts]).reshape(len(texts), FEATURES)
