@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
+from beaconry.operators import dense
 from beaconry.operators import neighbours as N
 from beaconry.operators import serving
 from beaconry.operators import vector_index as VI
@@ -306,3 +307,47 @@ def test_windows_and_exclusions_drop_rows_in_their_own_joins(spark):
     named = c.withColumns({"name": F.col("campaign_id"), "priority": F.lit(1)})
     served = K.serve_requests(reqs.withColumns({"num_recommendations": F.lit(10), "exclude_campaign_ids": F.array().cast("array<string>")}), users, named, vecs)
     assert {(r["request_id"], r["campaign_id"]) for r in served.collect()} == {(i, x) for i, xs in want.items() for x in xs}
+
+
+@pytest.mark.parametrize("by_matrix", [True, False])
+@pytest.mark.parametrize("columns", [2048, 7])
+def test_neighbours_by_matrix_and_by_lists(spark, monkeypatch, by_matrix, columns):
+    """Both ways to count the pairs give the same neighbours; many ties, twins and lists of a single item included."""
+    monkeypatch.setattr(dense, "COLUMNS", columns)
+    monkeypatch.setattr(dense, "CELLS", 64 * columns)
+    monkeypatch.setattr(dense, "LISTS_PER_CHUNK", 2048 if columns > 7 else 40)
+    rows = skewed(3) + [(1000 + u, 500 + u % 3) for u in range(8)] + [(2000, 900)]
+    got = {u: [] for u, _ in rows}
+    for r in N.neighbours(pairs(spark, rows), 5, by_matrix=by_matrix).orderBy("user_id", "rank").collect():
+        got[r["user_id"]].append(r["neighbour"])
+    assert got == brute_neighbours(rows, 5)
+    text = pairs(spark, rows).selectExpr("concat('u', user_id) AS user_id", "concat('i', item_id) AS item_id")
+    assert N.neighbours(text, 5, by_matrix=by_matrix).count() == sum(map(len, got.values()))
+
+
+@pytest.mark.parametrize("by_matrix", [True, False])
+def test_overlap_by_matrix_and_by_lists(spark, monkeypatch, by_matrix):
+    monkeypatch.setattr(dense, "COLUMNS", 7)
+    monkeypatch.setattr(dense, "LISTS_PER_CHUNK", 25)
+    rows = skewed(4, users=60) + [(1000 + u, 500 + u % 3) for u in range(5)] + [(2000, 900)]
+    items = {}
+    for u, i in rows:
+        items.setdefault(u, set()).add(i)
+    got = {r["user_id"]: r for r in N.overlap_summary(pairs(spark, rows), by_matrix=by_matrix).collect()}
+    assert set(got) == set(items)
+    for u, r in got.items():
+        shared = [(len(items[u] & b), len(b)) for v, b in items.items() if v != u and items[u] & b]
+        sims = [c / np.sqrt(len(items[u]) * n) for c, n in shared]
+        assert (r["overlapping_users"], r["shared_items"]) == (len(sims), sum(c for c, _ in shared))
+        assert r["similarity_sum"] == pytest.approx(sum(sims), abs=1e-9)
+        assert r["lowest_similarity"] == (pytest.approx(min(sims)) if sims else None)
+        assert r["highest_similarity"] == (pytest.approx(max(sims)) if sims else None)
+
+
+def test_narrow_catalogues_are_counted_by_matrix(spark):
+    """Users that share a few dozen items meet many times over under inverted lists; over a wide catalogue hardly ever."""
+    rng = np.random.default_rng(5)
+    narrow = [(u, int(i)) for u in range(300) for i in rng.choice(40, 12, replace=False)]
+    wide = [(u, int(i)) for u in range(300) for i in rng.choice(3000, 12, replace=False)]
+    assert dense.width_if_cheaper(N.profiles(pairs(spark, narrow))[1]) == 40
+    assert dense.width_if_cheaper(N.profiles(pairs(spark, wide))[1]) is None
