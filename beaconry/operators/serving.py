@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beaconry.session import cut
+
 DEFAULT_N, MAX_N = 10, 20
 
 
@@ -77,16 +79,39 @@ def best_allowed(requests: DataFrame, ranked: DataFrame, k: int) -> DataFrame:
     return _best(exclude_campaigns(rows, requests), k).select("request_id", "campaign_id")
 
 
+WINDOW_PAIRS = 1_000_000  # allowed (window, campaign) pairs up to which their lists are sent to every task
+
+
 def best_in_window(requests: DataFrame, ranked: DataFrame, campaigns: DataFrame, k: int) -> DataFrame:
     """(request_id, campaign_id): the ``k`` best of a request's user among the campaigns that run in its window.
 
-    Requests share few windows, so the interval join is made once a window and not once a request. ``ranked`` holds all campaigns of a user.
+    Requests share few windows, so the interval join is made once a window and not once a request. ``ranked`` holds all campaigns of a user;
+    they travel as one ordered list a user that meets the window's list inside the join, and only the ``k`` best leave it.
     """
+    from pyspark.sql import Window as W
+
     window = F.sha2(F.to_json(F.struct("window_start", "window_end"), {"ignoreNullFields": "false"}), 256).alias("window_id")
     asked = requests.select("request_id", "user_id", "window_start", "window_end", window)
-    allowed = window_overlaps(asked.dropDuplicates(["window_id"]), campaigns)
-    rows = asked.select("request_id", "user_id", "window_id").join(ranked.select("user_id", "campaign_id", "similarity_score"), "user_id")
-    return _best(rows.join(allowed, ["window_id", "campaign_id"], "left_semi"), k).select("request_id", "campaign_id")
+    pairs = cut(window_overlaps(asked.dropDuplicates(["window_id"]), campaigns).distinct())
+    allowed = pairs.groupBy("window_id").agg(F.collect_list("campaign_id").alias("_allowed"))
+    allowed = F.broadcast(allowed) if pairs.count() <= WINDOW_PAIRS else allowed
+    far = F.when(F.isnan("similarity_score"), F.lit(float("-inf"))).otherwise(-F.col("similarity_score"))
+    lists = ranked.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(far.alias("far"), "campaign_id"))).alias("_list"))
+    lists = lists.withColumn("_ids", F.array_distinct(F.transform("_list", lambda e: e["campaign_id"])))
+    # a request that comes several times has its rows ranked together
+    asked = asked.select("request_id", "user_id", "window_id", F.count("*").over(W.partitionBy("request_id")).alias("_same"))
+    # in the order of the user's list; a user that has campaigns more than once keeps their rows
+    best = F.slice(F.array_intersect("_ids", "_allowed"), 1, k)
+    entries = F.slice(F.filter("_list", lambda e: F.array_contains(best, e["campaign_id"])), 1, k)
+
+    def met(some: DataFrame) -> DataFrame:
+        return some.join(lists, "user_id").join(allowed, "window_id")
+
+    plain = F.when(F.size("_ids") == F.size("_list"), best).otherwise(F.transform(entries, lambda e: e["campaign_id"]))
+    once = met(asked.where("_same = 1")).select("request_id", F.explode(plain).alias("campaign_id"))
+    again = met(asked.where("_same > 1")).select("request_id", F.explode(entries).alias("_e")).select(
+        "request_id", "_e.campaign_id", (-F.col("_e.far")).alias("similarity_score"))
+    return once.unionByName(_best(again, k).select("request_id", "campaign_id"))
 
 
 def request_status(requests: DataFrame, user_vectors: DataFrame, campaigns_ready: bool = True) -> DataFrame:

@@ -351,3 +351,27 @@ def test_narrow_catalogues_are_counted_by_matrix(spark):
     wide = [(u, int(i)) for u in range(300) for i in rng.choice(3000, 12, replace=False)]
     assert dense.width_if_cheaper(N.profiles(pairs(spark, narrow))[1]) == 40
     assert dense.width_if_cheaper(N.profiles(pairs(spark, wide))[1]) is None
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_window_ranking_takes_one_list_a_user(spark, monkeypatch, sent):
+    """Repeated requests and repeated campaigns of a user keep their rows; no row a campaign and request is made."""
+    import datetime as dt
+
+    monkeypatch.setattr(serving, "WINDOW_PAIRS", sent)
+    day = lambda d: dt.date(2024, 1, d)
+    c = spark.createDataFrame([(x, day(i), day(i + 2)) for i, x in enumerate("ABCDEF", 1)], "campaign_id string, start_date date, end_date date")
+    scores = {1: "FEDCBA", 2: "ABCDEF", 3: "CCDDAABB", 5: "A"}
+    rows = [(u, x, 1.0 - i / 10) for u, xs in scores.items() for i, x in enumerate(xs)]
+    ranked = spark.createDataFrame(rows, "user_id long, campaign_id string, similarity_score double")
+    asks = [(1, 1, None, None), (2, 1, day(3), day(3)), (3, 2, day(3), day(3)), (4, 3, day(3), day(3)), (5, 2, day(3), None), (5, 2, day(3), None),
+            (6, 9, None, None), (7, 5, day(8), None), (8, None, None, None), (9, 1, day(1), day(1)), (9, 2, day(6), day(7))]
+    reqs = spark.createDataFrame(asks, "request_id long, user_id long, window_start date, window_end date")
+    want = {}
+    for r, u, lo, hi in asks:
+        runs = [x for i, x in enumerate("ABCDEF", 1) if (hi is None or day(i) <= hi) and (lo is None or lo <= day(i + 2))]
+        want.setdefault(r, []).extend((-s, x) for v, x, s in rows if v == u and x in runs)
+    expected = sorted((r, x) for r, found in want.items() for _, x in sorted(found)[:3])
+    out = serving.best_in_window(reqs, ranked, c, 3)
+    assert sorted(map(tuple, out.collect())) == expected
+    assert "array_intersect" in out._jdf.queryExecution().optimizedPlan().toString()
