@@ -88,12 +88,13 @@ RANKED_COLS = ["user_id", "campaign_id", "similarity_score", "rank"]
     JOIN product_vectors_v s ON s.product_id = l_suppkey""")
 def rec_cosine(t):
     """Product vector of each line against the vector kept under its supplier's number."""
-    p = t.product_vectors.select(F.col("product_id").alias("l_partkey"), F.col("embedding").alias("a"))
-    s = t.product_vectors.select(F.col("product_id").alias("l_suppkey"), F.col("embedding").alias("b"))
+    # The length of a vector is taken once a product, not once a pair.
+    p = t.product_vectors.select(F.col("product_id").alias("l_partkey"), F.col("embedding").alias("a"), V.magnitude("embedding").alias("norm_a"))
+    s = t.product_vectors.select(F.col("product_id").alias("l_suppkey"), F.col("embedding").alias("b"), V.magnitude("embedding").alias("norm_b"))
     lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     # The score depends on the two ids only: one per pair, then back to the lines.
     pairs = lines.select("l_partkey", "l_suppkey").distinct().join(p, "l_partkey").join(s, "l_suppkey")
-    scored = pairs.select("l_partkey", "l_suppkey", F.round(V.cosine("a", "b"), 4).alias("similarity"))
+    scored = pairs.select("l_partkey", "l_suppkey", F.round(V.cosine("a", "b", F.col("norm_a") * F.col("norm_b")), 4).alias("similarity"))
     return lines.join(scored, ["l_partkey", "l_suppkey"]).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "similarity")
 

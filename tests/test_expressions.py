@@ -108,3 +108,18 @@ def test_event_id_repeats(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "x string, y int")
     ids = [r["id"] for r in clean.event_id(df).collect()]
     assert ids[0] == ids[1] != ids[2]
+
+
+def test_cosine_with_given_norms(spark):
+    df = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([1.0, 2.0, 2.0], [2.0]), ([0.0], [1.0])], "a array<double>, b array<double>")
+    norms = V.magnitude("a") * V.magnitude("b")
+    for x, y in df.select(V.cosine("a", "b"), V.cosine("a", "b", norms)).collect():
+        assert x == y
+
+
+def test_embedding_is_spread_over_tasks(spark):
+    """A catalogue that is read as one task is embedded by many."""
+    from beaconry.operators import embed
+
+    one_task = spark.range(1000).selectExpr("concat('w', id) AS name").coalesce(1)
+    assert embed.embed_text(one_task, ["name"], 8).rdd.getNumPartitions() > 1
