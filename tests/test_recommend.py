@@ -381,6 +381,6 @@ def test_window_ranking_takes_one_list_a_user(spark, monkeypatch, sent):
 def test_neighbour_at_the_bar_is_kept(spark, by_matrix):
     """100 / 22 * 22 is above 100 in doubles: the neighbour that sets the bar must still reach it."""
     rows = [(1, i) for i in range(10)] + [(2, i) for i in range(22)] + [(1, 90), (3, 90), (3, 91), (3, 92)]
-    rows += [(u, 100 + u) for u in range(4, 9)]
+    rows += [(u, i) for u in (4, 5) for i in range(10, 22)]  # so that the shared items are the rarest of both
     got = N.neighbours(pairs(spark, rows), 1, by_matrix=by_matrix).where("user_id = 1").collect()
     assert [(r["neighbour"], r["shared"]) for r in got] == [(2, 10)]
