@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beaconry.functions import vectors as V
@@ -124,16 +125,45 @@ def topped_up(found: DataFrame, users: DataFrame, campaigns: DataFrame, k: int,
     found = cut(found)
     whole = K.with_vector(campaigns, ["campaign_id"]).count()
     got = found.groupBy("user_id").agg(F.count("*").alias("_got")).withColumnRenamed("user_id", "_of")
-    short = K.with_vector(users, ["user_id"]).join(got, F.col("user_id") == F.col("_of"), "left").where(
-        F.coalesce("_got", F.lit(0)) < min(k, whole)).select("user_id", "embedding")
-    short = cut(short)
-    if short.isEmpty():
+    # ids decide who is short; vectors are read for those only
+    short = cut(K.with_vector(users, ["user_id"]).select("user_id").join(got, F.col("user_id") == F.col("_of"), "left").where(
+        F.coalesce("_got", F.lit(0)) < min(k, whole)).select(F.col("user_id").alias("_of")).distinct())
+    n_short = short.count()
+    if not n_short:
         return found
-    exact = K.campaign_topk(short, campaigns, k).withColumn(found.columns[-1], extra)
-    kept = found.join(short.select(F.col("user_id").alias("_of")), F.col("user_id") == F.col("_of"), "left_anti")
+    who = F.broadcast(short) if n_short <= K.LOCAL_ROWS else short
+    exact = K.campaign_topk(users.join(who, F.col("user_id").eqNullSafe(F.col("_of")), "left_semi"), campaigns, k).withColumn(found.columns[-1], extra)
+    kept = found.join(who, F.col("user_id") == F.col("_of"), "left_anti")
     return kept.unionByName(exact.select(*found.columns))
 
 
+def _opened(centroids: np.ndarray, probes: int, members: pa.Table, k: int):
+    """The best members of the cells that a user opens, found where the user's row lies; ``candidates`` goes with the row's best."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ordered = members.sort_by("campaign_id")
+        cell = ordered.column("cell").to_numpy()
+        cells = [(c, np.flatnonzero(cell == c)) for c in np.unique(cell)]
+        whole = K._Block(ordered)
+        blocks = [K._Block(ordered.take(pa.array(own))) for _, own in cells]
+        for b in batches:
+            x, _ = tiles.vectors_of(b.column("embedding"), centroids.shape[1])
+            near = np.argsort(-(x @ centroids.T), axis=1, kind="stable")[:, :probes]
+            for s, e in tiles.row_batches(b.num_rows, ordered.num_rows):
+                score = np.full((e - s, ordered.num_rows), -np.inf)
+                candidates = np.zeros(e - s, dtype=np.int64)
+                for (c, own), block in zip(cells, blocks, strict=True):
+                    asks = np.flatnonzero((near[s:e] == c).any(axis=1))
+                    candidates[asks] += len(own)
+                    for i, j, part in block.scores(b.column("embedding").take(pa.array(asks + s))):
+                        part[np.isnan(part).any(axis=1)] = -np.inf  # as in a tile, where such a row has no best either
+                        score[asks[i:j, None], own] = part
+                rows, cols, place = tiles.best_columns(score.copy(), k)
+                t = whole.picked(b.column("user_id"), rows + s, cols, score[rows, cols], place, "user_id").drop_columns(["rank"])
+                yield from t.append_column("candidates", pa.array(np.where(place == 1, candidates[rows], 0))).to_batches()
+
+    return run
+
+
 def search(users: DataFrame, campaigns: DataFrame, path: str, dim: int, k: int = 10, probes: int | None = None) -> DataFrame:
     """Approximate ``campaign_topk`` from the index at ``path``: user_id, campaign_id, similarity_score, rank, candidates.
 
@@ -145,9 +175,16 @@ def search(users: DataFrame, campaigns: DataFrame, path: str, dim: int, k: int =
     schema = f"user_id {user_type}, campaign_id string, similarity_score double, scored bigint"
     if not len(centroids):
         return K.campaign_topk(users, campaigns, k).withColumn("candidates", F.lit(count).cast("bigint"))
-    u = usable(users, "user_id", dim)
-    asked = cut(_celled(u, centroids, min(probes or stored_probes, len(centroids)), "user_id").drop("place"))
+    u = usable(users, "user_id", dim).where(F.col("user_id").isNotNull())
+    probes = min(probes or stored_probes, len(centroids))
     members = users.sparkSession.read.parquet(f"{path}/members").select("campaign_id", "embedding", "cell")
+    some = K._Side(members).local
+    if some is not None:  # within the bounds of a campaign side no vector moves
+        found = u.mapInArrow(_opened(centroids, probes, some, k), f"user_id {user_type}, campaign_id string, similarity_score double, candidates bigint")
+        of_user = F.sum("candidates").over(W.partitionBy("user_id"))
+        ranked = K._final_rank(found.withColumn("candidates", of_user), k).select("user_id", "campaign_id", "similarity_score", "rank", "candidates")
+        return topped_up(ranked, users, campaigns, k, F.lit(count).cast("bigint"))
+    asked = cut(_celled(u, centroids, probes, "user_id").drop("place"))
     empty = users.sparkSession.createDataFrame([], schema).toArrow()
     best = K._best("user_id", k)
 

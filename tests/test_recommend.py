@@ -279,6 +279,26 @@ def test_index_search_is_whole_and_near(spark, tmp_path):
     assert VI.search(u, c.limit(0), empty, 16).count() == 0
 
 
+def test_index_search_moves_no_vectors_to_few_campaigns(spark, tmp_path, monkeypatch):
+    """Beside few campaigns a user is answered where its row lies; the rows are those of the tiles, for repeated users too."""
+    rng = np.random.default_rng(11)
+    u = spark.createDataFrame([(i % 280, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 12)))] + [(None, [1.0] * 12), (900, [0.0] * 12)],
+                              "user_id long, embedding array<double>")
+    c = spark.createDataFrame([(f"C{i}", [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(90, 4)))], "campaign_id string, embedding array<double>")
+    path = str(tmp_path / "index")
+    VI.build_index(c, u, path, 4)
+
+    def tiled(*_):
+        raise AssertionError("tiles")
+
+    with monkeypatch.context() as m:
+        m.setattr(VI.tiles, "cell_tiles", tiled)
+        few = VI.search(u, c, path, 4, k=5, probes=2).collect()
+    monkeypatch.setattr(K, "LOCAL_ROWS", 0)
+    many = VI.search(u, c, path, 4, k=5, probes=2).collect()
+    assert sorted(map(repr, few)) == sorted(map(repr, many)) and {r.user_id for r in few} == {*range(280), None, 900}
+
+
 def test_windows_and_exclusions_drop_rows_in_their_own_joins(spark):
     import datetime as dt
 
