@@ -38,6 +38,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """As ``stored``, filed under ``buckets`` hashes of ``key``: joins and co-groups by it read the files as they lie, without a shuffle."""
+    path = scratch_path(df.sparkSession, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
 
 

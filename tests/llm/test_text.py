@@ -125,6 +125,26 @@ def test_scores_match_brute_force(spark):
     assert L.cross_entropy_difference(df.limit(0), df.limit(0).select("text")).count() == 0
 
 
+def test_chunks_of_texts_are_not_shuffled(spark, monkeypatch):
+    """Ids of the target and answers meet the chunks where these are filed: no exchange carries their data."""
+    monkeypatch.setattr(L, "CHUNK", 200)
+    monkeypatch.setattr(L, "FILED", 500)
+    docs = spark.createDataFrame([(i, f"word{i % 7} other{i % 5} again{i % 3}") for i in range(60)], "doc_id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in range(0, 60, 4)], "doc_id long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = L.cross_entropy_difference(docs, target_ids=wanted)
+        plan = got._jdf.queryExecution().executedPlan()
+        rows = {r["doc_id"]: r for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    text = plan.toString().split("Initial Plan")[-1].splitlines()
+    assert sum("Exchange" in line for line in text) == 2 and any("Bucketed: true" in line for line in text)  # the wanted ids and the answers
+    plain = {r["doc_id"]: r for r in L.cross_entropy_difference(docs, target=docs.join(wanted, "doc_id").select("text")).collect()}
+    assert rows == plain and len(rows) == 60
+
+
 def test_scores_count_every_word(spark, monkeypatch):
     monkeypatch.setattr(L, "CHUNK", 1 << 15)  # several chunks a task
     docs = [tuple(r) for r in spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text").collect()]
