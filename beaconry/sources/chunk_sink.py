@@ -38,6 +38,9 @@ class ChunkWriter(DataSourceArrowWriter):
     def __init__(self, target: str, schema: StructType, chunk: int, overwrite: bool):
         self.target, self.schema, self.chunk, self.overwrite = target, schema, chunk, overwrite
         self.job = f"_staging-{uuid.uuid4().hex}"
+        # made before any task: one that is still at work when the job is given up finds it gone and cannot bring it back
+        store, root = open_store(target)
+        store.create_dir(f"{root}/{self.job}", recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         import pyarrow.parquet as pq
@@ -46,7 +49,6 @@ class ChunkWriter(DataSourceArrowWriter):
 
         store, root = open_store(self.target)
         fields = to_arrow_schema(self.schema)
-        store.create_dir(f"{root}/{self.job}", recursive=True)
         task, out, held = TaskContext.get(), Written(), []
 
         def flush(rows: int) -> None:
