@@ -103,6 +103,11 @@ class RollingHash:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self._sums[end] - self._sums[start]) * self._down[start] + (end - start).astype(np.uint64))
 
+    def every(self, width: int) -> np.ndarray:
+        """The hash of the slice of ``width`` bytes from every place that has one."""
+        n = max(len(self._sums) - width, 0)
+        return mixed((self._sums[width:] - self._sums[:n]) * self._down[:n] + np.uint64(width))
+
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of a byte array."""

@@ -10,8 +10,8 @@ the bytes it covers. The work is cut so that equal strings always meet in one bo
 2. Hashes met once are dropped, unless the unit may repeat itself (its smallest k-mer lies in it twice): a first pass counts
    hashes alone, with partial sums a block. Units with equal content are merged by a grouped minimum: all but the first are marked whole.
 3. Hashes with several contents, or one that may repeat itself, go, in groups of bounded size, to a suffix array each: two-stage sorting (only
-   suffixes smaller than their successor are compared, the others are induced by scanning the buckets), then common
-   prefixes of adjacent suffixes show the equal strings. A hash with more contents than fit one array has its strings
+   suffixes smaller than their successor are compared, the others are induced by scanning the buckets) of the suffixes that
+   start a string inside their unit, then common prefixes of adjacent suffixes show the equal strings. A hash with more contents than fit one array has its strings
    aggregated by their own 128-bit hash, with partial sums, so that no key is held by one task.
 """
 
@@ -53,8 +53,7 @@ def _block_units(texts: list[bytes], window: int, kmer: int) -> tuple[np.ndarray
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     bounds = np.cumsum([0, *map(len, texts)])
     rolled = RollingHash(data)
-    at = np.arange(len(data) - kmer + 1, dtype=np.int32)
-    key = rolled.of(at, at + np.int32(kmer))
+    key = rolled.every(kmer)
     least = _sliding(key, span, np.minimum)  # one per window
     owner = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(bounds))[:len(least)]
     valid = np.ones(len(least), dtype=bool)
@@ -148,11 +147,13 @@ def direct_sort(text: np.ndarray, some: np.ndarray, depth: int) -> np.ndarray:
     return some[np.argsort(rank[where], kind="stable")]
 
 
-def two_stage_sort(data: bytes, depth: int) -> np.ndarray:
+def two_stage_sort(data: bytes, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
     """Suffix array of ``data``, right for the first ``depth`` bytes of every suffix.
 
     Suffixes smaller than their successors are sorted by comparison. One scan over the 256 buckets in ascending order
     places all the others: a suffix larger than its successor comes after it, at the front of the bucket of its first byte.
+    With ``wanted``, a flag for each byte, only the suffixes that start at a flagged one are in the array; sorted are these and the
+    successors by which they are placed.
     """
     text = np.frombuffer(data, dtype=np.uint8)
     n = len(text)
@@ -164,11 +165,20 @@ def two_stage_sort(data: bytes, depth: int) -> np.ndarray:
     run = np.searchsorted(change, np.arange(n))
     inner = run < len(change)
     rises[inner] = text[change[run[inner]] + 1] > text[change[run[inner]]]
-    small = np.flatnonzero(rises)
-    direct = direct_sort(text, small, depth)
+    placed = ~rises  # those to be placed by their successors
+    small = rises
+    if wanted is not None:
+        # a suffix is needed if it is wanted, or if only larger ones lie between it and a wanted one before it
+        at = np.arange(n)
+        wall = np.full(n, -1)
+        wall[1:] = np.maximum.accumulate(np.where(rises, at, -1))[:-1]
+        needed = np.maximum.accumulate(np.where(wanted, at, -1)) > wall
+        placed, small = placed & needed, rises & needed
+    direct = direct_sort(text, np.flatnonzero(small), depth)
     limits = np.searchsorted(text[direct], np.arange(257))
     fronts: list[list[np.ndarray]] = [[] for _ in range(256)]
-    fronts[text[n - 1]].append(np.array([n - 1]))
+    if placed[n - 1]:
+        fronts[text[n - 1]].append(np.array([n - 1]))
     out = []
     for byte in range(256):
         own = fronts[byte]
@@ -176,14 +186,14 @@ def two_stage_sort(data: bytes, depth: int) -> np.ndarray:
         parts = [queue]
         while len(queue):  # runs of this byte lead further into its own bucket
             before = queue[queue > 0] - 1
-            queue = before[(text[before] == byte) & ~rises[before]]
+            queue = before[(text[before] == byte) & placed[before]]
             parts.append(queue)
         parts.append(direct[limits[byte]:limits[byte + 1]])
         bucket = np.concatenate(parts)
         if len(bucket):
             out.append(bucket)
             before = bucket[bucket > 0] - 1
-            before = before[text[before] > byte]
+            before = before[(text[before] > byte) & placed[before]]
             if len(before):
                 first = text[before]
                 order = np.argsort(first, kind="stable")
@@ -191,7 +201,8 @@ def two_stage_sort(data: bytes, depth: int) -> np.ndarray:
                 cuts = np.flatnonzero(first[1:] != first[:-1]) + 1
                 for group in np.split(before, cuts):
                     fronts[text[group[0]]].append(group)
-    return np.concatenate(out)
+    order = np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+    return order if wanted is None else order[wanted[order]]
 
 
 def common_prefixes(data: bytes, order: np.ndarray, most: int) -> np.ndarray:
@@ -240,14 +251,11 @@ def _later(window: int):
         data = b"\0".join(segments)
         sizes = np.array([len(s) for s in segments])
         begin = np.cumsum(sizes + 1) - sizes - 1
-        order = two_stage_sort(data, window + 4)
-        fresh = common_prefixes(data, order, window) < window
-        group = np.cumsum(fresh)
-        unit = np.searchsorted(begin, order, side="right") - 1
-        offset = order - begin[unit]
-        usable = np.flatnonzero(offset + window <= sizes[unit])  # strings inside one unit
-        group, unit, offset = group[usable], unit[usable], offset[usable]
-        start = ats[unit] + offset
+        of = np.repeat(np.arange(len(sizes)), sizes + 1)[:len(data)]
+        order = two_stage_sort(data, window + 4, np.arange(len(data)) - begin[of] + window <= sizes[of])  # strings inside one unit
+        group = np.cumsum(common_prefixes(data, order, window) < window)
+        unit = of[order]
+        start = ats[unit] + order - begin[unit]
         # only strings that are met more than once
         size = np.bincount(group) if len(group) else np.zeros(0, dtype=np.int64)
         several = size[group] > 1

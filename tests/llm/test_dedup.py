@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from beaconry.llm import near_dup as N
@@ -30,6 +31,24 @@ def test_two_stage_sort_and_common_prefixes():
     assert len(S.two_stage_sort(b"", 5)) == 0
 
 
+def test_only_suffixes_that_start_a_string_are_sorted(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(150):
+        n, k = rng.randint(1, 300), rng.choice([1, 2, 3, 256])
+        data = bytes(rng.randrange(k) for _ in range(n))
+        wanted = np.array([rng.random() < rng.choice([0.0, 0.1, 0.9, 1.0]) for _ in range(n)])
+        order = S.two_stage_sort(data, n + 1, wanted)
+        assert order.tolist() == sorted(np.flatnonzero(wanted).tolist(), key=lambda i: data[i:])
+    # units of 120 bytes hold 21 strings of 100 bytes each
+    base = bytes(rng.randrange(256) for _ in range(110))
+    segments = [base + bytes([i, *(rng.randrange(256) for _ in range(9))]) for i in range(40)]
+    table = pa.table({"h": pa.array([1] * 40), "doc_id": pa.array(range(40)), "version": pa.array([0] * 40), "at": pa.array([7] * 40), "seg": pa.array(segments, pa.binary())})
+    compared, real = [], S.direct_sort
+    monkeypatch.setattr(S, "direct_sort", lambda text, some, depth: (compared.append(len(some)), real(text, some, depth))[1])
+    got = {(r["doc_id"], r["lo"], r["hi"]) for r in S._later(100)(table).to_pylist()}
+    assert got == {(i, 7, 17) for i in range(1, 40)} and sum(compared) <= 21 * 40
+
+
 def passages(seed=5):
     rng = random.Random(seed)
     base = "".join(rng.choice("abcdé ") for _ in range(900))
@@ -194,5 +213,6 @@ def test_hashes_depend_on_content_only():
     h = RollingHash(data, lower=True)
     one = h.of(np.array([0, 10, 15]), np.array([4, 14, 19]))
     assert one[0] == one[1] == one[2] != h.of(np.array([5]), np.array([9]))[0]
+    assert (h.every(4) == h.of(np.arange(16), np.arange(4, 20))).all() and len(h.every(19)) == 1 and len(h.every(20)) == 0
     a, b, c, d = shingle_sets([b"a b c d", b"A  B\tc\nd", b"", b"a b"], 3)
     assert len(a) == 2 and (a == b).all() and len(c) == 0 and len(d) == 1
