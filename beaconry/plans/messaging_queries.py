@@ -66,15 +66,20 @@ def emb_delta(t):
 @query("emb_delta_users", USER_VECTOR.format(j="LEFT"))
 def emb_delta_users(t):
     """User vectors after new purchases and changed product vectors equal a full recomputation, from the stored state of the last purchases."""
-    old = t.purchases.filter("purchase_date < DATE '2001-01-01'")
-    new = t.purchases.filter("purchase_date >= DATE '2001-01-01'")
+    # Both sides of the cut are read from one pass over the purchases, with the columns that vectors depend on.
+    path = scratch_path(t.spark, "bought")
+    t.purchases.select(*embed.VECTOR_COLS).write.parquet(path)
+    bought = t.spark.read.parquet(path)
+    old = bought.filter("purchase_date < DATE '2001-01-01'")
+    new = bought.filter("purchase_date >= DATE '2001-01-01'")
     changed = t.products.filter("article_type = 'Brand#1'").select("product_id")
     zeroed = t.product_vectors.join(changed.withColumn("_c", F.lit(True)), "product_id", "left").select(
         "product_id", F.when(F.col("_c"), F.transform("embedding", lambda x: (x * 0).cast("float"))).otherwise(F.col("embedding")).alias("embedding"))
-    stored = embed.user_embeddings(t.users, old, zeroed, LAST_K, DIM)
     path = scratch_path(t.spark, "recent")
     embed.recent_state(old, LAST_K).write.parquet(path)
-    out, _ = embed.refresh_from_state(stored, t.spark.read.parquet(path), t.users, new, t.product_vectors, changed, LAST_K, DIM)
+    state = t.spark.read.parquet(path)
+    stored = embed.user_embeddings(t.users, state, zeroed, LAST_K, DIM)
+    out, _ = embed.refresh_from_state(stored, state, t.users, new, t.product_vectors, changed, LAST_K, DIM)
     return vector_facts(out, "user_id")
 
 

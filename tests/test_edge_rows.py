@@ -228,3 +228,34 @@ def test_user_vectors_from_the_state_of_last_purchases(spark, tmp_path):
     assert sorted(map(str, after.select(cols).collect())) == sorted(map(str, E.recent_state(df, 3).select(cols).collect()))
     plan = after._jdf.queryExecution().executedPlan().toString()
     assert "/state" in plan and "/history" not in plan
+
+
+def test_user_vectors_read_only_what_they_depend_on(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    kind = "purchase_id string, user_id long, product_id long, purchase_date date, total_amount double, quantity int, l_suppkey int, l_shipdate timestamp"
+    rows = [(f"p{rng.integers(0, 90)}", int(rng.integers(0, 6)), None if i % 9 == 0 else int(rng.integers(0, 5)), None if i % 13 == 0 else
+             dt.date(2024, 1, 1) + dt.timedelta(days=int(rng.integers(0, 4))), float(rng.integers(0, 3)), 1, int(rng.integers(0, 3)), None) for i in range(120)]
+    spark.createDataFrame(rows + rows[:20], kind).write.parquet(str(tmp_path / "bought"))
+    bought = spark.read.parquet(str(tmp_path / "bought"))
+    users = spark.createDataFrame([(u,) for u in range(8)], "user_id long")
+    vectors = spark.createDataFrame([(p, [float(p + 1), 1.0]) for p in range(4)], "product_id long, embedding array<float>")
+    out = E.user_embeddings(users, bought, vectors, 3, 2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<user_id:bigint,product_id:bigint,purchase_date:date>" in plan and "total_amount" not in plan
+    # the state may hold these columns alone
+    old, new = (bought.where(f"purchase_date < '2024-01-03' IS {x} TRUE") for x in ("", "NOT"))
+    zero = vectors.limit(0).select("product_id")
+    got, after = E.refresh_from_state(E.user_embeddings(users, E.recent_state(old.select(*E.VECTOR_COLS), 3), vectors, 3, 2),
+                                      E.recent_state(old.select(*E.VECTOR_COLS), 3), users, new, vectors, zero, 3, 2)
+    assert after.columns == E.VECTOR_COLS and sorted(map(str, got.collect())) == sorted(map(str, out.collect()))
+    want: dict[int, list] = {u: [] for u in range(8)}
+    for r in sorted(rows + rows[:20], key=lambda r: (r[1], -(r[3] or dt.date.min).toordinal(), r[2] is not None, r[2] or 0)):
+        want[r[1]] += [r[2] + 1.0, 1.0] if r[2] is not None and r[2] < 4 else [0.0, 0.0]
+    assert {r["user_id"]: r["embedding"] for r in out.collect()} == {u: (v + [0.0] * 6)[:6] for u, v in want.items()}
+
+
+def test_the_delta_query_joins_purchases_once(spark):
+    from beaconry.plans import catalog
+
+    files = catalog.QUERIES["emb_delta_users"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not [f for f in files if "lineitem" in f or "orders" in f]
