@@ -7,6 +7,7 @@ attempts never count. A job that fails is aborted: its staging folder goes and t
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -89,8 +90,15 @@ class ChunkWriter(DataSourceArrowWriter):
     def _clear(self, store, root: str) -> None:
         from pyarrow import fs
 
-        if store.get_file_info(f"{root}/{self.job}").type == fs.FileType.Directory:
-            store.delete_dir(f"{root}/{self.job}")
+        for last in (False,) * 20 + (True,):
+            try:
+                if store.get_file_info(f"{root}/{self.job}").type == fs.FileType.Directory:
+                    store.delete_dir(f"{root}/{self.job}")
+                return
+            except OSError:  # a task that is still at work has added a file meanwhile
+                if last:
+                    raise
+                time.sleep(0.1)
 
 
 class ChunkSource(DataSource):

@@ -38,7 +38,9 @@ def _topic(writer, topic: str, servers: str):
 
 def publish_events(df: DataFrame, topic: str, servers: str) -> None:
     """Append JSON messages to a topic (needs the Kafka connector on the class path)."""
-    _topic(event_messages(df).write, topic, servers).mode("append").save()
+    writer = _topic(event_messages(df).write, topic, servers)
+    # Kafka appends by default; other connectors want the mode named.
+    (writer if CONNECTOR == "kafka" else writer.mode("append")).save()
 
 
 def publish_stream(df: DataFrame, topic: str, servers: str, checkpoint: str, once: bool = True, poll: str = "10 seconds"):

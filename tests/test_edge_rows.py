@@ -163,6 +163,32 @@ def test_chunks_appear_with_the_commit_or_not_at_all(spark, tmp_path):
     assert spark.read.parquet(path).count() == 7
 
 
+def test_a_staging_folder_goes_although_tasks_still_write(spark, tmp_path):
+    from pyarrow import fs
+
+    from beaconry.sources.chunk_sink import ChunkWriter
+
+    class Busy:
+        """A store in which files appear while the folder is being removed."""
+
+        def __init__(self):
+            self.real, self.fails = fs.LocalFileSystem(), 3
+
+        def get_file_info(self, path):
+            return self.real.get_file_info(path)
+
+        def delete_dir(self, path):
+            self.fails -= 1
+            if self.fails >= 0:
+                raise OSError("directory not empty")
+            self.real.delete_dir(path)
+
+    writer = ChunkWriter(f"file://{tmp_path}", spark.range(1).schema, 4, False)
+    assert (tmp_path / writer.job).is_dir()
+    writer._clear(Busy(), str(tmp_path))
+    assert not (tmp_path / writer.job).exists()
+
+
 def test_late_rows_are_counted_and_listed(spark, tmp_path):
     """Three micro-batches, the second a day late; the last is replayed and counts once."""
     from beaconry.streaming import clicks as S
