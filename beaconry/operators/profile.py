@@ -106,6 +106,7 @@ def _refined(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], accuracy:
     values of the rows, so every round leaves at least one behind.
     """
     columns = [*keys, "rank", "lo", "hi", "below", "inside"]
+    accuracy = max(accuracy, 4 * GRID)  # a coarser sketch does not tell the parts of the grid apart
     wanted = cut(wanted.select(*columns))
     done = wanted.where((F.col("inside") <= most) | (F.col("lo") == F.col("hi")))
     while True:
