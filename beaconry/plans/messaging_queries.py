@@ -8,6 +8,7 @@ from beaconry.functions import vectors as V
 from beaconry.operators import campaigns as K
 from beaconry.operators import collaborative as CF
 from beaconry.operators import delivery, embed, metrics, neighbours, schedule, vector_index
+from beaconry.operators import pairs as P
 from beaconry.plans.bindings import CART_KINDS, CLICK_AS_OF, DIM, LAST_K, Tables
 from beaconry.plans.feature_queries import LAST_PER_ID, USER_VECTOR, WEIGHTED, attributed, records, rounded, vector_facts
 from beaconry.plans.registry import query
@@ -93,15 +94,13 @@ RANKED_COLS = ["user_id", "campaign_id", "similarity_score", "rank"]
     JOIN product_vectors_v s ON s.product_id = l_suppkey""")
 def rec_cosine(t):
     """Product vector of each line against the vector kept under its supplier's number."""
-    # The length of a vector is taken once a product, not once a pair.
-    p = t.product_vectors.select(F.col("product_id").alias("l_partkey"), F.col("embedding").alias("a"), V.magnitude("embedding").alias("norm_a"))
-    s = t.product_vectors.select(F.col("product_id").alias("l_suppkey"), F.col("embedding").alias("b"), V.magnitude("embedding").alias("norm_b"))
+    # The length of a vector is taken once a product, not once a pair, and no vector travels with a line.
     lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    # The score depends on the two ids only: one per pair, then back to the lines.
-    pairs = lines.select("l_partkey", "l_suppkey").distinct().join(p, "l_partkey").join(s, "l_suppkey")
-    scored = pairs.select("l_partkey", "l_suppkey", F.round(V.cosine("a", "b", F.col("norm_a") * F.col("norm_b")), 4).alias("similarity"))
-    return lines.join(scored, ["l_partkey", "l_suppkey"]).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "similarity")
+    vectors = t.product_vectors.withColumn("norm", V.magnitude("embedding"))
+    p = vectors.withColumnRenamed("product_id", "l_partkey")
+    s = P.named(vectors.withColumnRenamed("product_id", "l_suppkey"), lines, "l_suppkey")
+    return P.dots(lines, p, s, "l_partkey", "l_suppkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round(V.cosine_of("product", "norms"), 4).alias("similarity"))
 
 
 @query("rec_campaign_topk", "SELECT user_id, campaign_id, similarity_score, rank FROM ranked_v")
