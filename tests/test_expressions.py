@@ -1,6 +1,7 @@
 """Column and vector expressions on hand-made rows."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,14 @@ def test_embedding_is_spread_over_tasks(spark):
 
     one_task = spark.range(1000).selectExpr("concat('w', id) AS name").coalesce(1)
     assert embed.embed_text(one_task, ["name"], 8).rdd.getNumPartitions() > 1
+
+
+def test_rounded_small_is_round(spark):
+    """The shortcut gives the doubles of ``F.round``; halves, what lies beside them, large and special numbers included."""
+    rng = random.Random(3)
+    xs = [rng.uniform(-2, 2) for _ in range(2000)] + [rng.randrange(-10**6, 10**6) / 1e5 + 5e-9 for _ in range(500)]
+    xs += [float(f"0.{rng.randrange(10**8):08d}5") for _ in range(500)] + [a / math.sqrt(b) for a in range(1, 40) for b in range(a * a, a * a + 40)]
+    xs += [0.0, -0.0, -1e-12, 1e9, -3e300, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = df.select(C.rounded_small("x", 8).alias("a"), F.round("x", 8).alias("b"), F.col("x")).where("NOT (a <=> b) OR string(a) <> string(b)").collect()
+    assert not got

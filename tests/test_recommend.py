@@ -404,3 +404,40 @@ def test_neighbour_at_the_bar_is_kept(spark, by_matrix):
     rows += [(u, i) for u in (4, 5) for i in range(10, 22)]  # so that the shared items are the rarest of both
     got = N.neighbours(pairs(spark, rows), 1, by_matrix=by_matrix).where("user_id = 1").collect()
     assert [(r["neighbour"], r["shared"]) for r in got] == [(2, 10)]
+
+
+@pytest.mark.parametrize("by_matrix", [True, False])
+@pytest.mark.parametrize("small", [False, True])
+def test_all_partners_match_brute_force(spark, monkeypatch, by_matrix, small):
+    """Without a number of neighbours nobody who shares an item is left out; ties, twins and lone users included."""
+    from beaconry.operators import partners
+
+    if small:
+        for name, size in (("ASKING", 9), ("ROWS", 10), ("TALLIES", 5), ("MEMBERS", 4), ("PROBES", 7)):
+            monkeypatch.setattr(partners, name, size)
+        monkeypatch.setattr(dense, "LISTS_PER_CHUNK", 25)
+        monkeypatch.setattr(dense, "CELLS", 64)
+    rows = skewed(3) + [(1000 + u, 500 + u % 3) for u in range(8)] + [(2000, 900)]
+    items = {}
+    for u, i in rows:
+        items.setdefault(u, set()).add(i)
+    best = brute_neighbours(rows, len(items))
+    want = {(u, v, len(items[u] & items[v]), round(len(items[u] & items[v]) / np.sqrt(len(items[u]) * len(items[v])), 12), i)
+            for u, vs in best.items() for i, v in enumerate(vs, 1)}
+    got = N.neighbours(pairs(spark, rows), None, 13 if small else 10_000, by_matrix).collect()
+    assert len(got) == len(want) and {(*r[:3], round(r[3], 12), r[4]) for r in got} == want
+    text = pairs(spark, rows).selectExpr("concat('u', user_id) AS user_id", "concat('i', item_id) AS item_id")
+    named = N.neighbours(text, None, by_matrix=by_matrix).groupBy("user_id").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()
+    assert {(r[0], r[1]) for r in named} == {(f"u{u}", len(vs)) for u, vs in best.items() if vs} and all(r[1] == r[2] for r in named)
+
+
+def test_user_similarity_holds_every_pair(spark):
+    """The query gives the whole matrix, not a few neighbours of each user."""
+    import __spark_entry__ as entry
+    from beaconry.plans.bindings import Tables
+
+    inter = Tables(spark, "/root/testdata/sf0.001").interactions
+    other = inter.select(F.col("user_id").alias("neighbour"), "item_id")
+    sharing = inter.join(other, "item_id").where("user_id <> neighbour").select("user_id", "neighbour").distinct()
+    got = entry.queries()["rec_user_similarity"](spark, "/root/testdata/sf0.001")
+    assert got.count() == sharing.count() and got.agg(F.max("rank")).first()[0] > 5
