@@ -44,7 +44,7 @@ def test_products_match_a_join(spark, monkeypatch, most_pairs, numbers):
     pairs = spark.createDataFrame([*listed, listed[0], (900, None, 1), (901, 1, None)], "line long, a long, b long")
     joined = (pairs.join(left.withColumnsRenamed({"embedding": "x", "norm": "nx"}), "a").join(right.withColumnsRenamed({"embedding": "y", "norm": "ny"}), "b")
               .select("line", "a", "b", F.round(V.cosine("x", "y", F.col("nx") * F.col("ny")), 9).alias("c")))
-    out = P.dots(pairs, left, P.named(right, pairs, "b"), "a", "b").select("line", "a", "b", F.round(V.cosine_of("product", "norms"), 9).alias("c"))
+    out = P.dots(pairs, left, P.named(right, pairs, "b"), "a", "b").select("line", "a", "b", F.round(V.cosine(product="product", norms="norms"), 9).alias("c"))
     assert sorted(map(str, out.collect())) == sorted(map(str, joined.collect()))
 
 
