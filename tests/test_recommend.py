@@ -441,3 +441,15 @@ def test_user_similarity_holds_every_pair(spark):
     sharing = inter.join(other, "item_id").where("user_id <> neighbour").select("user_id", "neighbour").distinct()
     got = entry.queries()["rec_user_similarity"](spark, "/root/testdata/sf0.001")
     assert got.count() == sharing.count() and got.agg(F.max("rank")).first()[0] > 5
+
+
+def test_all_partners_whatever_ranges_are_made(spark, monkeypatch):
+    """The ranges of users are those that Spark made, more than were asked for included."""
+    rows = skewed(6, users=40)
+    inter = pairs(spark, rows)
+    made = type(inter).repartitionByRange
+    monkeypatch.setattr(type(inter), "repartitionByRange", lambda self, n, *cols: made(self, 3 * n + 4, *cols))
+    got = {}
+    for r in N.neighbours(inter, None, by_matrix=True).orderBy("user_id", "rank").collect():
+        got.setdefault(r["user_id"], []).append(r["neighbour"])
+    assert got == brute_neighbours(rows, 40)
